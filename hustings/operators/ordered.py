@@ -55,6 +55,22 @@ def running(df: DataFrame, doc: Sequence[str], block: str, line: str,
     return done.select(*[c for c in df.columns if c not in last and c not in total], *last, *total)
 
 
+def previous(df: DataFrame, doc: Sequence[str], block: str, line: str,
+             columns: Mapping[str, str]) -> DataFrame:
+    """Adds, under new names, the column values of the line before; null on a first line."""
+    part = [*doc, block]
+    inside = Window.partitionBy(*part).orderBy(line)
+    packed = df.withColumn("__row", F.struct(*columns)).withColumn(
+        "__prev", F.lag("__row").over(inside)).withColumn("__first", F.row_number().over(inside) == 1)
+    ends = packed.groupBy(*part).agg(F.max_by("__row", F.col(line)).alias("__end"))
+    before = Window.partitionBy(*doc).orderBy(block)
+    carried = ends.select(*part, F.lag("__end").over(before).alias("__carried"))
+    joined = attach(packed, carried, part)
+    prev = F.when(F.col("__first"), F.col("__carried")).otherwise(F.col("__prev"))
+    return joined.withColumn("__p", prev).select(
+        *df.columns, *[F.col("__p")[c].alias(new) for c, new in columns.items()])
+
+
 def following(df: DataFrame, doc: Sequence[str], seq: str, value: str, steps: Sequence[int],
               out: str = "next") -> DataFrame:
     """Values of the lines 1, 2, ... places later, by equi-joins on the line number.
