@@ -171,5 +171,10 @@ def url_depth(url: Column | str) -> Column:
 
 
 def is_subsequence(short: Column | str, long: Column | str) -> Column:
-    """True when the letters of ``short`` occur in ``long`` in order."""
-    return F.rlike(col(long), F.regexp_replace(col(short), "(.)", "$1.*"))
+    """True when the letters and digits of ``short`` occur in ``long`` in order.
+
+    Each step runs to the next wanted character and never goes back, so the test takes one pass
+    over texts of any length.
+    """
+    steps = F.regexp_replace(col(short), "([A-Za-z0-9])", r"[^$1]*+$1")
+    return F.rlike(col(long), F.concat(F.lit("^"), steps))
