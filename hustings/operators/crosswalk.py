@@ -55,7 +55,7 @@ def resolve_codes(pairs: DataFrame, scopes: DataFrame, names: DataFrame, id_cols
     """
     targets = names.groupBy("scope", "key").agg(F.max("code").alias("code")) \
         .select(F.col("scope").alias("__scope_id"), F.col("key").alias("__name"), "code")
-    candidates = cascade_keys(pairs.select(*id_cols, scope_name, key), scope_name, key,
+    candidates = cascade_keys(pairs.select(*dict.fromkeys([*id_cols, scope_name, key])), scope_name, key,
                               aliases, prefixes)
     wanted = scopes.select(F.col("scope_name").alias("__sn"), "scope", "scope_pos")
     hits = candidates.join(wanted, F.col(scope_name) == F.col("__sn")) \
@@ -106,13 +106,20 @@ def near_spellings(pairs: DataFrame, scopes: DataFrame, names: DataFrame, id_col
         F.length("key").alias("__len"), F.col("__i"), start.alias("__start"),
         F.substr("key", start + 1, length).alias("__seg"))
     word = F.col(key)
-    probe = pairs.select(*id_cols, scope_name, key).filter(F.length(word) > 0).withColumn(
+    probe = pairs.select(*dict.fromkeys([*id_cols, scope_name, key])) \
+        .filter(F.length(word) > 0).withColumn(
         "__len", F.explode(F.sequence(
             F.greatest(F.lit(1), F.ceil(F.length(word) * F.lit(low) - F.lit(1e-9))).cast("int"),
             F.floor(F.length(word) * F.lit(high) + F.lit(1e-9)).cast("int"))))
-    p_edits = F.floor(F.lit(slack) * F.col("__len") * F.lit(1 + high) + F.lit(1e-9)).cast("int")
-    probe = probe.withColumn("__parts", F.least(p_edits + 1, F.col("__len"))) \
-        .withColumn("__shift", p_edits) \
+    most = F.floor(F.lit(slack) * F.col("__len") * F.lit(1 + high) + F.lit(1e-9)).cast("int")
+    # A shift s and a length difference d take at least |s| + |d - s| unmatched characters.
+    apart = F.length(word) - F.col("__len")
+    allowed = F.floor(F.lit(slack) * (F.length(word) + F.col("__len")) + F.lit(1e-9)).cast("int")
+    probe = probe.withColumn("__parts", F.least(most + 1, F.col("__len"))) \
+        .withColumn("__allowed", allowed) \
+        .filter(F.abs(apart) <= F.col("__allowed")) \
+        .withColumn("__left", F.ceil((apart - F.col("__allowed")) / 2).cast("int")) \
+        .withColumn("__right", F.floor((apart + F.col("__allowed")) / 2).cast("int")) \
         .withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
     size = F.floor(F.col("__len") / F.col("__parts")).cast("int")
     p_start = F.col("__i") * size
@@ -120,9 +127,8 @@ def near_spellings(pairs: DataFrame, scopes: DataFrame, names: DataFrame, id_col
     at = F.col("__at")
     probe = probe.withColumn("__from", p_start).withColumn("__take", p_length) \
         .withColumn("__at", F.explode(F.sequence(
-            F.greatest(F.lit(0), F.col("__from") - F.col("__shift")),
-            F.greatest(F.lit(0), F.col("__from") + F.col("__shift"))))) \
-        .filter(at + F.col("__take") <= F.length(word)) \
+            F.col("__from") + F.col("__left"), F.col("__from") + F.col("__right")))) \
+        .filter((at >= 0) & (at + F.col("__take") <= F.length(word))) \
         .withColumn("__piece", F.substr(word, at + 1, F.col("__take")))
     wanted = scopes.select(F.col("scope_name").alias("__sn"), "scope", "scope_pos")
     probe = probe.join(wanted, F.col(scope_name) == F.col("__sn"))
@@ -131,8 +137,11 @@ def near_spellings(pairs: DataFrame, scopes: DataFrame, names: DataFrame, id_col
         (F.col("p.scope") == F.col("n.__scope_id")) & (F.col("p.__len") == F.col("n.__len"))
         & (F.col("p.__i") == F.col("n.__i")) & (F.col("p.__piece") == F.col("n.__seg")))
     candidates = met.select(*[F.col(f"p.{c}").alias(c) for c in id_cols],
-                            F.col(f"p.{key}").alias("__word"), "scope_pos", "near", "code") \
-        .distinct()
+                            F.col(f"p.{key}").alias("__word"), "p.__allowed", "scope_pos",
+                            "near", "code").distinct()
+    # Edit distance never exceeds the number of unmatched characters.
+    candidates = candidates.filter(
+        F.levenshtein("__word", "near") <= F.col("__allowed")).drop("__allowed")
     scored = candidates.withColumn("ratio", sequence_ratio("__word", "near")) \
         .filter(F.col("ratio") >= cutoff)
     order = F.struct(-F.col("scope_pos"), F.col("ratio"), F.col("near"))
