@@ -1 +1,464 @@
-"""placeholder"""
+"""Landed documents (JSON, pages, lines) made from whole tables and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hustings.catalog.registry import query
+from hustings.operators.ordered import following, previous, running, split_lines, with_block
+from hustings.sources import ballots, feeds, lists, pages
+
+LINES = "l_linenumber, l_partkey, l_suppkey"
+
+
+def order_lines(t):
+    """One row for each order with its line items as a list, in a fixed order."""
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+                    F.col("l_quantity").cast("bigint").alias("votes"))
+    items = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return items.join(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"),
+                      F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+RANKED = f"""
+  r AS (SELECT l_orderkey, o_orderpriority, l_partkey, l_returnflag, CAST(l_quantity AS bigint) AS votes,
+      CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, {LINES}) AS integer) AS rank,
+      printf('%.2f %%', 100.0 * l_quantity / sum(l_quantity) OVER (PARTITION BY l_orderkey)) AS percentage
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+@query("pooled_feed", f"""WITH {RANKED}
+  SELECT l_orderkey AS city, o_orderpriority AS position, rank, l_partkey::varchar AS candidate_name, l_returnflag AS party,
+    votes, percentage FROM r""")
+def pooled_feed(t):
+    candidates = F.transform("items", lambda x: F.struct(
+        x["l_partkey"].cast("string").alias("name"),
+        F.concat(F.lit("LONG NAME|"), x["l_returnflag"]).alias("party"),
+        x["votes"].alias("vote_count")))
+    body = F.to_json(F.struct(F.array(F.struct(
+        F.col("o_orderpriority").alias("contest"), candidates.alias("candidates"))).alias("result")))
+    docs = order_lines(t).select(F.col("o_orderkey").alias("city"), body.alias("body"))
+    return feeds.pooled_feed_rows(docs, "body", ["city"])
+
+
+@query("canvass_feed", f"""WITH {RANKED}
+  SELECT l_orderkey AS city, CASE WHEN o_orderpriority = '5-LOW' THEN 'SENATOR' ELSE o_orderpriority END AS position, rank,
+    'P ' || l_partkey AS candidate_name, CASE WHEN l_returnflag = 'R' THEN '' ELSE l_returnflag END AS party, votes,
+    CASE WHEN l_returnflag = 'N' THEN '' ELSE votes || '.5 %' END AS percentage FROM r""")
+def canvass_feed(t):
+    options = F.transform("items", lambda x: F.struct(
+        F.concat(x["l_linenumber"].cast("string"), F.lit(". P "), x["l_partkey"].cast("string"),
+                 F.when(x["l_returnflag"] == "R", "").otherwise(
+                     F.concat(F.lit("  ("), x["l_returnflag"], F.lit(")")))).alias("name"),
+        x["votes"].cast("string").alias("votes"),
+        F.when(x["l_returnflag"] != "N", F.concat(x["votes"].cast("string"), F.lit(".5")))
+        .alias("percentage")))
+    low = F.col("o_orderpriority") == "5-LOW"
+    contest = F.array(F.struct(F.when(low, "SENATOR").otherwise(F.col("o_orderpriority"))
+                               .alias("contestName"),
+                               F.struct(options.alias("candidates")).alias("candidates")))
+    body = F.to_json(F.struct(F.when(~low, contest).alias("local"),
+                              F.when(low, contest).alias("national")))
+    docs = order_lines(t).select(F.col("o_orderkey").alias("city"), body.alias("body"))
+    return feeds.canvass_rows(docs, "body", ["city"])
+
+
+@query("board_feed", f"""
+  SELECT l_orderkey AS city, 'RACE ' || p_type AS position,
+    CAST(row_number() OVER (PARTITION BY l_orderkey, p_type ORDER BY l_quantity DESC, {LINES}) AS integer) AS rank,
+    CASE WHEN p_size < 25 THEN p_name || ' (' || p_brand || ')' ELSE p_name END AS candidate_name,
+    CASE WHEN p_size < 25 THEN p_brand ELSE p_type || ' PARTY' END AS party, CAST(l_quantity AS bigint) AS votes,
+    l_linenumber || ' %' AS percentage
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size < 45""")
+def board_feed(t):
+    items = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.struct(
+        F.col("p_type").alias("cc"), F.col("l_partkey").alias("bo"),
+        F.col("l_quantity").cast("bigint").alias("v"), F.col("l_linenumber").alias("per")).alias("r"))
+    boards = items.groupBy(F.col("l_orderkey").alias("city")).agg(F.transform(
+        F.sort_array(F.collect_list(entry)), lambda e: e["r"]).alias("rs")).select(
+        "city", F.col("city").cast("string").alias("board"),
+        F.to_json(F.struct("rs")).alias("body"))
+    # A contest with very many options is delivered in several documents.
+    shown = F.when(F.col("p_size") < 25, F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")"))) \
+        .otherwise(F.col("p_name"))
+    contests = t.part.filter(F.col("p_size") < 45).select(
+        F.col("p_type").alias("code"), F.to_json(F.struct(
+            F.concat(F.lit("RACE "), "p_type").alias("cn"),
+            F.array(F.struct(F.col("p_partkey").alias("boc"), shown.alias("bon"),
+                             F.concat("p_type", F.lit(" PARTY")).alias("pn"))).alias("bos")))
+        .alias("body"))
+    return feeds.board_rows(boards, contests, ["city"])
+
+
+@query("municipal_feed", """
+  SELECT r_name AS region, n_name AS province, c_custkey::varchar AS city, 'MAYOR ' || o_orderpriority AS position,
+    '' || (o_orderkey % 7) AS rank, o_orderstatus AS candidate_name, 'P' || o_orderkey AS party,
+    CAST(floor(o_totalprice) AS bigint) AS votes, '100.00 %' AS percentage
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey WHERE n_name <> 'NATION_3'""")
+def municipal_feed(t):
+    provinces = t.sql("""SELECT 'province' AS locationType, n_name AS locationName, concat(n_name, ', ', r_name) AS fullLocationName,
+        concat('p', n_nationkey) AS locationCode FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
+      WHERE n_name <> 'NATION_3'""", "nation", "region")
+    cities = t.sql("""SELECT 'municipality', cast(c_custkey as string), concat(c_custkey, ', ', n_name), cast(c_custkey as string)
+      FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
+    contests = t.orders.groupBy(F.col("o_custkey").cast("string").alias("code")).agg(
+        F.to_json(F.create_map(F.lit("MAYOR"), F.struct(F.collect_list(F.struct(
+            F.col("o_orderkey").alias("contestCode"), F.col("o_custkey").alias("locationCode")))
+            .alias("contestCodeAndLocationCode")))).alias("body"))
+    results = t.orders.select(
+        F.concat_ws("-", F.lit("mayor"), "o_orderkey", F.lit("municipality-location"), "o_custkey").alias("path"),
+        F.to_json(F.struct(F.concat(F.lit("MAYOR "), "o_orderpriority").alias("contestDetail"), F.array(F.struct(
+            (F.col("o_orderkey") % 7).alias("rank"), F.col("o_orderstatus").alias("candidateName"),
+            F.lit("").alias("partyNameShort"), F.concat(F.lit("P"), "o_orderkey").alias("partyName"),
+            F.floor("o_totalprice").cast("string").alias("voteCount"))).alias("result"))).alias("body"))
+    return feeds.municipal_feed_rows(provinces.union(cities), contests, results,
+                                     ("METRO MANILA", "NATIONAL CAPITAL REGION"))
+
+
+@query("canvass_units", """
+  WITH b AS (SELECT c_nationkey, bool_or(c_acctbal > 9900) AS child FROM customer GROUP BY 1),
+  p AS (SELECT n_nationkey, n_name, r_name, n_nationkey > 10 AND NOT coalesce(child, false) AS own FROM nation
+        JOIN region ON n_regionkey = r_regionkey LEFT JOIN b ON c_nationkey = n_nationkey)
+  SELECT r_name AS region, n_name AS province, CASE n_name WHEN 'NATION_12' THEN 'CITY 12' ELSE n_name END AS city,
+    'p' || n_nationkey AS node FROM p WHERE own
+  UNION ALL SELECT r_name, n_name, c_name, 'c' || c_custkey FROM customer JOIN p ON c_nationkey = n_nationkey WHERE NOT own""")
+def canvass_units(t):
+    nodes = t.sql("""
+      SELECT concat('r', r_regionkey) AS node, '0' AS parent, 'Region' AS level, r_name AS name, false AS has_board FROM {region}
+      UNION ALL SELECT concat('p', n_nationkey), concat('r', n_regionkey), 'Province', n_name, n_nationkey > 10 FROM {nation}
+      UNION ALL SELECT concat('c', c_custkey), concat('p', c_nationkey), 'City/Municipality', c_name, c_acctbal > 9900 FROM {customer}""",
+                  "region", "nation", "customer")
+    return feeds.canvass_units(nodes, {"NATION_12": "CITY 12"})
+
+
+@query("locality_regions", """
+  SELECT DISTINCT CASE WHEN n_nationkey = 0 THEN CASE c_mktsegment WHEN 'BUILDING' THEN 'ASIA' WHEN 'MACHINERY' THEN 'EUROPE' END
+      WHEN n_nationkey = 1 THEN 'REGION X' WHEN n_nationkey = 2 THEN NULL ELSE r_name END AS region,
+    CASE WHEN n_nationkey = 0 THEN CASE c_mktsegment WHEN 'BUILDING' THEN 'NATION_7' WHEN 'MACHINERY' THEN 'NATION_3' END
+      WHEN n_nationkey = 2 THEN NULL WHEN n_nationkey = 1 THEN 'ISLANDS' ELSE n_name END AS bucket,
+    c_mktsegment AS city, CASE n_nationkey WHEN 0 THEN 'METRO MANILA' WHEN 1 THEN 'ISLANDS' WHEN 2 THEN 'NOWHERE'
+      ELSE replace(n_name, '_', ' - ') END AS province
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def locality_regions(t):
+    roster = t.sql("""SELECT CASE n_nationkey WHEN 0 THEN 'Metro Manila' WHEN 1 THEN 'Islands' WHEN 2 THEN 'Nowhere'
+        ELSE replace(n_name, '_', ' - ') END AS province, c_mktsegment AS city, c_mktsegment AS city_key
+      FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
+    provinces = t.sql("""SELECT n_name AS name, CASE n_nationkey WHEN 7 THEN 'Asia' WHEN 3 THEN 'Europe' ELSE r_name END AS region
+      FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey > 2""", "nation", "region")
+    capital = t.spark.createDataFrame([("BUILDING", "NATION_7"), ("MACHINERY", "NATION_3")],
+                                      "city_key string, bucket string")
+    return feeds.locality_regions(roster, provinces, ["METRO MANILA", "NCR"], capital,
+                                  {"ISLANDS": "REGION X"})
+
+
+# The two regions that the query renames are looked up by name, so the SQL must rename them too.
+from hustings.catalog.registry import SQL  # noqa: E402
+
+SQL["locality_regions"] = SQL["locality_regions"].replace(
+    "WHEN n_nationkey = 2 THEN NULL ELSE r_name END AS region",
+    "WHEN n_nationkey = 2 THEN NULL WHEN n_nationkey = 7 THEN 'ASIA' WHEN n_nationkey = 3 THEN 'EUROPE' ELSE r_name END AS region")
+
+PLAIN = ("trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({0}, '<[^>]*>', '', 'g'), "
+         "'&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g'))")
+
+
+@query("page_sections", f"""
+  WITH s AS (SELECT page_id, unnest(string_split(html, '<h1>')[2:]) AS part,
+      unnest(range(1, len(string_split(html, '<h1>')))) AS section FROM pages),
+  i AS (SELECT page_id, section, part, regexp_extract_all(part, '(?s)<p(?:\\s[^>]*)?>(.*?)</p>', 1) AS ps FROM s),
+  e AS (SELECT page_id, section, regexp_extract(part, '(?s)^(.*?)</h1>', 1) AS h, unnest(ps) AS p,
+      unnest(range(len(ps))) AS item_no FROM i)
+  SELECT page_id, CAST(section AS integer) AS section, {PLAIN.format('h')} AS header, CAST(item_no AS integer) AS item_no,
+    {PLAIN.format('p')} AS text FROM e""")
+def page_sections(t):
+    return pages.list_items(pages.sections(t.pages, ["page_id"], "html", "h1"), ["page_id"], "p")
+
+
+@query("race_pages", """
+  SELECT 2013 AS year, lower(n_name) AS region, 'c' || o_custkey AS province, 'o' || o_orderkey AS city, 'MAYOR' AS position,
+    upper(o_orderpriority) AS area, 'P ' || l_partkey AS candidate_name, l_returnflag AS party,
+    CAST(l_quantity * 100 AS bigint) AS votes
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+  WHERE o_orderstatus <> 'F'""")
+def race_pages(t):
+    items = order_lines(t).join(t.sql("""SELECT c_custkey, n_name FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
+                                      "customer", "nation"), F.col("o_custkey") == F.col("c_custkey")) \
+        .join(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    rows = F.array_join(F.transform("items", lambda x: F.concat(
+        F.lit("<tr class='r'><td>P "), x["l_partkey"].cast("string"), F.lit(" ("), x["l_returnflag"],
+        F.lit(")</td>\n<td> "), x["l_returnflag"], F.lit("</td><td>"),
+        F.format_number(x["votes"] * 100, 0), F.lit("</td></tr>"))), "")
+    table = F.concat(F.lit('<div class="a phvote-tbl"><table><tr><th>Candidate</th></tr>'), rows,
+                     F.lit("<tr><td>x</td><td></td><td>-</td></tr></table></div>"))
+    office = F.when(F.col("o_orderstatus") == "F", "PROVINCIAL GOVERNOR").otherwise("MAYOR")
+    html = F.concat(F.lit("<html><p>As of today</p><p class='h'>\n<b>"), office, F.lit(" of "),
+                    F.col("o_orderpriority"), F.lit("</b></p><p>As of now</p>"), table,
+                    F.lit("<table><tr><td>a</td><td>b</td><td>1</td></tr></table></html>"))
+    url = F.concat(F.lit("http://example.com/%202013/"), F.lower("n_name"), F.lit("/c"), "o_custkey",
+                   F.lit("/o"), "o_orderkey")
+    docs = items.select(url.alias("url"), html.alias("html"))
+    return pages.archived_races(docs, "url", "html", "2013", 2013)
+
+
+@query("captured_pages", """
+  WITH c AS (SELECT page_id, url, regexp_replace(replace(regexp_replace(url, '^https?://[^/]+', ''), '%20', ''), '/+$', '') AS key
+    FROM pages WHERE regexp_matches(url, '/(?:%20)?en/') AND NOT contains(url, '/precinct'))
+  SELECT page_id, url, key, regexp_matches(replace(url, '%20', ''), '/en/[^/]+/[^/]+/[^/]+$') AS municipality_page FROM c
+  WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY key ORDER BY page_id) = 1""")
+def captured_pages(t):
+    return pages.captured_pages(t.pages.select("page_id", "url"), "url", "page_id", "en")
+
+
+@query("boundary_units", """
+  SELECT lpad('' || c_custkey, 10, '0') AS code, n_name AS name, lpad('' || n_nationkey, 10, '0') AS province,
+    lpad('' || n_regionkey, 10, '0') AS region, c_acctbal > 0 AS has_shape
+  FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def boundary_units(t):
+    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    shape = F.col("c_acctbal") > 0
+    body = F.to_json(F.struct(F.create_map(F.lit("layer"), F.struct(F.array(F.struct(
+        F.when(shape, "Polygon").alias("type"), F.when(shape, F.array(F.array(F.lit(0)))).alias("arcs"),
+        F.struct(F.col("n_regionkey").alias("adm1_psgc"), F.col("n_nationkey").alias("adm2_psgc"),
+                 F.col("c_custkey").alias("adm3_psgc"),
+                 F.concat("n_name", F.lit(" (Not a Province)")).alias("adm3_en")).alias("properties")))
+        .alias("geometries"))).alias("objects")))
+    return feeds.boundary_properties(rows.select(body.alias("body")), "body", "adm3_psgc", "adm3_en")
+
+
+# Listing lines: a document for each nation, a page for each order. Orders on hand open a city,
+# filled ones change the office, pending ones only add a record.
+LISTING = """
+  SELECT n_name AS doc, o_orderkey AS page, CASE o_orderstatus
+    WHEN 'O' THEN array('Page 1', concat('PROV ', c_mktsegment), 'CAR', concat('TOWN ', o_custkey), 'MAYOR', '1.',
+       concat('CUST, C', o_custkey, ' B', o_orderkey), 'WRAPPED', concat('P', c_nationkey), 'M')
+    WHEN 'F' THEN array('COUNCILOR', 'FIRST DISTRICT', concat('REY, ANA', o_custkey), '2.', concat('Q', c_nationkey), 'F')
+    ELSE array(concat('LIM,  X', o_custkey, ' Z'), 'IND', 'M') END AS lines
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""
+LISTING_TABLES = ["orders", "customer", "nation"]
+CARRY = """
+  o AS (SELECT n_name AS doc, o_orderkey, o_orderstatus AS st, c_mktsegment AS seg, o_custkey, c_nationkey
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  c AS (SELECT *,
+      last_value(CASE WHEN st = 'O' THEN 'PROV ' || seg END IGNORE NULLS) OVER w AS province,
+      last_value(CASE WHEN st = 'O' THEN 'TOWN ' || o_custkey END IGNORE NULLS) OVER w AS city,
+      last_value(CASE st WHEN 'O' THEN 'MAYOR' WHEN 'F' THEN 'COUNCILOR' END IGNORE NULLS) OVER w AS position,
+      last_value(CASE st WHEN 'O' THEN '' WHEN 'F' THEN 'FIRST DISTRICT' END IGNORE NULLS) OVER w AS district
+    FROM o WINDOW w AS (PARTITION BY doc ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))"""
+NAME = """CASE st WHEN 'O' THEN 'CUST, C' || o_custkey || ' B' || o_orderkey || ' WRAPPED'
+      WHEN 'F' THEN 'REY, ANA' || o_custkey ELSE 'LIM, X' || o_custkey || ' Z' END"""
+PARTY = "CASE st WHEN 'O' THEN 'P' || c_nationkey WHEN 'F' THEN 'Q' || c_nationkey ELSE 'IND' END"
+
+
+def listing_lines(t, sql=LISTING):
+    return t.sql(sql, *LISTING_TABLES).select("doc", "page", F.posexplode("lines").alias("line", "text"))
+
+
+@query("listing_records", f"""WITH {CARRY}
+  SELECT doc, CASE WHEN province IS NOT NULL THEN 'CAR' END AS region, province, city, position,
+    coalesce(district, '') AS district, {NAME} AS name, {PARTY} AS party, CASE st WHEN 'F' THEN 'F' ELSE 'M' END AS sex FROM c""")
+def listing_records(t):
+    return lists.parse_listing(listing_lines(t), "citymun")
+
+
+@query("listed_winners", f"""WITH {CARRY}
+  SELECT CASE st WHEN 'O' THEN 'CUST' WHEN 'F' THEN 'REY' ELSE 'LIM' END AS last_name,
+    CASE st WHEN 'O' THEN 'C' || o_custkey || ' B' || o_orderkey WHEN 'F' THEN 'ANA' || o_custkey ELSE 'X' || o_custkey END AS first_name,
+    CASE st WHEN 'O' THEN 'WRAPPED' WHEN 'F' THEN '' ELSE 'Z' END AS middle_name, '' AS title, {NAME} AS full_name,
+    position, {PARTY} AS party, 2001 AS year, province, coalesce(city, '') AS city, '' AS region,
+    CASE st WHEN 'F' THEN 'F' ELSE 'M' END AS sex FROM c""")
+def listed_winners(t):
+    return lists.listed_winners(lists.parse_listing(listing_lines(t), "citymun"), 2001)
+
+
+@query("listing_sexes", f"""WITH {CARRY}
+  SELECT doc, CASE position WHEN 'MAYOR' THEN 'MAYOR' ELSE position END AS position,
+    CASE st WHEN 'O' THEN 'CUST' WHEN 'F' THEN 'REY' ELSE 'LIM' END AS last,
+    CASE st WHEN 'O' THEN 'C' || o_custkey WHEN 'F' THEN 'ANA' || o_custkey ELSE 'X' || o_custkey END AS given,
+    CASE st WHEN 'F' THEN 'F' ELSE 'M' END AS sex FROM c WHERE position IS NOT NULL""")
+def listing_sexes(t):
+    return lists.parse_sexes(listing_lines(t))
+
+
+PROVINCIAL = """
+  SELECT n_name AS doc, o_orderkey AS page, CASE o_orderstatus
+    WHEN 'O' THEN array('CAR', concat('PROV ', c_mktsegment), 'PROVINCIAL GOVERNOR', concat('CUST, C', o_custkey), 'LP', 'M')
+    WHEN 'F' THEN array('PROVINCIAL BOARD MEMBER', 'FIRST DISTRICT', concat('REY, ANA', o_custkey), 'NP', 'F', '7')
+    ELSE array('NCR - LAST PART', concat('LIM,  X', o_custkey, ' Z'), 'IND', 'M') END AS lines
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""
+
+
+@query("provincial_listing", """
+  WITH o AS (SELECT n_name AS doc, o_orderkey, o_orderstatus AS st, c_mktsegment AS seg, o_custkey
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  c AS (SELECT *,
+      last_value(CASE st WHEN 'O' THEN 'PROV ' || seg WHEN 'P' THEN 'NCR - LAST PART' END IGNORE NULLS) OVER w AS province,
+      last_value(CASE st WHEN 'O' THEN 'CAR' WHEN 'P' THEN 'NCR' END IGNORE NULLS) OVER w AS region,
+      last_value(CASE st WHEN 'O' THEN 'PROVINCIAL GOVERNOR' WHEN 'F' THEN 'PROVINCIAL BOARD MEMBER' END IGNORE NULLS) OVER w AS position,
+      last_value(CASE st WHEN 'O' THEN '' WHEN 'F' THEN 'FIRST DISTRICT' END IGNORE NULLS) OVER w AS district
+    FROM o WINDOW w AS (PARTITION BY doc ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
+  SELECT doc, region, province, '' AS city, position, coalesce(district, '') AS district,
+    CASE st WHEN 'O' THEN 'CUST, C' || o_custkey WHEN 'F' THEN 'REY, ANA' || o_custkey ELSE 'LIM, X' || o_custkey || ' Z' END AS name,
+    CASE st WHEN 'O' THEN 'LP' WHEN 'F' THEN 'NP' ELSE 'IND' END AS party, CASE st WHEN 'F' THEN 'F' ELSE 'M' END AS sex FROM c""")
+def provincial_listing(t):
+    return lists.parse_listing(listing_lines(t, PROVINCIAL), "provincial")
+
+
+HOUSE = """
+  SELECT n_name AS doc, o_orderkey AS page, CASE o_orderstatus
+    WHEN 'O' THEN array('CAR', concat('PROV ', c_mktsegment), concat('CUST, C', o_custkey), 'LP', 'M', 'LONE DISTRICT')
+    WHEN 'F' THEN array('NCR - LAST PART', concat('REY, ANA', o_custkey), 'NP', 'F')
+    ELSE array(concat('LIM,  X', o_custkey, ' Z'), 'IND', 'M') END AS lines
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""
+
+
+@query("house_listing", """
+  WITH o AS (SELECT n_name AS doc, o_orderkey, o_orderstatus AS st, c_mktsegment AS seg, o_custkey
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  c AS (SELECT *,
+      last_value(CASE st WHEN 'O' THEN 'PROV ' || seg WHEN 'F' THEN 'NCR - LAST PART' END IGNORE NULLS) OVER w AS province,
+      last_value(CASE st WHEN 'O' THEN 'CAR' WHEN 'F' THEN 'NCR' END IGNORE NULLS) OVER w AS region
+    FROM o WINDOW w AS (PARTITION BY doc ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
+  SELECT doc, region, province, '' AS city, 'MEMBER, HOUSE OF REPRESENTATIVES' AS position, '' AS district,
+    CASE st WHEN 'O' THEN 'CUST, C' || o_custkey WHEN 'F' THEN 'REY, ANA' || o_custkey ELSE 'LIM, X' || o_custkey || ' Z' END AS name,
+    CASE st WHEN 'O' THEN 'LP' WHEN 'F' THEN 'NP' ELSE 'IND' END AS party, CASE st WHEN 'F' THEN 'F' ELSE 'M' END AS sex FROM c""")
+def house_listing(t):
+    return lists.parse_listing(listing_lines(t, HOUSE), "house")
+
+
+LATE = """
+  SELECT n_name AS doc, o_orderkey AS page, CASE o_orderstatus
+    WHEN 'O' THEN array('Page 1', 'REGION : CAR', concat('PROVINCE : PROV ', c_mktsegment), concat('TOWN ', o_custkey), 'MAYOR',
+       concat('CUST, C', o_custkey, ' SANTOS'), '1', 'LP', 'MALE')
+    WHEN 'F' THEN array('MEMBER, SANGGUNIANG BAYAN', concat('REY, ANA', o_custkey), 'F', 'NP', 'FIRST DISTRICT')
+    ELSE array(concat('PROVINCE/CITY/MUN. : VILLE ', o_custkey, ', PROV X', c_nationkey), 'VICE MAYOR',
+       concat('LIM,  X', o_custkey, ' Y Z'), 'BARE PARTY', 'M', '3.') END AS lines
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""
+
+
+@query("late_records", """
+  WITH o AS (SELECT n_name AS doc, o_orderkey, o_orderstatus AS st, c_mktsegment AS seg, o_custkey, c_nationkey
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  c AS (SELECT *,
+      last_value(CASE st WHEN 'O' THEN 'PROV ' || seg WHEN 'P' THEN 'PROV X' || c_nationkey END IGNORE NULLS) OVER w AS province,
+      last_value(CASE st WHEN 'O' THEN 'TOWN ' || o_custkey WHEN 'P' THEN 'VILLE ' || o_custkey END IGNORE NULLS) OVER w AS city
+    FROM o WINDOW w AS (PARTITION BY doc ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
+  SELECT doc, province, city, CASE st WHEN 'O' THEN 'MAYOR' WHEN 'F' THEN 'COUNCILOR' ELSE 'VICE MAYOR' END AS position,
+    CASE st WHEN 'O' THEN 'CUST' WHEN 'F' THEN 'REY' ELSE 'LIM' END AS last,
+    CASE st WHEN 'O' THEN 'C' || o_custkey WHEN 'F' THEN 'ANA' || o_custkey ELSE 'X' || o_custkey || ' Y' END AS first,
+    CASE st WHEN 'O' THEN 'SANTOS' WHEN 'F' THEN '' ELSE 'Z' END AS middle, CASE st WHEN 'F' THEN 'F' ELSE 'M' END AS sex FROM c""")
+def late_records(t):
+    return lists.parse_records(listing_lines(t, LATE), "citymun")
+
+
+@query("linkage_rows", f"""WITH {CARRY}
+  SELECT 2001 AS year, province, coalesce(city, '') AS city, position, CASE st WHEN 'O' THEN 'CUST' WHEN 'F' THEN 'REY' ELSE 'LIM' END AS last,
+    CASE st WHEN 'O' THEN 'C' || o_custkey WHEN 'F' THEN 'ANA' || o_custkey ELSE 'X' || o_custkey END AS given,
+    'WRAPPED' AS value, 'list' AS source FROM (SELECT * REPLACE (coalesce(province, '') AS province) FROM c) WHERE st = 'O'""")
+def linkage_rows(t):
+    won = lists.listed_winners(lists.parse_listing(listing_lines(t), "citymun"), 2001)
+    c = F.col
+    return lists.middle_sources(won, "list", province=c("province"), city=c("city"), position=c("position"),
+                                last=c("last_name"), first=c("first_name"), value=c("middle_name"), year=c("year"))
+
+
+RENDERED = """
+  SELECT n_name AS doc, o_orderkey AS page, CASE o_orderstatus
+    WHEN 'O' THEN array('Local Positions', concat('MAYOR ', n_name), 'Candidate', 'Votes', 'Percentage',
+       concat('CUST, C', o_custkey, ' (A) (LP)'), format_number(o_custkey, 0), '1.5 %')
+    WHEN 'F' THEN array(concat('REY, B', o_custkey, ' (NP)'), '12', '3 %', 'no row (X)', 'y', '4 %')
+    ELSE array('Total COCs Received from BOC', 'AA (B)', '5', '6 %') END AS lines
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""
+
+
+@query("text_results", """
+  WITH o AS (SELECT n_name AS doc, o_orderkey, o_orderstatus AS st, o_custkey FROM orders JOIN customer ON o_custkey = c_custkey
+        JOIN nation ON c_nationkey = n_nationkey),
+  g AS (SELECT *, last_value(CASE st WHEN 'O' THEN 'open' WHEN 'P' THEN 'shut' END IGNORE NULLS) OVER w AS state,
+      count(*) FILTER (st <> 'F') OVER w AS grp FROM o WINDOW w AS (PARTITION BY doc ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
+  SELECT doc, 'MAYOR ' || doc AS position, CAST(row_number() OVER (PARTITION BY doc, grp ORDER BY o_orderkey) AS integer) AS rank,
+    CASE st WHEN 'O' THEN 'CUST, C' || o_custkey || ' (A)' ELSE 'REY, B' || o_custkey END AS candidate_name,
+    CASE st WHEN 'O' THEN 'LP' ELSE 'NP' END AS party, CASE st WHEN 'O' THEN '' || o_custkey ELSE '12' END AS votes,
+    CASE st WHEN 'O' THEN '1.5 %' ELSE '3 %' END AS percentage FROM g WHERE state = 'open'""")
+def text_results(t):
+    lines = listing_lines(t, RENDERED)
+    numbered = running(lines, ["doc"], "page", "line", total={"seq": F.lit(1)})
+    return pages.text_results(numbered, ["doc"], "page", "line", "text", "seq")
+
+
+@query("panel_rows", """
+  SELECT l_orderkey, o_orderpriority AS position, CASE WHEN l_returnflag = 'A' THEN '' ELSE '' || l_linenumber END AS rank,
+    CASE l_returnflag WHEN 'A' THEN 'PLAIN ' || l_partkey WHEN 'N' THEN 'P ' || l_partkey || ' (X)' ELSE 'P ' || l_partkey END AS candidate_name,
+    CASE l_returnflag WHEN 'N' THEN 'LP' ELSE '' END AS party, '' || CAST(l_quantity * 100 AS bigint) AS votes, '7 %' AS percentage
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority <> '5-LOW'""")
+def panel_rows(t):
+    rows = t.sql("""SELECT l_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'Local Positions' ELSE o_orderpriority END AS position,
+        array(CASE l_returnflag WHEN 'A' THEN concat('PLAIN ', l_partkey) WHEN 'N' THEN concat(l_linenumber, '. P ', l_partkey, ' (X) (LP)')
+          ELSE concat(l_linenumber, '. P ', l_partkey) END, format_number(l_quantity * 100, 0), ' 7 %') AS cells
+      FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""", "lineitem", "orders")
+    return pages.panel_rows(rows, ["l_orderkey"], "position", "cells")
+
+
+LINES_SQL = """
+  l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, unnest(range(len(string_split(text, chr(10))))) AS line_no
+        FROM documents)"""
+
+
+@query("carry_forward", f"""WITH {LINES_SQL}
+  SELECT doc_id, CAST(line_no AS integer) AS line_no,
+    last_value(CASE WHEN length(text) < 60 THEN text END IGNORE NULLS) OVER w AS header,
+    CAST(count(*) FILTER (contains(text, ',')) OVER w AS bigint) AS record FROM l
+  WINDOW w AS (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING)""")
+def carry_forward(t):
+    rows = with_block(split_lines(t.documents, "doc_id", "text"), "line_no", 8)
+    return running(rows, ["doc_id"], "block", "line_no",
+                   last={"header": F.when(F.length("text") < 60, F.col("text"))},
+                   total={"record": F.contains("text", F.lit(",")).cast("bigint")}) \
+        .select("doc_id", "line_no", "header", "record")
+
+
+@query("neighbour_lines", f"""WITH {LINES_SQL}
+  SELECT doc_id, CAST(line_no AS integer) AS line_no, lag(text) OVER w AS before, lead(text) OVER w AS after FROM l
+  WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)""")
+def neighbour_lines(t):
+    rows = with_block(split_lines(t.documents, "doc_id", "text"), "line_no", 8)
+    both = previous(following(rows, ["doc_id"], "line_no", "text", [1]), ["doc_id"], "block", "line_no",
+                    {"text": "before"})
+    return both.select("doc_id", "line_no", "before", F.col("next_1").alias("after"))
+
+
+SLUG_REGION = "CASE r_name WHEN 'ASIA' THEN 'REGION IV A' WHEN 'EUROPE' THEN 'BARMM' ELSE '' END"
+RACES = """
+  SELECT {region} AS region, {province} AS province, {city} AS city, {position} AS position, c_name AS candidate_name,
+    {party} AS party, CAST(floor(sum(o_totalprice)) AS bigint) AS votes, 2013 AS year
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  GROUP BY 1, 2, 3, 4, 5, 6"""
+FIGURES = """ SELECT *, round(100.0 * votes / sum(votes) OVER w, 2) AS percentage,
+    CAST(rank() OVER (w ORDER BY votes DESC) AS integer) AS rank FROM v WINDOW w AS (PARTITION BY province, city, position)"""
+
+
+@query("archive_rows", "WITH v AS (" + RACES.format(
+    region=SLUG_REGION, province="CASE n_name WHEN 'NATION_4' THEN 'METRO MANILA' ELSE replace(n_name, '_', ' ') END",
+    city="c_mktsegment || ' TOWN'",
+    position="CASE WHEN o_orderpriority = '5-LOW' THEN 'MAYOR' ELSE 'MAYOR of ' || o_orderpriority END", party="o_orderstatus") + ")" + FIGURES)
+def archive_rows(t):
+    rows = t.sql("""SELECT CASE r_name WHEN 'ASIA' THEN 'region-4a' WHEN 'EUROPE' THEN 'armm' ELSE r_name END AS region,
+        CASE n_name WHEN 'NATION_4' THEN 'metropolitan-manila' ELSE lower(n_name) END AS province,
+        concat(lower(c_mktsegment), '-_town') AS city, 'MAYOR' AS position, nullif(o_orderpriority, '5-LOW') AS area,
+        c_name AS candidate_name, o_orderstatus AS party, cast(cast(floor(sum(o_totalprice)) as bigint) as string) AS votes
+      FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+        JOIN {region} ON n_regionkey = r_regionkey GROUP BY 1, 2, 3, 4, 5, 6, 7""", "orders", "customer", "nation", "region")
+    return ballots.shape_archive(rows, 2013)
+
+
+@query("national_rows", "WITH v AS (" + RACES.format(
+    region="r_name", province="CASE WHEN n_nationkey < 3 THEN 'METRO MANILA' ELSE n_name END", city="c_mktsegment",
+    position="o_orderpriority || ' of PHILIPPINES'", party="''").replace("c_name AS", "upper(c_name) AS").replace("2013", "2010") + ")" + FIGURES)
+def national_rows(t):
+    rows = t.sql("""SELECT r_name AS region, CASE WHEN n_nationkey < 3 THEN 'National Capital Region - x' ELSE n_name END AS province,
+        c_mktsegment AS city, o_orderpriority AS position, c_name AS candidate_name,
+        cast(floor(sum(o_totalprice)) as bigint) AS votes
+      FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+        JOIN {region} ON n_regionkey = r_regionkey GROUP BY 1, 2, 3, 4, 5""", "orders", "customer", "nation", "region")
+    return ballots.shape_national(rows, 2010)
