@@ -13,6 +13,7 @@ from hustings.functions.names import given_token, has_middle, split_listed_name
 from hustings.functions.places import canonical_city, canonical_province, lookup_or_same
 from hustings.functions.text import fold, squeeze
 from hustings.operators.ordered import previous, running
+from hustings.session import checkpointed
 
 # Fixed values ---------------------------------------------------------------------------------
 REGION_LABELS = ["ARMM", "CAR", "CARAGA", "NCR", "I", "II", "III", "IV", "V", "VI", "VII", "VIII",
@@ -124,10 +125,14 @@ def clean_lines(lines: DataFrame, starts: list[str], labels: list[str]) -> DataF
         (t != "") & ~_starts_with_any(t, starts) & ~t.isin(labels))
 
 
-def _state(df: DataFrame, name: str, value: Column, when: Column) -> DataFrame:
-    """Carries ``value`` (null included) from the latest line where ``when`` holds."""
-    packed = running(df, DOC, PAGE, LINE, last={f"__{name}": F.when(when, F.struct(value.alias("v")))})
-    return packed.withColumn(name, F.col(f"__{name}.v")).drop(f"__{name}")
+def _carry(df: DataFrame, totals: dict[str, Column] | None = None,
+           **states: tuple[Column, Column]) -> DataFrame:
+    """Carries several values at once: each ``name=(value, when)`` holds the value (null included)
+    of the latest line where ``when`` holds. ``totals`` are summed in the same pass."""
+    packed = running(df, DOC, PAGE, LINE, total=totals, last={
+        f"__{n}": F.when(when, F.struct(value.alias("v"))) for n, (value, when) in states.items()})
+    return packed.withColumns({n: F.col(f"__{n}.v") for n in states}) \
+        .drop(*[f"__{n}" for n in states])
 
 
 def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
@@ -151,8 +156,22 @@ def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
     buffered = F.when(F.col("prev_kind") == "text", F.col("prev_text"))
     rows = rows.withColumn("buffered", buffered)
     k = F.col("kind")
+    capital = t.startswith("NCR")
+    states = {"region": (F.when(capital, F.lit("NCR")).otherwise(t), k == "region")}
+    held = F.col("buffered").isNotNull()
+    named_region = (k == "region") & capital & (t != "NCR")
+    if kind == "citymun":
+        own = F.when(capital & (t != "NCR"), t).otherwise(F.col("buffered"))
+        states["province"] = (own, (k == "region") & own.isNotNull())
+        states["city"] = (F.col("buffered"), (k == "position") & held)
+    elif kind == "provincial":
+        own = F.when(k == "region", t).otherwise(F.col("buffered"))
+        states["province"] = (own, named_region | ((k == "position") & held))
+    if kind != "house":
+        states["position"] = (t, k == "position")
+        states["district"] = (F.when(k == "district", t), k.isin("position", "district"))
     # The record of a sex line is the run of text lines since the last line of another kind.
-    rows = running(rows, DOC, PAGE, LINE, total={"segment": (k != "text").cast("int")})
+    rows = checkpointed(_carry(rows, {"segment": (k != "text").cast("int")}, **states))
     rows = rows.withColumn("record", F.when(k == "sex", F.col("segment") - 1)
                            .otherwise(F.col("segment")))
     ends = rows.filter(k == "sex").select("doc", "record")
@@ -173,31 +192,17 @@ def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
         "doc", "record", "party",
         F.array_join(F.slice("rest", F.col("__i").cast("int"), F.size("rest")), " ").alias("name"),
         F.get("rest", F.col("__i").cast("int") - 2).alias("before_name"))
-
-    capital = t.startswith("NCR")
     if kind == "house":
-        rows = rows.join(named, ["doc", "record"], "left") \
+        # Here the province is known only once the record's name has been found.
+        rows = rows.filter(k != "text").join(named, ["doc", "record"], "left") \
             .withColumn("__named", (k == "sex") & F.col("name").isNotNull())
-    rows = _state(rows, "region", F.when(capital, F.lit("NCR")).otherwise(t), k == "region")
-    if kind == "citymun":
-        own = F.when(capital & (t != "NCR"), t).otherwise(F.col("buffered"))
-        rows = _state(rows, "province", own, (k == "region") & own.isNotNull())
-        rows = _state(rows, "city", F.col("buffered"), (k == "position") & F.col("buffered").isNotNull())
-    elif kind == "provincial":
-        own = F.when(k == "region", t).otherwise(F.col("buffered"))
-        rows = _state(rows, "province", own, ((k == "region") & capital & (t != "NCR"))
-                      | ((k == "position") & F.col("buffered").isNotNull()))
-    else:
         own = F.when(k == "region", t).otherwise(F.col("before_name"))
-        rows = _state(rows, "province", own, ((k == "region") & capital & (t != "NCR"))
-                      | (F.col("__named") & F.col("before_name").isNotNull()))
-    if kind != "house":
-        rows = _state(rows, "position", t, k == "position")
-        rows = _state(rows, "district", F.when(k == "district", t), k.isin("position", "district"))
-        rows = rows.filter(k == "sex").join(named, ["doc", "record"])
-    else:
+        rows = _carry(rows, province=(own, named_region | (
+            F.col("__named") & F.col("before_name").isNotNull())))
         rows = rows.filter("__named").withColumn("position", F.lit(HOUSE)) \
             .withColumn("district", F.lit(None).cast("string"))
+    else:
+        rows = rows.filter(k == "sex").join(named, ["doc", "record"])
     city = F.col("city") if kind == "citymun" else F.lit("")
     return rows.select("doc", "region", "province", city.alias("city"), "position",
                        F.coalesce("district", F.lit("")).alias("district"), "name", "party",
@@ -251,36 +256,38 @@ def parse_records(lines: DataFrame, category: str) -> DataFrame:
     since = F.col("taken") - F.col("__open.at")
     inside = F.coalesce(F.col("__open.pending"), F.lit(False)) & (
         (F.col("takes") & (since <= 2)) | (F.col("is_rank") & (since < 2)))
-    rows = rows.withColumn("inside", inside).drop("__open", "taken")
+    rows = checkpointed(rows.withColumn("inside", inside).drop("__open", "taken"))
 
     free = ~F.col("inside")
     district = is_district_label(t, late=True)
     resets = free & (header | t.startswith("PROVINCE/CITY/MUN") | position)
     bare = free & ~resets & ~district & ~F.col("is_name")
     rows = rows.withColumns({"resets": resets, "bare": bare, "is_office": free & position})
-    # The last two bare lines since the last reset, seen from an office line.
-    rows = running(rows, DOC, PAGE, LINE, total={"__seg": F.col("resets").cast("int")})
+    rows = running(rows, DOC, PAGE, LINE, total={
+        "__seg": F.col("resets").cast("int"), "bare_no": F.col("bare").cast("int"),
+        "offices": F.col("is_office").cast("int")})
     # A reset line looks back into the segment it closes.
     rows = rows.withColumn("segment", F.col("__seg") - F.col("resets").cast("int")).drop("__seg")
-    item = F.struct(t.alias("text"), F.col("segment").alias("segment"))
-    bare_rows = rows.filter("bare")
-    bare_rows = previous(bare_rows, DOC, PAGE, LINE, {"text": "p_text", "segment": "p_segment"})
-    second = F.when(F.col("p_segment") == F.col("segment"), F.col("p_text"))
-    bare_rows = bare_rows.select("doc", "page", "line", second.alias("second"))
-    rows = rows.join(bare_rows, ["doc", "page", "line"], "left")
-    rows = running(rows, DOC, PAGE, LINE, last={"__bare": F.when(
-        F.col("bare"), F.struct(item.alias("item"), F.col("second").alias("second")))})
-    same = F.col("__bare.item.segment") == F.col("segment")
-    rows = rows.withColumns({"top": F.when(same, F.col("__bare.item.text")),
-                             "below": F.when(same, F.col("__bare.second"))}).drop("__bare")
+    parsed = split_listed_name(t)
+    good = F.col("is_name") & (F.col("offices") > 0) \
+        & (parsed["last"] != "") & (parsed["first"] != "")
+    rows = rows.withColumns({"good": good, "parsed": F.when(good, parsed)})
+    # The latest bare line of the segment, and the one before it.
+    rows = checkpointed(running(rows, DOC, PAGE, LINE, total={"record": F.col("good").cast("int")},
+                                last={"__bare": F.when(F.col("bare"), F.struct("text", "segment"))}))
+    rows = rows.withColumn("top", F.when(F.col("__bare.segment") == F.col("segment"),
+                                         F.col("__bare.text"))).drop("__bare")
+    earlier = rows.filter("bare").select("doc", "segment", (F.col("bare_no") + 1).alias("bare_no"),
+                                         t.alias("below"))
+    mayors = rows.filter(F.col("is_office") & (F.col("office") == "MAYOR")) \
+        .select("doc", "page", "line", "segment", "bare_no") \
+        .join(earlier, ["doc", "segment", "bare_no"]).select("doc", "page", "line", "below")
+    rows = rows.join(mayors, ["doc", "page", "line"], "left")
 
     mayor = F.col("is_office") & (F.col("office") == "MAYOR") & F.col("top").isNotNull()
     place_parts = F.transform(F.split(place, ","), lambda p: F.trim(p))
     rows = rows.withColumn("place_parts", F.when(F.col("resets"), place_parts))
-    head_city = F.get("place_parts", F.lit(0))
-    rows = _state(rows, "city", F.coalesce(head_city, F.col("top")),
-                  head_city.isNotNull() | mayor)
-    head_province = F.get("place_parts", F.lit(1))
+    head_city, head_province = (F.get("place_parts", F.lit(i)) for i in (0, 1))
     other_office = F.col("is_office") & (F.col("office") != "MAYOR") & F.col("top").isNotNull() \
         if category != "citymun" else F.lit(False)
     own = F.when(F.col("resets") & region_head, F.lit(None).cast("string")) \
@@ -289,14 +296,8 @@ def parse_records(lines: DataFrame, category: str) -> DataFrame:
         .when(mayor, F.col("below")).otherwise(F.col("top"))
     sets = (F.col("resets") & (region_head | province_head.isNotNull())) \
         | head_province.isNotNull() | (mayor & F.col("below").isNotNull()) | other_office
-    rows = _state(rows, "province", own, sets)
-    rows = _state(rows, "position", F.col("office"), F.col("is_office"))
-
-    parsed = split_listed_name(t)
-    good = F.col("is_name") & F.col("position").isNotNull() \
-        & (parsed["last"] != "") & (parsed["first"] != "")
-    rows = rows.withColumns({"good": good, "parsed": F.when(good, parsed)})
-    rows = running(rows, DOC, PAGE, LINE, total={"record": F.col("good").cast("int")})
+    rows = _carry(rows, city=(F.coalesce(head_city, F.col("top")), head_city.isNotNull() | mayor),
+                  province=(own, sets), position=(F.col("office"), F.col("is_office")))
     sex = F.create_map(*[F.lit(x) for kv in SEXES.items() for x in kv])[F.upper(t)]
     sexes = rows.filter(F.col("inside") & F.col("takes") & sex.isNotNull()) \
         .groupBy("doc", "record").agg(F.max_by(sex, F.struct("page", "line")).alias("sex"))

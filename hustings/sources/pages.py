@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hustings.functions.text import path_parts, squeeze
 from hustings.operators.groups import keep_first
 from hustings.operators.ordered import following, running
+from hustings.session import checkpointed
 
 # Fixed values ---------------------------------------------------------------------------------
 MUNICIPAL_RACES = ["MAYOR", "VICE-MAYOR", "VICE MAYOR", "COUNCILOR", "MEMBER, SANGGUNIANG BAYAN",
@@ -140,7 +141,7 @@ def text_results(lines: DataFrame, doc: Sequence[str], block: str, line: str, te
               & F.contains(t, F.lit(")"))
               & F.regexp_replace(votes, r"\.", "").rlike(r"^\d+$")
               & F.contains(F.col("__next_2"), F.lit("%")))
-    flagged = ahead.withColumn("__row", F.coalesce(is_row, F.lit(False)))
+    flagged = checkpointed(ahead.withColumn("__row", F.coalesce(is_row, F.lit(False))))
     counted = running(flagged, doc, block, line, total={"__n": F.col("__row").cast("int")})
     base = running(
         counted, doc, block, line,
