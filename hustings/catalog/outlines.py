@@ -1 +1,206 @@
-"""placeholder"""
+"""Outlines over whole tables: orders of a customer as a ring, parts as cells of a grid."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hustings.catalog.registry import query
+from hustings.operators import geometry
+
+RING = """
+  SELECT c_nationkey AS unit, o_custkey AS ring, CAST(floor(o_orderkey / 1000) AS bigint) AS block, o_orderkey AS line,
+    CAST(datediff(o_orderdate, TIMESTAMP '1995-01-01') AS bigint) AS x, CAST(floor(o_totalprice / 50000) AS bigint) AS y
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
+RING_SQL = """
+  p AS (SELECT c_nationkey AS unit, o_custkey AS ring, CAST(floor(o_orderkey / 1000) AS bigint) AS block, o_orderkey AS line,
+    CAST(date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) AS bigint) AS x, CAST(floor(o_totalprice / 50000) AS bigint) AS y
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+KEYS = ["unit", "ring"]
+
+
+def ring_points(t):
+    return t.sql(RING, "orders", "customer")
+
+
+AREAS_SQL = f"""{RING_SQL},
+  q AS (SELECT *, coalesce(lag(x) OVER w, last_value(x) OVER f) AS px, coalesce(lag(y) OVER w, last_value(y) OVER f) AS py FROM p
+    WINDOW w AS (PARTITION BY ring ORDER BY line), f AS (PARTITION BY ring ORDER BY line
+      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+  a AS (SELECT unit, ring, sum(px * y - x * py) / 2 AS area FROM q GROUP BY 1, 2)"""
+
+
+@query("ring_areas", f"WITH {AREAS_SQL} SELECT * FROM a")
+def ring_areas(t):
+    return geometry.ring_areas(ring_points(t), KEYS)
+
+
+@query("outer_rings", f"""WITH {AREAS_SQL}
+  SELECT unit, ring, area, CASE WHEN max(area) OVER (PARTITION BY unit) > 0 THEN area > 0 ELSE true END AS is_outer FROM a""")
+def outer_rings(t):
+    return geometry.outer_and_holes(geometry.ring_areas(ring_points(t), KEYS), ["unit"])
+
+
+@query("quantised_points", f"""WITH {RING_SQL}
+  SELECT ring, line, CAST(round_even((x - min(x) OVER ()) / ((max(x) OVER () - min(x) OVER ()) / 99.0), 0) AS bigint) AS x,
+    CAST(round_even((y - min(y) OVER ()) / ((max(y) OVER () - min(y) OVER ()) / 99.0), 0) AS bigint) AS y FROM p""")
+def quantised(t):
+    return geometry.quantise(ring_points(t), 100).select("ring", "line", "x", "y")
+
+
+@query("quantised_by_unit", f"""WITH {RING_SQL}
+  SELECT ring, line, CAST(round_even((x - min(x) OVER w) / ((max(x) OVER w - min(x) OVER w) / 99.0), 0) AS bigint) AS x,
+    CAST(round_even((y - min(y) OVER w) / ((max(y) OVER w - min(y) OVER w) / 99.0), 0) AS bigint) AS y FROM p
+  WINDOW w AS (PARTITION BY unit)""")
+def quantised_by_unit(t):
+    return geometry.quantise(ring_points(t), 100, ["unit"]).select("ring", "line", "x", "y")
+
+
+@query("delta_points", f"""WITH {RING_SQL},
+  q AS (SELECT ring, line, 0 AS x, y, lag(y) OVER (PARTITION BY ring ORDER BY line) AS py FROM p),
+  k AS (SELECT * FROM q WHERE py IS NULL OR y <> py)
+  SELECT ring, line, y, 0 AS dx, y - coalesce(lag(y) OVER (PARTITION BY ring ORDER BY line), 0) AS dy FROM k""")
+def delta_points(t):
+    flat = ring_points(t).withColumn("x", F.lit(0))
+    return geometry.delta_encode(geometry.drop_repeats(flat, KEYS), KEYS).select(
+        "ring", "line", "y", "dx", "dy")
+
+
+@query("shape_quality", f"""WITH {RING_SQL}, n AS (SELECT unit, ring, count(DISTINCT (y // 4)) AS k FROM p GROUP BY 1, 2)
+  SELECT unit, count(*) AS rings, count(*) FILTER (k >= 3) AS solid, count(*) FILTER (k >= 3) = 0 AS degenerate FROM n GROUP BY 1""")
+def shape_quality(t):
+    coarse = ring_points(t).withColumns({"x": F.lit(0), "y": F.floor(F.col("y") / 4)})
+    return geometry.shape_quality(coarse, ["unit"], ["ring"])
+
+
+@query("recovered_shapes", f"""WITH {RING_SQL}
+  SELECT ring, line, CASE WHEN unit < 8 THEN x ELSE 0 END AS x FROM p""")
+def recovered_shapes(t):
+    points = ring_points(t)
+    quality = points.select("unit").distinct().withColumn("degenerate", F.col("unit") < 8)
+    coarse = points.withColumn("x", F.lit(0).cast("bigint"))
+    return geometry.recover_shapes(coarse, points, quality, ["unit"]).select("ring", "line", "x")
+
+
+@query("edge_use", """
+  SELECT l_suppkey, l_partkey, count(*) AS uses FROM lineitem GROUP BY 1, 2""")
+def edge_use(t):
+    return geometry.edge_use(t.lineitem, ["l_suppkey"], "l_partkey")
+
+
+@query("boundary_edges", """
+  SELECT l_suppkey, l_partkey, min(l_orderkey) AS l_orderkey FROM lineitem GROUP BY 1, 2 HAVING count(*) = 1""")
+def boundary_edges(t):
+    return geometry.boundary_edges(t.lineitem, ["l_suppkey"], "l_partkey").select(
+        "l_suppkey", "l_partkey", "l_orderkey")
+
+
+@query("stitched_rings", """
+  SELECT c_nationkey AS unit, o_orderkey AS edge, min(o_orderkey) OVER w AS ring,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos, count(*) OVER w AS size
+  FROM orders JOIN customer ON o_custkey = c_custkey WINDOW w AS (PARTITION BY o_custkey)""")
+def stitched_rings(t):
+    edges = t.sql("""SELECT c_nationkey AS unit, o_orderkey AS edge, o_custkey AS sx, o_orderkey AS sy, o_custkey AS ex,
+        coalesce(lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey), min(o_orderkey) OVER (PARTITION BY o_custkey)) AS ey
+      FROM {orders} JOIN {customer} ON o_custkey = c_custkey""", "orders", "customer")
+    return geometry.stitch_rings(edges, ["unit"], "edge")
+
+
+CELLS = """
+  SELECT p_brand AS unit, p_partkey % 50 AS i, CAST(floor(p_partkey / 50) AS bigint) AS j FROM {part}"""
+
+
+@query("dissolved_area", "SELECT p_brand AS unit, CAST(count(*) AS double) AS area FROM part GROUP BY 1")
+def dissolved_area(t):
+    # A part is a unit cell; its brand is dissolved out of its cells. Arc ids: the lower edge of
+    # cell (i, j) is 2 * (j * 51 + i), the left edge one more.
+    cells = t.sql(CELLS, "part")
+
+    def arc(i, j, left):
+        return (F.lit(2) * (j * 51 + i) + (1 if left else 0)).cast("bigint")
+    i, j = F.col("i"), F.col("j")
+    sides = F.array(*[F.struct(a.alias("arc"), F.lit(b).alias("backward")) for a, b in (
+        (arc(i, j, False), False), (arc(i + 1, j, True), False),
+        (arc(i, j + 1, False), True), (arc(i, j, True), True))])
+    refs = cells.select("unit", F.lit("f").alias("file"), F.explode(sides).alias("s")) \
+        .select("unit", "file", "s.arc", "s.backward")
+    used = refs.select("file", "arc").distinct()
+    at = F.floor(F.col("arc") / 2).cast("bigint")
+    x, y = at % 51, F.floor(at / 51).cast("bigint")
+    points = used.select("file", "arc", F.explode(F.array(F.lit(0), F.lit(1))).alias("line")).select(
+        "file", "arc", "line",
+        (x + F.when(F.col("arc") % 2 == 0, F.col("line")).otherwise(0)).alias("x"),
+        (y + F.when(F.col("arc") % 2 == 1, F.col("line")).otherwise(0)).alias("y"))
+    out = geometry.dissolve(refs, points, ["unit"])
+    return out["rings"].groupBy("unit").agg(F.sum("area").cast("double").alias("area"))
+
+
+@query("containing_rings", """
+  SELECT c_nationkey AS unit, c_custkey AS hole, min(s_suppkey) AS ring FROM customer JOIN supplier ON c_nationkey = s_nationkey
+    AND c_acctbal >= s_acctbal AND c_acctbal < s_acctbal + 1500 AND c_custkey >= s_suppkey * 10 AND c_custkey < s_suppkey * 10 + 400
+  GROUP BY 1, 2""")
+def containing_rings(t):
+    holes = t.customer.select(F.col("c_nationkey").alias("unit"), F.col("c_custkey").alias("hole"),
+                              F.col("c_acctbal").alias("x"), F.col("c_custkey").cast("double").alias("y"))
+    box = t.supplier.select(
+        F.col("s_nationkey").alias("unit"), F.col("s_suppkey").alias("ring"),
+        F.col("s_acctbal").alias("a"), (F.col("s_acctbal") + 1500).alias("b"),
+        (F.col("s_suppkey") * 10.0).alias("c"), (F.col("s_suppkey") * 10.0 + 400).alias("d"))
+    corners = [("a", "c"), ("b", "c"), ("b", "d"), ("a", "d")]
+    edges = box.select("unit", "ring", F.explode(F.array(*[
+        F.struct(F.col(p[0]).alias("x0"), F.col(p[1]).alias("y0"), F.col(q[0]).alias("x1"),
+                 F.col(q[1]).alias("y1")) for p, q in zip(corners, corners[1:] + corners[:1])]))
+        .alias("e")).select("unit", "ring", "e.*")
+    return geometry.containing_rings(holes, edges, ["unit"], 100.0)
+
+
+TOPOLOGY = """
+  a AS (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS integer) AS line,
+    CAST(floor(o_totalprice) AS bigint) % 1000 AS dx, o_orderkey % 13 - 6 AS dy FROM orders)"""
+
+
+def topologies(t):
+    """One boundary file for each customer: a single ring whose steps are its orders."""
+    step = F.struct("o_orderkey", F.array(F.floor("o_totalprice") % 1000,
+                                          F.col("o_orderkey") % 13 - 6).alias("d"))
+    arcs = t.orders.groupBy("o_custkey").agg(F.transform(
+        F.sort_array(F.collect_list(step)), lambda s: s["d"]).alias("steps"))
+    shape = F.struct(
+        F.lit("Polygon").alias("type"),
+        F.array(F.array(F.when(F.col("o_custkey") < 700, 0).otherwise(-1))).alias("arcs"),
+        F.struct(F.col("o_custkey").alias("adm3_psgc")).alias("properties"))
+    return arcs.select("o_custkey", F.to_json(F.struct(
+        F.array("steps").alias("arcs"),
+        F.create_map(F.lit("m"), F.struct(F.array(shape).alias("geometries"))).alias("objects")))
+        .alias("body"))
+
+
+@query("decoded_arcs", f"""WITH {TOPOLOGY}
+  SELECT o_custkey AS file, line, CAST(sum(dx) OVER w AS bigint) AS x, CAST(sum(dy) OVER w AS bigint) AS y FROM a
+  WINDOW w AS (PARTITION BY o_custkey ORDER BY line)""")
+def decoded_arcs(t):
+    return geometry.arc_points(topologies(t), "o_custkey", "body").select("file", "line", "x", "y")
+
+
+@query("chained_rings", f"""WITH {TOPOLOGY},
+  p AS (SELECT o_custkey, line, sum(dx) OVER w AS x, sum(dy) OVER w AS y, count(*) OVER (PARTITION BY o_custkey) AS n FROM a
+    WINDOW w AS (PARTITION BY o_custkey ORDER BY line))
+  SELECT lpad('' || o_custkey, 10, '0') AS unit, CASE WHEN o_custkey < 700 THEN line ELSE n - 1 - line END AS line,
+    x * 0.5 + 10 AS x, y * 0.25 - 3 AS y FROM p""")
+def chained_rings(t):
+    files = topologies(t)
+    points = geometry.arc_points(files, "o_custkey", "body")
+    refs = geometry.ring_arcs(files, "o_custkey", "body", "adm3_psgc")
+    chained = geometry.chain_points(refs, points, ["unit", "poly", "ring"])
+    return geometry.scale_points(chained, (0.5, 0.25), (10.0, -3.0)).select("unit", "line", "x", "y")
+
+
+@query("shared_arcs", f"""WITH {RING_SQL}
+  SELECT DISTINCT ring, side, ring AS arc, side = 'b' AND EXISTS (SELECT 1 FROM p b JOIN p c ON b.ring = c.ring AND b.ring = p.ring
+      WHERE b.line <> c.line AND (b.x, b.y) <> (c.x, c.y)) AS turned FROM p, (VALUES ('a'), ('b')) s(side)""")
+def shared_arcs(t):
+    # Every ring and the same ring walked backward share an arc.
+    points = ring_points(t).select("ring", "block", "line", "x", "y")
+    there = points.withColumn("side", F.lit("a"))
+    back = points.withColumns({"side": F.lit("b"), "block": -F.col("block"), "line": -F.col("line")})
+    out = geometry.shared_arcs(there.unionByName(back), ["ring", "side"])
+    return out.select("ring", "side", F.col("arc.ring").alias("arc"), F.col("backward").alias("turned"))
