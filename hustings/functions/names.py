@@ -6,7 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hustings.functions.places import lookup
-from hustings.functions.text import col, fold, is_subsequence, none_if_blank, squash, squeeze, tokens
+from hustings.functions.text import (
+    bind, col, fold, is_subsequence, none_if_blank, squash, squeeze, tokens,
+)
 
 # Fixed values ---------------------------------------------------------------------------------
 TITLES = [
@@ -44,32 +46,39 @@ def clean_reported_name(name: Column | str, party: Column | str) -> Column:
     ``recovered`` is set only where the party is blank and the name ends in an unclosed bracket,
     the mark of a truncated party.
     """
-    text, party = squeeze(F.coalesce(col(name), F.lit(""))), col(party)
-    tail = F.nullif(F.regexp_extract(text, CLOSED_TAIL, 1), F.lit(""))
-    cut = F.nullif(F.regexp_extract(text, OPEN_TAIL, 1), F.lit(""))
-    party_blank = none_if_blank(party).isNull()
-    nothing = F.lit(None).cast("string")
-    return (
-        F.when(tail.isNotNull() & is_party_tail(tail, party),
-               F.struct(F.trim(F.regexp_replace(text, CLOSED_TAIL, "")).alias("name"),
-                        nothing.alias("recovered")))
-        .when(party_blank & cut.isNotNull(),
-              F.struct(F.trim(F.regexp_replace(text, OPEN_TAIL, "")).alias("name"),
-                       F.upper(F.trim(cut)).alias("recovered")))
-        .otherwise(F.struct(text.alias("name"), nothing.alias("recovered")))
-    )
+    party = col(party)
+
+    def without(text: Column, tail: str, recovered: Column) -> Column:
+        return F.struct(F.trim(F.regexp_replace(text, tail, "")).alias("name"),
+                        recovered.alias("recovered"))
+
+    def cleaned(text: Column) -> Column:
+        nothing = F.lit(None).cast("string")
+        closed, cut = F.regexp_extract(text, CLOSED_TAIL, 1), F.regexp_extract(text, OPEN_TAIL, 1)
+        return F.when((closed != "") & is_party_tail(closed, party),
+                      without(text, CLOSED_TAIL, nothing)) \
+            .when(none_if_blank(party).isNull() & (cut != ""),
+                  without(text, OPEN_TAIL, F.upper(F.trim(cut)))) \
+            .otherwise(F.struct(text.alias("name"), nothing.alias("recovered")))
+    return bind(squeeze(F.coalesce(col(name), F.lit(""))), cleaned)
 
 
 def split_title(given: Column | str) -> Column:
     """struct(title, rest): honorifics lifted off the front, also when glued to the name."""
-    text = F.trim(F.coalesce(col(given), F.lit("")))
-    run = F.regexp_extract(text, TITLE_RUN, 1)
-    rest = F.trim(F.substr(text, F.length(run) + 1))
-    words = tokens(F.regexp_replace(run, r"\.(?=[A-Za-z])", ". "))
-    spelled = F.transform(words, lambda w, i: F.when(
-        w.rlike(r"^[A-Za-z]+\.$")
-        & ((i < F.size(words) - 1) | rest.rlike("^[A-Za-z]")), F.upper(w)).otherwise(w))
-    return F.struct(F.array_join(spelled, " ").alias("title"), rest.alias("rest"))
+    def spelled(run: Column, rest: Column) -> Column:
+        words = tokens(F.regexp_replace(run, r"\.(?=[A-Za-z])", ". "))
+        glued = rest.rlike("^[A-Za-z]")
+        return F.array_join(bind(words, lambda all_words: F.transform(
+            all_words, lambda w, i: F.when(
+                w.rlike(r"^[A-Za-z]+\.$") & ((i < F.size(all_words) - 1) | glued), F.upper(w))
+            .otherwise(w))), " ")
+
+    def lifted(text: Column, run: Column) -> Column:
+        return bind(F.trim(F.substr(text, F.length(run) + 1)), lambda rest: F.struct(
+            F.when(run == "", F.lit("")).otherwise(spelled(run, rest)).alias("title"),
+            rest.alias("rest")))
+    return bind(F.trim(F.coalesce(col(given), F.lit(""))), lambda text: bind(
+        F.regexp_extract(text, TITLE_RUN, 1), lambda run: lifted(text, run)))
 
 
 def strip_nickname(name: Column | str) -> Column:
@@ -80,26 +89,30 @@ def strip_nickname(name: Column | str) -> Column:
 def standardize_name(name: Column | str, party: Column | str) -> Column:
     """struct(last, first, middle, title) from ``SURNAME, FIRST MIDDLE`` or
     ``FIRST MIDDLE SURNAME``; parts that are absent are null."""
-    plain = strip_nickname(clean_reported_name(name, party)["name"])
-    comma = F.locate(",", plain)
-    with_comma = comma > 0
-    lead = F.when(with_comma, F.trim(F.substr(plain, comma + 1))).otherwise(plain)
-    lifted = split_title(lead)
-    words = tokens(lifted["rest"])
-    n = F.size(words)
-    own_last = F.trim(F.substr(plain, F.lit(1), comma - 1))
-    last = F.when(with_comma, own_last).when(n >= 2, F.get(words, n - 1))
-    middle = F.when(with_comma, F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0)))) \
-        .otherwise(F.slice(words, F.lit(2), F.greatest(n - 2, F.lit(0))))
-
-    def blank_to_null(c):
+
+    def or_null(c: Column) -> Column:
         return F.nullif(c, F.lit(""))
-    return F.struct(
-        blank_to_null(last).alias("last"),
-        blank_to_null(F.get(words, F.lit(0))).alias("first"),
-        blank_to_null(F.array_join(middle, " ")).alias("middle"),
-        blank_to_null(lifted["title"]).alias("title"),
-    )
+
+    def after_comma(plain: Column, comma: Column) -> Column:
+        return bind(split_title(F.substr(plain, comma + 1)), lambda lead: bind(
+            tokens(lead["rest"]), lambda words: F.struct(
+                or_null(F.trim(F.substr(plain, F.lit(1), comma - 1))).alias("last"),
+                F.get(words, F.lit(0)).alias("first"),
+                or_null(F.array_join(F.slice(words, F.lit(2), F.greatest(
+                    F.size(words) - 1, F.lit(0))), " ")).alias("middle"),
+                or_null(lead["title"]).alias("title"))))
+
+    def in_order(plain: Column) -> Column:
+        return bind(split_title(plain), lambda lead: bind(
+            tokens(lead["rest"]), lambda words: F.struct(
+                F.when(F.size(words) >= 2, F.get(words, F.size(words) - 1)).alias("last"),
+                F.get(words, F.lit(0)).alias("first"),
+                or_null(F.array_join(F.slice(words, F.lit(2), F.greatest(
+                    F.size(words) - 2, F.lit(0))), " ")).alias("middle"),
+                or_null(lead["title"]).alias("title"))))
+    return bind(strip_nickname(clean_reported_name(name, party)["name"]), lambda plain: bind(
+        F.locate(",", plain), lambda comma: F.when(comma > 0, after_comma(plain, comma))
+        .otherwise(in_order(plain))))
 
 
 def _present(c: Column | str) -> Column:
@@ -140,15 +153,17 @@ def canonical_title(title: Column | str) -> Column:
 def split_listed_name(name: Column | str) -> Column:
     """struct(last, first, middle) of ``SURNAME, GIVEN NAMES MIDDLE``: the middle is the last
     word, the given names all words before it. Without a comma everything is the last name."""
-    name = F.coalesce(col(name), F.lit(""))
-    comma = F.locate(",", name)
-    words = F.when(comma > 0, tokens(F.substr(name, comma + 1))).otherwise(tokens(F.lit("")))
-    n = F.size(words)
-    last = F.when(comma > 0, F.substr(name, F.lit(1), comma - 1)).otherwise(name)
-    first = F.when(n >= 2, F.array_join(F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0))), " ")) \
-        .otherwise(F.coalesce(F.get(words, F.lit(0)), F.lit("")))
-    return F.struct(F.trim(last).alias("last"), first.alias("first"),
-                    F.when(n >= 2, F.get(words, n - 1)).otherwise("").alias("middle"))
+    def parts(name: Column, words: Column) -> Column:
+        comma, n = F.locate(",", name), F.size(words)
+        last = F.when(comma > 0, F.substr(name, F.lit(1), comma - 1)).otherwise(name)
+        first = F.when(n >= 2, F.array_join(
+            F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0))), " ")) \
+            .otherwise(F.coalesce(F.get(words, F.lit(0)), F.lit("")))
+        return F.struct(F.trim(last).alias("last"), first.alias("first"),
+                        F.when(n >= 2, F.get(words, n - 1)).otherwise("").alias("middle"))
+    given = F.regexp_extract(F.coalesce(col(name), F.lit("")), "^[^,]*,(.*)$", 1)
+    return bind(F.coalesce(col(name), F.lit("")),
+                lambda text: bind(tokens(given), lambda words: parts(text, words)))
 
 
 def has_middle(middle: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hustings.functions.places import lookup
-from hustings.functions.text import col, squeeze
+from hustings.functions.text import bind, col, squeeze
 
 # Fixed values ---------------------------------------------------------------------------------
 # Prefix -> office, in the order they are tried.
@@ -82,12 +82,15 @@ def split_office(position: Column | str, prefixes: list[tuple[str, str]] | None
     """struct(office, district). The first listed prefix that fits names the office; the district
     is the identifier at the end of what follows. Both null for an unknown office."""
     prefixes = OFFICE_PREFIXES if prefixes is None else prefixes
-    text = F.upper(squeeze(position))
-    hit = F.regexp_extract(text, "^(" + "|".join(re.escape(p) for p, _ in prefixes) + ")", 1)
-    office = lookup(dict(prefixes), F.nullif(hit, F.lit("")))
-    tail = F.trim(F.regexp_replace(F.substr(text, F.length(hit) + 1), r"^\s*(OF\s+)?", ""))
-    found = F.nullif(F.regexp_extract(tail, district_pattern, 1), F.lit(""))
-    return F.struct(office.alias("office"), F.when(office.isNotNull(), F.trim(found)).alias("district"))
+    listed = "^(" + "|".join(re.escape(p) for p, _ in prefixes) + ")"
+
+    def parts(text: Column) -> Column:
+        return bind(F.regexp_extract(text, listed, 1), lambda hit: F.struct(
+            lookup(dict(prefixes), F.nullif(hit, F.lit(""))).alias("office"),
+            F.when(hit != "", F.nullif(F.trim(F.regexp_extract(
+                F.trim(F.regexp_replace(F.substr(text, F.length(hit) + 1), r"^\s*(OF\s+)?", "")),
+                district_pattern, 1)), F.lit(""))).alias("district")))
+    return bind(F.upper(squeeze(position)), parts)
 
 
 def is_national_race(office: Column | str) -> Column:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hustings.functions.places import lookup_or_same
-from hustings.functions.text import none_if_blank, squeeze
+from hustings.functions.places import lookup, lookup_or_same
+from hustings.functions.text import bind, none_if_blank, squeeze
 
 # Spellings of one and the same party. Mergers are real events and are not listed.
 PARTY_SPELLINGS = {
@@ -60,11 +60,12 @@ def canonical_party(label: Column | str, spellings: dict[str, str] | None = None
     """One code for each party. A joint endorsement keeps all members, joined by ``/``. A missing
     label stays missing."""
     table = PARTY_SPELLINGS if spellings is None else spellings
-    text = F.upper(squeeze(none_if_blank(label)))
-    known = lookup_or_same(table, text)
-    members = F.filter(F.transform(F.split(text, "/"), lambda m: F.trim(m)), lambda m: m != "")
-    joint = F.array_join(F.transform(members, lambda m: lookup_or_same(table, m)), "/")
-    return F.when((known == text) & F.contains(text, F.lit("/")), joint).otherwise(known)
+
+    def members(text: Column) -> Column:
+        parts = F.filter(F.transform(F.split(text, "/"), lambda m: F.trim(m)), lambda m: m != "")
+        return F.array_join(F.transform(parts, lambda m: lookup_or_same(table, m)), "/")
+    return bind(F.upper(squeeze(none_if_blank(label))), lambda text: F.coalesce(
+        lookup(table, text), F.when(F.contains(text, F.lit("/")), members(text)).otherwise(text)))
 
 
 def is_coalition(label: Column | str) -> Column:

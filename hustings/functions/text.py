@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
 
@@ -44,6 +45,11 @@ def _accent_table() -> tuple[str, str]:
     return "".join(p[0] for p in pairs) + "".join(marks), "".join(p[1] for p in pairs)
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_accents(c: Column | str) -> Column:
     """Base letters only. Pure ASCII values, the common case, skip the table."""
     c = col(c)
