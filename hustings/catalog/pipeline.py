@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from hustings.catalog.derived import COUNTS_SQL, raw_ballots
 from hustings.catalog.registry import query
-from hustings.operators.reshape import require_known
 from hustings.plans import audits, backfill, explore, kin, place_results, vote_counts, winners
+from hustings.session import checkpointed
 
 COUNT_COLUMNS = ("year, region, province, city, district, position, candidate_name, last_name, first_name, "
                  "middle_name, title, party, votes, CAST(NULL AS double) AS percentage, CAST(NULL AS integer) AS rank, "
@@ -15,13 +15,14 @@ COUNT_COLUMNS = ("year, region, province, city, district, position, candidate_na
 
 
 def counts(t):
-    return vote_counts.build_vote_counts([raw_ballots(t)], check=False)
+    """The vote-counts table, stored: the stages after it read it more than once."""
+    return checkpointed(vote_counts.build_vote_counts([raw_ballots(t)], check=False))
 
 
 @query("vote_counts", f"WITH {COUNTS_SQL} SELECT {COUNT_COLUMNS} FROM counts")
 def all_vote_counts(t):
-    return vote_counts.published_order(
-        require_known(counts(t), "position", "raw_position"))
+    rows = vote_counts.build_vote_counts([raw_ballots(t)], check=False)
+    return vote_counts.published_order(rows)
 
 
 # Board members of the base cycle: the customers of one segment with a low balance.
@@ -56,12 +57,12 @@ NATIONAL_SQL = """
   national AS (SELECT *, bool_or(place = 12 AND votes = next) OVER (PARTITION BY year) AS tie FROM np QUALIFY place <= 12)"""
 
 
-def board(t, scope="cycle"):
-    return winners.board_seats(counts(t), t.sql(HOLDERS, "customer", "nation"), scope=scope)
+def board(t, ballots, scope="cycle"):
+    return winners.board_seats(ballots, t.sql(HOLDERS, "customer", "nation"), scope=scope)
 
 
-def elected(t):
-    return winners.winners_from_ballots(counts(t), board(t))
+def elected(t, ballots):
+    return winners.winners_from_ballots(ballots, board(t, ballots))
 
 
 @query("board_seats_pooled", f"""WITH {COUNTS_SQL}, held AS (SELECT province, count(*) AS held FROM ({HOLDERS_SQL}) GROUP BY 1)
@@ -69,7 +70,7 @@ def elected(t):
     CAST(greatest(1, round_even(coalesce(max(held), 8) / count(DISTINCT district), 0)) AS integer) AS seats, max(held) IS NULL AS default_used
   FROM counts LEFT JOIN held USING (province) WHERE position = 'PROVINCIAL BOARD MEMBER' GROUP BY 1""")
 def board_seats_pooled(t):
-    return board(t, "all")
+    return board(t, counts(t), "all")
 
 
 @query("winners_from_ballots", f"""WITH {LOCAL_SQL}, {NATIONAL_SQL}
@@ -78,7 +79,7 @@ def board_seats_pooled(t):
   UNION ALL SELECT year, NULL, NULL, NULL, NULL, position, candidate_name, last_name, first_name, middle_name, title, party, votes,
     12, coalesce(tie, false) FROM national""")
 def winners_from_ballots(t):
-    return elected(t)
+    return elected(t, counts(t))
 
 
 # Inherited winners write names the other way round and spell places and parties differently.
@@ -96,7 +97,8 @@ INHERITED_TABLES = ["customer", "nation", "region"]
 
 
 def merged(t):
-    fresh = winners.local_winners(counts(t), board(t)).filter(
+    ballots = counts(t)
+    fresh = winners.local_winners(ballots, board(t, ballots)).filter(
         (F.col("year") == 1998) & (F.col("position") == "MAYOR"))
     return winners.merge_winners(
         t.sql(INHERITED, *INHERITED_TABLES), [fresh], [1998],
@@ -272,12 +274,13 @@ def candidate_sexes(t):
 
 @query("filled_vote_counts")
 def filled_vote_counts(t):
-    rows = counts(t).withColumn("row_id", F.xxhash64(
+    ballots = counts(t)
+    rows = ballots.withColumn("row_id", F.xxhash64(
         "year", "province", "city", "raw_position", "reported_name", "reported_party", "votes"))
     marked = backfill.race_winner_rows(rows, "row_id")
     middles, sexes = listed_rows(t, "middle"), listed_rows(t, "sex")
     givens = t.sql("SELECT DISTINCT upper(split_part(p_name, ' ', 1)) AS given, 'F' AS sex FROM {part}", "part")
-    people_now = winners.to_winners_schema(elected(t).drop("seats", "tie_at_cutoff"))
+    people_now = winners.to_winners_schema(elected(t, ballots))
     return backfill.fill_vote_counts(marked, people_now, middles, sexes, givens, FILL_CYCLES)[0]
 
 
@@ -405,7 +408,7 @@ KIN_SQL = f"""
     count(*) FILTER (lf OR lt OR mf OR mt) AS all_both, count(*) FILTER (lf OR mf) AS all_fat, count(*) FILTER (lt OR mt) AS all_thin
   FROM f GROUP BY 1, 2, 3""")
 def kin_report(t):
-    return kin.kin_report(kin.kin_table(kin_rows(t), ()))[0]
+    return kin.kin_report(kin.kin_table(checkpointed(kin_rows(t)), ()))[0]
 
 
 @query("kin_clans", f"""WITH {KIN_SQL},
@@ -413,7 +416,7 @@ def kin_report(t):
   SELECT level, unit, surname, people, seats, CAST(place AS integer) AS clan_place FROM (
     SELECT *, row_number() OVER (PARTITION BY level, unit ORDER BY seats DESC, people DESC, surname) AS place FROM c) WHERE place <= 12""")
 def kin_clans(t):
-    return kin.kin_report(kin.kin_table(kin_rows(t), ()))[1].select(
+    return kin.kin_report(kin.kin_table(checkpointed(kin_rows(t)), ()))[1].select(
         "level", "unit", "surname", "people", "seats", "clan_place")
 
 
@@ -428,8 +431,9 @@ PRETTY = """CASE position WHEN 'MAYOR' THEN 'Mayor' WHEN 'GOVERNOR' THEN 'Govern
 
 
 def explored(t):
-    won = elected(t)
-    return explore.explore_rows(winners.to_winners_schema(won), won, counts(t), (1996, 1998, 2000))
+    ballots = counts(t)
+    won = checkpointed(elected(t, ballots))
+    return explore.explore_rows(winners.to_winners_schema(won), won, ballots, (1996, 1998, 2000))
 
 
 @query("explore_rows", f"WITH {EXPLORE_SQL} SELECT year, {PRETTY} AS position, region, province, full_name, party, votes FROM rows_")
@@ -445,12 +449,12 @@ def explore_rows(t):
   SELECT year, a.c AS position, r.c AS region, p.c AS province, full_name, coalesce(q.c, -1) AS party, votes
   FROM b JOIN a ON position = a.v JOIN r ON region = r.v JOIN p ON province = p.v LEFT JOIN q ON party = q.v""")
 def explore_table(t):
-    return explore.explore_table(explored(t))[0]
+    return explore.explore_table(checkpointed(explored(t)))[0]
 
 
 @query("winner_audit")
 def winner_audit(t):
-    return audits.audit_winners(merged(t), {"COUNCILOR": 1000, "MAYOR": 125})
+    return audits.audit_winners(checkpointed(merged(t)), {"COUNCILOR": 1000, "MAYOR": 125})
 
 
 @query("vote_count_audit")
@@ -463,5 +467,6 @@ def vote_count_audit(t):
 
 @query("alignment_audit")
 def alignment_audit(t):
-    won = winners.to_winners_schema(elected(t))
-    return audits.audit_alignment(won, counts(t), [1995, 1996, 1997], [1995, 1996, 1997, 2004])
+    ballots = counts(t)
+    won = winners.to_winners_schema(elected(t, ballots))
+    return audits.audit_alignment(won, ballots, [1995, 1996, 1997], [1995, 1996, 1997, 2004])

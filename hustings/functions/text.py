@@ -52,12 +52,15 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip_accents(c: Column | str) -> Column:
     """Base letters only. Pure ASCII values, the common case, skip the table."""
-    c = col(c)
-    spelled = c
-    for char, text in LIGATURES.items():
-        spelled = F.replace(spelled, F.lit(char), F.lit(text))
     source, target = _accent_table()
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(spelled, source, target)).otherwise(c)
+
+    def plain(text: Column) -> Column:
+        spelled = text
+        for char, letters in LIGATURES.items():
+            spelled = F.replace(spelled, F.lit(char), F.lit(letters))
+        return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(spelled, source, target)) \
+            .otherwise(text)
+    return plain(F.col(c)) if isinstance(c, str) else bind(c, plain)
 
 
 def none_if_blank(c: Column | str) -> Column:

@@ -48,7 +48,8 @@ def province_codes(provinces: DataFrame, names: DataFrame, name: str,
                    units: dict[str, str]) -> DataFrame:
     """(province, code) of each distinct province name: a listed unit, else the unit whose own
     name has the same key. ``provinces``: code, name."""
-    listed = F.coalesce(*[F.when(F.col("__fold") == k, F.lit(v)) for k, v in units.items()])
+    listed = F.coalesce(F.lit(None).cast("string"), *[
+        F.when(F.col("__fold") == k, F.lit(v)) for k, v in units.items()])
     by_key = provinces.groupBy(city_key("name").alias("__key")).agg(F.max("code").alias("__code"))
     return names.select(F.col(name).alias("province")).distinct() \
         .withColumns({"__fold": fold("province"), "__key": city_key("province")}) \

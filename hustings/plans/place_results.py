@@ -12,6 +12,7 @@ from hustings.functions.text import fold, none_if_blank, number_value
 from hustings.operators import cells, crosswalk
 from hustings.operators.reshape import exclude_keys
 from hustings.plans.kin import CITY_SPELLINGS, aliases
+from hustings.session import checkpointed
 
 # Fixed values ---------------------------------------------------------------------------------
 DRAWN_RACES = ["PRESIDENT", "VICE PRESIDENT", "SENATOR", "PARTY LIST", "GOVERNOR", "MAYOR"]
@@ -88,6 +89,7 @@ def place_results(counts: DataFrame, provinces: DataFrame, places: DataFrame,
     """
     rows = drawn_rows(counts, withheld)
     solved, scopes = place_crosswalk(rows, provinces, places, **options)
+    solved = checkpointed(solved)
     located = rows.join(solved.select("province", "city", "code"), ["province", "city"], "left")
     placed = located.filter(F.col("code").isNotNull()).join(
         places.select("code", F.col("scope").alias("prov")).distinct(), "code")
