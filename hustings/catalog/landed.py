@@ -103,10 +103,12 @@ def municipal_feed(t):
       WHERE n_name <> 'NATION_3'""", "nation", "region")
     cities = t.sql("""SELECT 'municipality', cast(c_custkey as string), concat(c_custkey, ', ', n_name), cast(c_custkey as string)
       FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
-    contests = t.orders.groupBy(F.col("o_custkey").cast("string").alias("code")).agg(
-        F.to_json(F.create_map(F.lit("MAYOR"), F.struct(F.collect_list(F.struct(
-            F.col("o_orderkey").alias("contestCode"), F.col("o_custkey").alias("locationCode")))
-            .alias("contestCodeAndLocationCode")))).alias("body"))
+    # A contest list is delivered in one document for each contest.
+    pair = F.struct(F.col("o_orderkey").alias("contestCode"), F.col("o_custkey").alias("locationCode"))
+    contests = t.orders.select(
+        F.col("o_custkey").cast("string").alias("code"),
+        F.to_json(F.create_map(F.lit("MAYOR"), F.struct(
+            F.array(pair).alias("contestCodeAndLocationCode")))).alias("body"))
     results = t.orders.select(
         F.concat_ws("-", F.lit("mayor"), "o_orderkey", F.lit("municipality-location"), "o_custkey").alias("path"),
         F.to_json(F.struct(F.concat(F.lit("MAYOR "), "o_orderpriority").alias("contestDetail"), F.array(F.struct(

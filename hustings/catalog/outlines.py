@@ -94,14 +94,22 @@ def boundary_edges(t):
         "l_suppkey", "l_partkey", "l_orderkey")
 
 
-@query("stitched_rings", """
-  SELECT c_nationkey AS unit, o_orderkey AS edge, min(o_orderkey) OVER w AS ring,
-    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos, count(*) OVER w AS size
-  FROM orders JOIN customer ON o_custkey = c_custkey WINDOW w AS (PARTITION BY o_custkey)""")
+NUMBERED = """
+  SELECT o_orderpriority AS unit, l_orderkey, l_quantity, l_extendedprice,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i,
+    count(*) OVER (PARTITION BY l_orderkey) AS n
+  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
+NUMBERED_SQL = NUMBERED.replace("{", "").replace("}", "")
+
+
+@query("stitched_rings", f"""
+  SELECT unit, l_orderkey * 1000 + i AS edge, l_orderkey * 1000 + 1 AS ring, i - 1 AS pos, n AS size FROM ({NUMBERED_SQL})""")
 def stitched_rings(t):
-    edges = t.sql("""SELECT c_nationkey AS unit, o_orderkey AS edge, o_custkey AS sx, o_orderkey AS sy, o_custkey AS ex,
-        coalesce(lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey), min(o_orderkey) OVER (PARTITION BY o_custkey)) AS ey
-      FROM {orders} JOIN {customer} ON o_custkey = c_custkey""", "orders", "customer")
+    # The line items of an order are the edges of a ring; the last one leads back to the first.
+    edges = t.sql(NUMBERED, "lineitem", "orders").select(
+        "unit", (F.col("l_orderkey") * 1000 + F.col("i")).alias("edge"),
+        F.col("l_orderkey").alias("sx"), F.col("i").alias("sy"), F.col("l_orderkey").alias("ex"),
+        F.when(F.col("i") == F.col("n"), 1).otherwise(F.col("i") + 1).alias("ey"))
     return geometry.stitch_rings(edges, ["unit"], "edge")
 
 
@@ -153,43 +161,43 @@ def containing_rings(t):
     return geometry.containing_rings(holes, edges, ["unit"], 100.0)
 
 
-TOPOLOGY = """
-  a AS (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS integer) AS line,
-    CAST(floor(o_totalprice) AS bigint) % 1000 AS dx, o_orderkey % 13 - 6 AS dy FROM orders)"""
+TOPOLOGY = f"""
+  a AS (SELECT l_orderkey, CAST(i - 1 AS integer) AS line, n, CAST(floor(l_extendedprice) AS bigint) % 1000 AS dx,
+    CAST(l_quantity AS bigint) - 25 AS dy FROM ({NUMBERED_SQL}))"""
 
 
 def topologies(t):
-    """One boundary file for each customer: a single ring whose steps are its orders."""
-    step = F.struct("o_orderkey", F.array(F.floor("o_totalprice") % 1000,
-                                          F.col("o_orderkey") % 13 - 6).alias("d"))
-    arcs = t.orders.groupBy("o_custkey").agg(F.transform(
+    """One boundary file for each order: a single ring whose steps are its line items."""
+    step = F.struct("i", F.array(F.floor("l_extendedprice") % 1000,
+                                 F.col("l_quantity").cast("bigint") - 25).alias("d"))
+    arcs = t.sql(NUMBERED, "lineitem", "orders").groupBy("l_orderkey").agg(F.transform(
         F.sort_array(F.collect_list(step)), lambda s: s["d"]).alias("steps"))
     shape = F.struct(
         F.lit("Polygon").alias("type"),
-        F.array(F.array(F.when(F.col("o_custkey") < 700, 0).otherwise(-1))).alias("arcs"),
-        F.struct(F.col("o_custkey").alias("adm3_psgc")).alias("properties"))
-    return arcs.select("o_custkey", F.to_json(F.struct(
+        F.array(F.array(F.when(F.col("l_orderkey") < 7000, 0).otherwise(-1))).alias("arcs"),
+        F.struct(F.col("l_orderkey").alias("adm3_psgc")).alias("properties"))
+    return arcs.select("l_orderkey", F.to_json(F.struct(
         F.array("steps").alias("arcs"),
         F.create_map(F.lit("m"), F.struct(F.array(shape).alias("geometries"))).alias("objects")))
         .alias("body"))
 
 
 @query("decoded_arcs", f"""WITH {TOPOLOGY}
-  SELECT o_custkey AS file, line, CAST(sum(dx) OVER w AS bigint) AS x, CAST(sum(dy) OVER w AS bigint) AS y FROM a
-  WINDOW w AS (PARTITION BY o_custkey ORDER BY line)""")
+  SELECT l_orderkey AS file, line, CAST(sum(dx) OVER w AS bigint) AS x, CAST(sum(dy) OVER w AS bigint) AS y FROM a
+  WINDOW w AS (PARTITION BY l_orderkey ORDER BY line)""")
 def decoded_arcs(t):
-    return geometry.arc_points(topologies(t), "o_custkey", "body").select("file", "line", "x", "y")
+    return geometry.arc_points(topologies(t), "l_orderkey", "body").select("file", "line", "x", "y")
 
 
 @query("chained_rings", f"""WITH {TOPOLOGY},
-  p AS (SELECT o_custkey, line, sum(dx) OVER w AS x, sum(dy) OVER w AS y, count(*) OVER (PARTITION BY o_custkey) AS n FROM a
-    WINDOW w AS (PARTITION BY o_custkey ORDER BY line))
-  SELECT lpad('' || o_custkey, 10, '0') AS unit, CASE WHEN o_custkey < 700 THEN line ELSE n - 1 - line END AS line,
+  p AS (SELECT l_orderkey, line, n, sum(dx) OVER w AS x, sum(dy) OVER w AS y FROM a
+    WINDOW w AS (PARTITION BY l_orderkey ORDER BY line))
+  SELECT lpad('' || l_orderkey, 10, '0') AS unit, CASE WHEN l_orderkey < 7000 THEN line ELSE n - 1 - line END AS line,
     x * 0.5 + 10 AS x, y * 0.25 - 3 AS y FROM p""")
 def chained_rings(t):
     files = topologies(t)
-    points = geometry.arc_points(files, "o_custkey", "body")
-    refs = geometry.ring_arcs(files, "o_custkey", "body", "adm3_psgc")
+    points = geometry.arc_points(files, "l_orderkey", "body")
+    refs = geometry.ring_arcs(files, "l_orderkey", "body", "adm3_psgc")
     chained = geometry.chain_points(refs, points, ["unit", "poly", "ring"])
     return geometry.scale_points(chained, (0.5, 0.25), (10.0, -3.0)).select("unit", "line", "x", "y")
 

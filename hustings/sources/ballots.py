@@ -84,7 +84,7 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFr
     """(file, bytes) of landed files without reading them into rows."""
     return spark.read.format("binaryFile").options(
         recursiveFileLookup="true", pathGlobFilter=pattern).load(path) \
-        .select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+        .select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
 
 
 def empty_files(listing: DataFrame, rows: DataFrame) -> DataFrame:
