@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from hustings.operators.reshape import require_known
 from hustings.plans import audits, backfill, explore, kin, place_results, vote_counts, winners
+from hustings.session import checkpointed
 from hustings.sources.ballots import BALLOT_COLUMNS
 
 RAW = ", ".join(f"{c} string" for c in BALLOT_COLUMNS) + ", year int"
@@ -56,7 +57,7 @@ def test_vote_counts(spark):
 
 
 def test_winners(spark):
-    counts = vote_counts.build_vote_counts([ballots(spark)])
+    counts = checkpointed(vote_counts.build_vote_counts([ballots(spark)]))
     held = spark.createDataFrame([(2019, "ABRA", "PROVINCIAL BOARD MEMBER")] * 5, "year int, province string, position string")
     seats = winners.board_seats(counts, held)
     assert rows_of(seats.select("province", "seats")) == [("ABRA", 2)]
@@ -70,7 +71,7 @@ def test_winners(spark):
 
 
 def test_merge(spark):
-    counts = vote_counts.build_vote_counts([ballots(spark)])
+    counts = checkpointed(vote_counts.build_vote_counts([ballots(spark)]))
     fresh = winners.local_winners(counts, spark.createDataFrame([], "year int, province string, seats int"))
     old = spark.createDataFrame([
         (2004, "DATU ALI M LIM", "MAYOR", "LAKAS CMD", "ABRA", "CAR", 1.0), (2004, "DATU ALI M LIM", "MAYOR", "LAKAS CMD", "ABRA", "CAR", 1.0),
@@ -148,9 +149,9 @@ def test_vote_count_backfill(spark):
 
 
 def test_places_and_kin(spark):
-    counts = vote_counts.build_vote_counts([ballots(spark)])
+    counts = checkpointed(vote_counts.build_vote_counts([ballots(spark)]))
     total = spark.createDataFrame([("R", "ABRA", "", "GOVERNOR of ABRA", None, "OO, P", "NP", "40", None, 2013)], RAW)
-    counts = counts.unionByName(vote_counts.build_vote_counts([total]))
+    counts = checkpointed(counts.unionByName(vote_counts.build_vote_counts([total])))
     provinces = spark.createDataFrame([("p1", "Abra", "r1"), ("p2", "Davao de Oro", "r2")], "code string, name string, region string")
     towns = spark.createDataFrame([("p1", "Bangued", "t1"), ("p2", "Nabunturan", "t2"), ("p2", "Monkayoo", "t3"), ("p1", "Empty", "t4")], "scope string, name string, code string")
     out = place_results.place_results(counts, provinces, towns, listed={}, spellings=(), cutoff=0.85)
@@ -167,7 +168,7 @@ def test_places_and_kin(spark):
                    (2019, "ABRA", None, "GOVERNOR", "TAN", "DY", ""), (2019, None, None, "SENATOR", "CRUZ", "EL", "")]
     df = spark.createDataFrame(people_rows, "year int, province string, city string, position string, last_name string, first_name string, middle_name string") \
         .withColumn("full_name", F.concat_ws(", ", "last_name", "first_name"))
-    flagged = kin.kin_table(kin.located_winners(df, provinces, towns), ())
+    flagged = checkpointed(kin.kin_table(checkpointed(kin.located_winners(df, provinces, towns)), ()))
     rates, clans = kin.kin_report(flagged)
     r = rates.filter("level = 'municipality' and year = 2019").first()
     assert (r.total, r.last_both, r.last_fat, r.last_thin, r.middle_both, r.middle_fat, r.all_both) == (3, 2, 2, 1, 3, 3, 3)
@@ -176,11 +177,11 @@ def test_places_and_kin(spark):
 
 
 def test_explore_and_audits(spark):
-    counts = vote_counts.build_vote_counts([ballots(spark)])
+    counts = checkpointed(vote_counts.build_vote_counts([ballots(spark)]))
     seats = spark.createDataFrame([], "year int, province string, seats int")
-    won = winners.winners_from_ballots(counts, seats)
-    table = winners.to_winners_schema(won)
-    rows = explore.explore_rows(table, won, counts)
+    won = checkpointed(winners.winners_from_ballots(counts, seats))
+    table = checkpointed(winners.to_winners_schema(won))
+    rows = checkpointed(explore.explore_rows(table, won, counts))
     got = {(r.position, r.full_name): (r.province, r.votes) for r in rows.collect()}
     assert got[("Senator", "SY, E")] == ("Nationwide", 7) and got[("Governor", "CRUZ, JUAN")] == ("DAVAO DE ORO", 70)
     assert ("Senator", "UY, F") not in got
