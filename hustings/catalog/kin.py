@@ -34,7 +34,7 @@ def _other(mine: str, theirs: str, same: bool) -> str:
 
 
 FLAGS_SQL = f"""
-  s AS (SELECT *, CAST(floor(1) AS int) AS one FROM ({SEATS_SQL})),
+  s AS ({SEATS_SQL}),
   tok_surname AS (SELECT unit, surname AS token, year, min(person) AS lo, max(person) AS hi FROM s GROUP BY 1, 2, 3),
   tok_middle AS (SELECT unit, middle AS token, year, min(person) AS lo, max(person) AS hi FROM s
                  WHERE middle <> '' GROUP BY 1, 2, 3),

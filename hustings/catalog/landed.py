@@ -137,7 +137,8 @@ def canvass_units(t):
 
 @query("locality_regions", """
   SELECT DISTINCT CASE WHEN n_nationkey = 0 THEN CASE c_mktsegment WHEN 'BUILDING' THEN 'ASIA' WHEN 'MACHINERY' THEN 'EUROPE' END
-      WHEN n_nationkey = 1 THEN 'REGION X' WHEN n_nationkey = 2 THEN NULL ELSE r_name END AS region,
+      WHEN n_nationkey = 1 THEN 'REGION X' WHEN n_nationkey = 2 THEN NULL WHEN n_nationkey = 7 THEN 'ASIA'
+      WHEN n_nationkey = 3 THEN 'EUROPE' ELSE r_name END AS region,
     CASE WHEN n_nationkey = 0 THEN CASE c_mktsegment WHEN 'BUILDING' THEN 'NATION_7' WHEN 'MACHINERY' THEN 'NATION_3' END
       WHEN n_nationkey = 2 THEN NULL WHEN n_nationkey = 1 THEN 'ISLANDS' ELSE n_name END AS bucket,
     c_mktsegment AS city, CASE n_nationkey WHEN 0 THEN 'METRO MANILA' WHEN 1 THEN 'ISLANDS' WHEN 2 THEN 'NOWHERE'
@@ -155,13 +156,6 @@ def locality_regions(t):
                                   {"ISLANDS": "REGION X"})
 
 
-# The two regions that the query renames are looked up by name, so the SQL must rename them too.
-from hustings.catalog.registry import SQL  # noqa: E402
-
-SQL["locality_regions"] = SQL["locality_regions"].replace(
-    "WHEN n_nationkey = 2 THEN NULL ELSE r_name END AS region",
-    "WHEN n_nationkey = 2 THEN NULL WHEN n_nationkey = 7 THEN 'ASIA' WHEN n_nationkey = 3 THEN 'EUROPE' ELSE r_name END AS region")
-
 PLAIN = ("trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({0}, '<[^>]*>', '', 'g'), "
          "'&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g'))")
 

@@ -117,8 +117,7 @@ MERGED_SQL = f"""{LOCAL_SQL},
       province, city, region, '' FROM local WHERE year = 1998 AND position = 'MAYOR'),
   n AS (SELECT province, region, count(*) AS n FROM u WHERE region IS NOT NULL GROUP BY 1, 2),
   m AS (SELECT province, region AS mode FROM n QUALIFY row_number() OVER (PARTITION BY province ORDER BY n DESC, region) = 1),
-  merged AS (SELECT DISTINCT u.* REPLACE (coalesce(u.region, mode) AS region,
-      CASE WHEN year = 1992 AND false THEN 'M' ELSE sex END AS sex) FROM u LEFT JOIN m USING (province))"""
+  merged AS (SELECT DISTINCT u.* REPLACE (coalesce(u.region, mode) AS region) FROM u LEFT JOIN m USING (province))"""
 
 
 @query("merged_winners", f"WITH {MERGED_SQL} SELECT * FROM merged")
@@ -388,7 +387,7 @@ def _kin(mine: str, theirs: str, op: str) -> str:
 
 
 KIN_SQL = f"""
-  w AS (SELECT replace(replace(first_name, '', ''), '', '') AS g, *, lpad('' || n_regionkey, 10, '9') AS rc, lpad('' || c_nationkey, 10, '0') AS pc
+  w AS (SELECT *, lpad('' || n_regionkey, 10, '9') AS rc, lpad('' || c_nationkey, 10, '0') AS pc
     FROM (SELECT year(o_orderdate) AS year, n_regionkey, c_nationkey, c_mktsegment AS city, 'S' || CAST(floor(c_acctbal / 200) AS int) AS surname,
         'G' || lpad('' || c_custkey, 8, '0') AS first_name, CASE WHEN o_totalprice > 300000 THEN 'S' || CAST(floor(o_totalprice / 10000) AS int) ELSE '' END AS middle
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)),

@@ -17,7 +17,6 @@ from hustings.operators import audit
 EXPECTED_COUNTS = {"GOVERNOR": 82, "VICE GOVERNOR": 82, "MAYOR": 1634, "VICE MAYOR": 1634}
 OPTIONAL_COLUMNS = ["title", "middle_name"]
 CAPITAL = "MANILA"
-# Provinces each region must hold.
 # ----------------------------------------------------------------------------------------------
 
 
