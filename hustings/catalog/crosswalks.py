@@ -161,7 +161,8 @@ def scopes_of_provinces(t):
 
 @query("city_codes", """
   WITH p AS (SELECT DISTINCT n_name AS province, c_mktsegment AS city FROM customer JOIN nation ON c_nationkey = n_nationkey)
-  SELECT province, city, province AS prov_code, CASE city WHEN 'BUILDING' THEN province || '-MACHINERY'
+  SELECT province, city, province AS prov_code, CASE city WHEN 'BUILDING' THEN province ||
+      CASE WHEN (province, 'MACHINERY') IN (SELECT (province, city) FROM p) THEN '-MACHINERY' ELSE '-BUILDING' END
       WHEN 'FURNITURE' THEN CASE WHEN province = 'NATION_7' THEN province || '-HOUSEHOLD' END
       ELSE province || '-' || city END AS code FROM p""")
 def codes_of_cities(t):
