@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hustings.llm.exact_dedup import exact_dedup
+from hustings.llm.near_dedup import near_dedup
 from hustings.llm.packing import pack
+from hustings.llm.substring_dedup import substring_dedup
 from hustings.llm.token_counts import token_counts
 
 CONTEXT = 2048
@@ -29,11 +31,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), width=4)
+
+
 @query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=CONTEXT)
 
 
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 @query("op4_best_fit_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), CONTEXT)
