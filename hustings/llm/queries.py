@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hustings.llm.exact_dedup import exact_dedup
+from hustings.llm.hidden_markov import score_texts
 from hustings.llm.near_dedup import near_dedup
 from hustings.llm.packing import pack
 from hustings.llm.substring_dedup import substring_dedup
@@ -59,3 +61,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     sha256(norm) AS text_sha256 FROM d JOIN g USING (norm)""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("n_bytes")
+
+
+@query("op7_lm_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.crc32(F.col("doc_id").cast("string")) % 7
+    return score_texts(table(spark, sf_dir, "documents"), learn=turn != 2, held_out=turn == 2)
