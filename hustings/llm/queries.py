@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hustings.llm.decontamination import benchmark_leaks
 from hustings.llm.exact_dedup import exact_dedup
 from hustings.llm.hidden_markov import score_texts
+from hustings.llm.language_id import identify, train_profiles
 from hustings.llm.near_dedup import near_dedup
 from hustings.llm.packing import pack
 from hustings.llm.substring_dedup import substring_dedup
@@ -35,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), width=4)
+    return near_dedup(table(spark, sf_dir, "documents"), width=4).drop("text_mark")
 
 
 @query("op2_token_counts")
@@ -67,3 +69,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     turn = F.crc32(F.col("doc_id").cast("string")) % 7
     return score_texts(table(spark, sf_dir, "documents"), learn=turn != 2, held_out=turn == 2)
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, by text, markup, address and host, and all documents, by text, label and source."""
+    documents = table(spark, sf_dir, "documents")
+    profiles = train_profiles(documents, "lang", "text")
+    pages = identify(table(spark, sf_dir, "pages"), profiles, "page_id", "html", address="url", markup=True)
+    docs = identify(documents, profiles, declared="lang", host="source")
+    return docs.withColumn("page_id", F.lit(None).cast("long")).unionByName(
+        pages.withColumnRenamed("doc_id", "page_id").withColumn("doc_id", F.lit(None).cast("long")))
+
+
+@query("op9_benchmark_leaks")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
