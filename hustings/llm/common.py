@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -49,19 +49,45 @@ def documents(docs: DataFrame, doc_id: str, text: str, *more: str) -> DataFrame:
                        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("data"), *more)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words (bytes); remembers at most ``limit`` words at a time."""
+def schema_of(df: DataFrame, names: Sequence[str]) -> str:
+    """The types of some columns as text, with a comma after each."""
+    return "".join(f"`{n}` {df.schema[n].dataType.simpleString()}, " for n in names)
 
-    def __init__(self, limit: int = 400_000):
+
+class Remembered(dict):
+    """Values of ``make``, worked out once for as long as they are remembered.
+
+    Holds two generations of ``limit`` keys at most: when one is full it becomes the older one, and
+    what is asked for again moves back, so frequent keys stay.
+    """
+
+    def __init__(self, limit: int):
         super().__init__()
-        self.limit = limit
+        self.limit, self.older = limit, {}
+
+    def make(self, key):
+        raise NotImplementedError
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        self[key] = value
         return value
 
+
+class WordHashes(Remembered):
+    """64-bit hashes of words (bytes)."""
+
+    def __init__(self, limit: int = 300_000):
+        super().__init__(limit)
+
+    def make(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
+
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 

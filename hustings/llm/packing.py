@@ -22,6 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,20 +35,20 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task
 RUNS = "length long, first long, after long, sequence long, offset long"
 
 
-class PieceIds(dict):
-    """The ids of a piece as little-endian bytes; remembers at most ``limit`` pieces at a time."""
+class PieceIds(common.Remembered):
+    """The ids of a piece as little-endian unsigned 32-bit numbers.
+
+    Single pieces are merged by the same vocabulary as ranks, whole texts by the tokenizer itself.
+    """
 
     def __init__(self, path: str, limit: int = 300_000):
-        super().__init__()
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.shown = {b: c for c, b in byte_letters().items()}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        tokens = self.tokenizer.model.tokenize("".join(self.shown[b] for b in piece.encode()))
-        ids = self[piece] = np.array([t.id for t in tokens], "<u4").tobytes()
-        return ids
+        super().__init__(limit)
+        self.tokenizer, letters = Tokenizer.from_file(path), byte_letters()
+        ranks = {bytes(letters[c] for c in t): n for t, n in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        self.merged = tiktoken.Encoding("pieces", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def make(self, piece: str) -> bytes:
+        return np.array(self.merged(piece), "<u4").tobytes()
 
     def of(self, text: str) -> bytes:
         if OTHER.search(text):

@@ -42,27 +42,18 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(s for (s, number), e in zip(strings.items(), found) if e.ids == [number])
 
 
-class PieceCounts(dict):
-    """Tokens of a piece: one for whole tokens, merged otherwise. Holds at most ``limit`` others."""
+class PieceCounts(common.Remembered):
+    """Tokens of a piece: one for whole tokens, merged otherwise."""
 
     def __init__(self, path: str, whole: frozenset[str], limit: int = 300_000):
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.whole, self.limit, self.others = whole, limit, 0
+        super().__init__(limit)
+        self.tokenizer, self.whole = Tokenizer.from_file(path), whole
         self.shown = {b: c for c, b in byte_letters().items()}
-        self._start()
-
-    def _start(self) -> None:
-        self.clear()
-        self.update(dict.fromkeys(self.whole, 1))
-        self.others = 0
-
-    def __missing__(self, piece: str) -> int:
-        if self.others >= self.limit:
-            self._start()
-        self.others += 1
-        n = self[piece] = len(self.tokenizer.model.tokenize("".join(self.shown[b] for b in piece.encode())))
-        return n
+
+    def make(self, piece: str) -> int:
+        if piece in self.whole:
+            return 1
+        return len(self.tokenizer.model.tokenize("".join(self.shown[b] for b in piece.encode())))
 
     def of(self, text: str) -> int:
         if OTHER.search(text):
