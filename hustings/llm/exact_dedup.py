@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -121,16 +121,17 @@ def lower_ascii(data: bytes) -> bytes:
     return data.lower()  # of bytes: A to Z only
 
 
-def text_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, digest, n_bytes) of every whole text with A-Z in lower case."""
+def text_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: Sequence[str] = ()) -> DataFrame:
+    """(*more, doc_id, digest, n_bytes) of every whole text with A-Z in lower case."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [lower_ascii(x) for x in batch.column("data").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([hashlib.sha256(x).digest() for x in texts], pa.binary()),
-                 pa.array(map(len, texts), pa.int64())], ["doc_id", "digest", "n_bytes"])
+                [*(batch.column(c) for c in more), batch.column("doc_id"),
+                 pa.array([hashlib.sha256(x).digest() for x in texts], pa.binary()),
+                 pa.array(map(len, texts), pa.int64())], [*more, "doc_id", "digest", "n_bytes"])
 
-    return common.documents(docs, doc_id, text).mapInArrow(run, DIGESTS)
+    return common.documents(docs, doc_id, text, *more).mapInArrow(run, common.schema_of(docs, more) + DIGESTS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -196,17 +197,18 @@ def bucket_count(rows: int, held: int = 50_000) -> int:
     return max(64, -(-rows // held))
 
 
-def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each row: (doc_id, keep_id, group_size, kept, text_sha256, n_bytes).
+def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: Sequence[str] = ()) -> DataFrame:
+    """A row for each row: (*more, doc_id, keep_id, group_size, kept, text_sha256, n_bytes); ``more``:
+    columns of ``docs`` to go along.
 
     Of equal texts (after lower-casing A-Z) the row with the largest id stays. Texts are hashed where
     they are read; only digests are shuffled. The digests are stored once, since both the index and
     the verdicts read them.
     """
-    digests = common.store(text_digests(docs, doc_id, text))
+    digests = common.store(text_digests(docs, doc_id, text, more))
     empty = common.empty(docs.sparkSession, INDEX)
     index = change_index(empty, added=index_entries(digests, bucket_count(digests.count())))
     joined = digests.join(index.select("digest", "keep_id", "group_size"), "digest")
-    return joined.select("doc_id", "keep_id", "group_size",
+    return joined.select(*more, "doc_id", "keep_id", "group_size",
                          F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                          F.lower(F.hex("digest")).alias("text_sha256"), "n_bytes")

@@ -24,7 +24,7 @@ no links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from hustings.llm import common
 from hustings.llm.components import components
 
 BANDS, ROWS = 28, 4
-SKETCHES = "doc_id long, text_mark long, n_shingles long, set_key binary, signature binary"
+SKETCHES = "doc_id long, n_shingles long, set_key binary, signature binary"
 SETS = "doc_id long, shingles binary"
 
 
@@ -67,8 +67,8 @@ def minima(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray], block
     return out
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, text_mark, n_shingles, set_key, signature); key and signature are null for an empty set."""
+def sketches(docs: DataFrame, doc_id: str, text: str, width: int, bands: int, rows: int, more: Sequence[str] = ()) -> DataFrame:
+    """(*more, doc_id, n_shingles, set_key, signature); key and signature are null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = universal(bands * rows)
         for batch in batches:
@@ -79,10 +79,11 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, bands: int, ro
                 keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
                 signatures.append(minima(shingles, functions).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_mark"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(signatures, pa.binary())], ["doc_id", "text_mark", "n_shingles", "set_key", "signature"])
+                [*(batch.column(c) for c in more), batch.column("doc_id"), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())],
+                [*more, "doc_id", "n_shingles", "set_key", "signature"])
 
-    return common.documents(docs, doc_id, text).withColumn("text_mark", F.xxhash64("data")).mapInArrow(run, SKETCHES)
+    return common.documents(docs, doc_id, text, *more).mapInArrow(run, common.schema_of(docs, more) + SKETCHES)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -194,21 +195,21 @@ def class_components(docs: DataFrame, classes: DataFrame, doc_id: str, text: str
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
-               bands: int = BANDS, rows: int = ROWS, margin: float = 0.2) -> DataFrame:
-    """A row for each row: (doc_id, text_mark, n_shingles, component_id, kept).
-
-    ``text_mark`` is Spark's xxhash64 of the text as binary, which tells rows of one id apart.
+               bands: int = BANDS, rows: int = ROWS, margin: float = 0.2,
+               more: Sequence[str] = ()) -> DataFrame:
+    """A row for each row: (*more, doc_id, n_shingles, component_id, kept); ``more``: columns of
+    ``docs`` to go along.
 
     ``component_id`` is the least id that verified links reach, ``kept`` the rows that have it. A
     pair of exactly the threshold, 0.8, shares no bucket with a probability of (1 - 0.8^rows)^bands,
     4e-7 by default; an estimate ``margin`` below the threshold is rarer still.
     """
-    known = common.store(sketches(docs, doc_id, text, width, bands, rows))
+    known = common.store(sketches(docs, doc_id, text, width, bands, rows, more))
     classes = common.store(known.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     labels = class_components(docs, classes, doc_id, text, width, percent, bands, rows, margin)
     of_key = classes.select("set_key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left") \
         .select("set_key", F.coalesce("component", "id").alias("component"))
-    out = known.select("doc_id", "text_mark", "n_shingles", "set_key").join(of_key, "set_key", "left").select(
-        "doc_id", "text_mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    out = known.drop("signature").join(of_key, "set_key", "left").select(
+        *more, "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
