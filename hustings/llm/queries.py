@@ -12,6 +12,7 @@ from hustings.llm.decontamination import benchmark_leaks
 from hustings.llm.exact_dedup import exact_dedup
 from hustings.llm.hidden_markov import score_texts
 from hustings.llm.language_id import identify, train_profiles
+from hustings.llm.line_dedup import line_dedup
 from hustings.llm.near_dedup import near_dedup
 from hustings.llm.packing import pack
 from hustings.llm.substring_dedup import substring_dedup
@@ -85,3 +86,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_benchmark_leaks")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_line_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
