@@ -15,6 +15,7 @@ from hustings.llm.language_id import identify, train_profiles
 from hustings.llm.line_dedup import line_dedup
 from hustings.llm.near_dedup import near_dedup
 from hustings.llm.packing import pack
+from hustings.llm.secret_scan import secret_scan
 from hustings.llm.substring_dedup import substring_dedup
 from hustings.llm.token_counts import token_counts
 
@@ -83,6 +84,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages.withColumnRenamed("doc_id", "page_id").withColumn("doc_id", F.lit(None).cast("long")))
 
 
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 @query("op9_benchmark_leaks")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
