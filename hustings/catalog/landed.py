@@ -69,7 +69,7 @@ def canvass_feed(t):
     CASE WHEN p_size < 25 THEN p_name || ' (' || p_brand || ')' ELSE p_name END AS candidate_name,
     CASE WHEN p_size < 25 THEN p_brand ELSE p_type || ' PARTY' END AS party, CAST(l_quantity AS bigint) AS votes,
     l_linenumber || ' %' AS percentage
-  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size < 45""")
+  FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def board_feed(t):
     items = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.struct(
@@ -82,7 +82,7 @@ def board_feed(t):
     # A contest with very many options is delivered in several documents.
     shown = F.when(F.col("p_size") < 25, F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")"))) \
         .otherwise(F.col("p_name"))
-    contests = t.part.filter(F.col("p_size") < 45).select(
+    contests = t.part.select(
         F.col("p_type").alias("code"), F.to_json(F.struct(
             F.concat(F.lit("RACE "), "p_type").alias("cn"),
             F.array(F.struct(F.col("p_partkey").alias("boc"), shown.alias("bon"),
@@ -96,11 +96,10 @@ def board_feed(t):
     '' || (o_orderkey % 7) AS rank, o_orderstatus AS candidate_name, 'P' || o_orderkey AS party,
     CAST(floor(o_totalprice) AS bigint) AS votes, '100.00 %' AS percentage
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey WHERE n_name <> 'NATION_3'""")
+    JOIN region ON n_regionkey = r_regionkey""")
 def municipal_feed(t):
     provinces = t.sql("""SELECT 'province' AS locationType, n_name AS locationName, concat(n_name, ', ', r_name) AS fullLocationName,
-        concat('p', n_nationkey) AS locationCode FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
-      WHERE n_name <> 'NATION_3'""", "nation", "region")
+        concat('p', n_nationkey) AS locationCode FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""", "nation", "region")
     cities = t.sql("""SELECT 'municipality', cast(c_custkey as string), concat(c_custkey, ', ', n_name), cast(c_custkey as string)
       FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
     # A contest list is delivered in one document for each contest.
@@ -148,8 +147,9 @@ def locality_regions(t):
     roster = t.sql("""SELECT CASE n_nationkey WHEN 0 THEN 'Metro Manila' WHEN 1 THEN 'Islands' WHEN 2 THEN 'Nowhere'
         ELSE replace(n_name, '_', ' - ') END AS province, c_mktsegment AS city, c_mktsegment AS city_key
       FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
-    provinces = t.sql("""SELECT n_name AS name, CASE n_nationkey WHEN 7 THEN 'Asia' WHEN 3 THEN 'Europe' ELSE r_name END AS region
-      FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey > 2""", "nation", "region")
+    provinces = t.sql("""SELECT CASE WHEN n_nationkey > 2 THEN n_name ELSE concat('FORMER ', n_name) END AS name,
+        CASE n_nationkey WHEN 7 THEN 'Asia' WHEN 3 THEN 'Europe' ELSE r_name END AS region
+      FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""", "nation", "region")
     capital = t.spark.createDataFrame([("BUILDING", "NATION_7"), ("MACHINERY", "NATION_3")],
                                       "city_key string, bucket string")
     return feeds.locality_regions(roster, provinces, ["METRO MANILA", "NCR"], capital,

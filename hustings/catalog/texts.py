@@ -10,10 +10,15 @@ from hustings.functions import names, offices, parties, places, text
 FOLDED = "regexp_replace(upper(strip_accents(replace(text, 'ß', 'SS'))), '{}', '{}', 'g')"
 
 
+# Some texts with a character that decomposes into several letters, or into another one.
+ODD = "concat(text, CASE doc_id % 50 WHEN 0 THEN ' Ⅱ' WHEN 1 THEN ' ǆem' WHEN 2 THEN ' № 5' WHEN 3 THEN ' ①' WHEN 4 THEN ' ﬃ' ELSE '' END)"
+SPELLED = "text || CASE doc_id % 50 WHEN 0 THEN ' II' WHEN 1 THEN ' DZEM' WHEN 2 THEN ' NO 5' WHEN 3 THEN ' 1' WHEN 4 THEN ' FFI' ELSE '' END"
+
+
 @query("fold_text", f"""
-  SELECT doc_id, nullif(trim({FOLDED.format('[^A-Z0-9]+', ' ')}), '') AS folded FROM documents""")
+  SELECT doc_id, nullif(trim({FOLDED.format('[^A-Z0-9]+', ' ')}), '') AS folded FROM (SELECT doc_id, {SPELLED} AS text FROM documents)""")
 def fold_text(t):
-    return t.documents.select("doc_id", text.fold("text").alias("folded"))
+    return t.documents.selectExpr("doc_id", f"{ODD} AS text").select("doc_id", text.fold("text").alias("folded"))
 
 
 @query("fold_place_text", f"""
@@ -223,16 +228,17 @@ def party_tails(t):
 
 @query("number_texts", """
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CASE l_returnflag WHEN 'R' THEN NULL ELSE l_discount * 100 END AS percent,
+    CASE WHEN l_returnflag = 'R' OR l_linenumber = 4 THEN NULL ELSE l_discount * 100 END AS percent,
     CASE l_returnflag WHEN 'A' THEN NULL ELSE CAST(floor(l_extendedprice) AS bigint) END AS whole,
-    CASE l_linestatus WHEN 'F' THEN NULL ELSE CAST(l_quantity AS bigint) END AS number
+    CASE WHEN l_linestatus = 'F' OR l_linenumber > 5 THEN NULL ELSE CAST(l_quantity AS bigint) END AS number
   FROM lineitem""")
 def number_texts(t):
     rows = t.sql("""
       SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-        CASE WHEN l_returnflag = 'R' THEN '-' ELSE concat(cast(l_discount * 100 as string), ' %') END AS p,
+        CASE WHEN l_returnflag = 'R' THEN '-' WHEN l_linenumber = 4 THEN '7f' ELSE concat(cast(l_discount * 100 as string), ' %') END AS p,
         CASE WHEN l_returnflag = 'A' THEN '-' ELSE format_number(floor(l_extendedprice), 0) END AS w,
-        CASE WHEN l_linestatus = 'F' THEN '100 H.E.L.P' ELSE cast(l_quantity as string) END AS n
+        CASE WHEN l_linestatus = 'F' THEN '100 H.E.L.P' WHEN l_linenumber > 5 THEN concat(l_linenumber, 'd')
+          ELSE cast(l_quantity as string) END AS n
       FROM {lineitem}""", "lineitem")
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                        text.percent_value("p").alias("percent"),

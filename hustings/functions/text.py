@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -13,36 +14,36 @@ from pyspark.sql import functions as F
 BLANK = r"(?U)^\s*$"
 SPACES = r"(?U)\s+"
 
-# Compatibility characters that decompose into more than one letter.
-LIGATURES = {
-    "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl",
-    "Ĳ": "IJ", "ĳ": "ij", "½": "1/2", "¼": "1/4", "¾": "3/4",
-    "…": "...", "™": "TM",
-}
-
-# Latin letters, combining marks, Latin Extended Additional, spaces and full-width forms.
-ACCENT_BLOCKS = [range(0x80, 0x250), range(0x300, 0x370), range(0x1E00, 0x1F00),
-                 range(0x2000, 0x2070), range(0x3000, 0x3001), range(0xFF01, 0xFF5F)]
-
-
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 @lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """(from, to) for ``translate``: each character whose compatibility decomposition leaves one
-    base character maps to it; combining marks have no counterpart and are deleted."""
-    pairs, marks = [], []
-    for code in chain(*ACCENT_BLOCKS):
+def _decompositions() -> tuple[str, str, dict[str, str]]:
+    """(from, to) for ``translate``, and what decomposes into several characters.
+
+    Compatibility decompositions of all code points without combining marks, which have no
+    counterpart in ``to`` and are so deleted. Syllables, which decompose by rule, are left out.
+    """
+    pairs, marks, several = [], [], {}
+    for code in chain(range(0x80, 0xAC00), range(0xD7A4, 0xD800), range(0xE000, 0x110000)):
         char = chr(code)
-        if unicodedata.combining(char):
+        base = "".join(d for d in unicodedata.normalize("NFKD", char) if not unicodedata.combining(d))
+        if not base:
             marks.append(char)
-            continue
-        base = [d for d in unicodedata.normalize("NFKD", char) if not unicodedata.combining(d)]
-        if len(base) == 1 and base[0] != char:
-            pairs.append((char, base[0]))
-    return "".join(p[0] for p in pairs) + "".join(marks), "".join(p[1] for p in pairs)
+        elif len(base) > 1:
+            several[char] = base
+        elif base != char:
+            pairs.append((char, base))
+    return "".join(p[0] for p in pairs) + "".join(marks), "".join(p[1] for p in pairs), several
+
+
+@lru_cache(maxsize=1)
+def _syllables() -> tuple[str, list[str]]:
+    """Hangul syllables, those with a final letter first, and their first, second and final letters."""
+    parts = {chr(c): unicodedata.normalize("NFKD", chr(c)) for c in range(0xAC00, 0xD7A4)}
+    order = sorted(parts, key=lambda c: len(parts[c]) < 3)
+    return "".join(order), ["".join(parts[c][k:k + 1] for c in order) for k in range(3)]
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,16 +51,28 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _spelled_out(text: Column) -> Column:
+    """Characters that decompose into several, one by one. Only for texts that have any."""
+    table = F.from_json(F.lit(json.dumps(_decompositions()[2], ensure_ascii=False)), "map<string,string>")
+    source, letters = _syllables()
+
+    def one(char: Column) -> Column:
+        syllable = F.concat(*[F.translate(char, source, to) for to in letters])
+        return F.when(char < "\u0080", char).when(char.between("\uac00", "\ud7a3"), syllable) \
+            .otherwise(F.coalesce(table[char], char))
+    return F.array_join(F.transform(F.split(text, ""), one), "")
+
+
 def strip_accents(c: Column | str) -> Column:
-    """Base letters only. Pure ASCII values, the common case, skip the table."""
-    source, target = _accent_table()
+    """Base letters only, by full compatibility decomposition. Pure ASCII values, the common case,
+    skip the tables, and only texts that need it are spelled out character by character."""
+    source, target, several = _decompositions()
+    listed = "".join(several)
 
     def plain(text: Column) -> Column:
-        spelled = text
-        for char, letters in LIGATURES.items():
-            spelled = F.replace(spelled, F.lit(char), F.lit(letters))
-        return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(spelled, source, target)) \
-            .otherwise(text)
+        letters = F.translate(text, source, target)
+        return F.when(~text.rlike(r"[^\x00-\x7F]"), text) \
+            .when(text.rlike("[\uac00-\ud7a3]") | (F.translate(text, listed, "") != text), F.translate(_spelled_out(text), source, target)).otherwise(letters)
     return plain(F.col(c)) if isinstance(c, str) else bind(c, plain)
 
 
@@ -127,9 +140,14 @@ def pretty_office(c: Column | str) -> Column:
     return F.replace(text, F.lit("Vice-"), F.lit("Vice "))
 
 
+#: A whole decimal number; a cast alone would take the type letters of ``12d`` and ``7f``.
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def percent_value(c: Column | str) -> Column:
     """``"1.54 %"`` to 1.54; anything that is not a number becomes null."""
-    return F.trim(F.replace(col(c), F.lit("%"), F.lit(""))).try_cast("double")
+    text = F.trim(F.replace(col(c), F.lit("%"), F.lit("")))
+    return F.when(text.rlike(NUMBER), text).try_cast("double")
 
 
 def count_value(c: Column | str) -> Column:
@@ -139,8 +157,10 @@ def count_value(c: Column | str) -> Column:
 
 
 def number_value(c: Column | str) -> Column:
-    """A coercing cast to long: text that is no number becomes null."""
-    return F.trim(col(c).cast("string")).try_cast("double").try_cast("bigint")
+    """A coercing cast to long: text that is no number becomes null. Whole numbers keep all digits."""
+    text = F.trim(col(c).cast("string"))
+    whole = F.when(text.rlike(r"^[+-]?\d+$"), text).try_cast("bigint")
+    return F.coalesce(whole, F.when(text.rlike(NUMBER), text).try_cast("double").try_cast("bigint"))
 
 
 def file_slug(c: Column | str) -> Column:

@@ -109,3 +109,18 @@ def count_difference(left: DataFrame, right: DataFrame, keys: Sequence[str], ove
 def missing_keys(expected: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys that are expected and not present."""
     return expected.select(*keys).distinct().join(present.select(*keys), list(keys), "left_anti")
+
+
+def known_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is known; rows with a null key are not. Rows never multiply."""
+    return rows.join(known.select(*keys), list(keys), "left_semi").select(*rows.columns)
+
+
+def common_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys that both sides have, null parts included. Both are narrowed to distinct keys
+    before they meet, so a key that many rows share costs one row on either side."""
+    a, b = (df.select(*keys).distinct() for df in (left, right))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return a.alias("a").join(b.alias("b"), same, "left_semi")

@@ -130,3 +130,21 @@ def test_subsequence_is_linear(spark):
     long = "SRC" * 20000
     assert one(spark, text.is_subsequence(F.lit("SRCX"), F.lit(long))) is False
     assert one(spark, text.is_subsequence(F.lit("PDPLBN"), F.lit("PDPLABAN"))) is True
+
+
+def test_accents_of_every_code_point(spark):
+    import unicodedata
+
+    def model(char):
+        return "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+    rows = [("a" + chr(c) + "b", "a" + model(chr(c)) + "b") for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame(rows, "text string, plain string").repartition(8)
+    assert df.where(text.strip_accents("text") != F.col("plain")).count() == 0
+    odd = spark.sql("SELECT 'JUAN Ⅱ ǆem № 5 ① A 한' AS t")
+    assert odd.select(text.fold("t")).first()[0] == "JUAN II DZEM NO 5 1 A"
+
+
+def test_numbers_refuse_type_letters(spark):
+    df = spark.createDataFrame([("12d",), ("7f",), ("9007199254740993",), ("1.5",), ("-4",), ("NaN",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(text.number_value("t")).collect()] == [None, None, 9007199254740993, 1, -4, None, None, None]
+    assert [r[0] for r in df.select(text.percent_value("t")).collect()][:2] == [None, None]
