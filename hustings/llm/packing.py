@@ -2,10 +2,10 @@
 
 Documents become pieces of at most ``capacity`` tokens. How pieces fill sequences depends only on
 how many pieces there are of each length, a table of at most ``capacity`` rows whatever the data, so
-the plan is made from that table: for a sequence with a gap, an index of the lengths still available
-is asked for one length, then two, then three that fill the gap exactly; all sequences of that kind
-are filled at once, as often as the counts allow. Where nothing fits exactly the longest length that
-fits is taken (best fit). The plan is a list of runs: "pieces number i to j of length n go to
+the plan is made from that table: for the longest length left, an index of the lengths still
+available is asked for one length, then two, then three that fill the gap exactly; all sequences of
+that kind are filled at once, as often as the counts allow. What has no exact complement is packed
+best fit decreasing. The plan is a list of runs: "pieces number i to j of length n go to
 sequences s to s + j - i at this offset"; every step uses up a length or fills a kind of sequence,
 so there are a few thousand runs at any scale. Pieces take their number within their length and find
 their run by a join; no piece passes through the driver.
@@ -115,13 +115,13 @@ class LengthIndex:
         found = np.flatnonzero(have)
         return (low + int(found[-1]), total - low - int(found[-1])) if len(found) else None
 
-    def exact(self, gap: int) -> tuple[int, ...] | None:
-        """One, two or three available lengths that make exactly ``gap``."""
+    def exact(self, gap: int, most: int = 3) -> tuple[int, ...] | None:
+        """Available lengths, ``most`` at most, that make exactly ``gap``."""
         if self.left[gap] > 0:
             return (gap,)
-        if two := self.pair(gap, gap):
+        if most > 1 and (two := self.pair(gap, gap)):
             return two
-        for longest in np.flatnonzero(self.left[-(-gap // 3):gap - 1])[::-1] + -(-gap // 3):
+        for longest in np.flatnonzero(self.left[-(-gap // 3):gap - 1])[::-1] + -(-gap // 3) if most > 2 else ():
             longest = int(longest)
             self.left[longest] -= 1
             two = self.pair(gap - longest, longest)
@@ -139,32 +139,58 @@ class LengthIndex:
 
 
 def packing_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """Runs (length, first, after, sequence, offset) that place every piece."""
-    index, used, runs, sequence = LengthIndex(counts, capacity), dict.fromkeys(counts, 0), [], 0
-
-    def close(lengths: list[int], times: int) -> None:
-        nonlocal sequence
+    """Runs (length, first, after, sequence, offset) that place every piece: of the plans that fill gaps
+    exactly with up to three, two, one or no pieces before best fit, the one with the fewest sequences."""
+    least, best = -(-sum(n * c for n, c in counts.items()) // capacity), None
+    for most in (3, 2, 1, 0):
+        if best is None or sum(times for _, times in best) > least:
+            found = _plan(counts, capacity, most)
+            best = found if best is None or sum(t for _, t in found) < sum(t for _, t in best) else best
+    used, runs, sequence = dict.fromkeys(counts, 0), [], 0
+    for lengths, times in best:
         offset = 0
         for n in lengths:
             runs.append((n, used[n], used[n] + times, sequence, offset))
             used[n] += times
             offset += n
         sequence += times
+    return runs
 
+
+def _plan(counts: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
+    """Kinds of sequences (lengths, how many): exact complements of ``most`` pieces at most, longest
+    pieces first, and then best fit for what has none."""
+    index, kinds, rest = LengthIndex(counts, capacity), [], {}
     while longest := index.largest(capacity):
-        open_kinds = [([longest], index.take((longest,), int(index.left[longest])))]
-        while open_kinds:
-            lengths, times = open_kinds.pop()
-            gap = capacity - sum(lengths)
-            chosen = gap and (index.exact(gap) or ((best,) if (best := index.largest(gap)) else None))
-            if not chosen:
-                close(lengths, times)
-                continue
-            taken = index.take(chosen, times)
-            if taken < times:
-                open_kinds.append((lengths, times - taken))
-            open_kinds.append((lengths + list(chosen), taken))
-    return runs
+        while wanted := int(index.left[longest]):
+            gap = capacity - longest
+            index.left[longest] -= 1  # the piece itself is no part of its complement
+            others = () if gap == 0 else index.exact(gap, most) if most else None
+            index.left[longest] += 1
+            if others is None:
+                rest[longest] = index.take((longest,), wanted)
+            else:
+                whole = (longest, *others)
+                kinds.append((whole, index.take(whole, wanted)))
+    return kinds + _best_fit(rest, capacity)
+
+
+def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best fit decreasing, all pieces of a length and all sequences of a kind at once."""
+    by_gap: dict[int, list[tuple[tuple[int, ...], int]]] = {capacity: []}
+    for n in sorted(counts, reverse=True):
+        left = counts[n]
+        while left:
+            gap = min((g for g, kinds in by_gap.items() if g >= n and kinds), default=capacity)
+            if not by_gap[gap]:  # only new sequences have room
+                by_gap[gap].append(((), left))
+            lengths, times = by_gap[gap].pop()
+            taken = min(times, left)
+            if taken < times and lengths:
+                by_gap[gap].append((lengths, times - taken))
+            by_gap.setdefault(gap - n, []).append(((*lengths, n), taken))
+            left -= taken
+    return [kind for kinds in by_gap.values() for kind in kinds]
 
 
 def pack(docs: DataFrame, path: str, capacity: int, doc_id: str = "doc_id", text: str = "text",

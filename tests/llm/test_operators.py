@@ -224,7 +224,7 @@ def test_packing_plan_places_every_piece_once(seed):
             fill[sequence + k] += length
             placed[length, first + k] += 1
     assert placed == Counter({(n, k): 1 for n, c in counts.items() for k in range(c)}) and max(fill.values()) <= 100
-    assert len(fill) <= -(-sum(n * c for n, c in counts.items()) // 100) + 30
+    assert len(fill) <= 1.005 * first_fit_decreasing(counts.elements(), 100) + 1
 
 
 def test_cuts():
