@@ -28,17 +28,18 @@ def null_profile(t):
 
 
 @query("level_collapse", """
-  WITH c AS (SELECT year(o_orderdate) AS year, o_orderpriority AS level, count(*) AS n FROM orders
-      WHERE NOT (o_orderpriority = '5-LOW' AND year(o_orderdate) = 1998)
-        AND NOT (o_orderpriority = '2-HIGH' AND year(o_orderdate) = 1999 AND o_totalprice < 400000) GROUP BY 1, 2),
+  WITH o AS (SELECT year(o_orderdate) AS year, CASE WHEN o_orderpriority = '5-LOW' AND year(o_orderdate) = 1998 THEN '4-NOT SPECIFIED'
+        WHEN o_orderpriority = '2-HIGH' AND year(o_orderdate) = 1999 AND o_totalprice < 400000 THEN '3-MEDIUM' ELSE o_orderpriority END AS level
+      FROM orders),
+  c AS (SELECT year, level, count(*) AS n FROM o GROUP BY 1, 2),
   g AS (SELECT y.year, l.level, coalesce(n, 0) AS n FROM (SELECT DISTINCT year FROM c) y CROSS JOIN
           (SELECT DISTINCT level FROM c) l LEFT JOIN c ON c.year = y.year AND c.level = l.level),
   m AS (SELECT level, median(n) AS median FROM g GROUP BY 1)
   SELECT year, level, n, median FROM g JOIN m USING (level) WHERE median > 0 AND n < 0.5 * median""")
 def level_collapse(t):
-    rows = t.sql("""SELECT year(o_orderdate) AS year, o_orderpriority AS level FROM {orders}
-      WHERE NOT (o_orderpriority = '5-LOW' AND year(o_orderdate) = 1998)
-        AND NOT (o_orderpriority = '2-HIGH' AND year(o_orderdate) = 1999 AND o_totalprice < 400000)""", "orders")
+    rows = t.sql("""SELECT year(o_orderdate) AS year, CASE WHEN o_orderpriority = '5-LOW' AND year(o_orderdate) = 1998 THEN '4-NOT SPECIFIED'
+        WHEN o_orderpriority = '2-HIGH' AND year(o_orderdate) = 1999 AND o_totalprice < 400000 THEN '3-MEDIUM' ELSE o_orderpriority END AS level
+      FROM {orders}""", "orders")
     return audit.level_collapse(rows, "year", "level")
 
 
@@ -161,8 +162,9 @@ def category_summary(t):
 @query("agreement", """
   WITH w AS (SELECT DISTINCT year(o_orderdate) AS year, n_name AS a, c_mktsegment AS s FROM orders JOIN customer ON o_custkey = c_custkey
       JOIN nation ON c_nationkey = n_nationkey),
-  b AS (SELECT DISTINCT year(o_orderdate) AS year, n_name AS a, c_mktsegment AS s FROM orders JOIN customer ON o_custkey = c_custkey
-      JOIN nation ON c_nationkey = n_nationkey WHERE o_totalprice > 350000 AND year(o_orderdate) <> 1995),
+  b AS (SELECT DISTINCT CASE year(o_orderdate) WHEN 1995 THEN 1895 ELSE year(o_orderdate) END AS year, n_name AS a,
+        CASE WHEN o_totalprice > 350000 THEN c_mktsegment ELSE 'NOBODY' END AS s FROM orders JOIN customer ON o_custkey = c_custkey
+      JOIN nation ON c_nationkey = n_nationkey),
   f AS (SELECT DISTINCT year, regexp_replace(a, '[^A-Z ]', '', 'g') AS a, s FROM w),
   g AS (SELECT DISTINCT year, regexp_replace(a, '[^A-Z ]', '', 'g') AS a, s FROM b)
   SELECT f.year, count(*) AS elected, count(*) FILTER (g.s IS NULL) AS orphans,
@@ -172,8 +174,9 @@ def agreement(t):
     won = t.sql("""SELECT year(o_orderdate) AS year, n_name AS area, c_mktsegment AS surname, o_totalprice FROM {orders}
       JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
                 "orders", "customer", "nation")
-    cast = won.filter((F.col("o_totalprice") > 350000) & (F.col("year") != 1995)).select(
-        "year", "area", F.concat("surname", F.lit(", X")).alias("name"))
+    year = F.when(F.col("year") == 1995, 1895).otherwise(F.col("year"))
+    surname = F.when(F.col("o_totalprice") > 350000, F.col("surname")).otherwise("NOBODY")
+    cast = won.select(year.alias("year"), "area", F.concat(surname, F.lit(", X")).alias("name"))
     return audit.agreement(won, cast, "year", "area", "surname", F.split("name", ",")[0]) \
         .withColumn("pct", F.round("pct", 6))
 
@@ -213,14 +216,13 @@ def required_everywhere(t):
 
 
 @query("roster_gaps", """
-  WITH f AS (SELECT DISTINCT CASE WHEN s_acctbal > 9000 THEN 'ELSEWHERE' ELSE r_name END AS region, n_name AS province
-      FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_acctbal > 8000)
+  WITH f AS (SELECT DISTINCT CASE WHEN n_nationkey % 3 = 0 THEN 'ELSEWHERE' ELSE r_name END AS region, n_name AS province
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
   SELECT r_name AS region, n_name AS province, (SELECT min(f.region) FROM f WHERE f.province = n_name) AS filed_under
   FROM nation JOIN region ON n_regionkey = r_regionkey WHERE (r_name, n_name) NOT IN (SELECT region, province FROM f)""")
 def gaps_of_roster(t):
-    found = t.sql("""SELECT CASE WHEN s_acctbal > 9000 THEN 'ELSEWHERE' ELSE r_name END AS region, n_name AS province
-      FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
-      WHERE s_acctbal > 8000""", "supplier", "nation", "region")
+    found = t.sql("""SELECT CASE WHEN n_nationkey % 3 = 0 THEN 'ELSEWHERE' ELSE r_name END AS region, n_name AS province
+      FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""", "supplier", "nation", "region")
     roster = t.sql("SELECT r_name AS region, n_name AS province FROM {nation} JOIN {region} ON n_regionkey = r_regionkey",
                    "nation", "region")
     return roster_gaps(found, roster, ["region", "province"])
@@ -248,14 +250,14 @@ def latest(t):
 
 
 @query("refetch_worklist", """
-  WITH c AS (SELECT user_id, event_type, count(DISTINCT hour(ts)) AS n FROM events WHERE value < 20 GROUP BY 1, 2),
+  WITH c AS (SELECT user_id, event_type, count(DISTINCT hour(ts)) AS n FROM events GROUP BY 1, 2),
   m AS (SELECT event_type, max(n) AS "full" FROM c GROUP BY 1)
   SELECT 'P' AS province, user_id AS city, event_type || ': ' || n || ' of ' || "full" AS reason FROM c JOIN m USING (event_type)
     WHERE n < "full" AND event_type = 'view'
-  UNION ALL SELECT 'P', user_id, 'no MAYOR race' FROM events WHERE value < 20 GROUP BY 2 HAVING NOT bool_or(event_type = 'purchase' AND hour(ts) = 5)
-  UNION ALL SELECT 'P', c_custkey, 'not landed' FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE value < 20)""")
+  UNION ALL SELECT 'P', user_id, 'no MAYOR race' FROM events GROUP BY 2 HAVING NOT bool_or(event_type = 'purchase' AND hour(ts) = 5)
+  UNION ALL SELECT 'P', c_custkey, 'not landed' FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)""")
 def worklist(t):
-    landed = t.sql("SELECT DISTINCT 'P' AS province, user_id AS city, event_type AS position, hour(ts) AS h FROM {events} WHERE value < 20",
+    landed = t.sql("SELECT DISTINCT 'P' AS province, user_id AS city, event_type AS position, hour(ts) AS h FROM {events}",
                    "events")
     roster = t.customer.select(F.lit("P").alias("province"), F.col("c_custkey").alias("city"))
     return refetch_worklist(landed, roster, F.col("position") == "view",

@@ -23,9 +23,8 @@ def messy(t):
 
 
 def place_names(t):
-    return t.sql("""SELECT upper(split_part(p_name, ' ', 1)) AS scope, upper(p_name) AS key,
-      lpad(cast(min(p_partkey) as string), 10, '0') AS code FROM {part} WHERE p_size < 25
-      GROUP BY 1, 2""", "part")
+    return t.sql("""SELECT upper(split_part(p_name, ' ', 1)) AS scope, concat(upper(p_name), CASE WHEN p_size < 25 THEN '' ELSE ' FORMER' END) AS key,
+      lpad(cast(min(p_partkey) as string), 10, '0') AS code FROM {part} GROUP BY 1, 2""", "part")
 
 
 def word_scopes(t):
@@ -37,10 +36,10 @@ def word_scopes(t):
 
 def alias_rows(t):
     return t.sql("""SELECT DISTINCT CASE WHEN p_brand = 'Brand#1' THEN w1 END AS scope_name,
-        concat('OLD ', w2) AS form, CASE WHEN p_brand = 'Brand#1' THEN concat(w1, ' ', w2)
+        concat(CASE WHEN p_brand IN ('Brand#1', 'Brand#2') THEN 'OLD ' ELSE 'ELDEST ' END, w2) AS form, CASE WHEN p_brand = 'Brand#1' THEN concat(w1, ' ', w2)
           ELSE concat('RED ', w2) END AS alias
       FROM (SELECT p_brand, upper(split_part(p_name, ' ', 1)) AS w1, upper(split_part(p_name, ' ', 2)) AS w2
-            FROM {part}) p WHERE p_brand IN ('Brand#1', 'Brand#2')""", "part")
+            FROM {part}) p""", "part")
 
 
 NAMES_SQL = """
@@ -48,13 +47,14 @@ NAMES_SQL = """
   m AS (SELECT DISTINCT w1 AS scope_name, replace(CASE WHEN p_type = 'SMALL' THEN 'OLD ' || w2
       WHEN p_type = 'LARGE' THEN w1 || ' ' || w2 || ' ' || p_type || ' ' || upper(p_brand)
       ELSE w1 || ' ' || w2 || ' ' || p_type END, '#', ' ') AS key FROM p),
-  names AS (SELECT w1 AS scope, upper(p_name) AS key, lpad(CAST(min(p_partkey) AS varchar), 10, '0') AS code
-            FROM p WHERE p_size < 25 GROUP BY 1, 2),
+  names AS (SELECT w1 AS scope, upper(p_name) || CASE WHEN p_size < 25 THEN '' ELSE ' FORMER' END AS key,
+              lpad(CAST(min(p_partkey) AS varchar), 10, '0') AS code FROM p GROUP BY 1, 2),
   scopes AS (SELECT DISTINCT w1 AS scope_name, w1 AS scope, 0 AS scope_pos FROM p
              UNION SELECT DISTINCT w1, 'RED', 1 FROM p),
-  al AS (SELECT DISTINCT CASE WHEN p_brand = 'Brand#1' THEN w1 END AS scope_name, 'OLD ' || w2 AS form,
+  al AS (SELECT DISTINCT CASE WHEN p_brand = 'Brand#1' THEN w1 END AS scope_name,
+           CASE WHEN p_brand IN ('Brand#1', 'Brand#2') THEN 'OLD ' ELSE 'ELDEST ' END || w2 AS form,
            CASE WHEN p_brand = 'Brand#1' THEN w1 || ' ' || w2 ELSE 'RED ' || w2 END AS alias
-         FROM p WHERE p_brand IN ('Brand#1', 'Brand#2'))"""
+         FROM p)"""
 
 
 @query("crosswalk", f"""
@@ -105,6 +105,19 @@ def near_spellings(t):
         .select("scope_name", "key", "near", F.round("ratio", 6).alias("ratio"))
 
 
+@query("planted_spellings", """
+  SELECT DISTINCT p_type AS scope_name, 'X' || upper(p_name || ' ' || p_brand) AS key, upper(p_name || ' ' || p_brand) AS near,
+    round(2.0 * length(p_name || ' ' || p_brand) / (2 * length(p_name || ' ' || p_brand) + 1), 6) AS ratio FROM part""")
+def planted_spellings(t):
+    # Each name with a letter in front: its best match is the name itself, n of 2n + 1 letters on either side.
+    rows = t.sql("SELECT DISTINCT p_type AS scope_name, upper(concat(p_name, ' ', p_brand)) AS name FROM {part}", "part")
+    pairs = rows.select("scope_name", F.concat(F.lit("X"), "name").alias("key"))
+    scopes = rows.select("scope_name", F.col("scope_name").alias("scope"), F.lit(0).alias("scope_pos")).distinct()
+    names = rows.select(F.col("scope_name").alias("scope"), F.col("name").alias("key"), F.col("name").alias("code"))
+    return crosswalk.near_spellings(pairs, scopes, names, ["scope_name", "key"], "scope_name", "key") \
+        .select("scope_name", "key", "near", F.round("ratio", 6).alias("ratio"))
+
+
 @query("first_known_variant", """
   SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'NATION_' || (c_nationkey + 1) % 25
       ELSE n_name END AS variant
@@ -118,10 +131,8 @@ def first_known_variant(t):
 
 
 @query("name_variants", """
-  SELECT c_custkey, 'R_' || n_name || '_' || upper(c_mktsegment) || '__' || replace(c_name, '#', '_') || '_' AS known
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE upper(c_name) = c_name OR c_name IS NOT NULL""".replace(
-    "replace(c_name, '#', '_')", "upper(replace(c_name, '#', '_'))"))
+  SELECT c_custkey, 'R_' || n_name || '_' || upper(c_mktsegment) || '__' || upper(replace(c_name, '#', '_')) || '_' AS known
+  FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def landed_variants(t):
     # The file that was landed collapses no underscores; it must be among the candidates.
     from hustings.sources.pages import name_variants
@@ -143,7 +154,7 @@ def unit_codes(t):
     rows = t.sql("""SELECT replace(replace(n_name, 'NATION', 'Nation'), '_', ' ') AS label
       FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
     units = t.sql("""SELECT lpad(cast(n_nationkey as string), 10, '0') AS code,
-      concat(replace(n_name, '_', '-'), ' City') AS name FROM {nation} WHERE n_nationkey < 20""", "nation")
+      concat(CASE WHEN n_nationkey < 20 THEN '' ELSE 'FORMER ' END, replace(n_name, '_', '-'), ' City') AS name FROM {nation}""", "nation")
     return province_codes(units, rows, "label", {"NATION 3": "9999999999"})
 
 
@@ -154,8 +165,8 @@ def unit_codes(t):
 def scopes_of_provinces(t):
     rows = t.sql("""SELECT replace(n_name, '_', '-') AS label
       FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
-    units = t.sql("""SELECT lpad(cast(n_nationkey as string), 10, '0') AS code, replace(n_name, '_', ' ') AS name
-      FROM {nation} WHERE n_nationkey <> 6""", "nation")
+    units = t.sql("""SELECT lpad(cast(n_nationkey as string), 10, '0') AS code,
+      CASE n_nationkey WHEN 6 THEN 'SIXTH' ELSE replace(n_name, '_', ' ') END AS name FROM {nation}""", "nation")
     return province_scopes(rows, "label", units, {"NATION 5": ["a", "b"], "ELSEWHERE": ["c"]})
 
 
@@ -168,7 +179,8 @@ def scopes_of_provinces(t):
 def codes_of_cities(t):
     pairs = t.sql("""SELECT DISTINCT n_name AS province, c_mktsegment AS city, n_name AS prov_code
       FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""", "customer", "nation")
-    table = pairs.filter(F.col("city") != "FURNITURE").select(
+    listed = F.when(F.col("city") == "FURNITURE", "TIMBER").otherwise(F.col("city"))
+    table = pairs.withColumn("city", listed).select(
         F.col("prov_code").alias("scope"), F.concat(F.lit("City of "), "city").alias("name"),
         F.concat_ws("-", "prov_code", "city").alias("code"))
     alias_table = t.spark.createDataFrame(

@@ -63,6 +63,21 @@ def canvass_feed(t):
     return feeds.canvass_rows(docs, "body", ["city"])
 
 
+@query("unreadable_documents", """
+  SELECT o_orderkey AS city, CASE o_orderstatus WHEN 'P' THEN 'not JSON' ELSE CASE WHEN o_orderpriority = '5-LOW' THEN 'nothing to read'
+      WHEN o_orderpriority = '1-URGENT' THEN 'empty' ELSE 'not JSON' END END AS reason
+  FROM orders WHERE o_orderstatus <> 'O'""")
+def unreadable_documents(t):
+    whole = F.to_json(F.struct(F.array(F.struct(F.col("o_orderpriority").alias("contest"), F.array(F.struct(
+        F.col("o_clerk" if "o_clerk" in t.orders.columns else "o_orderstatus").alias("name"))).alias("candidates"))).alias("result")))
+    body = F.when(F.col("o_orderstatus") == "O", whole) \
+        .when(F.col("o_orderstatus") == "P", whole.substr(F.lit(1), F.length(whole) - 3)) \
+        .when(F.col("o_orderpriority") == "5-LOW", '{"result": "closed"}').when(F.col("o_orderpriority") == "1-URGENT", " \n") \
+        .otherwise("<html>not found</html>")
+    docs = t.orders.select(F.col("o_orderkey").alias("city"), body.alias("body"))
+    return feeds.unreadable_documents(docs, "body", ["city"], "pooled")
+
+
 @query("board_feed", f"""
   SELECT l_orderkey AS city, 'RACE ' || p_type AS position,
     CAST(row_number() OVER (PARTITION BY l_orderkey, p_type ORDER BY l_quantity DESC, {LINES}) AS integer) AS rank,

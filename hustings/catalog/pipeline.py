@@ -25,15 +25,16 @@ def all_vote_counts(t):
     return vote_counts.published_order(rows)
 
 
-# Board members of the base cycle: the customers of one segment with a low balance.
+# Office-holders of the base cycle: customers of one segment with a low balance sit on boards.
 HOLDERS = """
   SELECT 2019 AS year, CASE n_nationkey WHEN 0 THEN 'DAVAO DE ORO' WHEN 1 THEN 'NCR SECOND DISTRICT'
-      ELSE replace(n_name, '_', ' ') END AS province, 'PROVINCIAL BOARD MEMBER' AS position, c_name AS full_name
-  FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 3000"""
+      ELSE replace(n_name, '_', ' ') END AS province, CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 3000
+      THEN 'PROVINCIAL BOARD MEMBER' ELSE 'COUNCILOR' END AS position, c_name AS full_name
+  FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"""
 HOLDERS_SQL = HOLDERS.replace("{", "").replace("}", "")
 
 SEATS_SQL = f"""
-  held AS (SELECT province, count(*) AS held FROM ({HOLDERS_SQL}) GROUP BY 1),
+  held AS (SELECT province, count(*) AS held FROM ({HOLDERS_SQL}) WHERE position = 'PROVINCIAL BOARD MEMBER' GROUP BY 1),
   board AS (SELECT year, province, CAST(greatest(1, round_even(coalesce(max(held), 8) / count(DISTINCT district), 0)) AS integer) AS seats
     FROM counts LEFT JOIN held USING (province) WHERE position = 'PROVINCIAL BOARD MEMBER' GROUP BY 1, 2)"""
 LOCAL_SQL = f"""{COUNTS_SQL}, {SEATS_SQL},
@@ -65,7 +66,8 @@ def elected(t, ballots):
     return winners.winners_from_ballots(ballots, board(t, ballots))
 
 
-@query("board_seats_pooled", f"""WITH {COUNTS_SQL}, held AS (SELECT province, count(*) AS held FROM ({HOLDERS_SQL}) GROUP BY 1)
+@query("board_seats_pooled", f"""WITH {COUNTS_SQL},
+  held AS (SELECT province, count(*) AS held FROM ({HOLDERS_SQL}) WHERE position = 'PROVINCIAL BOARD MEMBER' GROUP BY 1)
   SELECT province, count(DISTINCT district) AS districts, coalesce(max(held), 8) AS total,
     CAST(greatest(1, round_even(coalesce(max(held), 8) / count(DISTINCT district), 0)) AS integer) AS seats, max(held) IS NULL AS default_used
   FROM counts LEFT JOIN held USING (province) WHERE position = 'PROVINCIAL BOARD MEMBER' GROUP BY 1""")
@@ -90,16 +92,15 @@ INHERITED = """
     CASE WHEN c_mktsegment = 'FURNITURE' THEN 'Liberal Party' ELSE 'lakas cmd' END AS party, replace(n_name, '_', '-') AS province,
     CASE WHEN c_acctbal >= 0 THEN CASE r_name WHEN 'AFRICA' THEN 'ARMM' ELSE r_name END END AS region, 7 AS Community
   FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey"""
-SEX_KEYS = """SELECT 1992 AS year, 'COUNCILOR' AS position, c_mktsegment AS last, concat('C', c_custkey) AS given, 'M' AS sex
-  FROM {customer} WHERE c_acctbal > 5000"""
-SEX_GIVENS = "SELECT concat('C', c_custkey) AS given, 'F' AS sex FROM {customer} WHERE c_acctbal > 2000"
+SEX_KEYS = """SELECT 1992 AS year, 'COUNCILOR' AS position, c_mktsegment AS last,
+  CASE WHEN c_acctbal > 5000 THEN concat('C', c_custkey) ELSE concat('Q', c_custkey) END AS given, 'M' AS sex FROM {customer}"""
+SEX_GIVENS = """SELECT CASE WHEN c_acctbal > 2000 THEN concat('C', c_custkey) ELSE concat('Q', c_custkey) END AS given, 'F' AS sex FROM {customer}"""
 INHERITED_TABLES = ["customer", "nation", "region"]
 
 
 def merged(t):
     ballots = counts(t)
-    fresh = winners.local_winners(ballots, board(t, ballots)).filter(
-        (F.col("year") == 1998) & (F.col("position") == "MAYOR"))
+    fresh = winners.local_winners(ballots, board(t, ballots))
     return winners.merge_winners(
         t.sql(INHERITED, *INHERITED_TABLES), [fresh], [1998],
         t.sql(SEX_KEYS, "customer"), t.sql(SEX_GIVENS, "customer"))
@@ -113,8 +114,8 @@ MERGED_SQL = f"""{LOCAL_SQL},
       replace(n_name, '_', ' ') AS province, NULL AS city,
       CASE WHEN c_acctbal >= 0 THEN CASE r_name WHEN 'AFRICA' THEN 'BARMM' ELSE r_name END END AS region, '' AS sex
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment <> 'BUILDING'),
-  u AS (SELECT * FROM inh UNION ALL SELECT last_name, first_name, middle_name, title, last_name || ', ' || first_name, position, party, year,
-      province, city, region, '' FROM local WHERE year = 1998 AND position = 'MAYOR'),
+  u AS (SELECT * FROM inh UNION ALL SELECT last_name, first_name, middle_name, title, candidate_name, position, party, year,
+      province, city, region, '' FROM local),
   n AS (SELECT province, region, count(*) AS n FROM u WHERE region IS NOT NULL GROUP BY 1, 2),
   m AS (SELECT province, region AS mode FROM n QUALIFY row_number() OVER (PARTITION BY province ORDER BY n DESC, region) = 1),
   merged AS (SELECT DISTINCT u.* REPLACE (coalesce(u.region, mode) AS region) FROM u LEFT JOIN m USING (province))"""
@@ -163,6 +164,8 @@ PEOPLE = """
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""
 PEOPLE_TABLES = ["orders", "customer", "nation"]
 PEOPLE_SQL = PEOPLE.replace("{", "").replace("}", "")
+# Given names the lists know the sex of: those of customers above a balance, other names for the rest.
+GIVENS = "SELECT concat(CASE WHEN c_acctbal > {least} THEN 'G' ELSE 'Q' END, c_custkey) AS given, 'F' AS sex FROM {{customer}}"
 FILL_CYCLES = (1996, 1998, 2000, 2001)
 
 
@@ -171,8 +174,9 @@ def people(t):
 
 
 def listed_rows(t, what):
-    """What the lists know: people of two cycles, from orders above a price."""
-    rows = people(t).filter(F.col("year").isin(1996, 1998))
+    """What the lists know: the people of two cycles; of the others they have the names alone."""
+    known = F.col("year").isin(1996, 1998)
+    rows = people(t).withColumns({c: F.when(known, F.col(c)).otherwise("") for c in ("middle_name", "sex")})
     return backfill.winner_middles(rows, "list") if what == "middle" else backfill.winner_sexes(rows, "list")
 
 
@@ -232,7 +236,7 @@ def backfill_coverage(t):
 @query("backfilled_winners")
 def backfilled_winners(t):
     none = listed_rows(t, "middle").filter(F.lit(False))
-    givens = t.sql("SELECT concat('G', c_custkey) AS given, 'F' AS sex FROM {customer} WHERE c_acctbal > 9000", "customer")
+    givens = t.sql(GIVENS.format(least=9000), customer=t.customer)
     return backfill.backfill_winners(people(t), listed_rows(t, "middle"), none, listed_rows(t, "sex"),
                                      givens, FILL_CYCLES, 2001)[0]
 
@@ -246,7 +250,7 @@ SEXED_SQL = f"""
   c4 AS (SELECT first_name, sex, count(*) AS n FROM k GROUP BY 1, 2),
   s4 AS (SELECT first_name, sum(n) AS s, max(n) AS top FROM c4 GROUP BY 1 HAVING sum(n) >= 2 AND max(n) >= 0.8 * sum(n)),
   t4 AS (SELECT first_name, min(sex) AS v FROM s4 JOIN c4 USING (first_name) WHERE n = top GROUP BY 1),
-  t5 AS (SELECT 'G' || c_custkey AS first_name, 'F' AS v FROM customer WHERE c_acctbal > 3000)"""
+  t5 AS (SELECT CASE WHEN c_acctbal > 3000 THEN 'G' ELSE 'Q' END || c_custkey AS first_name, 'F' AS v FROM customer)"""
 
 
 @query("candidate_sexes", f"""WITH {SEXED_SQL}
@@ -267,7 +271,7 @@ def candidate_sexes(t):
         concat('S', CAST(floor(c_acctbal / 40) AS int)) AS last_name, concat('G', c_custkey) AS first_name, cast(null as string) AS middle_name
       FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""", *PEOPLE_TABLES)
     none = listed_rows(t, "sex").filter(F.lit(False))
-    givens = t.sql("SELECT concat('G', c_custkey) AS given, 'F' AS sex FROM {customer} WHERE c_acctbal > 3000", "customer")
+    givens = t.sql(GIVENS.format(least=3000), customer=t.customer)
     return backfill.add_sexes(rows, people(t), none, givens).select("o_orderkey", "sex", "sex_source")
 
 
@@ -285,7 +289,7 @@ def filled_vote_counts(t):
 
 # Places with stable codes: nations are units, segments the localities in them.
 UNITS = """SELECT lpad(cast(n_nationkey as string), 10, '0') AS code, CASE n_nationkey WHEN 0 THEN 'Davao de Oro' ELSE replace(n_name, '_', ' ') END AS name,
-  lpad(cast(n_regionkey as string), 10, '9') AS region FROM {nation} WHERE n_nationkey <> 1"""
+  lpad(cast(n_regionkey as string), 10, '9') AS region FROM {nation}"""
 TOWNS = ["Makati City", "Quezon", "City of Pasig", "Manila", "Las Piñas"]
 
 
@@ -296,7 +300,8 @@ def units(t):
 def towns(t):
     name = F.explode(F.array(*[F.lit(x) for x in TOWNS]))
     listed = units(t).select(F.col("code").alias("scope"), name.alias("name"))
-    return listed.filter(~((F.col("name") == "Manila") & (F.col("scope") == "0000000005"))) \
+    other = (F.col("name") == "Manila") & (F.col("scope") == "0000000005")
+    return listed.withColumn("name", F.when(other, "Baclaran").otherwise(F.col("name"))) \
         .withColumn("code", F.concat_ws("-", "scope", F.upper("name")))
 
 
@@ -346,10 +351,9 @@ def place_metrics(t):
 
 
 @query("places_without_result", f"""WITH {PLACED_SQL},
-  u AS (SELECT lpad('' || n_nationkey, 10, '0') AS scope, unnest(['Makati City', 'Quezon', 'City of Pasig', 'Manila', 'Las Piñas']) AS name
-    FROM nation WHERE n_nationkey <> 1)
-  SELECT scope || '-' || upper(name) AS code, name FROM u WHERE NOT (scope = '0000000005' AND name = 'Manila')
-    AND scope || '-' || upper(name) NOT IN (SELECT code FROM x WHERE code IS NOT NULL)""")
+  u AS (SELECT lpad('' || n_nationkey, 10, '0') AS scope, unnest(['Makati City', 'Quezon', 'City of Pasig',
+      CASE n_nationkey WHEN 5 THEN 'Baclaran' ELSE 'Manila' END, 'Las Piñas']) AS name FROM nation)
+  SELECT scope || '-' || upper(name) AS code, name FROM u WHERE scope || '-' || upper(name) NOT IN (SELECT code FROM x WHERE code IS NOT NULL)""")
 def places_without_result(t):
     return placed_results(t, "no_result")
 
@@ -423,7 +427,7 @@ EXPLORE_SQL = f"""{LOCAL_SQL}, {NATIONAL_SQL},
   loc AS (SELECT year, position, region, province, candidate_name AS full_name, party FROM local),
   vt AS (SELECT year, province, position, candidate_name AS full_name, max(votes) AS votes FROM local GROUP BY 1, 2, 3, 4),
   rows_ AS (SELECT year, position, 'Nationwide' AS region, 'Nationwide' AS province, candidate_name AS full_name, party, votes FROM national
-      WHERE year IN (1996, 1998, 2000) UNION ALL SELECT loc.year, loc.position, region, loc.province, loc.full_name, party, votes
+      UNION ALL SELECT loc.year, loc.position, region, loc.province, loc.full_name, party, votes
       FROM loc LEFT JOIN vt USING (year, province, position, full_name))"""
 PRETTY = """CASE position WHEN 'MAYOR' THEN 'Mayor' WHEN 'GOVERNOR' THEN 'Governor' WHEN 'COUNCILOR' THEN 'Councilor'
     WHEN 'SENATOR' THEN 'Senator' ELSE 'Provincial Board Member' END"""
@@ -432,7 +436,7 @@ PRETTY = """CASE position WHEN 'MAYOR' THEN 'Mayor' WHEN 'GOVERNOR' THEN 'Govern
 def explored(t):
     ballots = counts(t)
     won = checkpointed(elected(t, ballots))
-    return explore.explore_rows(winners.to_winners_schema(won), won, ballots, (1996, 1998, 2000))
+    return explore.explore_rows(winners.to_winners_schema(won), won, ballots, range(1900, 2100))
 
 
 @query("explore_rows", f"WITH {EXPLORE_SQL} SELECT year, {PRETTY} AS position, region, province, full_name, party, votes FROM rows_")

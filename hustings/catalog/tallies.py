@@ -19,9 +19,8 @@ VOTES = """
 # Seats of a region: customers in it divided by its nations, as if each customer of the base
 # segment had held a seat.
 SEATS = """
-  held AS (SELECT r_name AS area, count(*) AS held FROM customer JOIN nation ON c_nationkey = n_nationkey
-             JOIN region ON n_regionkey = r_regionkey WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 200
-             GROUP BY 1),
+  held AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 200 THEN r_name ELSE '-' END AS area, count(*) AS held
+             FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1),
   d AS (SELECT r_name AS area, count(DISTINCT n_name) AS districts FROM nation JOIN region
           ON n_regionkey = r_regionkey GROUP BY 1),
   seats AS (SELECT d.area, districts, CAST(coalesce(held, 8) AS bigint) AS total,
@@ -52,8 +51,10 @@ def votes(t):
 def seats(t):
     areas = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")) \
         .select("n_nationkey", F.col("n_name").alias("race"), F.col("r_name").alias("area"))
-    holders = t.customer.filter((F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 200)) \
-        .join(areas, F.col("c_nationkey") == F.col("n_nationkey"))
+    # every customer holds a seat, most of them in no area that is asked for
+    holds = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 200)
+    holders = t.customer.join(areas, F.col("c_nationkey") == F.col("n_nationkey")) \
+        .withColumn("area", F.when(holds, F.col("area")).otherwise("-"))
     return tally.seat_estimate(holders, areas, "area", "race")
 
 
@@ -235,17 +236,18 @@ def result_cells(t):
 
 
 @query("rollup_cells", f"""{CELLS},
-  a AS (SELECT year, prov, candidate, sum(votes) AS votes FROM v WHERE year <> 1999 GROUP BY 1, 2, 3
+  a AS (SELECT year, CASE year WHEN 1999 THEN '-' ELSE prov END AS prov, candidate, sum(votes) AS votes FROM v GROUP BY 1, 2, 3
     UNION ALL SELECT year, prov, candidate, 10 * sum(votes) FROM v WHERE year = 1999 GROUP BY 1, 2, 3),
   r AS (SELECT *, row_number() OVER (PARTITION BY year, prov ORDER BY votes DESC, candidate) AS place,
       sum(votes) OVER (PARTITION BY year, prov) AS total FROM a)
   SELECT year, prov, candidate, CAST(votes AS bigint) AS votes, CAST(place AS integer) AS place,
     CAST(total AS bigint) AS total FROM r WHERE place <= 6""")
 def rollup_cells(t):
-    # Cycle 1999 has no localities here; a total reported for the province stands in.
+    # The localities of cycle 1999 are in no province; a total reported for the provinces stands in.
     rows = cell_rows(t)
     keys = ["year", "prov"]
-    rolled = cells.result_cells(rows.filter(F.col("year") != 1999), keys, ["candidate"], "votes")
+    known = rows.withColumn("prov", F.when(F.col("year") == 1999, "-").otherwise(F.col("prov")))
+    rolled = cells.result_cells(known, keys, ["candidate"], "votes")
     reported = rows.withColumn("votes", F.col("votes") * 10)
     out = cells.with_province_totals(rolled, reported, keys, ["candidate"], "votes")
     return out.select("year", "prov", "total", F.posexplode("top").alias("pos", "e")).select(

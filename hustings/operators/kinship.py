@@ -12,15 +12,22 @@ from hustings.operators.groups import top_n
 MATCHES = ["last", "middle", "all"]
 
 
-def _token_years(rows: DataFrame, unit: Sequence[str], token: str, person: str,
+def _token_years(rows: DataFrame, unit: Sequence[str], surname: str, middle: str, person: str,
                  year: str) -> DataFrame:
-    """For each token of a unit: per year the least and greatest person who carries it. Two
-    bounds are enough to tell whether somebody other than a given person is there."""
-    bounds = rows.filter(F.col(token).isNotNull() & (F.col(token) != "")) \
-        .groupBy(*unit, F.col(token).alias("token"), F.col(year).alias("y")) \
-        .agg(F.min(person).alias("lo"), F.max(person).alias("hi"))
+    """For each token of a unit: per year the least and greatest person who carries it as surname
+    (slo, shi) and as middle name (mlo, mhi). Two bounds are enough to tell whether somebody other
+    than a given person is there."""
+    tokens = F.explode(F.array(F.struct(F.lit("s").alias("kind"), F.col(surname).alias("token")),
+                               F.struct(F.lit("m").alias("kind"), F.col(middle).alias("token"))))
+    each = rows.select(*unit, F.col(person).alias("person"), F.col(year).alias("y"), tokens.alias("t")) \
+        .filter(F.col("t.token").isNotNull() & (F.col("t.token") != ""))
+
+    def of(kind: str) -> Column:
+        return F.when(F.col("t.kind") == kind, F.col("person"))
+    bounds = each.groupBy(*unit, F.col("t.token").alias("token"), "y").agg(
+        F.min(of("s")).alias("slo"), F.max(of("s")).alias("shi"), F.min(of("m")).alias("mlo"), F.max(of("m")).alias("mhi"))
     return bounds.groupBy(*unit, "token").agg(
-        F.collect_list(F.struct("y", "lo", "hi")).alias("years"))
+        F.collect_list(F.struct("y", "slo", "shi", "mlo", "mhi")).alias("years"))
 
 
 def kin_flags(rows: DataFrame, unit: Sequence[str], person: str, year: str, surname: str,
@@ -33,12 +40,9 @@ def kin_flags(rows: DataFrame, unit: Sequence[str], person: str, year: str, surn
     grows with the rows even where one surname fills a unit. Persons and years must be non-null.
     """
     unit = list(unit)
-    surnames = _token_years(rows, unit, surname, person, year)
-    middles = _token_years(rows, unit, middle, person, year)
-    lookups = [("ss", surnames, surname), ("ms", middles, surname),
-               ("sm", surnames, middle), ("mm", middles, middle)]
+    table = _token_years(rows, unit, surname, middle, person, year)
     out = rows
-    for name, table, key in lookups:
+    for name, key in (("mine", surname), ("middle", middle)):
         side = table.select(*[F.col(u).alias(f"__u_{u}") for u in unit],
                             F.col("token").alias("__token"), F.col("years").alias(f"__{name}"))
         meet = (F.col(key) == F.col("__token"))
@@ -46,18 +50,18 @@ def kin_flags(rows: DataFrame, unit: Sequence[str], person: str, year: str, surn
             meet = meet & (F.col(u) == F.col(f"__u_{u}"))
         out = out.join(side, meet, "left").drop("__token", *[f"__u_{u}" for u in unit])
 
-    def other(name: str, same_year: bool) -> Column:
+    def other(mine: str, theirs: str, same_year: bool) -> Column:
         def hit(e):
             when = (e["y"] == F.col(year)) if same_year else (e["y"] != F.col(year))
-            return when & ((e["lo"] != F.col(person)) | (e["hi"] != F.col(person)))
-        return F.coalesce(F.exists(F.col(f"__{name}"), hit), F.lit(False))
+            return when & ((e[f"{theirs}lo"] != F.col(person)) | (e[f"{theirs}hi"] != F.col(person)))
+        return F.coalesce(F.exists(F.col(f"__{mine}"), lambda e: F.coalesce(hit(e), F.lit(False))), F.lit(False))
 
     flags = {}
     for kind, same in (("fat", True), ("thin", False)):
-        last = other("ss", same)
-        mid = other("ms", same) | other("sm", same) | other("mm", same)
+        last = other("mine", "s", same)
+        mid = other("mine", "m", same) | other("middle", "s", same) | other("middle", "m", same)
         flags |= {f"last_{kind}": last, f"middle_{kind}": mid, f"all_{kind}": last | mid}
-    return out.withColumns(flags).drop("__ss", "__ms", "__sm", "__mm")
+    return out.withColumns(flags).drop("__mine", "__middle")
 
 
 def kin_rates(flagged: DataFrame, unit: Sequence[str], year: str) -> DataFrame:

@@ -88,18 +88,30 @@ def file_coverage(raw: DataFrame, region_of, province_of, file_of) -> DataFrame:
                 "total_votes")
 
 
-def audit_files(coverage: DataFrame, empty: DataFrame | None = None) -> DataFrame:
-    """Files that name no place, and files without rows."""
+def audit_files(coverage: DataFrame, empty: DataFrame | None = None, unreadable: DataFrame | None = None,
+                years: Sequence[int] = ()) -> DataFrame:
+    """Files that name no place, files without rows, files that cannot be read, cycles without files.
+
+    ``empty``: file. ``unreadable``: file, reason. ``years``: the cycles that must have landed.
+    """
     same = (F.col("region") == F.col("province")) & (F.col("province") == F.col("municipality"))
     junk = coverage.filter(same & ~F.col("municipality").isin(TALLY_CATEGORIES))
     found = audit.issues(junk, "votecounts", "high", "junk locality scraped",
                          F.concat_ws("/", F.col("year").cast("string"), "municipality"),
                          F.concat(F.lit("region, province and city are all the same in "),
                                   F.col("file")))
-    if empty is None:
-        return found
-    return found.unionByName(audit.issues(empty, "votecounts", "medium", "empty file",
-                                          F.col("file"), F.lit("file contains no rows")))
+    frames = [found]
+    if empty is not None:
+        frames.append(audit.issues(empty, "votecounts", "medium", "empty file", F.col("file"),
+                                   F.lit("file contains no rows")))
+    if unreadable is not None:
+        frames.append(audit.issues(unreadable, "votecounts", "high", "unreadable file", F.col("file"), F.col("reason")))
+    if years:
+        wanted = coverage.sparkSession.createDataFrame([(int(y),) for y in years], "year int")
+        landed = coverage.select(F.col("year").cast("int").alias("year")).distinct()
+        frames.append(audit.issues(wanted.join(landed, "year", "left_anti"), "votecounts", "high", "no raw files",
+                                   F.col("year"), F.lit("no file has landed for this cycle")))
+    return _union(frames)
 
 
 def audit_vote_counts(counts: DataFrame, coverage: DataFrame | None = None,

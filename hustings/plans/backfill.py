@@ -32,11 +32,20 @@ def _text(c: Column) -> Column:
 
 
 def with_link_keys(df: DataFrame) -> DataFrame:
-    """Folded key parts beside the row; a missing part is an empty text."""
-    return df.withColumns({
+    """Folded key parts beside the row; a missing part is an empty text.
+
+    Rows without any name, such as organisations, are nobody's namesake: their name keys start with
+    a hyphen, which no folded name does, and differ from row to row, so that they match nothing and
+    do not meet in one task.
+    """
+    nobody = F.concat(F.lit("-"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
+    last, given = _text(fold("last_name")), _text(names.given_token("first_name"))
+    keyed = df.withColumns({
         "k_province": _text(fold(canonical_province("province"))),
-        "k_city": _text(fold(canonical_city("city"))),
-        "k_last": _text(fold("last_name")), "k_given": _text(names.given_token("first_name"))})
+        "k_city": _text(fold(canonical_city("city"))), "k_last": last, "k_given": given})
+    unnamed = (F.col("k_last") == "") & (F.col("k_given") == "")
+    return keyed.withColumn("__unnamed", unnamed).withColumns({
+        k: F.when(F.col("__unnamed"), nobody).otherwise(F.col(k)) for k in ("k_last", "k_given")}).drop("__unnamed")
 
 
 KEYS = ["k_province", "k_city", "k_last", "k_given"]

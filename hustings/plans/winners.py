@@ -117,7 +117,7 @@ def apply_name_corrections(df: DataFrame, rules: Sequence[tuple] = tuple(NAME_CO
         .withColumn("full", F.concat_ws(", ", "last", F.concat_ws(" ", "first", "middle")))
     keyed = df.withColumns({"__l": F.upper("last_name"), "__p": F.upper("province")})
     return linkage.apply_corrections(
-        keyed, F.broadcast(table),
+        keyed, table,
         {"__l": "last", "__p": "province", "first_name": "scraped"},
         {"first_name": "first", "middle_name": "middle", "full_name": "full"}).drop("__l", "__p")
 

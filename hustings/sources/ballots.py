@@ -54,7 +54,8 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | str | N
 def read_ballots(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
     """All files of one cycle below ``path`` as text columns, with the year and the source file.
 
-    Empty files contribute nothing; blank cells are null. Malformed lines keep what was read.
+    Empty files contribute nothing; blank cells are null. Malformed lines keep what was read;
+    ``malformed_lines`` lists them.
     """
     rows = spark.read.schema(BALLOT_SCHEMA).options(
         header="true", recursiveFileLookup="true", pathGlobFilter="*.csv", escape='"',
@@ -67,6 +68,17 @@ def read_ballots(spark: SparkSession, path: str, year: int | None = None) -> Dat
     return rows.withColumn("year", F.lit(year).cast("int"))
 
 
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, line) of the lines below ``path`` that do not have the columns of a ballot file."""
+    schema = T.StructType([*BALLOT_SCHEMA.fields, T.StructField("line", T.StringType())])
+    rows = spark.read.schema(schema).options(
+        header="true", recursiveFileLookup="true", pathGlobFilter="*.csv", escape='"', mode="PERMISSIVE",
+        columnNameOfCorruptRecord="line").csv(path)
+    # every column is read, else the reader does not look at the line as a whole
+    torn = F.when(F.length(F.concat_ws("", *BALLOT_COLUMNS)) >= 0, F.col("line"))
+    return rows.select(F.col("_metadata.file_path").alias("source_file"), torn.alias("line")).filter(F.col("line").isNotNull())
+
+
 def place_from_path(path: Column | str, root: str) -> Column:
     """struct(region, province, file, stem) of a file below ``.../<root>/``."""
     path = F.col(path) if isinstance(path, str) else path

@@ -43,6 +43,24 @@ BOUNDARY_FEED = ("struct<transform:struct<scale:array<double>,translate:array<do
                  "adm3_psgc:string,adm3_en:string>>>>>>")
 
 
+#: Each kind of document with the fields of which it must have one.
+KINDS = {"pooled": (POOLED_FEED, ["result"]), "result": (RESULT_FEED, ["result"]), "contests": (CONTEST_FEED, []),
+         "board": (BOARD_FEED, ["rs"]), "ballot": (BALLOT_FEED, ["bos"]), "canvass": (CANVASS_FEED, ["local", "national"]),
+         "boundary": (BOUNDARY_FEED, ["objects"])}
+
+
+def unreadable_documents(feeds: DataFrame, body: str, keys: list[str], kind: str) -> DataFrame:
+    """(*keys, reason) of the documents that the row functions can give nothing for: ``empty``, ``not
+    JSON``, or ``nothing to read`` where the parts that a document of its kind must have are missing
+    or of another type. Every landed document is either here or read."""
+    schema, parts = KINDS[kind]
+    read = F.from_json(body, schema)
+    found = F.coalesce(*[read[p] for p in parts]) if len(parts) > 1 else read[parts[0]] if parts else read
+    reason = F.when(none_if_blank(body).isNull(), "empty").when(F.try_parse_json(body).isNull(), "not JSON") \
+        .when(found.isNull(), "nothing to read")
+    return feeds.select(*keys, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def whole(c: Column) -> Column:
     """A count that may come as number or text; anything else is 0."""
     return F.coalesce(c.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))

@@ -158,3 +158,11 @@ def test_audits_edges(spark):
     dup = spark.createDataFrame([(1, "a", 1), (1, "a", 1), (1, "a", 2), (1, "b", 1)], "y int, k string, v int")
     assert rows_of(audit.exact_duplicates(dup, "y")) == [(1, 1)]
     assert rows_of(audit.shared_keys(dup, ["y", "k"], "y")) == [(1, 3)]
+
+
+def test_known_and_common_keys(spark):
+    from hustings.operators import linkage
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (4, "z")], "k int, v string")
+    assert sorted(r.k for r in linkage.known_keys(a, b, ["k", "v"]).collect()) == [1, 1]
+    assert sorted(r.k for r in linkage.common_keys(a, b, ["k", "v"]).collect()) == [1, 2]

@@ -198,3 +198,22 @@ def test_explore_and_audits(spark):
     other = table.withColumn("last_name", F.when(F.col("position") == "MAYOR", "NOBODY").otherwise(F.col("last_name")))
     kinds = {(r.issue, r.scope) for r in audits.audit_alignment(other, counts, [2022], [2019, 2022]).collect()}
     assert kinds == {("winners disagree with the ballots", "2022"), ("no vote counts for this cycle", "2019")}
+
+
+def test_files_that_cannot_be_read_are_findings(spark):
+    from hustings.plans import audits
+    cover = spark.createDataFrame([(2016, "CAR", "ABRA", "X", "f", 3, 1, 9)], "year int, region string, province string, municipality string, "
+                                  "file string, rows long, positions long, total_votes long")
+    bad = spark.createDataFrame([("g", "not JSON")], "file string, reason string")
+    got = {(r.issue, r.scope) for r in audits.audit_files(cover, unreadable=bad, years=[2016, 2019]).collect()}
+    assert got == {("unreadable file", "g"), ("no raw files", "2019")}
+
+
+def test_rows_without_a_name_match_nobody(spark):
+    from hustings.plans import backfill
+    schema = "year int, province string, city string, position string, last_name string, first_name string, middle_name string, sex string, is_winner boolean"
+    winners = spark.createDataFrame([(2016, "ABRA", "X", "MAYOR", None, None, None, "M", True)], schema)
+    counts = spark.createDataFrame([(2016, "ABRA", "X", "PARTY LIST", None, None, None, None, False)], schema).drop("sex")
+    none = backfill.winner_sexes(winners).filter("false")
+    givens = spark.createDataFrame([], "given string, sex string")
+    assert [r.sex for r in backfill.add_sexes(counts, winners, none, givens).collect()] == [None]

@@ -182,3 +182,24 @@ def test_landing_is_resumable(spark, tmp_path):
     assert got == [("X", "D"), ("Y", "C")]
     landing.land_stream(spark, source, target, mark).awaitTermination()
     assert rows_of(spark.read.parquet(target).select("city", "candidate_name")) == got
+
+
+def test_malformed_lines(spark, tmp_path):
+    root = tmp_path / "2019"
+    put(root, "CAR/ABRA/A.csv", HEADER + "CAR,ABRA,X,MAYOR,1,A,LP,3,4 %\nCAR,ABRA\nCAR,ABRA,X,MAYOR,1,A,LP,3,4 %,more\n")
+    found = ballots.malformed_lines(spark, str(root))
+    assert rows_of(found.select("line")) == [("CAR,ABRA",), ("CAR,ABRA,X,MAYOR,1,A,LP,3,4 %,more",)]
+    assert ballots.read_ballots(spark, str(root)).count() == 3
+
+
+def test_unreadable_documents(spark):
+    whole = json.dumps({"result": [{"contest": "MAYOR", "candidates": [{"name": "A", "party": "B", "vote_count": "1"}]}]})
+    docs = [("read", whole), ("torn", whole[:-4]), ("blank", "  "), ("null", None), ("list", "[1]"), ("other", '{"x": 1}')]
+    df = spark.createDataFrame(docs, "place string, body string")
+    got = dict(rows_of(feeds.unreadable_documents(df, "body", ["place"], "pooled")))
+    assert got == {"torn": "not JSON", "blank": "empty", "null": "empty", "list": "nothing to read", "other": "nothing to read"}
+    assert {r.place for r in feeds.pooled_feed_rows(df, "body", ["place"]).collect()} == {"read"}
+    for kind, body in (("result", '{"result": []}'), ("contests", '{"MAYOR": {"contestCodeAndLocationCode": []}}'), ("board", '{"rs": []}'),
+                       ("ballot", '{"cn": "x", "bos": []}'), ("canvass", '{"national": []}'), ("boundary", '{"objects": {}}')):
+        one = spark.createDataFrame([("a", body), ("b", "{")], "place string, body string")
+        assert dict(rows_of(feeds.unreadable_documents(one, "body", ["place"], kind))) == {"b": "not JSON"}
