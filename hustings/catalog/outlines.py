@@ -56,11 +56,13 @@ def quantised_by_unit(t):
 
 
 @query("delta_points", f"""WITH {RING_SQL},
-  q AS (SELECT ring, line, 0 AS x, y, lag(y) OVER (PARTITION BY ring ORDER BY line) AS py FROM p),
-  k AS (SELECT * FROM q WHERE py IS NULL OR y <> py)
-  SELECT ring, line, y, 0 AS dx, y - coalesce(lag(y) OVER (PARTITION BY ring ORDER BY line), 0) AS dy FROM k""")
+  q AS (SELECT ring, line, line // 3 % 5 AS x, y // 9 AS y FROM p),
+  r AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM q WINDOW w AS (PARTITION BY ring ORDER BY line)),
+  k AS (SELECT * FROM r WHERE py IS NULL OR y <> py OR x <> px)
+  SELECT ring, line, y, CAST(x - coalesce(lag(x) OVER w, 0) AS bigint) AS dx, y - coalesce(lag(y) OVER w, 0) AS dy FROM k
+  WINDOW w AS (PARTITION BY ring ORDER BY line)""")
 def delta_points(t):
-    flat = ring_points(t).withColumn("x", F.lit(0))
+    flat = ring_points(t).withColumns({"x": (F.floor(F.col("line") / 3) % 5).cast("bigint"), "y": F.floor(F.col("y") / 9)})
     return geometry.delta_encode(geometry.drop_repeats(flat, KEYS), KEYS).select(
         "ring", "line", "y", "dx", "dy")
 

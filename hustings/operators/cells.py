@@ -16,11 +16,13 @@ def result_cells(rows: DataFrame, cell: Sequence[str], candidate: Sequence[str],
                  top: int = TOP, nested: bool = True) -> DataFrame:
     """Cells with a positive total and their ``top`` candidates, nested or one row for each.
 
-    Totals are taken from all rows, not from the leaders. Ties go to the least candidate key.
+    Totals are taken from all rows, not from the leaders; ``others`` counts the candidates that are
+    not shown. Ties go to the least candidate key.
     """
     keys = list(cell)
     tally = rows.groupBy(*keys, *candidate).agg(F.sum(votes).alias("votes"))
-    totals = tally.groupBy(*keys).agg(F.sum("votes").alias("total")).filter(F.col("total") > 0)
+    totals = tally.groupBy(*keys).agg(
+        F.sum("votes").alias("total"), F.greatest(F.lit(0), F.count(F.lit(1)) - top).alias("others")).filter(F.col("total") > 0)
     leaders = top_n(tally, keys, [F.col("votes").desc(), *[F.col(c).asc() for c in candidate]],
                     top, spread=list(candidate))
     if not nested:

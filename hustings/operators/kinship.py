@@ -115,12 +115,14 @@ def clan_members(rows: DataFrame, unit: Sequence[str], surname: str, person: str
 
 def clan_detail(rows: DataFrame, unit: Sequence[str], surname: str, person: str, full_name: str,
                 year: str, office: str, top_clans: int = 12, top_members: int = 12) -> DataFrame:
-    """One row for each leading clan of a unit, with its leading members nested."""
+    """One row for each leading clan of a unit, with its leading members nested; ``more`` counts the
+    members that are not shown, ``more_clans`` the clans of the unit."""
     clans, members = clan_members(rows, unit, surname, person, full_name, year, office, top_members)
     keys = [*unit, surname]
+    rest = clans.groupBy(*unit).agg(F.greatest(F.lit(0), F.count(F.lit(1)) - top_clans).alias("more_clans"))
     leading = top_n(clans, unit, [F.col("seats").desc(), F.col("people").desc(), F.col(surname)],
                     top_clans, spread=[surname], out="clan_place")
     nested = members.groupBy(*keys).agg(F.transform(
         F.sort_array(F.collect_list(F.struct("place", "name", "seats"))),
         lambda m: F.struct(m["name"].alias("name"), m["seats"].alias("seats"))).alias("members"))
-    return leading.join(nested, keys)
+    return leading.join(nested, keys).join(rest, list(unit))

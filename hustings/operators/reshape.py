@@ -94,9 +94,10 @@ def sample_values(df: DataFrame, keys: Sequence[str], column: str, n: int,
 
 
 def require_known(df: DataFrame, known: str, raw: str, n: int = 20) -> DataFrame:
-    """Fail when ``known`` is null anywhere, naming up to ``n`` distinct raw values."""
-    bad = df.filter(F.col(known).isNull()).select(raw).distinct() \
-        .orderBy(F.col(raw).asc_nulls_last()).limit(n).collect()
+    """Fail when ``known`` is null anywhere, naming up to ``n`` distinct raw values and counting the rest."""
+    unknown = df.filter(F.col(known).isNull()).select(raw).distinct()
+    bad = unknown.orderBy(F.col(raw).asc_nulls_last()).limit(n).collect()
     if bad:
-        raise ValueError(f"unrecognised {raw}: {[r[0] for r in bad]}")
+        more = unknown.count() - len(bad)
+        raise ValueError(f"unrecognised {raw}: {[r[0] for r in bad]}" + f" and {more} more" * (more > 0))
     return df
