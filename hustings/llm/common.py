@@ -7,8 +7,9 @@ from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.session import ensure_checkpoint_dir
@@ -82,7 +83,7 @@ class Remembered(dict):
 class WordHashes(Remembered):
     """64-bit hashes of words (bytes)."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__(limit)
 
     def make(self, word: bytes) -> int:
@@ -121,3 +122,34 @@ def rows_of(batches: Iterator, *names: str) -> Iterator[Iterator[tuple]]:
     """The rows of each Arrow batch as tuples of Python values."""
     for batch in batches:
         yield zip(*(batch.column(n).to_pylist() for n in names))
+
+
+def id_cells(ids: Column, bits: int) -> Column:
+    """Two cells of a bit table for an id."""
+    return F.array(*[F.shiftrightunsigned(F.xxhash64(F.lit(k), ids), 64 - bits) for k in range(2)])
+
+
+def id_table(ids: DataFrame, count: int, most_bytes: int) -> tuple[np.ndarray, int]:
+    """A bit table of the column ``id`` and the logarithm of its size: 16 cells to an id as far as
+    ``most_bytes`` goes. It has every id, and lets some others through."""
+    bits = int(min(max(10, (16 * count).bit_length()), (8 * most_bytes).bit_length() - 1))
+    cells = ids.select(F.explode(id_cells(F.col("id"), bits)).alias("c"))
+    one = F.expr("shiftleft(1L, cast(c % 64 as int))")
+    words = cells.groupBy(F.shiftright("c", 6).alias("w")).agg(F.bit_or(one).alias("b")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    return table, bits
+
+
+def with_cells(rows: DataFrame, name: str, bits: int) -> DataFrame:
+    cells = id_cells(F.col(name), bits)
+    return rows.withColumns({"c0": cells[0], "c1": cells[1]})
+
+
+def in_table(batch: pa.RecordBatch, table: np.ndarray) -> np.ndarray:
+    """Which rows of a batch ``with_cells`` the table lets through."""
+    out = np.ones(batch.num_rows, bool)
+    for column in ("c0", "c1"):
+        cells = batch.column(column).to_numpy()
+        out &= (table[cells >> 6] >> (cells & 63) & 1).astype(bool)
+    return out

@@ -5,16 +5,18 @@ only its least id goes on, so copies cost nothing more. Each class has a signatu
 of its shingles under each of many universal hash functions. Classes that agree on a whole band of
 the signature share a bucket.
 
-Within a bucket not all pairs are compared. Its least member is compared with the others (a star, as
-many pairs as members). Links so found are put together into components. A bucket whose members lie
-in one component is settled, since more links would change nothing. In the others, members that lie
-outside the component of the first centre become centres in turn, one to a bucket at first and then
-more in each round, and are compared with the members of other components, until every pair that
-shares a bucket has either been compared or lies in one component. So nothing is capped, and a
-bucket of a third of all rows costs its size a few times over.
-
-A pair is compared by the signatures first, where an estimate far below the threshold ends it, and
-then on the full shingle sets, which alone decide.
+Within a bucket not all pairs are listed. Its least member is compared with the others (a star, as
+many pairs as members): by the signatures first, where an estimate far below the threshold ends it,
+and then on the full shingle sets, which alone decide. Links so found are put together into
+components. A bucket whose members lie in one component is settled, since more links would change
+nothing. In the others, the members outside the component of the first one are compared with all
+members of other components, in blocks: a task gets two packs of a few hundred full sets and counts
+all their intersections by one product of incidence matrices. It returns a link for each two
+components that have one. So nothing is capped, and the rows that move grow with the packs, not with
+the pairs.
+
+Full sets are made only for classes that share a bucket: the ids are sent as a bit table of bounded
+size, which lets a few others through but loses none, and what it lets through is joined exactly.
 
 Case A-Z does not matter; words are runs without ASCII white space; with fewer words than the width
 the whole sequence is the one shingle; texts without words have an empty set and no links. Rows that
@@ -37,7 +39,7 @@ from hustings.llm.components import components
 
 BANDS, ROWS = 28, 4
 SKETCHES = "doc_id long, n_shingles long, set_key binary, signature binary"
-SETS = "doc_id long, shingles binary"
+PACK = 256
 
 
 def shingle_set(data: bytes, width: int) -> np.ndarray:
@@ -86,17 +88,21 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, bands: int, ro
     return common.documents(docs, doc_id, text, *more).mapInArrow(run, common.schema_of(docs, more) + SKETCHES)
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """(doc_id, shingles) of the wanted ids; shingles are sorted 64-bit hashes."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int, most_bytes: int = 1 << 24) -> DataFrame:
+    """(id, shingles) of the ids in ``wanted``; shingles are sorted 64-bit hashes."""
+    table, bits = common.id_table(wanted, wanted.count(), most_bytes)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(common.in_table(batch, sent.value)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"),
-                 pa.array([shingle_set(x, width).tobytes() for x in batch.column("data").to_pylist()], pa.binary())],
-                ["doc_id", "shingles"])
+                [batch.column("id"),
+                 pa.array([shingle_set(x, width).tobytes() for x in batch.column("data").to_pylist()], pa.binary())], ["id", "shingles"])
 
-    rows = common.documents(docs, doc_id, text).join(wanted, "doc_id", "left_semi")
-    return rows.mapInArrow(run, SETS)
+    rows = common.documents(docs, doc_id, text).where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "id")
+    made = common.with_cells(rows, "id", bits).mapInArrow(run, "id long, shingles binary")
+    return made.join(wanted.select("id"), "id", "left_semi")
 
 
 def bands_of(classes: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -142,56 +148,86 @@ def sets_agree(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * common_ones >= percent * (len(a) + len(b) - common_ones))
             yield batch.select(["left", "right"]).filter(pa.array(good, pa.bool_()))
 
-    one = sets.select(F.col("doc_id").alias("left"), F.col("shingles").alias("of_left"))
-    two = sets.select(F.col("doc_id").alias("right"), F.col("shingles").alias("of_right"))
+    one = sets.select(F.col("id").alias("left"), F.col("shingles").alias("of_left"))
+    two = sets.select(F.col("id").alias("right"), F.col("shingles").alias("of_right"))
     return pairs.join(one, "left").join(two, "right").select("left", "right", "of_left", "of_right") \
         .mapInArrow(run, "left long, right long")
 
 
+def intersections(one: list[np.ndarray], two: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """The sizes of the intersections of all sets of one list with all of the other."""
+    values = np.concatenate([*one, *two])
+    _, place, times = np.unique(values, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(one) + len(two)), [len(x) for x in (*one, *two)])
+    shared = np.flatnonzero(times[place] > 1)
+    number = np.cumsum(times > 1) - 1
+    place, owner = number[place[shared]], owner[shared]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    out = np.zeros((len(one), len(two)), np.float32)
+    for k in range(0, int(number[-1]) + 1 if len(number) else 0, columns):
+        b, e = np.searchsorted(place, (k, k + columns))
+        table = np.zeros((len(one) + len(two), columns), np.float32)
+        table[owner[b:e], place[b:e] - k] = 1
+        out += table[:len(one)] @ table[len(one):].T
+    return out.astype(np.int64)
+
+
+def packs(rows: DataFrame, name: str) -> DataFrame:
+    """(bucket, name): the rows of a bucket in packs of about ``PACK``, of (component, id, shingles)."""
+    n = rows.groupBy("bucket").agg(F.count("*").alias("rows"))
+    slices = F.pmod(F.xxhash64("id"), F.ceil(F.col("rows") / PACK))
+    return rows.join(n, "bucket").groupBy("bucket", slices.alias("slice")).agg(
+        F.collect_list(F.struct("component", "id", "shingles")).alias(name)).select("bucket", name)
+
+
+def links_between(grid: DataFrame, percent: int) -> DataFrame:
+    """(left, right): a link for each two components that have one, from pairs of packs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {}
+            for one, two in zip(batch.column("one").to_pylist(), batch.column("two").to_pylist()):
+                sets = [[np.frombuffer(r["shingles"], np.uint64) for r in x] for x in (one, two)]
+                both = intersections(*sets)
+                sizes = np.array([len(x) for x in sets[0]])[:, None] + np.array([len(x) for x in sets[1]])[None, :]
+                of = [np.array([r["component"] for r in x]) for x in (one, two)]
+                good = (100 * both >= percent * (sizes - both)) & (of[0][:, None] != of[1][None, :])
+                for i, j in zip(*np.nonzero(good)):
+                    found.setdefault((one[i]["component"], two[j]["component"]), (one[i]["id"], two[j]["id"]))
+            left, right = zip(*found.values()) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["left", "right"])
+
+    return grid.mapInArrow(run, "left long, right long")
+
+
 def class_components(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, width: int, percent: int,
                      bands: int, rows: int, margin: float) -> DataFrame:
     """(node, component) of the classes that are linked with another."""
     members = bands_of(classes, bands, rows)
     firsts = members.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     members = common.store(members.join(firsts, "bucket"))  # only of buckets that two or more share
-    shared = common.store(classes.join(members.select("id").distinct(), "id", "left_semi"))
+    ids = common.store(members.select("id").distinct())
+    shared = common.store(classes.join(ids, "id", "left_semi"))
     sizes = shared.select(F.col("id").alias("left"), F.col("n_shingles").alias("n_left"))
-    to_compare = members.where("id > first").select(F.col("first").alias("left"), F.col("id").alias("right"),
-                                                    "n_shingles").distinct().join(sizes, "left") \
+    stars = members.where("id > first").select(F.col("first").alias("left"), F.col("id").alias("right"),
+                                               "n_shingles").distinct().join(sizes, "left") \
         .where(sizes_allow(F.col("n_shingles"), F.col("n_left"), percent)).select("left", "right")
-    sets = links = done = None
-    slices = 1
-    while True:
-        likely = common.store(signatures_agree(to_compare, shared, bands * rows, percent / 100 - margin))
-        ends = likely.select(F.col("left").alias("doc_id")).union(likely.select("right")).distinct()
-        if sets is not None:
-            ends = ends.join(sets.select("doc_id"), "doc_id", "left_anti")
-        more = common.store(shingle_sets(docs, ends, doc_id, text, width))
-        sets = more if sets is None else sets.union(more)
-        found = sets_agree(likely, sets, percent)
-        labels = components(found if links is None else links.union(found), "left", "right")
-        links = labels.select(F.col("node").alias("left"), F.col("component").alias("right"))
-
-        placed = members.where("n > 2").join(labels.withColumnRenamed("node", "id"), "id", "left") \
-            .withColumn("component", F.coalesce("component", "id"))
-        centre = placed.where("id = first").select("bucket", F.col("component").alias("of_first"))
-        rest = placed.where("id <> first")
-        if done is not None:
-            rest = rest.join(done, ["bucket", "id"], "left_anti")
-        turn = F.pmod(F.xxhash64("id"), F.lit(slices))
-        centres = common.store(
-            rest.join(centre, "bucket").where("component <> of_first").groupBy("bucket", turn.alias("turn"))
-            .agg(F.min(F.struct("id", "component", "n_shingles")).alias("c"))
-            .select("bucket", F.col("c.id").alias("left"), F.col("c.component").alias("of_left"),
-                    F.col("c.n_shingles").alias("n_left")))
-        if centres.isEmpty():
-            return labels
-        to_compare = rest.join(centres, "bucket").where("component <> of_left") \
-            .where(sizes_allow(F.col("n_shingles"), F.col("n_left"), percent)) \
-            .select(F.least("left", "id").alias("left"), F.greatest("left", "id").alias("right")).distinct()
-        now_done = centres.select("bucket", F.col("left").alias("id"))
-        done = now_done if done is None else done.union(now_done)
-        slices *= 8
+    sets = common.store(shingle_sets(docs, ids, doc_id, text, width))
+    likely = signatures_agree(stars, shared, bands * rows, percent / 100 - margin)
+    links = common.store(sets_agree(likely, sets, percent))
+    labels = components(links, "left", "right")
+
+    placed = members.where("n > 2").join(labels.withColumnRenamed("node", "id"), "id", "left") \
+        .select("bucket", "id", F.coalesce("component", "id").alias("component"), "first")
+    of_first = placed.where("id = first").select("bucket", F.col("component").alias("of_first"))
+    outside = common.store(placed.where("id <> first").join(of_first, "bucket").where("component <> of_first")
+                           .select("bucket", "id", "component"))
+    if outside.isEmpty():
+        return labels
+    rest = placed.where("id <> first").join(outside.select("bucket").distinct(), "bucket", "left_semi").drop("first")
+    grid = packs(outside.join(sets, "id"), "one").join(packs(rest.join(sets, "id"), "two"), "bucket")
+    more = links_between(grid, percent)
+    return components(labels.select(F.col("node").alias("left"), F.col("component").alias("right")).union(more), "left", "right")
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
