@@ -14,9 +14,16 @@ COUNT_COLUMNS = ("year, region, province, city, district, position, candidate_na
                  "is_national_race, is_geographic, raw_position, reported_name, reported_party")
 
 
-def counts(t):
-    """The vote-counts table, stored: the stages after it read it more than once."""
-    return checkpointed(vote_counts.build_vote_counts([raw_ballots(t)], check=False))
+ELECTING = ["year", "region", "province", "city", "district", "position", "candidate_name", "last_name", "first_name",
+            "middle_name", "title", "party", "votes", "is_geographic"]
+
+
+def counts(t, columns=None, races=None):
+    """The vote-counts table, stored because the stages after it read it more than once; only the
+    columns and races that they ask for, so both are narrowed before the duplicates are removed."""
+    rows = vote_counts.build_vote_counts([raw_ballots(t)], check=False)
+    rows = rows if races is None else rows.filter(F.col("position").isin(races))
+    return checkpointed(rows if columns is None else rows.select(*columns))
 
 
 @query("vote_counts", f"WITH {COUNTS_SQL} SELECT {COUNT_COLUMNS} FROM counts")
@@ -72,7 +79,7 @@ def elected(t, ballots):
     CAST(greatest(1, round_even(coalesce(max(held), 8) / count(DISTINCT district), 0)) AS integer) AS seats, max(held) IS NULL AS default_used
   FROM counts LEFT JOIN held USING (province) WHERE position = 'PROVINCIAL BOARD MEMBER' GROUP BY 1""")
 def board_seats_pooled(t):
-    return board(t, counts(t), "all")
+    return board(t, counts(t, ["year", "province", "district", "position"], [winners.BOARD_OFFICE]), "all")
 
 
 @query("winners_from_ballots", f"""WITH {LOCAL_SQL}, {NATIONAL_SQL}
@@ -81,7 +88,7 @@ def board_seats_pooled(t):
   UNION ALL SELECT year, NULL, NULL, NULL, NULL, position, candidate_name, last_name, first_name, middle_name, title, party, votes,
     12, coalesce(tie, false) FROM national""")
 def winners_from_ballots(t):
-    return elected(t, counts(t))
+    return elected(t, counts(t, ELECTING))
 
 
 # Inherited winners write names the other way round and spell places and parties differently.
@@ -99,7 +106,7 @@ INHERITED_TABLES = ["customer", "nation", "region"]
 
 
 def merged(t):
-    ballots = counts(t)
+    ballots = counts(t, ELECTING)
     fresh = winners.local_winners(ballots, board(t, ballots))
     return winners.merge_winners(
         t.sql(INHERITED, *INHERITED_TABLES), [fresh], [1998],
@@ -315,7 +322,9 @@ PLACED_SQL = f"""{COUNTS_SQL},
 
 
 def placed_results(t, what):
-    return place_results.place_results(counts(t), units(t), towns(t))[what]
+    drawn = counts(t, ["year", "region", "province", "city", "position", "candidate_name", "party", "votes"],
+                   list(place_results.DRAWN_RACES))
+    return place_results.place_results(drawn, units(t), towns(t))[what]
 
 
 def flat(cells, key):
@@ -434,7 +443,7 @@ PRETTY = """CASE position WHEN 'MAYOR' THEN 'Mayor' WHEN 'GOVERNOR' THEN 'Govern
 
 
 def explored(t):
-    ballots = counts(t)
+    ballots = counts(t, ELECTING)
     won = checkpointed(elected(t, ballots))
     return explore.explore_rows(winners.to_winners_schema(won), won, ballots, range(1900, 2100))
 
@@ -470,6 +479,6 @@ def vote_count_audit(t):
 
 @query("alignment_audit")
 def alignment_audit(t):
-    ballots = counts(t)
+    ballots = counts(t, ELECTING)
     won = winners.to_winners_schema(elected(t, ballots))
     return audits.audit_alignment(won, ballots, [1995, 1996, 1997], [1995, 1996, 1997, 2004])
