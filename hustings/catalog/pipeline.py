@@ -464,12 +464,50 @@ def explore_table(t):
     return explore.explore_table(checkpointed(explored(t)))[0]
 
 
-@query("winner_audit")
+def _missing_sql(column: str) -> str:
+    return f"""SELECT '{column}' AS col, year, count(*) FILTER ({column} IS NULL) AS nulls, count(*) AS total FROM merged GROUP BY 2"""
+
+
+MISSING_SQL = " UNION ALL ".join(_missing_sql(c) for c in (
+    "last_name", "first_name", "full_name", "position", "party", "year", "province", "city", "region", "sex"))
+
+
+@query("winner_audit", f"""WITH {MERGED_SQL},
+  gone AS (SELECT * FROM ({MISSING_SQL}) WHERE nulls > 0.5 * total),
+  c AS (SELECT year, level, count(*) AS n FROM (SELECT year, CASE WHEN position IN ('MAYOR', 'COUNCILOR') THEN 'municipal' ELSE 'provincial' END AS level
+      FROM merged) GROUP BY 1, 2),
+  g AS (SELECT y.year, l.level, coalesce(n, 0) AS n FROM (SELECT DISTINCT year FROM c) y CROSS JOIN (SELECT DISTINCT level FROM c) l
+      LEFT JOIN c ON c.year = y.year AND c.level = l.level),
+  md AS (SELECT level, median(n) AS median FROM g GROUP BY 1),
+  dr AS (SELECT year, position, n, expected, (n - expected) / expected AS drift FROM (SELECT year, position, count(*) AS n FROM merged GROUP BY 1, 2)
+      JOIN (VALUES ('COUNCILOR', 1000), ('MAYOR', 125)) e(position, expected) USING (position)),
+  sh AS (SELECT year, count(*) AS rows FROM (SELECT year, count(*) OVER (PARTITION BY year, province, position, full_name) AS n FROM merged)
+      WHERE n > 1 GROUP BY 1)
+  SELECT 'winners' AS dataset, CASE WHEN nulls = total THEN 'high' ELSE 'medium' END AS severity,
+    col || CASE WHEN nulls = total THEN ' entirely missing' ELSE ' mostly missing' END AS issue, '' || year AS scope,
+    format('{{:,}}', nulls) || ' of ' || format('{{:,}}', total) || ' rows have no ' || col AS detail FROM gone
+  UNION ALL SELECT 'winners', 'high', level || ' offices largely missing', '' || year,
+    n || ' rows vs a median of ' || format('{{:,.0f}}', median) FROM g JOIN md USING (level) WHERE median > 0 AND n < 0.5 * median
+  UNION ALL SELECT 'winners', 'high', 'implausible ' || position || ' count', '' || year, format('{{:,}}', n) || ' rows, ' ||
+    format('{{:,.0f}}', abs(drift) * 100) || '% ' || CASE WHEN n > expected THEN 'more' ELSE 'fewer' END || ' than ~' || format('{{:,}}', expected)
+    FROM dr WHERE abs(drift) > 0.05
+  UNION ALL SELECT 'winners', 'medium', 'same person listed twice for one seat', '' || year,
+    format('{{:,}}', rows) || ' rows share province, position and name with another row' FROM sh""")
 def winner_audit(t):
     return audits.audit_winners(checkpointed(merged(t)), {"COUNCILOR": 1000, "MAYOR": 125})
 
 
-@query("vote_count_audit")
+@query("vote_count_audit", f"""WITH {COUNTS_SQL}
+  SELECT 'votecounts' AS dataset, 'info' AS severity, 'non-geographic tally category' AS issue, province AS scope,
+    format('{{:,}}', count(*)) || ' rows (' || format('{{:,}}', CAST(sum(votes) AS bigint)) || ' votes); offices: ' ||
+    string_agg(DISTINCT position, ', ' ORDER BY position) AS detail FROM counts WHERE NOT is_geographic GROUP BY province
+  UNION ALL SELECT 'votecounts', 'high', 'party-list groups parsed as people', 'PARTY LIST',
+    format('{{:,}}', count(*)) || ' organisation rows have person-name fields set' FROM counts
+    WHERE position = 'PARTY LIST' AND last_name IS NOT NULL HAVING count(*) > 0
+  UNION ALL SELECT 'votecounts', 'low', 'party missing', 'all cycles', format('{{:,}}', count(*) FILTER (party IS NULL)) || ' of ' ||
+    format('{{:,}}', count(*)) || ' person rows have no party' FROM counts WHERE position <> 'PARTY LIST' HAVING count(*) FILTER (party IS NULL) > 0
+  UNION ALL SELECT 'votecounts', 'high', 'capital absent', '' || y, 'no file for the capital' FROM (VALUES (1995), (2030)) v(y)
+    WHERE y NOT IN (SELECT year FROM raw WHERE contains(upper(city), 'MANILA'))""")
 def vote_count_audit(t):
     c = counts(t)
     coverage = audits.file_coverage(
@@ -477,7 +515,23 @@ def vote_count_audit(t):
     return audits.audit_vote_counts(c, coverage, [1995, 2030]).unionByName(audits.audit_files(coverage))
 
 
-@query("alignment_audit")
+LETTERS_SQL = "trim(regexp_replace(upper({0}), '[^A-Z ]', '', 'g'))"
+
+
+@query("alignment_audit", f"""WITH {LOCAL_SQL}, {NATIONAL_SQL},
+  won AS (SELECT year, province, last_name FROM local UNION ALL SELECT year, NULL, last_name FROM national),
+  f AS (SELECT DISTINCT year, {LETTERS_SQL.format("coalesce(province, 'nan')")} AS a, {LETTERS_SQL.format("coalesce(last_name, '')")} AS s FROM won
+    WHERE year IN (1995, 1996, 1997)),
+  b AS (SELECT DISTINCT year, {LETTERS_SQL.format("coalesce(province, 'nan')")} AS a, {LETTERS_SQL.format("split_part(candidate_name, ',', 1)")} AS s FROM counts),
+  o AS (SELECT f.year, count(*) AS elected, count(*) FILTER (b.s IS NULL) AS orphans FROM f LEFT JOIN b ON f.year = b.year AND f.a = b.a AND f.s = b.s
+    WHERE f.year IN (SELECT year FROM b) GROUP BY 1)
+  SELECT 'alignment' AS dataset, 'high' AS severity, 'winners disagree with the ballots' AS issue, '' || year AS scope,
+    format('{{:,}}', orphans) || ' of ' || format('{{:,}}', elected) || ' (' || printf('%.1f', 100.0 * orphans / elected) ||
+    '%) surnames are on no ballot of their province' AS detail FROM o WHERE 100.0 * orphans / elected > 1
+  UNION ALL SELECT 'alignment', 'info', 'no vote counts for this cycle', '' || y, 'this cycle cannot be verified against ballots'
+    FROM (VALUES (1995), (1996), (1997), (2004)) v(y) WHERE y NOT IN (SELECT year FROM counts)
+  UNION ALL SELECT DISTINCT 'alignment', 'info', 'partial vote counts for this cycle', '' || year, 'a complete check of winners against ballots is not expected'
+    FROM counts WHERE year NOT IN (1995, 1996, 1997)""")
 def alignment_audit(t):
     ballots = counts(t, ELECTING)
     won = winners.to_winners_schema(elected(t, ballots))
