@@ -72,16 +72,24 @@ def previous(df: DataFrame, doc: Sequence[str], block: str, line: str,
 
 
 def following(df: DataFrame, doc: Sequence[str], seq: str, value: str, steps: Sequence[int],
-              out: str = "next") -> DataFrame:
-    """Values of the lines 1, 2, ... places later, by equi-joins on the line number.
+              out: str = "next", size: int = 256) -> DataFrame:
+    """Values of the lines 1, 2, ... places later, at most ``size``.
 
-    ``seq`` numbers the lines of a document without gaps.
+    ``seq`` numbers the lines of a document without gaps. Lines are cut into blocks of ``size``; what
+    is not in a line's own block is among the first lines of the next, one row for each block.
     """
-    for step in steps:
-        ahead = df.select(*doc, (F.col(seq) - step).alias(seq),
-                          F.col(value).alias(f"{out}_{step}"))
-        df = attach(df, ahead, [*doc, seq])
-    return df
+    most = max(steps)
+    if most > size:
+        raise ValueError("a step may not pass over a whole block")
+    cut = df.withColumns({"__b": F.floor(F.col(seq) / size), "__o": (F.col(seq) % size).cast("int")})
+    heads = cut.filter(F.col("__o") < most).groupBy(*doc, (F.col("__b") - 1).alias("__b")).agg(
+        F.sort_array(F.collect_list(F.struct("__o", F.col(value).alias("v")))).alias("__heads"))
+    inside = Window.partitionBy(*doc, "__b").orderBy(seq)
+    led = cut.withColumns({f"__in_{k}": F.lead(value, k).over(inside) for k in steps})
+    joined = attach(led, heads, [*doc, "__b"])
+    return joined.select(*df.columns, *[
+        F.when(F.col("__o") + k < size, F.col(f"__in_{k}"))
+        .otherwise(F.get("__heads", F.col("__o") + (k - size))["v"]).alias(f"{out}_{k}") for k in steps])
 
 
 def split_lines(df: DataFrame, doc: str, text: str, line: str = "line_no",
