@@ -25,7 +25,7 @@ def store(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
@@ -83,7 +83,7 @@ class Remembered(dict):
 class WordHashes(Remembered):
     """64-bit hashes of words (bytes)."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__(limit)
 
     def make(self, word: bytes) -> int:
@@ -118,9 +118,9 @@ def window_hashes(words: np.ndarray, width: int, factor: np.uint64 = A) -> np.nd
     return mixed(h)
 
 
-def rows_of(batches: Iterator, *names: str) -> Iterator[Iterator[tuple]]:
-    """The rows of each Arrow batch as tuples of Python values."""
-    for batch in batches:
+def rows_of(batches: Iterator, *names: str, some: int = 512) -> Iterator[Iterator[tuple]]:
+    """The rows of Arrow batches as tuples of Python values, some at a time."""
+    for batch in (whole.slice(k, some) for whole in batches for k in range(0, whole.num_rows, some)):
         yield zip(*(batch.column(n).to_pylist() for n in names))
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from hustings.llm import common
 
 SKETCH = "row int, block int, cells binary"
-STARTS = "node long, starts binary"
+STARTS = "block int, nodes binary, starts binary"
 OPEN = "bucket int, node long, starts binary, keys binary, more binary, nodes binary"
 BLOCK = 16
 LAST = (1 << 63) - 1
@@ -89,8 +89,8 @@ def partition_sketches(docs: DataFrame, width: int, bits: int, held: int) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(blocks), row, np.int32)), pa.array(blocks), cells], ["row", "block", "cells"])
 
-        for batch in batches:
-            for data in batch.column("data").to_pylist():
+        for rows in common.rows_of(batches, "data"):
+            for data, in rows:
                 windows = text_windows(data, width)[1]
                 waiting.append(windows)
                 n += len(windows)
@@ -209,9 +209,9 @@ def window_entries(docs: DataFrame, cells, width: int, bits: int, buckets_log: i
     return docs.select("node", "data").mapInArrow(run, OPEN)
 
 
-def repeated_starts(entries: DataFrame, held: int) -> DataFrame:
-    """(node, starts): where windows start that also start in a lesser node."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def repeated_starts(entries: DataFrame, blocks_log: int, held: int) -> DataFrame:
+    """(node, starts): where windows start that also start in a lesser node; a row for each node."""
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, waiting, done, n = None, [], [], 0
 
         def settle() -> None:
@@ -224,8 +224,13 @@ def repeated_starts(entries: DataFrame, held: int) -> DataFrame:
                 n += len(done[-1][0])
 
         def out() -> pa.RecordBatch:
-            nodes, places = _by_node(*(np.concatenate(x) for x in zip(*done)))
-            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(places, pa.binary())], ["node", "starts"])
+            nodes, starts = (np.concatenate(x) for x in zip(*done))
+            block = (common.mixed(nodes.view(np.uint64)) >> np.uint64(64 - blocks_log)).astype(np.int32)
+            order = np.argsort(block, kind="stable")
+            block, nodes, starts = block[order], nodes[order], starts[order]
+            cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(block)), bool), block[1:] != block[:-1])))
+            parts = [[x.tobytes() for x in np.split(y, cut[1:])] if len(cut) else [] for y in (nodes, starts)]
+            return pa.RecordBatch.from_arrays([pa.array(block[cut]), *(pa.array(x, pa.binary()) for x in parts)], ["block", "nodes", "starts"])
 
         for rows in common.rows_of(batches, "bucket", "node", "starts", "keys", "more", "nodes"):
             for bucket, node, starts, keys, more, nodes in rows:
@@ -245,22 +250,46 @@ def repeated_starts(entries: DataFrame, held: int) -> DataFrame:
         if done:
             yield out()
 
-    return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, STARTS)
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, waiting = None, []
+
+        def out() -> pa.RecordBatch:
+            nodes, places = _by_node(*(np.concatenate([np.frombuffer(r[k], t) for r in waiting]) for k, t in ((0, np.int64), (1, np.uint32))))
+            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(places, pa.binary())], ["node", "found"])
+
+        for rows in common.rows_of(batches, "block", "nodes", "starts"):
+            for block, nodes, starts in rows:
+                if block != at and waiting:
+                    yield out()
+                    waiting = []
+                at = block
+                waiting.append((nodes, starts))
+        if waiting:
+            yield out()
+
+    packed = entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(settled, STARTS)
+    return packed.repartition("block").sortWithinPartitions("block").mapInArrow(gathered, "node long, found binary")
 
 
-def without_starts(docs: DataFrame, width: int, texts: bool) -> DataFrame:
-    """Takes the words of repeated windows out of (doc_id, data, found)."""
+def without_starts(docs: DataFrame, width: int, texts: bool, others=None) -> DataFrame:
+    """Takes the words of repeated windows out of (doc_id, data, found); null: no such windows.
+
+    ``others``: a broadcast bit table; rows that it lets through are left out first, in the same
+    worker, so that a task needs but one.
+    """
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept_text", "removed_spans"] * texts
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string()] + [pa.string(), pa.list_(pa.int64())] * texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        if others is not None:
+            batches = (b.filter(pa.array(~common.in_table(b, others.value))) for b in batches)
+        for rows in common.rows_of(batches, "doc_id", "data", "found"):
             out = []
-            for doc, data, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "data", "found"))):
+            for doc, data, found in rows:
                 words = data.split()
                 edges = np.zeros(len(words) + width + 1, np.int64)
-                for starts in found or ():
-                    places = np.frombuffer(starts, np.uint32).astype(np.int64)
+                if found is not None:
+                    places = np.frombuffer(found, np.uint32).astype(np.int64)
                     places = places[places + width <= len(words)]  # another text may share the id
                     np.add.at(edges, places, 1)
                     np.add.at(edges, places + width, -1)
@@ -278,21 +307,36 @@ def without_starts(docs: DataFrame, width: int, texts: bool) -> DataFrame:
     return docs.mapInArrow(run, schema + ", kept_text string, removed_spans array<long>" * texts)
 
 
+def only(source: DataFrame, table, bits: int) -> DataFrame:
+    """The rows whose node the broadcast bit table lets through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["node", "doc_id", "data"]).filter(pa.array(common.in_table(batch, table.value)))
+
+    return common.with_cells(source, "node", bits).mapInArrow(run, "node long, doc_id long, data binary")
+
+
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 13, texts: bool = False,
-                    filter_bytes: int = 1 << 26, held: int = 2_000_000) -> DataFrame:
+                    filter_bytes: int = 1 << 26, held: int = 500_000, table_bytes: int = 1 << 24) -> DataFrame:
     """A row for each row: (doc_id, n_words, n_removed, kept_sha256); with ``texts`` also kept_text
     and removed_spans, which has the first word and the word after the last of each removed run.
 
     Removes each word covered by a window that also starts in a document with a lesser id. Windows
     are judged on the input. ``filter_bytes`` bounds the sketch's bits as they are sent to executors,
-    ``held`` the windows that a task holds at a time.
+    ``held`` the windows that a task holds at a time, ``table_bytes`` the bit table of the documents
+    that lose words; only those, and a few that the table takes for one, are shuffled to their windows.
     """
     spark, source = docs.sparkSession, nodes_and_data(docs, doc_id, text)
     n_bytes = source.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
     # a cell or two for each word, as far as the bound goes
     bits = int(min(max(BLOCK, (n_bytes // 4).bit_length()), (filter_bytes * 8 // 2).bit_length() - 1))
-    cells = spark.sparkContext.broadcast(repeated_cells(source, width, bits, held))
+    cells = spark.sparkContext.broadcast(repeated_cells(source, width, bits, 2 * held))
     buckets_log = int(min(max(8, (n_bytes >> 20).bit_length()), 30))  # about a MB of text to a bucket
-    entries = window_entries(source, cells, width, bits, buckets_log, held // 2)
-    found = repeated_starts(entries, held // 2).groupBy("node").agg(F.collect_list("starts").alias("found"))
-    return without_starts(source.join(found, "node", "left").select("doc_id", "data", "found"), width, texts)
+    entries = window_entries(source, cells, width, bits, buckets_log, held)
+    found = common.store(repeated_starts(entries, buckets_log, held))
+    cells.destroy()  # what it was for is stored
+    table, size = common.id_table(found.select(F.col("node").alias("id")), found.count(), table_bytes)
+    sent = spark.sparkContext.broadcast(table)
+    whole = common.with_cells(source, "node", size).withColumn("found", F.lit(None).cast("binary"))
+    cut = only(source, sent, size).join(found, "node", "left").drop("node")
+    return without_starts(whole, width, texts, sent).unionByName(without_starts(cut, width, texts))
