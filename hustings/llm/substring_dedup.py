@@ -33,7 +33,7 @@ from hustings.llm import common
 SKETCH = "row int, block int, cells binary"
 STARTS = "block int, nodes binary, starts binary"
 OPEN = "bucket int, node long, starts binary, keys binary, more binary, nodes binary"
-BLOCK = 16
+BLOCK = 18
 LAST = (1 << 63) - 1
 ROW_FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
