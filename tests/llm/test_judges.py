@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from hustings.llm import queries
 from hustings.llm.common import store
 from hustings.llm.decontamination import ItemIndex, benchmark_leaks, passages, without_leaks, words_of
 from hustings.llm.language_id import address_parts, identify, train_profiles, visible
@@ -209,11 +210,51 @@ def test_line_dedup(spark, crowd):
         assert kept[i].kept_text == "\n".join(text.split("\n")[k] for k in sorted(stay + blank))
 
 
+@pytest.mark.parametrize("crowd", [16, 0])
+def test_edits_grow_with_the_line(spark, crowd):
+    rng, lines = random.Random(8), []
+    shared = passage(rng, 12)  # in many lines, at any place
+    for n in (19, 20, 39, 41, 60, 75, 100, 140, 200, 320, 610):
+        base = (passage(rng, 4 + n // 4) if n % 20 else f"{passage(rng, n // 20)} {shared} {passage(rng, n // 4)}")[:n].strip()
+        allowed = len(base) // 20
+        lines += [base, *(edited(rng, base, rng.choice([allowed // 2, allowed // 2, allowed, allowed + 2]) if allowed else 1) for _ in range(5))]
+        words = base.split(" ")
+        words[len(words) // 2] = "word" * max(1, allowed // 4)
+        lines.append(" ".join(words))
+    lines = list(dict.fromkeys(line for line in lines if line.strip(" ")))
+    links, far = Counter(), 0
+    for x, a in enumerate(lines):
+        for b in lines[:x]:
+            allowed = max(len(a), len(b)) // 20
+            apart = sum(((Counter(a) - Counter(b)) + (Counter(b) - Counter(a))).values())
+            if abs(len(a) - len(b)) <= allowed and apart <= 2 * allowed and 0 < (d := distance(a, b)) <= allowed:
+                links.update((a, b))
+                far += d > 2
+    got = line_dedup(frame(spark, [(k, line) for k, line in enumerate(lines)]), crowd=crowd, most=None).collect()
+    assert {lines[r.doc_id]: r.links for r in got} == {line: links[line] for line in lines} and far > 30
+
+
+def test_query_links_long_lines(spark, tmp_path):
+    rng = random.Random(12)
+    line = passage(rng, 60)
+    words = line.split(" ")
+    words[30] = "another"
+    frame(spark, [(1, line), (2, " ".join(words))]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op10(spark, str(tmp_path)).collect()}
+    assert distance(line, " ".join(words)) > 2 and got[1].kept and got[2].links == 1 and not got[2].kept
+
+
 def test_lines_of_odd_rows(docs, none):
     lines = [line for _, t in ROWS if t for line in t.split("\n") if line.strip(" ")]
     assert line_dedup(docs).count() == len(lines) and line_dedup(none).count() == 0
 
 
+def test_lines_of_odd_rows_without_most(spark, none):
+    few = [(i, t) for i, t in ROWS if len(t or "") <= 10_000]
+    lines = [line for _, t in few if t for line in t.split("\n") if line.strip(" ")]
+    assert line_dedup(frame(spark, few), most=None).count() == len(lines) and line_dedup(none, most=None).count() == 0
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(11)
     items, benchmark = bench(spark, rng)
