@@ -304,3 +304,13 @@ def test_training_raises_the_likelihood_and_shares_sum_to_one(spark, docs):
     for k in range(8):
         share = sum(10 ** (np.log10(c + 1.0) - logs[k]) for w, c in words.items() if w not in own and w % 8 == k)
         assert np.isclose(share + 10 ** -logs[k], 1)
+
+
+def test_every_word_has_emissions_of_its_own(docs):
+    """How many words are sent to tasks does not change what the model learns."""
+    turn = F.crc32(F.col("doc_id").cast("string")) % 7
+    got = [rows(hmm.score_texts(docs, learn=turn != 2, held_out=turn == 2, own=own, classes=None, rounds=3, states=2),
+                "doc_id", "n_tokens", "base_score", "score") for own in (10, 100_000)]
+    assert len(got[0]) == len(ROWS)
+    for one, two in zip(*got):
+        assert one[:2] == two[:2] and np.allclose(one[2:], two[2:])
