@@ -18,6 +18,12 @@ COLUMNS = {
     "op5_exact_dedup": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
     "op7_lm_scores": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint",
                       "base_score": "double", "score": "double"},
+    "op11_merkle_manifest": {"doc_id": "bigint", "verified": "boolean"} | dict.fromkeys(
+        ["leaf", "subroot", "root", "proof_sha256", "folded_root"], "string"),
+    "op12_quality_rules": dict.fromkeys(["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], "bigint")
+    | {"base_failed": "boolean", "kept": "boolean"},
+    "op13_tokenizer_alignment": dict.fromkeys(["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"], "bigint")
+    | {"groups_sha256": "string"},
 }
 
 
