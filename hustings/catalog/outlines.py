@@ -163,6 +163,38 @@ def containing_rings(t):
     return geometry.containing_rings(holes, edges, ["unit"], 100.0)
 
 
+NESTED = """
+  SELECT unit, o_orderkey AS ring, CAST(floor((rn - 1) / 2) AS bigint) AS level, (rn - 1) % 2 AS side,
+    5000 * (c_custkey % 50) AS cx, 5000 * CAST(floor(c_custkey / 50) AS bigint) AS cy FROM (
+    SELECT c_nationkey AS unit, c_custkey, o_orderkey, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) AS rn
+    FROM {orders} JOIN {customer} ON o_custkey = c_custkey)"""
+NESTED_SQL = NESTED.replace("{", "").replace("}", "")
+
+
+def nested_squares(t):
+    """Customers as islands: of two orders, the first one's square holds what comes after, and the
+    second one's square lies beside that. Every third square is wound the other way."""
+    level, first = F.col("level"), F.col("side") == 0
+    box = t.sql(NESTED, "orders", "customer").withColumns({
+        "a": F.col("cx") + F.when(first, 10 * level).otherwise(4000 - 30 * (level + 1) + 5),
+        "b": F.col("cx") + F.when(first, 4000 - 30 * level).otherwise(4000 - 30 * (level + 1) + 25),
+        "c": F.col("cy") + F.when(first, 10 * level).otherwise(F.lit(2000)),
+        "d": F.col("cy") + F.when(first, 4000 - 10 * level).otherwise(F.lit(2010))})
+    corners = F.array(*[F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+                        for x, y in (("a", "c"), ("b", "c"), ("b", "d"), ("a", "d"))])
+    points = box.select("unit", "ring", F.posexplode(corners).alias("line", "p"))
+    return points.select("unit", "ring", F.lit(0).cast("bigint").alias("block"),
+                         F.when(F.col("ring") % 3 == 0, -F.col("line")).otherwise(F.col("line")).alias("line"), "p.x", "p.y")
+
+
+@query("assembled_polygons", f"""WITH n AS ({NESTED_SQL}),
+  d AS (SELECT *, level + CASE WHEN side = 1 THEN 1 ELSE 0 END AS depth FROM n)
+  SELECT d.unit, d.ring, d.depth, d.depth % 2 = 1 AS is_hole, CASE WHEN d.depth % 2 = 1 THEN h.ring ELSE d.ring END AS outer
+  FROM d LEFT JOIN n h ON h.cx = d.cx AND h.cy = d.cy AND h.side = 0 AND h.level = d.depth - 1""")
+def assembled_polygons(t):
+    return geometry.assemble_polygons(nested_squares(t), ["unit"], 1000.0)
+
+
 TOPOLOGY = f"""
   a AS (SELECT l_orderkey, CAST(i - 1 AS integer) AS line, n, CAST(floor(l_extendedprice) AS bigint) % 1000 AS dx,
     CAST(l_quantity AS bigint) - 25 AS dy FROM ({NUMBERED_SQL}))"""

@@ -163,29 +163,154 @@ def outer_and_holes(areas: DataFrame, unit: Sequence[str]) -> DataFrame:
         "is_outer", F.when(F.col("__has"), F.col("area") > 0).otherwise(F.lit(True))).drop("__has")
 
 
+def left_of(x: Column, y: Column) -> Column:
+    """Whether the edge meets the line at ``y`` at or left of ``x``. Only the end with the greater
+    y belongs to the edge, so a corner of a ring counts once."""
+    rises = F.col("y1") > F.col("y0")
+    side = (F.col("x1") - F.col("x0")) * (y - F.col("y0")) - (F.col("y1") - F.col("y0")) * (x - F.col("x0"))
+    return ((F.col("y0") > y) != (F.col("y1") > y)) & F.when(rises, side <= 0).otherwise(side >= 0)
+
+
+def above_of(x: Column, y: Column) -> Column:
+    """Whether the edge meets the upright line just right of ``x`` above ``y``."""
+    runs = F.col("x1") > F.col("x0")
+    side = (F.col("x1") - F.col("x0")) * (y - F.col("y0")) - (F.col("y1") - F.col("y0")) * (x - F.col("x0"))
+    climbs = (F.col("y1") > F.col("y0")) == runs
+    return ((F.col("x0") > x) != (F.col("x1") > x)) & (
+        F.when(runs, side < 0).otherwise(side > 0) | ((side == 0) & climbs & (F.col("y0") != F.col("y1"))))
+
+
+def edge_cells(edges: DataFrame, cell: float) -> DataFrame:
+    """Edges with the (row, col) of every cell they touch."""
+    size, slack = F.lit(float(cell)), 1e-9
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    rows = edges.withColumn("row", F.explode(F.sequence(F.floor(low / size).cast("bigint"),
+                                                        F.floor(high / size).cast("bigint"))))
+
+    def x_at(y: Column) -> Column:
+        inside = F.least(F.greatest(y, low), high)
+        share = F.when(F.col("y1") == F.col("y0"), F.lit(0.0)).otherwise(
+            (inside - F.col("y0")) / F.nullif(F.col("y1") - F.col("y0"), F.lit(0)))
+        return F.col("x0") + share * (F.col("x1") - F.col("x0"))
+    flat = F.col("y0") == F.col("y1")
+    ends = [F.when(flat, F.col("x0")).otherwise(x_at(F.col("row") * size)),
+            F.when(flat, F.col("x1")).otherwise(x_at((F.col("row") + 1) * size))]
+    return rows.withColumn("col", F.explode(F.sequence(
+        F.floor(F.least(*ends) / size - slack).cast("bigint"), F.floor(F.greatest(*ends) / size + slack).cast("bigint"))))
+
+
+def inner_corners(edges: DataFrame, keys: Sequence[str], cell: float) -> DataFrame:
+    """(keys, row, col): cells whose lower left corner lies within the ring.
+
+    Edges flip the parity where they meet the lower line of a row; the flips of a ring and row are
+    added up from left to right, and between an odd sum and the next flip all corners are inside.
+    """
+    size = F.lit(float(cell))
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    rows = edges.filter(F.col("y0") != F.col("y1")).withColumn("row", F.explode(F.sequence(
+        F.floor(low / size).cast("bigint"), F.floor(high / size).cast("bigint"))))
+    y = F.col("row") * size
+    met = rows.filter((F.col("y0") > y) != (F.col("y1") > y))
+    x = F.col("x0") + (y - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
+    near = F.floor(x / size).cast("bigint")
+    first = F.when(left_of((near - 1) * size, y), near - 1).when(left_of(near * size, y), near) \
+        .when(left_of((near + 1) * size, y), near + 1).otherwise(near + 2)
+    flips = met.withColumn("col", first).groupBy(*keys, "row", "col").agg(F.count(F.lit(1)).alias("n")) \
+        .filter(F.col("n") % 2 == 1)
+    along = Window.partitionBy(*keys, "row").orderBy("col")  # a ring's flips in one row
+    spans = flips.withColumns({"turn": F.row_number().over(along), "next": F.lead("col").over(along)}) \
+        .filter((F.col("turn") % 2 == 1) & F.col("next").isNotNull())
+    return spans.select(*keys, "row", F.explode(F.sequence("col", F.col("next") - 1)).alias("col"))
+
+
+def rings_around(holes: DataFrame, edges: DataFrame, unit: Sequence[str], cell: float,
+                 met: bool = False) -> DataFrame:
+    """(unit, hole, ring): all rings of the unit whose outline contains the hole's point.
+
+    ``holes``: unit, hole, x, y. ``edges``: unit, ring, x0, y0, x1, y1 of closed rings. The plane
+    is cut into square cells. For each ring the cells are known whose lower left corner it holds,
+    carried from cell to cell along a row; a point has the corner's parity, turned by every edge
+    between the corner and the point. Those edges touch the point's own cell, so a point meets the
+    edges of one cell only, whatever the size of the rings. With ``met`` the crossings are returned
+    as they are met, one row for each (point, edge of the cell).
+    """
+    keys = list(unit)
+    size = F.lit(float(cell))
+    at = holes.select(*keys, "hole", "x", "y", F.floor(F.col("y") / size).cast("bigint").alias("row"),
+                      F.floor(F.col("x") / size).cast("bigint").alias("col"))
+    x, y, left, low = F.col("x"), F.col("y"), F.col("col") * size, F.col("row") * size
+    turns = (left_of(x, y) != left_of(left, y)).cast("bigint") + (above_of(left, y) != above_of(left, low)).cast("bigint")
+    local = at.join(edge_cells(edges, cell), [*keys, "row", "col"]).select(*keys, "hole", "ring", turns.alias("n"))
+    if met:
+        return local
+    corner = at.join(inner_corners(edges, [*keys, "ring"], cell), [*keys, "row", "col"]) \
+        .select(*keys, "hole", "ring", F.lit(1).cast("bigint").alias("n"))
+    return local.filter("n > 0").unionByName(corner).groupBy(*keys, "hole", "ring").agg(F.sum("n").alias("n")) \
+        .filter(F.col("n") % 2 == 1).drop("n")
+
+
 def containing_rings(holes: DataFrame, edges: DataFrame, unit: Sequence[str],
-                     band: float) -> DataFrame:
-    """(unit, hole, ring): the least ring of the unit whose outline contains the hole's point.
+                     cell: float) -> DataFrame:
+    """(unit, hole, ring): the least ring of the unit whose outline contains the hole's point."""
+    return rings_around(holes, edges, unit, cell).groupBy(*unit, "hole").agg(F.min("ring").alias("ring"))
 
-    ``holes``: unit, hole, x, y. ``edges``: unit, ring, x0, y0, x1, y1. A ray to the right of the
-    point crosses the outline an odd number of times. Points and edges meet only within horizontal
-    bands of height ``band``, so most edges are never looked at.
+
+def inner_points(points: DataFrame, ring: Sequence[str]) -> DataFrame:
+    """(ring, x, y): a point strictly inside each ring.
+
+    The least corner v by (x, y) is convex. If no other point of the ring lies in the triangle of v
+    and its neighbours, the triangle's middle is inside; otherwise the middle between v and the
+    point in the triangle that is farthest from the line of the neighbours.
+    """
+    keys = list(ring)
+    before = with_previous_point(points, keys, close=True).withColumnsRenamed({"px": "ax", "py": "ay"})
+    after = with_previous_point(
+        points.withColumns({"block": -F.col("block"), "line": -F.col("line")}), keys, close=True) \
+        .select(*keys, (-F.col("block")).alias("block"), (-F.col("line")).alias("line"),
+                F.col("px").alias("bx"), F.col("py").alias("by"))
+    corner = before.join(after, [*keys, "block", "line"]).groupBy(*keys).agg(
+        F.min_by(F.struct("x", "y", "ax", "ay", "bx", "by"), F.struct("x", "y", "block", "line")).alias("v"))
+    near = attach(points, corner, keys)
+
+    def side(p, q, x, y):
+        (px, py), (qx, qy) = p, q
+        return (qx - px) * (y - py) - (qy - py) * (x - px)
+    v, a, b = [(F.col(f"v.{n[0]}"), F.col(f"v.{n[1]}")) for n in (("x", "y"), ("ax", "ay"), ("bx", "by"))]
+    x, y = F.col("x"), F.col("y")
+    sides = [side(p, q, x, y) for p, q in ((v, a), (a, b), (b, v))]
+    within = (F.greatest(*sides) <= 0) | (F.least(*sides) >= 0)
+    other = ~(((x == v[0]) & (y == v[1])) | ((x == a[0]) & (y == a[1])) | ((x == b[0]) & (y == b[1])))
+    far = F.when(within & other, F.struct(F.abs(sides[1]).alias("far"), x.alias("qx"), y.alias("qy")))
+    found = near.groupBy(*keys).agg(F.max(far).alias("q"), F.first("v").alias("v"))
+    middle = {c: F.when(F.col("q").isNotNull(), (F.col(f"v.{c}") + F.col(f"q.q{c}")) / 2).otherwise(
+        (F.col(f"v.{c}") + F.col(f"v.a{c}") + F.col(f"v.b{c}")) / 3).cast("double") for c in POINT}
+    return found.select(*keys, middle["x"].alias("x"), middle["y"].alias("y"))
+
+
+def assemble_polygons(points: DataFrame, unit: Sequence[str], cell: float) -> DataFrame:
+    """(unit, ring, depth, is_hole, outer): rings sorted into polygons by how deep they are nested.
+
+    ``points``: unit, ring, block, line, x, y of closed rings that do not cross. ``depth`` is the
+    number of larger rings around a ring. Rings of even depth are outlines, islands included; a
+    ring of odd depth is a hole and belongs to the smallest ring around it, ``outer``. The winding
+    does not matter. Rings without area are left out.
     """
     keys = list(unit)
-
-    def band_of(c):
-        return F.floor(c / F.lit(band)).cast("bigint")
-    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
-    spans = edges.filter(F.col("y0") != F.col("y1")).withColumn(
-        "__band", F.explode(F.sequence(band_of(low), band_of(high))))
-    points = holes.withColumn("__band", band_of(F.col("y")))
-    crosses = ((F.col("y0") > F.col("y")) != (F.col("y1") > F.col("y"))) & (
-        F.col("x") < (F.col("x1") - F.col("x0")) * (F.col("y") - F.col("y0"))
-        / (F.col("y1") - F.col("y0")) + F.col("x0"))
-    met = points.join(spans, [*keys, "__band"]).filter(crosses)
-    inside = met.groupBy(*keys, "hole", "ring").agg(F.count(F.lit(1)).alias("n")) \
-        .filter(F.col("n") % 2 == 1)
-    return inside.groupBy(*keys, "hole").agg(F.min("ring").alias("ring"))
+    of = [*keys, "ring"]
+    areas = ring_areas(points, of).select(*of, F.abs("area").alias("area")).filter("area > 0")
+    solid = points.join(areas.drop("area"), of, "left_semi")
+    inner = attach(inner_points(solid, of), areas, of).select(
+        *keys, F.struct("ring", "area").alias("hole"), "x", "y")
+    sides = with_previous_point(solid, of, close=True).select(
+        *of, F.col("px").alias("x0"), F.col("py").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    pairs = rings_around(inner, sides, keys, cell).select(*keys, "hole", "ring")
+    around = attach(pairs, areas, of).filter(F.col("area") > F.col("hole.area"))
+    nested = around.groupBy(*keys, F.col("hole.ring").alias("ring")).agg(
+        F.count(F.lit(1)).alias("depth"), F.min_by("ring", F.struct("area", "ring")).alias("__smallest"))
+    depth = F.coalesce("depth", F.lit(0))
+    return attach(areas.drop("area"), nested, of).select(
+        *of, depth.alias("depth"), (depth % 2 == 1).alias("is_hole"),
+        F.when(depth % 2 == 1, F.col("__smallest")).otherwise(F.col("ring")).alias("outer"))
 
 
 def quantise(points: DataFrame, grid: int, within: Sequence[str] = ()) -> DataFrame:
@@ -273,7 +398,8 @@ def dissolve(refs: DataFrame, points: DataFrame, unit: Sequence[str]) -> dict[st
     """Units out of their parts: the boundary arcs chained to rings, split into outlines and holes.
 
     Returns ``points`` (unit, ring, block, line, x, y; closing points dropped), ``rings`` (unit,
-    ring, area, is_outer) and ``unclosed`` edges.
+    ring, area, is_outer) and ``unclosed`` edges. ``assemble_polygons`` files the rings of the
+    points under their outlines.
     """
     keys = list(unit)
     edges = boundary_edges(refs, keys, "arc")

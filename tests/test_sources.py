@@ -1,6 +1,7 @@
 """Landed files, documents, sinks and incremental landing on small fixtures."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -184,6 +185,25 @@ def test_landing_is_resumable(spark, tmp_path):
     assert rows_of(spark.read.parquet(target).select("city", "candidate_name")) == got
 
 
+def test_newest_file_stands_whatever_the_order(spark, tmp_path):
+    """One file a batch, in any order, with restarts; one place holds nine rows of ten."""
+    def text(name, big):
+        rows = [("X", f"{name}{k}") for k in range(90 if big else 3)] + [("Y" if big else "Z", f"{name}y")]
+        return HEADER + "".join(f"CAR,ABRA,{city},MAYOR,1,{c},LP,1,\n" for city, c in rows)
+    times = {"a": 1_700_000_000, "b": 1_700_000_500, "c": 1_600_000_000, "d": 1_700_000_500, "e": 1_700_000_900}
+    tables = []
+    for turn, order in enumerate(("abcde", "edcba", "bdace")):
+        source, target, mark = (str(tmp_path / str(turn) / n) for n in ("in", "out", "mark"))
+        for k, name in enumerate(order):
+            path = put(tmp_path / str(turn) / "in", f"{name}.csv", text(name, name != "e"))
+            os.utime(path, (times[name], times[name]))
+            if k != 2:  # the third one waits for the fourth, and both come with one call
+                landing.land_stream(spark, source, target, mark, max_files=1).awaitTermination()
+        tables.append(rows_of(spark.read.parquet(target).select("city", "candidate_name")))
+    assert tables[0] == tables[1] == tables[2]
+    assert tables[0] == sorted([("X", f"e{k}") for k in range(3)] + [("Y", "dy"), ("Z", "ey")], key=str)
+
+
 def test_malformed_lines(spark, tmp_path):
     root = tmp_path / "2019"
     put(root, "CAR/ABRA/A.csv", HEADER + "CAR,ABRA,X,MAYOR,1,A,LP,3,4 %\nCAR,ABRA\nCAR,ABRA,X,MAYOR,1,A,LP,3,4 %,more\n")
