@@ -24,7 +24,7 @@ def result_cells(rows: DataFrame, cell: Sequence[str], candidate: Sequence[str],
     totals = tally.groupBy(*keys).agg(
         F.sum("votes").alias("total"), F.greatest(F.lit(0), F.count(F.lit(1)) - top).alias("others")).filter(F.col("total") > 0)
     leaders = top_n(tally, keys, [F.col("votes").desc(), *[F.col(c).asc() for c in candidate]],
-                    top, spread=list(candidate))
+                    top)
     if not nested:
         return leaders.join(totals, keys)
     lists = leaders.groupBy(*keys).agg(F.transform(

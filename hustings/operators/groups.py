@@ -1,22 +1,23 @@
 """Group operators that stay balanced when one group holds much of the data.
 
 Aggregates combine before the shuffle; totals are joined back instead of computed by a window over
-the whole group; top-n and ranks are computed in pieces of a group first.
+the whole group; top-n keeps the best rows of every task first, and ranks are computed in ranges
+that are cut where the rows are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hustings.session import checkpointed
 
-PIECES = 16
-RANK_BUCKETS = 64
-
 
 def attach(df: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join a table with one row per key. Null keys meet null keys.
@@ -44,56 +45,99 @@ def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str = "p
 
 
 def standing(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank",
-             buckets: int = RANK_BUCKETS) -> DataFrame:
+             ranges: int | None = None) -> DataFrame:
     """Place within the group by descending value; ties share the better place, nulls get none.
 
-    Equal values are counted first. Then each group is cut into value ranges at quantiles of the
-    whole table, so no task holds more than about ``1/buckets`` of the distinct values; places
-    within a range are shifted by the size of the ranges above it.
+    Equal values are counted first. The counts are cut into ranges by a sample sort over (group,
+    value): the splitters lie where the rows are, so a group that holds most of them is cut into
+    most of the ranges. Places within a range are shifted by the size of the group's ranges above
+    it. The ranges are checkpointed, so a task that is run again cannot cut them differently.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value) \
-        .agg(F.count(F.lit(1)).alias("__n"))
-    points = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx(value, points, 10 * buckets).alias("__cuts"))
-    bucketed = counts.withColumn("__cuts", cuts.scalar()).withColumn(
-        "__bucket", F.size(F.filter("__cuts", lambda c: c > F.col(value)))).drop("__cuts")
-    above = Window.partitionBy(*keys, "__bucket").orderBy(F.col(value).desc()) \
+    fixed = value_ranges(df, keys, value, ranges)
+    above = Window.partitionBy(*keys, "__range").orderBy(F.col(value).desc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    inside = bucketed.withColumn("__above", F.coalesce(F.sum("__n").over(above), F.lit(0)))
-    earlier = Window.partitionBy(*keys).orderBy("__bucket") \
+    inside = fixed.withColumn("__above", F.coalesce(F.sum("__n").over(above), F.lit(0)))
+    earlier = Window.partitionBy(*keys).orderBy("__range") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucketed.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__size")) \
+    offsets = fixed.groupBy(*keys, "__range").agg(F.sum("__n").alias("__size")) \
         .withColumn("__offset", F.coalesce(F.sum("__size").over(earlier), F.lit(0))).drop("__size")
-    places = attach(inside, offsets, [*keys, "__bucket"]).select(
+    places = attach(inside, offsets, [*keys, "__range"]).select(
         *keys, value, (F.col("__above") + F.col("__offset") + 1).cast("int").alias(out))
     return attach(df, places, [*keys, value])
 
 
+def value_ranges(df: DataFrame, keys: Sequence[str], value: str,
+                 ranges: int | None = None) -> DataFrame:
+    """(keys, value, __n, __range): how often each value of a group occurs, cut into even ranges,
+    four for each shuffle partition unless ``ranges`` says otherwise. Descending values have
+    ascending ranges."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value) \
+        .agg(F.count(F.lit(1)).alias("__n"))
+    if ranges is None:
+        ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = counts.repartitionByRange(ranges, *keys, F.col(value).desc())
+    return checkpointed(cut.withColumn("__range", F.spark_partition_id()))
+
+
+def best_in_task(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: str) -> DataFrame:
+    """The first ``n`` rows of each group within each task, before any exchange; n is a column.
+
+    Every task sorts its rows, and a row passes as long as fewer than n of its group have passed, so
+    at most tasks x groups x n rows are left. Only the last key and its count are remembered.
+    """
+    names = list(keys)
+
+    def changes(column: pa.Array) -> np.ndarray:
+        now, before = column[1:], column[:-1]
+        differs = pc.fill_null(pc.not_equal(now, before), False).to_numpy(zero_copy_only=False)
+        nulls = pc.xor(pc.is_null(now), pc.is_null(before)).to_numpy(zero_copy_only=False)
+        return differs | nulls
+
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, passed = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = np.zeros(batch.num_rows, bool)
+            for name in names:
+                new[1:] |= changes(batch.column(name))
+            first = tuple(batch.column(name)[0].as_py() for name in names)
+            new[0] = first != last
+            at = np.arange(batch.num_rows)
+            starts = np.maximum.accumulate(np.where(new, at, -1))
+            place = np.where(starts < 0, at + passed, at - starts)
+            last = tuple(batch.column(name)[-1].as_py() for name in names)
+            passed = int(place[-1]) + 1
+            yield batch.filter(pc.less(pa.array(place), batch.column(n)))
+
+    return df.sortWithinPartitions(*keys, *order).mapInArrow(first_rows, df.schema)
+
+
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | Column,
-          spread: Sequence[str], out: str = "place", pieces: int = PIECES,
-          tie_on: str | None = None) -> DataFrame:
+          out: str = "place", tie_on: str | None = None) -> DataFrame:
     """The first ``n`` rows of each group, ``n`` fixed or a column that is constant in the group.
 
-    A group is first cut into ``pieces`` by a hash of the ``spread`` columns, and each piece keeps
-    its own first ``n``; the group then holds at most ``pieces * n`` rows. ``order`` must be total
-    for a repeatable result. With ``tie_on`` a flag ``tie_at_cutoff`` tells that the first row left
-    out has the same value as the last one kept.
+    Tasks keep their own best rows before the exchange: for a fixed n the planner limits each
+    group, otherwise ``best_in_task`` does. ``order`` must be total for a repeatable result. With
+    ``tie_on`` a flag ``tie_at_cutoff`` tells that the first row left out has the same value as the
+    last one kept. Groups whose n is null have no rows.
     """
-    n = F.lit(n) if isinstance(n, int) else n
     extra = 1 if tie_on else 0
-    piece = F.pmod(F.xxhash64(*spread), F.lit(pieces))
-    first = Window.partitionBy(*keys, "__piece").orderBy(*order)
-    kept = df.withColumn("__piece", piece).withColumn("__rn", F.row_number().over(first)) \
-        .filter(F.col("__rn") <= n + extra).drop("__piece", "__rn")
+    if isinstance(n, int):
+        best, most = df, F.lit(n)
+    else:
+        best = best_in_task(df.withColumn("__most", (n + extra).cast("int")).filter("__most > 0"), keys, order, "__most")
+        most = F.col("__most") - extra
     final = Window.partitionBy(*keys).orderBy(*order)
-    ranked = kept.withColumn(out, F.row_number().over(final))
+    ranked = best.withColumn(out, F.row_number().over(final)) \
+        .filter(F.col(out) <= (n + extra if isinstance(n, int) else F.col("__most")))
     if tie_on:
         whole = Window.partitionBy(*keys)
-        last_in = F.max(F.when(F.col(out) == n, F.col(tie_on))).over(whole)
-        first_out = F.max(F.when(F.col(out) == n + 1, F.col(tie_on))).over(whole)
+        last_in = F.max(F.when(F.col(out) == most, F.col(tie_on))).over(whole)
+        first_out = F.max(F.when(F.col(out) == most + 1, F.col(tie_on))).over(whole)
         ranked = ranked.withColumn("tie_at_cutoff",
                                    F.coalesce(last_in == first_out, F.lit(False)))
-    return ranked.filter(F.col(out) <= n)
+    return ranked.filter(F.col(out) <= most).drop("__most")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

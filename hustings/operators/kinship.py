@@ -108,8 +108,7 @@ def clan_members(rows: DataFrame, unit: Sequence[str], surname: str, person: str
         *keys, "people", "seats", "fat", (F.col("years") > 1).alias("thin"),
         F.greatest(F.lit(0), F.col("people") - top_members).alias("more"))
     kept = top_n(people.join(clans.select(*keys), keys, "left_semi"), keys,
-                 [F.size("seats").desc(), F.col("name"), F.col(person)], top_members,
-                 spread=[person])
+                 [F.size("seats").desc(), F.col("name"), F.col(person)], top_members)
     return clans, kept.select(*keys, person, "name", "seats", "place")
 
 
@@ -121,7 +120,7 @@ def clan_detail(rows: DataFrame, unit: Sequence[str], surname: str, person: str,
     keys = [*unit, surname]
     rest = clans.groupBy(*unit).agg(F.greatest(F.lit(0), F.count(F.lit(1)) - top_clans).alias("more_clans"))
     leading = top_n(clans, unit, [F.col("seats").desc(), F.col("people").desc(), F.col(surname)],
-                    top_clans, spread=[surname], out="clan_place")
+                    top_clans, out="clan_place")
     nested = members.groupBy(*keys).agg(F.transform(
         F.sort_array(F.collect_list(F.struct("place", "name", "seats"))),
         lambda m: F.struct(m["name"].alias("name"), m["seats"].alias("seats"))).alias("members"))

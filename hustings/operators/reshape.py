@@ -89,7 +89,7 @@ def sample_values(df: DataFrame, keys: Sequence[str], column: str, n: int,
                   out: str = "sample") -> DataFrame:
     """The n least distinct values of each key as a list, for a message."""
     distinct = df.filter(F.col(column).isNotNull()).select(*keys, column).distinct()
-    return top_n(distinct, keys, [F.col(column)], n, spread=[column]).groupBy(*keys).agg(
+    return top_n(distinct, keys, [F.col(column)], n).groupBy(*keys).agg(
         F.sort_array(F.collect_list(column)).alias(out))
 
 

@@ -80,5 +80,4 @@ def elect(tally: DataFrame, race: Sequence[str], votes: str, seats: str | int,
     """
     order = [F.col(votes).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
     n = seats if isinstance(seats, int) else F.col(seats)
-    return top_n(tally, race, order, n, spread=list(tie_break), out="place",
-                 tie_on=votes if tie_flag else None)
+    return top_n(tally, race, order, n, tie_on=votes if tie_flag else None)

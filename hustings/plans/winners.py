@@ -174,4 +174,4 @@ def leading_rows(df: DataFrame, keys: Sequence[str], votes: str, n: int,
                  tie_break: Sequence[str]) -> DataFrame:
     """The first ``n`` of each group by votes."""
     order = [F.col(votes).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
-    return top_n(df, keys, order, n, spread=list(tie_break))
+    return top_n(df, keys, order, n)

@@ -13,17 +13,44 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
+def test_no_range_of_a_large_group_is_twice_the_mean(spark):
+    """One group holds nine rows of ten, its values far from those of the others and uneven."""
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 70).cast("string"))).alias("g"),
+        F.when(F.col("id") % 10 > 0, F.pow(F.rand(3), 5) * 1e-3).otherwise(F.rand(4) * 1e6).alias("v"))
+    sizes = [r["count"] for r in groups.value_ranges(rows, ["g"], "v", 20).groupBy("__range").count().collect()]
+    assert len(sizes) >= 19 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_tasks_send_their_best_rows_only(spark):
+    rows = spark.range(0, 30_000, 1, 6).select(
+        F.when(F.col("id") % 10 > 0, "hot").otherwise(F.when(F.col("id") % 20 == 0, F.concat(F.lit("g"), F.col("id") % 300))).alias("g"),
+        (F.hash("id") % 1000).alias("v"), "id", F.when(F.col("id") % 10 > 0, 3).when(F.col("id") % 300 != 60, 1).alias("n"))
+    order = [F.col("v").desc(), F.col("id")]
+    best = groups.best_in_task(rows.withColumn("n", F.coalesce("n", F.lit(0))), ["g"], order, "n")
+    sent = {r.g: r["count"] for r in best.groupBy("g").count().collect()}
+    assert sent["hot"] == 6 * 3 and max(n for g, n in sent.items() if g != "hot") <= 6 and "g60" not in sent
+    got = {(r.g, r.place): r.id for r in groups.top_n(rows, ["g"], order, F.col("n")).collect()}
+    data = sorted((r for r in rows.collect() if r.n), key=lambda r: (-r.v, r.id))
+    want = {}
+    for r in data:
+        place = sum(1 for g, _ in want if g == r.g) + 1 if len(want) < 500 else r.n + 1
+        if place <= r.n:
+            want[r.g, place] = r.id
+    assert got == want and (None, 1) in got
+
+
 def test_standing_and_top_n_with_a_hot_group(spark):
     random.seed(1)
     data = [("hot" if random.random() < 0.5 else random.choice("abc"), random.choice([None, 0, 0, *range(40)]), i)
             for i in range(1500)]
     df = spark.createDataFrame(data, "g string, v int, i int")
-    for r in groups.standing(df, ["g"], "v", buckets=8).collect():
+    for r in groups.standing(df, ["g"], "v", ranges=8).collect():
         want = None if r.v is None else 1 + sum(1 for g, v, _ in data if g == r.g and v is not None and v > r.v)
         assert r["rank"] == want
     seats = {"hot": 7, "a": 2, "b": 1, "c": 3}
     n = F.create_map(*[F.lit(x) for kv in seats.items() for x in kv])[F.col("g")]
-    got = groups.top_n(df, ["g"], [F.col("v").desc_nulls_last(), F.col("i")], n, ["i"], pieces=4, tie_on="v")
+    got = groups.top_n(df, ["g"], [F.col("v").desc_nulls_last(), F.col("i")], n, tie_on="v")
     for g, k in seats.items():
         order = sorted((r for r in data if r[0] == g), key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
         mine = sorted((r for r in got.collect() if r.g == g), key=lambda r: r.place)
