@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from hustings.session import checkpointed
+
 CUTOFF = 0.9
 
 
@@ -73,79 +75,95 @@ def sequence_ratio(word: pd.Series, name: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
-def _segment(text: Column, parts: Column, i: Column) -> tuple[Column, Column]:
-    """(start, length) of the i-th of ``parts`` near-equal segments, 0-based."""
-    size = F.floor(F.length(text) / parts)
-    start = i * size
-    length = F.when(i == parts - 1, F.length(text) - start).otherwise(size)
-    return start.cast("int"), length.cast("int")
+def width_of(cutoff: float) -> int:
+    """Letters of a piece. Pieces of two letters tell names apart far better, but with low cutoffs
+    too few of them need be shared."""
+    return 2 if cutoff >= 0.8 else 1
+
+
+def pieces_of(text: Column, width: int) -> Column:
+    """The pieces of a text: its letters, or its neighbouring letters with the two ends; each with
+    how often it has come so far, so two texts share as many pieces as they do with repetitions."""
+    padded = text if width == 1 else F.concat(F.lit("\x01"), text, F.lit("\x02"))
+    plain = F.transform(F.sequence(F.lit(1), F.length(padded) - (width - 1)), lambda i: F.substr(padded, i, F.lit(width)))
+    return F.transform(plain, lambda c, i: F.concat(
+        c, F.size(F.filter(F.slice(plain, F.lit(1), i + 1), lambda o: o == c)).cast("string")))
+
+
+def rarest_first(texts: DataFrame, names: DataFrame, text: str, width: int) -> DataFrame:
+    """(text, pieces): the pieces of each text, the rarest among ``names`` first."""
+    counts = names.select(F.explode(pieces_of(F.col(text), width)).alias("__piece")) \
+        .groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
+    long = texts.select(text, F.explode(pieces_of(F.col(text), width)).alias("__piece"))
+    return long.join(counts, "__piece", "left").groupBy(text).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("__n", F.lit(0)), "__piece"))),
+        lambda p: p["__piece"]).alias("pieces"))  # as many as the text has letters, and one
+
+
+def least_shared(joint: Column, cutoff: float) -> Column:
+    """How many pieces two texts of this joint length must share to reach the cutoff: half the
+    matched letters, or the matched neighbours, of which every other letter parts two at most."""
+    least = joint * (cutoff / 2) if width_of(cutoff) == 1 else joint * (1.5 * cutoff - 1) + 1
+    return F.ceil(least - 1e-9)
+
+
+def rare_pairs(texts: DataFrame, text: str, cutoff: float) -> DataFrame:
+    """``texts`` (with pieces) with all pairs of their rarest pieces, as many as it takes for two
+    texts that reach the cutoff to have a pair in common."""
+    length = F.length(text)
+    shortest = F.ceil(length * (cutoff / (2.0 - cutoff)) - 1e-9)  # partner
+    # one more piece that all texts have, and behind all others, makes a pair out of one piece
+    rare = F.slice(F.concat("pieces", F.array(F.lit(""))), F.lit(1),
+                   (F.size("pieces") - least_shared(length + shortest, cutoff) + 2).cast("int"))
+    pairs = F.flatten(F.transform("__rare", lambda a, i: F.transform(
+        F.slice("__rare", i + 2, F.size("__rare")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return texts.withColumn("__rare", rare).withColumn("__pair", F.explode(pairs))
+
+
+def near_candidates(words: DataFrame, targets: DataFrame, scope: str, text: str,
+                    cutoff: float) -> DataFrame:
+    """(scope, text, near): pairs of a word and a name of its scope that may reach the cutoff.
+
+    To reach it two texts must share a number t of pieces. Pieces are ordered by how rare they are
+    among the names; of two texts that share t pieces the rarest n - t + 2 of each have a pair of
+    pieces in common, and an inverted index over these pairs finds them. Pieces that most names
+    have stand last and index next to nothing. A pair of texts is taken at the first pair of pieces
+    that they share, so none comes twice.
+    """
+    both = targets.select(text).unionByName(words.select(text)).filter(F.length(text) > 0).distinct()
+    pieces = checkpointed(rarest_first(both, targets.select(text).distinct(), text, width_of(cutoff)))
+    probe = rare_pairs(words.select(scope, text).distinct().join(pieces, text), text, cutoff)
+    index = rare_pairs(targets.select(scope, text).distinct().join(pieces, text), text, cutoff) \
+        .select(F.col(scope).alias("__scope"), F.col(text).alias("near"), F.col("pieces").alias("__pieces"),
+                F.col("__rare").alias("__others"), F.col("__pair").alias("__key"))
+    met = probe.join(index, (F.col(scope) == F.col("__scope")) & (F.col("__pair.a") == F.col("__key.a"))
+                     & (F.col("__pair.b") == F.col("__key.b")))
+    first = F.slice(F.array_intersect("__rare", "__others"), 1, 2)
+    joint = F.length(text) + F.length("near")
+    unlike = F.floor(F.lit(1.0 - cutoff) * joint + 1e-9)
+    return met.filter(first == F.array("__pair.a", "__pair.b")) \
+        .filter(F.size(F.array_intersect("pieces", "__pieces")) >= least_shared(joint, cutoff)) \
+        .filter(F.levenshtein(text, "near") <= unlike).select(scope, text, "near")
 
 
 def near_spellings(pairs: DataFrame, scopes: DataFrame, names: DataFrame, id_cols: list[str],
                    scope_name: str, key: str, cutoff: float = CUTOFF) -> DataFrame:
     """Best name at or above ``cutoff`` for each pair within its scopes: ``code``, ``near``,
-    ``ratio``. The first scope with a hit wins; equal ratios go to the greater name.
-
-    Two strings of joint length L and ratio r differ by at most (1-r)L unmatched characters. So
-    if a name is cut into one segment more than that, some segment stands unchanged in the word,
-    shifted by no more than the difference. Joining on segments yields every pair that can reach
-    the cutoff without comparing a scope's names with each other.
-    """
-    if not 2 / 3 < cutoff <= 1:
-        raise ValueError("segments cover cutoffs above 2/3 only")
-    slack = 1.0 - cutoff
-    low, high = cutoff / (2.0 - cutoff), (2.0 - cutoff) / cutoff
-    targets = names.groupBy("scope", "key").agg(F.max("code").alias("code"))
-    # A word may be up to `high` times as long as the name; the segment count covers that.
-    edits = F.floor(F.lit(slack) * F.length("key") * F.lit(1 + high) + F.lit(1e-9)).cast("int")
-    cut = targets.withColumn("__parts", F.least(edits + 1, F.length("key"))) \
-        .withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
-    start, length = _segment(F.col("key"), F.col("__parts"), F.col("__i"))
-    indexed = cut.select(
-        F.col("scope").alias("__scope_id"), F.col("key").alias("near"), "code",
-        F.length("key").alias("__len"), F.col("__i"), start.alias("__start"),
-        F.substr("key", start + 1, length).alias("__seg"))
-    word = F.col(key)
-    probe = pairs.select(*dict.fromkeys([*id_cols, scope_name, key])) \
-        .filter(F.length(word) > 0).withColumn(
-        "__len", F.explode(F.sequence(
-            F.greatest(F.lit(1), F.ceil(F.length(word) * F.lit(low) - F.lit(1e-9))).cast("int"),
-            F.floor(F.length(word) * F.lit(high) + F.lit(1e-9)).cast("int"))))
-    most = F.floor(F.lit(slack) * F.col("__len") * F.lit(1 + high) + F.lit(1e-9)).cast("int")
-    # A shift s and a length difference d take at least |s| + |d - s| unmatched characters.
-    apart = F.length(word) - F.col("__len")
-    allowed = F.floor(F.lit(slack) * (F.length(word) + F.col("__len")) + F.lit(1e-9)).cast("int")
-    probe = probe.withColumn("__parts", F.least(most + 1, F.col("__len"))) \
-        .withColumn("__allowed", allowed) \
-        .filter(F.abs(apart) <= F.col("__allowed")) \
-        .withColumn("__left", F.ceil((apart - F.col("__allowed")) / 2).cast("int")) \
-        .withColumn("__right", F.floor((apart + F.col("__allowed")) / 2).cast("int")) \
-        .withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
-    size = F.floor(F.col("__len") / F.col("__parts")).cast("int")
-    p_start = F.col("__i") * size
-    p_length = F.when(F.col("__i") == F.col("__parts") - 1, F.col("__len") - p_start).otherwise(size)
-    at = F.col("__at")
-    probe = probe.withColumn("__from", p_start).withColumn("__take", p_length) \
-        .withColumn("__at", F.explode(F.sequence(
-            F.col("__from") + F.col("__left"), F.col("__from") + F.col("__right")))) \
-        .filter((at >= 0) & (at + F.col("__take") <= F.length(word))) \
-        .withColumn("__piece", F.substr(word, at + 1, F.col("__take")))
-    wanted = scopes.select(F.col("scope_name").alias("__sn"), "scope", "scope_pos")
-    probe = probe.join(wanted, F.col(scope_name) == F.col("__sn"))
-    met = probe.alias("p").join(
-        indexed.alias("n"),
-        (F.col("p.scope") == F.col("n.__scope_id")) & (F.col("p.__len") == F.col("n.__len"))
-        & (F.col("p.__i") == F.col("n.__i")) & (F.col("p.__piece") == F.col("n.__seg")))
-    candidates = met.select(*[F.col(f"p.{c}").alias(c) for c in id_cols],
-                            F.col(f"p.{key}").alias("__word"), "p.__allowed", "scope_pos",
-                            "near", "code").distinct()
-    # Edit distance never exceeds the number of unmatched characters.
-    candidates = candidates.filter(
-        F.levenshtein("__word", "near") <= F.col("__allowed")).drop("__allowed")
-    scored = candidates.withColumn("ratio", sequence_ratio("__word", "near")) \
+    ``ratio``. The first scope with a hit wins; equal ratios go to the greater name. Any cutoff
+    above 0 is covered; a lower one has more candidates."""
+    if not 0 < cutoff <= 1:
+        raise ValueError("the cutoff lies above 0, and 1 at most")
+    targets = names.groupBy("scope", "key").agg(F.max("code").alias("code")) \
+        .select(F.col("scope").alias("__scope_id"), F.col("key").alias("__text"), "code")
+    wanted = scopes.select(F.col("scope_name").alias("__sn"), F.col("scope").alias("__scope_id"), "scope_pos")
+    asked = pairs.select(*dict.fromkeys([*id_cols, scope_name, key])) \
+        .join(wanted, F.col(scope_name) == F.col("__sn")).withColumn("__text", F.col(key))
+    candidates = near_candidates(asked, targets, "__scope_id", "__text", cutoff)
+    scored = candidates.withColumn("ratio", sequence_ratio("__text", "near")) \
         .filter(F.col("ratio") >= cutoff)
+    known = scored.join(targets.withColumnRenamed("__text", "near"), ["__scope_id", "near"])
     order = F.struct(-F.col("scope_pos"), F.col("ratio"), F.col("near"))
-    return scored.groupBy(*id_cols).agg(
+    return asked.join(known, ["__scope_id", "__text"]).groupBy(*id_cols).agg(
         F.max_by(F.struct("code", "near", "ratio"), order).alias("__hit")) \
         .select(*id_cols, "__hit.code", "__hit.near", "__hit.ratio")
 
@@ -158,7 +176,10 @@ def crosswalk(pairs: DataFrame, scopes: DataFrame, names: DataFrame, id_cols: li
         .withColumn("how", F.when(F.col("code").isNotNull(), F.lit("exact")))
     if cutoff is None:
         return exact
+    exact = checkpointed(exact)
     open_pairs = exact.filter(F.col("code").isNull()).drop("code", "how")
+    if open_pairs.isEmpty():
+        return exact.withColumns({"near": F.lit(None).cast("string"), "ratio": F.lit(None).cast("double")})
     near = near_spellings(open_pairs, scopes, names, id_cols, scope_name, key, cutoff) \
         .select(*id_cols, F.col("code").alias("__near"), "near", "ratio")
     return exact.join(near, id_cols, "left").withColumn(

@@ -3,6 +3,7 @@
 import random
 from difflib import get_close_matches
 
+import pytest
 from pyspark.sql import functions as F
 
 from hustings.operators import audit, crosswalk, groups, identity, kinship, linkage, tally
@@ -106,7 +107,8 @@ def test_majority(spark):
     assert strict == {"big"} and loose == {"big", "four", "mix"}
 
 
-def test_near_spellings_equal_brute_force(spark):
+@pytest.mark.parametrize("cutoff", [0.6, 0.9])
+def test_near_spellings_equal_brute_force(spark, cutoff):
     random.seed(5)
     letters = "ABCDE "
     names = sorted({"".join(random.choices(letters, k=random.randint(6, 22))).strip() or "A" for _ in range(120)})
@@ -122,12 +124,27 @@ def test_near_spellings_equal_brute_force(spark):
         spark.createDataFrame([("s", w) for w in words], "sn string, key string"),
         spark.createDataFrame([("s", "t", 0)], "scope_name string, scope string, scope_pos int"),
         spark.createDataFrame([("t", n, n) for n in names], "scope string, key string, code string"),
-        ["sn", "key"], "sn", "key")
+        ["sn", "key"], "sn", "key", cutoff)
     got = {r.key: r.near for r in near.collect()}
-    want = {w: m[0] for w in words if (m := get_close_matches(w, names, n=1, cutoff=0.9))}
+    want = {w: m[0] for w in words if (m := get_close_matches(w, names, n=1, cutoff=cutoff))}
     assert got == want and len(want) > 50
 
 
+def test_a_piece_that_most_names_share_makes_no_quadratic_join(spark):
+    """Nine names of ten begin with the same word; few of them meet under one pair of letters."""
+    random.seed(8)
+    name = lambda: "".join(random.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=9))
+    names = [("s", ("MUNICIPALITY " if k % 10 else "") + name()) for k in range(1500)]
+    df = spark.createDataFrame(names, "scope string, text string")
+    pieces = crosswalk.rarest_first(df.select("text"), df, "text", 2)
+    index = crosswalk.rare_pairs(df.join(pieces, "text"), "text", 0.9).groupBy("__pair").count()
+    pairs, keys = index.agg(F.expr("sum(count * count)"), F.count("*")).first()
+    assert keys > 1000 and pairs < 0.05 * len(names) ** 2
+    words = spark.createDataFrame([("s", n[1:]) for _, n in names[:200]], "scope string, text string")
+    found = crosswalk.near_candidates(words, df, "scope", "text", 0.9)
+    assert 200 <= found.count() <= 400 and found.filter("near = concat(substr(near, 1, 1), text)").count() == 200
+
+
 def test_crosswalk_cascade(spark):
     pairs = spark.createDataFrame([("P", "OFFICIAL OLDNAME"), ("P", "SAMAL"), ("Q", "SAMAL"), ("Q", "BALIUAGG TOWN"), ("P", "ZZZ")],
                                   "p string, key string")
