@@ -204,6 +204,7 @@ def parts(docs: DataFrame, a_path: str, b_path: str, block_bytes: int) -> DataFr
                     ids, texts, size, turn = [], [], 0, turn + 1
         if ids:
             yield from rows(ids, texts)
+        pa.default_memory_pool().release_unused()  # workers live on between tasks
 
     return docs.mapInArrow(run, PARTS)
 
@@ -225,7 +226,7 @@ def summed(texts: pa.Table, pairs: pa.Table) -> pa.Table:
 
 
 def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
-                     block_bytes: int = 2 << 20) -> DataFrame:
+                     block_bytes: int = 1 << 20) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every text.
 
     Groups lie between byte offsets where tokens of A and B both end. Links are pairs of an A and a B
