@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hustings.catalog.registry import QUERIES, SQL
 
-MODULES = ["texts", "tallies", "links", "crosswalks", "kin", "shapes", "audits", "landed",
+MODULES = ["texts", "tallies", "links", "crosswalks", "kin", "shapes", "audits", "landed", "files",
            "outlines", "pipeline"]
 
 

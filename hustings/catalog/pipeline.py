@@ -187,40 +187,54 @@ def listed_rows(t, what):
     return backfill.winner_middles(rows, "list") if what == "middle" else backfill.winner_sexes(rows, "list")
 
 
+def inherited_rows(t):
+    """What an inherited file knows: another middle name for some people of two cycles."""
+    some = F.col("year").isin(1998, 2000) & F.col("last_name").like("S1%")
+    middle = F.when(some, F.concat(F.lit("I"), F.substring("first_name", 2, 9))).otherwise("")
+    return backfill.winner_middles(people(t).withColumn("middle_name", middle), "inherited")
+
+
+def index_sql(name, source, keys, value):
+    """A table of the keys that have one value only."""
+    return f"{name} AS (SELECT {keys}, min({value}) AS v FROM {source} GROUP BY ALL HAVING count(DISTINCT {value}) = 1)"
+
+
+def looked_up(alias, keys, rows="p"):
+    return f"LEFT JOIN {alias} ON " + " AND ".join(f"{rows}.{k} = {alias}.{k}" for k in keys.split(", "))
+
+
+PERSON_SQL = "year, kp, city, position, last_name, first_name"
+CITY, GOV = "position <> 'GOVERNOR'", "position = 'GOVERNOR'"
+TOWNSMAN, KINSMAN, GOVERNOR = "city, last_name, first_name", "city, last_name", "kp, last_name, first_name"
 MIDDLE_SQL = f"""
   p AS (SELECT row_number() OVER () AS id, replace(province, '_', ' ') AS kp, * FROM ({PEOPLE_SQL})),
-  src AS (SELECT * FROM p WHERE middle_name <> ''),
-  l AS (SELECT * FROM src WHERE year IN (1996, 1998)),
-  lp AS (SELECT year, city, last_name, first_name, min(middle_name) AS v FROM l WHERE position <> 'GOVERNOR' GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT middle_name) = 1),
-  ls AS (SELECT year, city, last_name, min(middle_name) AS v FROM l WHERE position <> 'GOVERNOR' GROUP BY 1, 2, 3 HAVING count(DISTINCT middle_name) = 1),
-  lg AS (SELECT year, kp, last_name, first_name, min(middle_name) AS v FROM l WHERE position = 'GOVERNOR' GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT middle_name) = 1),
-  one AS (SELECT p.*, CASE WHEN middle_name = '' AND p.year IN (1996, 1998, 2000) THEN
-        CASE WHEN position <> 'GOVERNOR' THEN coalesce(lp.v, ls.v) ELSE lg.v END END AS hit
-    FROM p LEFT JOIN lp ON p.year = lp.year AND p.city = lp.city AND p.last_name = lp.last_name AND p.first_name = lp.first_name
-      LEFT JOIN ls ON p.year = ls.year AND p.city = ls.city AND p.last_name = ls.last_name
-      LEFT JOIN lg ON p.year = lg.year AND p.kp = lg.kp AND p.last_name = lg.last_name AND p.first_name = lg.first_name),
-  known AS (SELECT year, kp, city, position, last_name, first_name, coalesce(nullif(middle_name, ''), hit) AS m FROM one),
-  others AS (SELECT * FROM known WHERE m IS NOT NULL AND year <> 2001
-    UNION ALL SELECT year, kp, city, position, last_name, first_name, middle_name FROM l),
-  op AS (SELECT city, last_name, first_name, min(m) AS v FROM others WHERE position <> 'GOVERNOR' GROUP BY 1, 2, 3 HAVING count(DISTINCT m) = 1),
-  og AS (SELECT kp, last_name, first_name, min(m) AS v FROM others WHERE position = 'GOVERNOR' GROUP BY 1, 2, 3 HAVING count(DISTINCT m) = 1),
-  two AS (SELECT one.*, CASE WHEN middle_name = '' AND year = 2001 THEN CASE WHEN position <> 'GOVERNOR' THEN op.v ELSE og.v END END AS self
-    FROM one LEFT JOIN op ON one.city = op.city AND one.last_name = op.last_name AND one.first_name = op.first_name
-      LEFT JOIN og ON one.kp = og.kp AND one.last_name = og.last_name AND one.first_name = og.first_name)"""
+  l AS (SELECT {PERSON_SQL}, middle_name AS m FROM p WHERE middle_name <> '' AND year IN (1996, 1998)),
+  h AS (SELECT {PERSON_SQL}, 'I' || substr(first_name, 2) AS m FROM p WHERE year IN (1998, 2000) AND last_name LIKE 'S1%'),
+  {", ".join(index_sql(f"{s}{k}", f"(FROM {s} WHERE {w})", f"year, {by}", "m") for s in "lh"
+             for k, w, by in (("p", CITY, TOWNSMAN), ("s", CITY, KINSMAN), ("g", GOV, GOVERNOR)))},
+  one AS (SELECT p.*, CASE WHEN {CITY} THEN coalesce(lp.v, ls.v) ELSE lg.v END AS of_list,
+      CASE WHEN {CITY} THEN coalesce(hp.v, hs.v) ELSE hg.v END AS of_file FROM p
+    {" ".join(looked_up(f"{s}{k}", f"year, {by}") for s in "lh" for k, by in (("p", TOWNSMAN), ("s", KINSMAN), ("g", GOVERNOR)))}),
+  hits AS (SELECT * EXCLUDE (of_list, of_file), CASE WHEN middle_name = '' AND year IN (1996, 1998, 2000) THEN coalesce(of_list, of_file) END AS hit,
+      CASE WHEN of_list IS NULL THEN 'v8.5' ELSE 'comelec_lec' END AS label FROM one),
+  others AS (SELECT {PERSON_SQL}, coalesce(nullif(middle_name, ''), hit) AS m FROM hits WHERE year <> 2001 AND coalesce(nullif(middle_name, ''), hit) IS NOT NULL
+    UNION ALL SELECT * FROM l UNION ALL SELECT * FROM h),
+  {index_sql("op", f"(FROM others WHERE {CITY})", TOWNSMAN, "m")}, {index_sql("og", f"(FROM others WHERE {GOV})", GOVERNOR, "m")},
+  two AS (SELECT hits.*, CASE WHEN middle_name = '' AND year = 2001 THEN CASE WHEN {CITY} THEN op.v ELSE og.v END END AS self
+    FROM hits {looked_up("op", TOWNSMAN, "hits")} {looked_up("og", GOVERNOR, "hits")})"""
+FILLED_MIDDLE = """coalesce(nullif(middle_name, ''), hit, self, '') AS middle_name,
+    CASE WHEN middle_name <> '' THEN 'original' WHEN hit IS NOT NULL THEN label WHEN self IS NOT NULL THEN 'self-prior' ELSE '' END
+      AS middle_name_source,
+    last_name || ', ' || first_name || CASE WHEN middle_name = '' AND coalesce(hit, self) IS NOT NULL THEN ' ' || coalesce(hit, self) ELSE '' END AS full_name"""
 
 
 def filled_middles(t):
     base = backfill.with_source_columns(people(t))
-    none = listed_rows(t, "middle").filter(F.lit(False))
-    return backfill.fill_winner_middles(base, listed_rows(t, "middle"), none, FILL_CYCLES, 2001)
+    return backfill.fill_winner_middles(base, listed_rows(t, "middle"), inherited_rows(t), FILL_CYCLES, 2001)
 
 
 @query("backfilled_middles", f"""WITH {MIDDLE_SQL}
-  SELECT year, province, city, position, last_name, first_name, coalesce(nullif(middle_name, ''), hit, self, '') AS middle_name,
-    CASE WHEN middle_name <> '' THEN 'original' WHEN hit IS NOT NULL THEN 'comelec_lec' WHEN self IS NOT NULL THEN 'self-prior' ELSE '' END
-      AS middle_name_source,
-    last_name || ', ' || first_name || CASE WHEN middle_name = '' AND coalesce(hit, self) IS NOT NULL THEN ' ' || coalesce(hit, self) ELSE '' END AS full_name
-  FROM two""")
+  SELECT year, province, city, position, last_name, first_name, {FILLED_MIDDLE} FROM two""")
 def backfilled_middles(t):
     return filled_middles(t)[0].select("year", "province", "city", "position", "last_name", "first_name",
                                        "middle_name", "middle_name_source", "full_name")
@@ -228,7 +242,7 @@ def backfilled_middles(t):
 
 @query("backfill_log", f"""WITH {MIDDLE_SQL}
   SELECT 'winners' AS dataset, year, province, city, position, last_name, first_name, 'Middle Name' AS field, coalesce(hit, self) AS value_filled,
-    CASE WHEN hit IS NOT NULL THEN 'comelec_lec' ELSE 'self-prior' END AS source FROM two WHERE coalesce(hit, self) IS NOT NULL""")
+    CASE WHEN hit IS NOT NULL THEN label ELSE 'self-prior' END AS source FROM two WHERE coalesce(hit, self) IS NOT NULL""")
 def backfill_log(t):
     return filled_middles(t)[1]
 
@@ -240,11 +254,32 @@ def backfill_coverage(t):
     return backfill.coverage_report(people(t), filled_middles(t)[1])
 
 
-@query("backfilled_winners")
+def cycle_sql(year, before):
+    """Sexes of a cycle: its own list, then the person in any other cycle, fills included, then the given name."""
+    c = f"c{year}"
+    return f"""
+  {index_sql(c + "p", f"(FROM ks WHERE year = {year} AND {CITY})", TOWNSMAN, "s")}, {index_sql(c + "s", f"(FROM ks WHERE year = {year} AND {CITY})", KINSMAN, "s")},
+  {index_sql(c + "g", f"(FROM ks WHERE year = {year} AND {GOV})", GOVERNOR, "s")},
+  {c}o AS (SELECT * FROM ks UNION ALL SELECT {PERSON_SQL}, s FROM {before} WHERE year <> {year} AND s IS NOT NULL),
+  {index_sql(c + "op", f"(FROM {c}o WHERE {CITY})", TOWNSMAN, "s")}, {index_sql(c + "og", f"(FROM {c}o WHERE {GOV})", GOVERNOR, "s")},
+  {c}h AS (SELECT p.*, CASE WHEN {CITY} THEN coalesce({c}p.v, {c}s.v) ELSE {c}g.v END AS a, CASE WHEN {CITY} THEN {c}op.v ELSE {c}og.v END AS b, gs.v AS g
+    FROM {before} p {looked_up(c + "p", TOWNSMAN)} {looked_up(c + "s", KINSMAN)} {looked_up(c + "g", GOVERNOR)}
+      {looked_up(c + "op", TOWNSMAN)} {looked_up(c + "og", GOVERNOR)} {looked_up("gs", "first_name")}),
+  {c} AS (SELECT * EXCLUDE (s, sex_source, a, b, g), CASE WHEN s IS NULL AND year = {year} THEN coalesce(a, b, g) ELSE s END AS s,
+      CASE WHEN s IS NULL AND year = {year} THEN CASE WHEN a IS NOT NULL THEN 'comelec_lec' WHEN b IS NOT NULL THEN 'self-prior'
+        WHEN g IS NOT NULL THEN 'given-name' ELSE '' END ELSE sex_source END AS sex_source FROM {c}h)"""
+
+
+@query("backfilled_winners", f"""WITH {MIDDLE_SQL},
+  c0 AS (SELECT *, nullif(sex, '') AS s, CASE WHEN sex <> '' THEN 'prior' ELSE '' END AS sex_source FROM two),
+  ks AS (SELECT {PERSON_SQL}, sex AS s FROM p WHERE sex <> '' AND year IN (1996, 1998)),
+  gs AS (SELECT CASE WHEN c_acctbal > 9000 THEN 'G' ELSE 'Q' END || c_custkey AS first_name, 'F' AS v FROM customer),
+  {", ".join(cycle_sql(y, f"c{b}") for b, y in zip((0, *FILL_CYCLES), FILL_CYCLES))}
+  SELECT year, province, city, position, last_name, first_name, {FILLED_MIDDLE}, coalesce(s, sex) AS sex, sex_source, 'ATTY.' AS title
+  FROM c{FILL_CYCLES[-1]}""")
 def backfilled_winners(t):
-    none = listed_rows(t, "middle").filter(F.lit(False))
     givens = t.sql(GIVENS.format(least=9000), customer=t.customer)
-    return backfill.backfill_winners(people(t), listed_rows(t, "middle"), none, listed_rows(t, "sex"),
+    return backfill.backfill_winners(people(t), listed_rows(t, "middle"), inherited_rows(t), listed_rows(t, "sex"),
                                      givens, FILL_CYCLES, 2001)[0]
 
 
@@ -285,8 +320,7 @@ def candidate_sexes(t):
 @query("filled_vote_counts")
 def filled_vote_counts(t):
     ballots = counts(t)
-    rows = ballots.withColumn("row_id", F.xxhash64(
-        "year", "province", "city", "raw_position", "reported_name", "reported_party", "votes"))
+    rows = ballots.withColumn("row_id", F.xxhash64(*ballots.columns))
     marked = backfill.race_winner_rows(rows, "row_id")
     middles, sexes = listed_rows(t, "middle"), listed_rows(t, "sex")
     givens = t.sql("SELECT DISTINCT upper(split_part(p_name, ' ', 1)) AS given, 'F' AS sex FROM {part}", "part")

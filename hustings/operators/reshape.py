@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import chain
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from hustings.operators.groups import global_codes, top_n
+from hustings.operators.groups import drop_duplicate_rows, global_codes, top_n
+from hustings.session import checkpointed
 
 
 def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str,
@@ -94,10 +95,27 @@ def sample_values(df: DataFrame, keys: Sequence[str], column: str, n: int,
 
 
 def require_known(df: DataFrame, known: str, raw: str, n: int = 20) -> DataFrame:
-    """Fail when ``known`` is null anywhere, naming up to ``n`` distinct raw values and counting the rest."""
-    unknown = df.filter(F.col(known).isNull()).select(raw).distinct()
-    bad = unknown.orderBy(F.col(raw).asc_nulls_last()).limit(n).collect()
-    if bad:
-        more = unknown.count() - len(bad)
-        raise ValueError(f"unrecognised {raw}: {[r[0] for r in bad]}" + f" and {more} more" * (more > 0))
-    return df
+    """``df``, written once to the checkpoint folder; fails when ``known`` is null in any row.
+
+    The unknown rows are counted while the table is written, so its sources are read once. The
+    error names the ``n`` most frequent raw values, out of a sketch of bounded size, and about how
+    many others there are.
+    """
+    seen, unknown = Observation(), F.col(known).isNull()
+    value = F.when(unknown, F.coalesce(F.col(raw).cast("string"), F.lit("(null)")))
+    done = checkpointed(df.observe(
+        seen, F.count_if(unknown).alias("rows"), F.approx_count_distinct(value).alias("values"),
+        F.call_function("approx_top_k", value, F.lit(n + 1), F.lit(100 * n)).alias("top")))  # the known rows are one item
+    if seen.get["rows"]:
+        bad = [item.item for item in seen.get["top"] if item.item is not None][:n]
+        more = max(seen.get["values"] - len(bad), 0)
+        raise ValueError(f"unrecognised {raw}: {bad}" + f" and about {more} more" * (more > 0))
+    return done
+
+
+def drop_and_count(df: DataFrame) -> tuple[DataFrame, int]:
+    """Exact duplicates removed, written once, and how many there were, counted in that pass."""
+    before, after = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("rows")
+    done = checkpointed(drop_duplicate_rows(df.observe(before, count)).observe(after, count))
+    return done, before.get["rows"] - after.get["rows"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from hustings.functions import names, offices
 from hustings.functions.places import canonical_city, canonical_province
 from hustings.functions.text import fold, none_if_blank
 from hustings.operators import linkage
-from hustings.operators.groups import flag_top_row
+from hustings.operators.groups import attach, flag_top_row
 from hustings.operators.linkage import Stage, staged_lookup, unambiguous_index
 from hustings.session import checkpointed
 from hustings.sources.lists import middle_sources, sex_sources
@@ -49,6 +50,8 @@ def with_link_keys(df: DataFrame) -> DataFrame:
 
 
 KEYS = ["k_province", "k_city", "k_last", "k_given"]
+#: What a look-up needs to know of a winner.
+PERSON = ["year", "province", "city", "position", "last_name", "first_name"]
 
 
 def _is(column: str, values: Sequence[str]) -> Column:
@@ -125,79 +128,154 @@ def with_source_columns(winners: DataFrame) -> DataFrame:
     return winners.withColumns(add) if add else winners
 
 
-def fill_winner_middles(winners: DataFrame, listed: DataFrame, inherited: DataFrame,
-                        years: Sequence[int] = FILL_YEARS,
-                        self_year: int = SELF_YEAR) -> tuple[DataFrame, DataFrame]:
-    """(winners, log). Cycles with a list look into that list, then the inherited file, of the same
-    year; these look-ups do not feed each other, so the cycles run as one pass keyed by year. The
-    cycle without a list matches itself to all other cycles, fills included.
+def blank_people(winners: DataFrame, blank: Column, years: Sequence[int]) -> DataFrame:
+    """The people of the given cycles with a blank field, each once, with their folded key parts.
+    What is looked up depends on these columns alone, so fills are found by person, not by row."""
+    return checkpointed(with_link_keys(
+        winners.filter(blank & F.col("year").isin(list(years))).select(*PERSON).distinct()))
 
-    ``listed`` and ``inherited``: linkage rows of middle names.
-    """
-    same_year = [y for y in years if y != self_year]
-    blank = ~names.has_middle("middle_name")
-    keyed = with_link_keys(winners)
-    first = staged_lookup(
-        keyed, stages(listed, LIST, True, ["year"]) + stages(inherited, INHERITED, True, ["year"]),
-        "__hit", "__label")
-    one = checkpointed(_fill(first, "middle_name", "middle_name_source", blank,
-                             F.col("year").isin(same_year)))
-    log = _log(one, "winners", "Middle Name", "middle_name", "middle_name_source")
-    one = one.drop("__filled")
+
+def _fills(people: DataFrame, steps: Sequence[Stage]) -> DataFrame:
+    """(person, value, label): the people who are found."""
+    found = staged_lookup(people, steps, "value", "label").filter(F.col("value").isNotNull())
+    return checkpointed(found.select(*PERSON, "value", "label"))
+
+
+def middle_fills(winners: DataFrame, listed: DataFrame, inherited: DataFrame,
+                 years: Sequence[int] = FILL_YEARS, self_year: int = SELF_YEAR) -> DataFrame:
+    """(person, value, label). Cycles with a list look into that list, then the inherited file, of
+    the same year; these look-ups do not feed each other, so the cycles run as one pass keyed by
+    year. The cycle without a list matches itself to all other cycles, fills included."""
+    people = blank_people(winners, ~names.has_middle("middle_name"), years)
+    fills = _fills(people.filter(F.col("year") != self_year),
+                   stages(listed, LIST, True, ["year"]) + stages(inherited, INHERITED, True, ["year"]))
     if self_year not in years:
-        filled = one
-    else:
-        others = listed.unionByName(inherited).unionByName(
-            winner_middles(one.filter(F.col("year") != self_year)))
-        second = staged_lookup(one, stages(others, SELF, False), "__hit", "__label")
-        two = checkpointed(_fill(second, "middle_name", "middle_name_source", blank,
-                                 F.col("year") == self_year))
-        log = log.unionByName(_log(two, "winners", "Middle Name", "middle_name",
-                                   "middle_name_source"))
-        filled = two.drop("__filled")
-    touched = F.col("middle_name_source").isin(LIST, INHERITED, SELF)
-    full = names.canonical_full_name("last_name", "first_name", "middle_name")
-    return filled.withColumn("full_name", F.when(touched, full).otherwise(F.col("full_name"))) \
-        .drop(*KEYS), log
+        return fills
+    known = winners.select(*PERSON, "middle_name").unionByName(
+        fills.select(*PERSON, F.col("value").alias("middle_name")))
+    others = listed.unionByName(inherited).unionByName(
+        winner_middles(known.filter(F.col("year") != self_year)))
+    return fills.unionByName(_fills(people.filter(F.col("year") == self_year), stages(others, SELF, False)))
 
 
-def fill_winner_sexes(winners: DataFrame, listed: DataFrame, given_sex: DataFrame,
-                      years: Sequence[int] = FILL_YEARS,
-                      list_years: Sequence[int] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(winners, log). Each cycle in turn: its own list, then the person in any other cycle, then
-    the given name. Fills of one cycle feed the next, so cycles run in order, each checkpointed.
+@dataclass(frozen=True)
+class Spans:
+    """An index that grows: for each key and cycle the least and the greatest value. Two such tables
+    merge by union, and a key is unambiguous where the two values of all cycles asked are equal."""
+
+    keys: Sequence[str]
+    rows: DataFrame
+
+    @classmethod
+    def of(cls, sources: DataFrame, keys: Sequence[str], year: Column | str = "year") -> Spans:
+        rows = sources.dropna(subset=[*keys, "value"]).withColumn("cycle", F.col(year) if isinstance(year, str) else year)
+        return cls(keys, rows.groupBy("cycle", *keys).agg(F.min("value").alias("low"), F.max("value").alias("high")))
+
+    def merged(self, other: Spans) -> Spans:
+        return Spans(self.keys, self.rows.unionByName(other.rows))
+
+    def stored(self) -> Spans:
+        return Spans(self.keys, checkpointed(self.rows))
+
+    def but(self, cycle: int, wanted: DataFrame) -> DataFrame:
+        """The unambiguous values over all cycles but one, for the wanted keys only. Rows without a
+        cycle, those of lists, always count."""
+        asked = self.rows.filter(F.col("cycle").isNull() | (F.col("cycle") != cycle)) \
+            .join(wanted.distinct(), list(self.keys), "left_semi")
+        return asked.groupBy(*self.keys).agg(F.min("low").alias("value"), F.max("high").alias("__high")) \
+            .filter(F.col("value") == F.col("__high")).drop("__high")
+
+
+#: Keys of the two indexes over other cycles, and the columns that ask for them.
+SPANS = {"person": (["city", "last", "given"], ["k_city", "k_last", "k_given"]),
+         "governor": (["province", "position", "last", "given"], ["k_province", "position", "k_last", "k_given"])}
+
+
+def sex_spans(sexes: DataFrame, year: Column | str = "year") -> dict[str, Spans]:
+    governors = sexes.filter(_is("position", offices.GOVERNOR_OFFICES))
+    return {"person": Spans.of(_city_rows(sexes), SPANS["person"][0], year),
+            "governor": Spans.of(governors, SPANS["governor"][0], year)}
+
+
+def sex_fills(winners: DataFrame, listed: DataFrame, given_sex: DataFrame,
+              years: Sequence[int] = FILL_YEARS, list_years: Sequence[int] | None = None) -> DataFrame:
+    """(person, value, label). Each cycle in turn: its own list, then the person in any other cycle,
+    then the given name. Fills of one cycle feed the next: the index over all cycles is made once,
+    and only what a cycle fills is added to it.
 
     ``listed``: linkage rows of sexes. ``given_sex``: given, sex.
     """
-    current = with_link_keys(winners)
-    logs = None
+    people = blank_people(winners, none_if_blank("sex").isNull(), years)
+    always = sex_spans(listed, F.lit(None).cast("int"))
+    index = {k: always[k].merged(s).stored() for k, s in sex_spans(winner_sexes(winners)).items()}
+    out = None
     for year in years:
-        own = listed.filter(F.col("year") == year)
-        others = listed.unionByName(
-            winner_sexes(current.drop(*KEYS).filter(F.col("year") != year)))
+        mine = people.filter(F.col("year") == year)
         steps = []
         if list_years is None or year in list_years:
-            steps += stages(own, LIST, True)
-        steps += stages(others, SELF, False)
+            steps += stages(listed.filter(F.col("year") == year), LIST, True)
+        for kind, held in (("person", offices.CITY_OFFICES), ("governor", offices.GOVERNOR_OFFICES)):
+            keys, on = SPANS[kind]
+            wanted = mine.filter(_is("position", held)).select(*[F.col(o).alias(k) for k, o in zip(keys, on)])
+            steps.append(Stage(index[kind].but(year, wanted), keys, on, "value", SELF, _is("position", held)))
         steps.append(Stage(given_sex, ["given"], ["k_given"], "sex", GIVEN))
-        looked = staged_lookup(current, steps, "__hit", "__label")
-        done = checkpointed(_fill(looked, "sex", "sex_source", none_if_blank("sex").isNull(),
-                                  F.col("year") == year))
-        log = _log(done, "winners", "Sex", "sex", "sex_source")
-        logs = log if logs is None else logs.unionByName(log)
-        current = done.drop("__filled")
-    return current.drop(*KEYS), logs
+        fills = _fills(mine, steps)
+        fresh = sex_spans(winner_sexes(fills.withColumnRenamed("value", "sex")))
+        index = {k: s.merged(fresh[k]) for k, s in index.items()}
+        out = fills if out is None else out.unionByName(fills)
+    return out
+
+
+def apply_fills(winners: DataFrame, fills: DataFrame, field: str, blank: Column) -> DataFrame:
+    """Blank fields of the people found, with their source; ``__filled_<field>`` marks them."""
+    found = attach(winners, fills.withColumnsRenamed({"value": "__hit", "label": "__label"}), PERSON)
+    return _fill(found, field, f"{field}_source", blank, F.lit(True)) \
+        .withColumnRenamed("__filled", f"__filled_{field}")
+
+
+def _filled(done: DataFrame, name: str, field: str) -> DataFrame:
+    return _log(done.withColumn("__filled", F.col(f"__filled_{field}")), "winners", name, field, f"{field}_source")
+
+
+def _with_full_names(winners: DataFrame) -> DataFrame:
+    touched = F.col("middle_name_source").isin(LIST, INHERITED, SELF)
+    full = names.canonical_full_name("last_name", "first_name", "middle_name")
+    return winners.withColumn("full_name", F.when(touched, full).otherwise(F.col("full_name")))
+
+
+def fill_winner_middles(winners: DataFrame, listed: DataFrame, inherited: DataFrame,
+                        years: Sequence[int] = FILL_YEARS,
+                        self_year: int = SELF_YEAR) -> tuple[DataFrame, DataFrame]:
+    """(winners, log) with middle names filled, see ``middle_fills``. ``listed`` and ``inherited``:
+    linkage rows of middle names."""
+    fills = middle_fills(winners, listed, inherited, years, self_year)
+    done = checkpointed(apply_fills(winners, fills, "middle_name", ~names.has_middle("middle_name")))
+    return _with_full_names(done).drop("__filled_middle_name"), _filled(done, "Middle Name", "middle_name")
+
+
+def fill_winner_sexes(winners: DataFrame, listed: DataFrame, given_sex: DataFrame,
+                      years: Sequence[int] = FILL_YEARS,
+                      list_years: Sequence[int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(winners, log) with sexes filled, see ``sex_fills``."""
+    fills = sex_fills(winners, listed, given_sex, years, list_years)
+    done = checkpointed(apply_fills(winners, fills, "sex", none_if_blank("sex").isNull()))
+    return done.drop("__filled_sex"), _filled(done, "Sex", "sex")
 
 
 def backfill_winners(winners: DataFrame, listed_middles: DataFrame, inherited_middles: DataFrame,
                      listed_sexes: DataFrame, given_sex: DataFrame,
                      years: Sequence[int] = FILL_YEARS,
                      self_year: int = SELF_YEAR) -> tuple[DataFrame, DataFrame]:
-    """Winners with middle names, sexes and one spelling for each title, and the log of fills."""
+    """Winners with middle names, sexes and one spelling for each title, and the log of fills. The
+    fills are found first, and the winners are written once."""
     base = with_source_columns(winners)
-    one, log_a = fill_winner_middles(base, listed_middles, inherited_middles, years, self_year)
-    two, log_b = fill_winner_sexes(one, listed_sexes, given_sex, years)
-    return two.withColumn("title", names.canonical_title("title")), log_a.unionByName(log_b)
+    middles = middle_fills(base, listed_middles, inherited_middles, years, self_year)
+    sexes = sex_fills(base, listed_sexes, given_sex, years)
+    done = apply_fills(base, middles, "middle_name", ~names.has_middle("middle_name"))
+    done = checkpointed(apply_fills(done, sexes, "sex", none_if_blank("sex").isNull()))
+    log = _filled(done, "Middle Name", "middle_name").unionByName(_filled(done, "Sex", "sex"))
+    return _with_full_names(done).withColumn("title", names.canonical_title("title")) \
+        .drop("__filled_middle_name", "__filled_sex"), log
 
 
 def coverage_report(before: DataFrame, log: DataFrame, field: str = "Middle Name",

@@ -60,15 +60,15 @@ def canonical_ballots(raw: DataFrame, prefixes: list[tuple[str, str]] | None = N
 def build_vote_counts(frames: Sequence[DataFrame], check: bool = True) -> DataFrame:
     """Frames of raw rows (with ``year``) to the published table, exact duplicates removed.
 
-    With ``check`` an unknown office stops the build, with the names that are not known.
+    With ``check`` an unknown office stops the build, with the names that are not known; the
+    table is written once for that, and the sources are read once.
     """
     text = [f.withColumns({c: F.col(c).cast("string")
                            for c in ("rank", "votes", "percentage") if c in f.columns})
             for f in frames]
     rows = canonical_ballots(align_union(text))
-    if check:
-        require_known(rows, "position", "raw_position")
-    return drop_duplicate_rows(rows)
+    once = drop_duplicate_rows(rows)
+    return require_known(once, "position", "raw_position") if check else once
 
 
 def published_order(df: DataFrame) -> DataFrame:

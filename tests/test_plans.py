@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hustings.operators.reshape import require_known
+from hustings.operators.reshape import drop_and_count, require_known
 from hustings.plans import audits, backfill, explore, kin, place_results, vote_counts, winners
 from hustings.session import checkpointed
 from hustings.sources.ballots import BALLOT_COLUMNS
@@ -53,7 +53,20 @@ def test_vote_counts(spark):
     bad = spark.createDataFrame([("R", "P", "C", "DOGCATCHER", None, "A", "B", "1", None, 2022)], RAW)
     with pytest.raises(ValueError, match="DOGCATCHER"):
         vote_counts.build_vote_counts([ballots(spark), bad])
-    assert require_known(out, "position", "raw_position") is out
+    assert require_known(out, "position", "raw_position").count() == out.count()
+
+
+def test_unknown_values_are_named_in_one_pass(spark):
+    """Nine rows of ten share one unknown value; more values are unknown than are named."""
+    rows = spark.createDataFrame([(None, "x") for _ in range(900)] + [(None, f"u{k}") for k in range(40)] + [(1, "known")] * 60 + [(None, None)],
+                                 "known int, raw string")
+    with pytest.raises(ValueError, match=r"unrecognised raw: \['x', .* and about \d+ more") as error:
+        require_known(rows, "known", "raw")
+    assert str(error.value).count("'") == 2 * 20 and "known'" not in str(error.value)
+    with pytest.raises(ValueError, match=r"unrecognised raw: \['\(null\)'\]$"):
+        require_known(rows.filter("raw is null or raw = 'known'"), "known", "raw")
+    kept, removed = drop_and_count(rows)
+    assert (kept.count(), removed) == (43, 958)
 
 
 def test_winners(spark):
@@ -217,3 +230,23 @@ def test_rows_without_a_name_match_nobody(spark):
     none = backfill.winner_sexes(winners).filter("false")
     givens = spark.createDataFrame([], "given string, sex string")
     assert [r.sex for r in backfill.add_sexes(counts, winners, none, givens).collect()] == [None]
+
+
+def test_fills_are_found_once_for_each_person(spark):
+    """Nine rows of ten are one person; the cycles after the first find what it filled."""
+    schema = ("year int, province string, city string, position string, last_name string, first_name string, middle_name string, "
+              "sex string, title string, full_name string")
+    hot = [(2016, "ABRA", "BANGUED", "MAYOR", "CRUZ", "ANA", "", "", "", "CRUZ, ANA")] * 900
+    later = [(y, "ABRA", "BANGUED", "MAYOR", "CRUZ", "ANA", "", "", "", "CRUZ, ANA") for y in (2019, 2022)] * 20
+    odd = [(2019, "ABRA", "BANGUED", "MAYOR", f"LIM{k}", "BO", "", "", "", f"LIM{k}, BO") for k in range(50)]
+    people = spark.createDataFrame(hot + later + odd, schema)
+    listed = backfill.winner_sexes(spark.createDataFrame([(2016, "ABRA", "BANGUED", "MAYOR", "CRUZ", "ANA", "", "F", "", "")], schema), "list")
+    given = spark.createDataFrame([("BO", "M")], "given string, sex string")
+    fills = backfill.sex_fills(backfill.with_source_columns(people), listed, given)
+    assert fills.count() == 53
+    out, log = backfill.fill_winner_sexes(backfill.with_source_columns(people), listed, given)
+    got = {(r.year, r.last_name[:3], r.sex, r.sex_source): r["count"] for r in out.groupBy(
+        "year", F.substring("last_name", 1, 3).alias("last_name"), "sex", "sex_source").count().collect()}
+    assert got == {(2016, "CRU", "F", "comelec_lec"): 900, (2019, "CRU", "F", "self-prior"): 20, (2022, "CRU", "F", "self-prior"): 20,
+                   (2019, "LIM", "M", "given-name"): 50}
+    assert log.count() == 990

@@ -170,6 +170,27 @@ def test_sinks(spark, tmp_path):
     assert years[0] is None and [tuple(r) for r in years[1].collect()] == [("1", "2", 2016)]
 
 
+def test_a_run_touches_the_buckets_of_its_rows_only(spark, tmp_path):
+    """Nine rows of ten are equal in one column; a re-run writes no data, a small run few buckets."""
+    folder = tmp_path / "log"
+    rows = spark.range(2000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                    F.when(F.col("id") % 7 > 0, F.col("id")).alias("v"))
+
+    def written(version):
+        return len(list((folder / "data" / f"version={version}").glob("bucket=*")))
+    first = sinks.append_audit(spark, rows, str(folder), 1, buckets=16)
+    want = sorted(((r.k, r.v) for r in rows.distinct().collect()), key=str)
+    assert rows_of(first) == want and written(1) == 16
+    again = sinks.append_audit(spark, rows, str(folder), 2, buckets=16)
+    assert rows_of(again) == want and written(2) == 0
+    few = spark.createDataFrame([("new", 1), ("hot", 1), (None, None)], "k string, v long")
+    third = sinks.append_audit(spark, few, str(folder), 3, buckets=16)
+    more = rows_of(third)
+    assert more == sorted([*want, ("new", 1), (None, None)], key=str) and 1 <= written(3) <= 2
+    assert rows_of(sinks.append_audit(spark, few, str(folder), 3, buckets=16)) == more  # the same run once more
+    assert rows_of(first) == want  # an earlier version stays as it was
+
+
 def test_landing_is_resumable(spark, tmp_path):
     source, target, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     row = "CAR,ABRA,{},MAYOR,1,{},LP,{},\n"
