@@ -133,20 +133,28 @@ def municipal_feed(t):
                                      ("METRO MANILA", "NATIONAL CAPITAL REGION"))
 
 
-@query("canvass_units", """
-  WITH b AS (SELECT c_nationkey, bool_or(c_acctbal > 9900) AS child FROM customer GROUP BY 1),
-  p AS (SELECT n_nationkey, n_name, r_name, n_nationkey > 10 AND NOT coalesce(child, false) AS own FROM nation
-        JOIN region ON n_regionkey = r_regionkey LEFT JOIN b ON c_nationkey = n_nationkey)
-  SELECT r_name AS region, n_name AS province, CASE n_name WHEN 'NATION_12' THEN 'CITY 12' ELSE n_name END AS city,
-    'p' || n_nationkey AS node FROM p WHERE own
-  UNION ALL SELECT r_name, n_name, c_name, 'c' || c_custkey FROM customer JOIN p ON c_nationkey = n_nationkey WHERE NOT own""")
+# A tree of mixed depth: under some provinces towns hang from districts, up to five in a chain.
+UNIT_TREE = """
+  SELECT concat('r', r_regionkey) AS node, '0' AS parent, 'Region' AS level, r_name AS name, false AS has_board FROM {region}
+  UNION ALL SELECT concat('p', n_nationkey), concat('r', n_regionkey), 'Province', n_name, n_nationkey > 10 FROM {nation}
+  UNION ALL SELECT concat('d', n_nationkey, '-', k), CASE WHEN k = 1 THEN concat('p', n_nationkey) ELSE concat('d', n_nationkey, '-', k - 1) END,
+    'District', concat('D', k), n_nationkey = 14 AND k = 5 FROM {nation}, (VALUES (1), (2), (3), (4), (5)) AS d(k)
+  UNION ALL SELECT concat('c', c_custkey), CASE WHEN c_custkey % 6 = 0 THEN concat('p', c_nationkey)
+      ELSE concat('d', c_nationkey, '-', c_custkey % 6) END, 'City/Municipality', c_name, c_acctbal > 9900 FROM {customer}"""
+UNIT_TREE_SQL = UNIT_TREE.replace("{", "").replace("}", "")
+
+
+@query("canvass_units", f"""
+  WITH RECURSIVE nodes AS ({UNIT_TREE_SQL}),
+  up AS (SELECT node, node AS at FROM nodes UNION ALL SELECT up.node, parent FROM up JOIN nodes ON nodes.node = up.at WHERE parent <> '0'),
+  p AS (SELECT a.node, a.name, a.has_board AND NOT bool_or(coalesce(n.has_board, false) AND n.node <> a.node) AS own
+    FROM nodes a JOIN up ON up.at = a.node JOIN nodes n ON n.node = up.node WHERE a.level = 'Province' GROUP BY a.node, a.name, a.has_board),
+  r AS (SELECT up.node, a.name FROM up JOIN nodes a ON a.node = up.at WHERE a.level = 'Region')
+  SELECT r.name AS region, p.name AS province, CASE p.name WHEN 'NATION_12' THEN 'CITY 12' ELSE p.name END AS city, p.node FROM p JOIN r USING (node) WHERE own
+  UNION ALL SELECT r.name, p.name, n.name, n.node FROM nodes n JOIN up USING (node) JOIN p ON p.node = up.at JOIN r ON r.node = n.node
+  WHERE n.level = 'City/Municipality' AND NOT own""")
 def canvass_units(t):
-    nodes = t.sql("""
-      SELECT concat('r', r_regionkey) AS node, '0' AS parent, 'Region' AS level, r_name AS name, false AS has_board FROM {region}
-      UNION ALL SELECT concat('p', n_nationkey), concat('r', n_regionkey), 'Province', n_name, n_nationkey > 10 FROM {nation}
-      UNION ALL SELECT concat('c', c_custkey), concat('p', c_nationkey), 'City/Municipality', c_name, c_acctbal > 9900 FROM {customer}""",
-                  "region", "nation", "customer")
-    return feeds.canvass_units(nodes, {"NATION_12": "CITY 12"})
+    return feeds.canvass_units(t.sql(UNIT_TREE, "region", "nation", "customer"), {"NATION_12": "CITY 12"})
 
 
 @query("locality_regions", """

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.functions.text import none_if_blank, squash
+from hustings.session import checkpointed
 
 # Fixed values ---------------------------------------------------------------------------------
 PARTY_SUFFIX = r"\(([^)]{1,20})\)\s*$"
@@ -196,33 +197,57 @@ def municipal_feed_rows(locations: DataFrame, contests: DataFrame, results: Data
     return result_feed_rows(docs, "body", ["region", "province", "city"])
 
 
+def tree_context(nodes: DataFrame, levels: dict[str, str]) -> DataFrame:
+    """``nodes`` with, for each column of ``levels``, the nearest node of that level on the way up,
+    the node itself included, as ``struct(node, name)``; and ``below``: whether any node below has a
+    board. Trees may have any depth, different in every branch.
+
+    Every round a node points twice as far up, takes over what the node there knows of the way
+    above, and hands what it knows of the nodes below to the node it pointed at. A tree of depth d
+    takes log2(d) rounds of one join and one aggregate. Parents that are no nodes are roots' parents.
+    """
+    own = F.struct("node", "name")
+    state = nodes.select(
+        "node", F.col("parent").alias("jump"), F.coalesce("has_board", F.lit(False)).alias("has"), F.lit(False).alias("below"),
+        *[F.when(F.col("level") == level, own).alias(c) for c, level in levels.items()])
+    known = nodes.select(F.col("node").alias("jump"))
+    state = checkpointed(state.join(known.withColumn("__in", F.lit(True)), "jump", "left").withColumn(
+        "jump", F.when(F.col("__in"), F.col("jump"))).drop("__in"))
+    rounds, most = 0, state.count().bit_length() + 1
+    while state.filter(F.col("jump").isNotNull()).limit(1).count():
+        if rounds > most:
+            raise ValueError("units that are below themselves")
+        rounds += 1
+        above = state.select(F.col("node").alias("jump"), F.col("jump").alias("__jump"), *[F.col(c).alias(f"__{c}") for c in levels])
+        lower = state.filter(F.col("jump").isNotNull()).groupBy(F.col("jump").alias("node")).agg(
+            F.bool_or(F.col("has") | F.col("below")).alias("__below"))
+        state = checkpointed(state.join(above, "jump", "left").join(lower, "node", "left").select(
+            "node", F.col("__jump").alias("jump"), "has", (F.col("below") | F.coalesce("__below", F.lit(False))).alias("below"),
+            *[F.coalesce(c, f"__{c}").alias(c) for c in levels]))
+    return nodes.join(state.select("node", "below", *levels), "node")
+
+
 def canvass_units(nodes: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
     """(region, province, city, node) of every unit that is tallied.
 
-    ``nodes``: node, parent, level, name, has_board. Cities are units. A province is itself the
-    unit only when it has a board and none of its children does; its cities then are not.
+    ``nodes``: node, parent, level, name, has_board, a tree of any depth. Cities are units. A
+    province is itself the unit only when it has a board and nothing below it does; its cities then
+    are not. A city belongs to the nearest province and region above it, and to none drops out.
     """
-    region = nodes.filter(F.col("level") == "Region").select(
-        F.col("node").alias("__region"), F.col("name").alias("region"))
-    boards = nodes.groupBy("parent").agg(F.bool_or("has_board").alias("__child_board"))
-    provinces = nodes.filter(F.col("level") == "Province") \
-        .join(region, F.col("parent") == F.col("__region"), "left") \
-        .join(boards.withColumnRenamed("parent", "__p"), F.col("node") == F.col("__p"), "left") \
-        .select(F.col("node").alias("__province"), "region", F.col("name").alias("province"),
-                (F.coalesce("has_board", F.lit(False))
-                 & ~F.coalesce("__child_board", F.lit(False))).alias("is_unit"))
+    tree = tree_context(nodes, {"region": "Region", "province": "Province"})
+    is_unit = F.coalesce("has_board", F.lit(False)) & ~F.col("below")
+    provinces = tree.filter(F.col("level") == "Province").select(
+        F.col("node").alias("__province"), is_unit.alias("is_unit"), F.col("region.name").alias("region"), F.col("name").alias("province"))
     shown = F.col("province")
     for name, display in (rename or {}).items():
         shown = F.when(F.col("province") == name, F.lit(display)).otherwise(shown)
-    own = provinces.filter("is_unit").select("region", "province", shown.alias("city"),
-                                             F.col("__province").alias("node"))
-    cities = nodes.filter(F.col("level") == "City/Municipality")
-    in_province = cities.join(provinces.filter(~F.col("is_unit")),
-                              F.col("parent") == F.col("__province")) \
-        .select("region", "province", F.col("name").alias("city"), "node")
-    in_region = cities.join(region, F.col("parent") == F.col("__region")).select(
-        "region", F.lit(None).cast("string").alias("province"), F.col("name").alias("city"), "node")
-    return own.unionByName(in_province).unionByName(in_region)
+    own = provinces.filter("is_unit").select("region", "province", shown.alias("city"), F.col("__province").alias("node"))
+    tallied = provinces.filter("is_unit").select("__province")
+    cities = tree.filter(F.col("level") == "City/Municipality") \
+        .filter(F.col("province").isNotNull() | F.col("region").isNotNull())
+    rest = cities.join(tallied, F.col("province.node") == F.col("__province"), "left_anti")
+    return own.unionByName(rest.select(
+        F.col("region.name").alias("region"), F.col("province.name").alias("province"), F.col("name").alias("city"), "node"))
 
 
 def board_rows(boards: DataFrame, contests: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from hustings.sources import ballots, feeds, lists, pages, sinks
@@ -244,3 +245,38 @@ def test_unreadable_documents(spark):
                        ("ballot", '{"cn": "x", "bos": []}'), ("canvass", '{"national": []}'), ("boundary", '{"objects": {}}')):
         one = spark.createDataFrame([("a", body), ("b", "{")], "place string, body string")
         assert dict(rows_of(feeds.unreadable_documents(one, "body", ["place"], kind))) == {"b": "not JSON"}
+
+
+def test_units_of_trees_of_any_depth(spark):
+    """A region, chains of different length, and nine nodes of ten below one province."""
+    nodes = {"r1": (None, "Region", "R1", False), "r2": ("nowhere", "Region", "R2", False), "p1": ("r1", "Province", "P1", True),
+             "p2": ("r1", "Province", "P2", True), "p3": ("x1", "Province", "P3", None), "x1": ("r2", "Island", "X1", True),
+             "p4": (None, "Province", "P4", True), "lost": ("gone", "City/Municipality", "LOST", True),
+             "c1": ("r2", "City/Municipality", "C1", True), "c4": ("p4", "City/Municipality", "C4", False)}
+    for k in range(40):  # a long chain below p2, with a board at its end
+        nodes[f"d{k}"] = (f"d{k - 1}" if k else "p2", "District", f"D{k}", k == 39)
+        nodes[f"e{k}"] = (f"d{k}", "City/Municipality", f"E{k}", False)
+    for k in range(900):
+        nodes[f"h{k}"] = ("p1", "City/Municipality", f"H{k}", False)
+    nodes["q"] = ("h7", "City/Municipality", "Q", False)
+    nodes["i"] = ("p3", "City/Municipality", "I", None)
+    df = spark.createDataFrame([(n, *v) for n, v in nodes.items()], "node string, parent string, level string, name string, has_board boolean").repartition(4)
+
+    def up(n):
+        while n in nodes:
+            yield n
+            n = nodes[n][0]
+    boards = {a for n, v in nodes.items() if v[3] for a in list(up(n))[1:]}
+    tallied = {n for n, v in nodes.items() if v[1] == "Province" and v[3] and n not in boards}
+    first = lambda n, level: next((a for a in up(n) if nodes[a][1] == level), None)
+    name = lambda n: n and nodes[n][2]
+    want = [(name(first(n, "Region")), name(n), {"P1": "CITY P1"}.get(name(n), name(n)), n) for n in tallied]
+    for n, v in nodes.items():
+        region, province = first(n, "Region"), first(n, "Province")
+        if v[1] == "City/Municipality" and province not in tallied and (region or province):
+            want.append((name(region), name(province), v[2], n))
+    assert tallied == {"p1", "p4"}
+    assert rows_of(feeds.canvass_units(df, {"P1": "CITY P1"})) == sorted(want, key=str)
+    ring = spark.createDataFrame([("a", "b", "Region", "A", False), ("b", "a", "Region", "B", False)], df.schema)
+    with pytest.raises(ValueError, match="below themselves"):
+        feeds.canvass_units(ring)
