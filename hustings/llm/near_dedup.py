@@ -19,8 +19,8 @@ Full sets are made only for classes that share a bucket: the ids are sent as a b
 size, which lets a few others through but loses none, and what it lets through is joined exactly.
 
 Case A-Z does not matter; words are runs without ASCII white space; with fewer words than the width
-the whole sequence is the one shingle; texts without words have an empty set and no links. Rows that
-share an id but not the text are judged by their own text each. Rows with a null id are kept and have
+the whole sequence is the one shingle; texts without words have an empty set and no links. Classes
+have numbers of their own, so rows that share an id but not the text are judged by their own text each. Rows with a null id are kept and have
 no links.
 """
 
@@ -78,7 +78,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, bands: int, ro
             for data in batch.column("data").to_pylist():
                 shingles = shingle_set(data, width)
                 sizes.append(len(shingles))
-                keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+                keys.append(set_key(shingles))
                 signatures.append(minima(shingles, functions).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in more), batch.column("doc_id"), pa.array(sizes, pa.int64()),
@@ -88,21 +88,29 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, bands: int, ro
     return common.documents(docs, doc_id, text, *more).mapInArrow(run, common.schema_of(docs, more) + SKETCHES)
 
 
+def set_key(shingles: np.ndarray) -> bytes | None:
+    """Tells sets apart; null for an empty one."""
+    return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int, most_bytes: int = 1 << 24) -> DataFrame:
-    """(id, shingles) of the ids in ``wanted``; shingles are sorted 64-bit hashes."""
-    table, bits = common.id_table(wanted, wanted.count(), most_bytes)
+    """(id, shingles) of the classes in ``wanted`` (id, doc, set_key); shingles are sorted 64-bit
+    hashes. ``doc`` finds the texts, and of the texts that share it the key finds the class's own."""
+    docs_wanted = wanted.select(F.col("doc").alias("id"))
+    table, bits = common.id_table(docs_wanted, wanted.count(), most_bytes)
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(common.in_table(batch, sent.value)))
+            sets = [shingle_set(x, width) for x in batch.column("data").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"),
-                 pa.array([shingle_set(x, width).tobytes() for x in batch.column("data").to_pylist()], pa.binary())], ["id", "shingles"])
+                [batch.column("doc"), pa.array(map(set_key, sets), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                ["doc", "set_key", "shingles"])
 
-    rows = common.documents(docs, doc_id, text).where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "id")
-    made = common.with_cells(rows, "id", bits).mapInArrow(run, "id long, shingles binary")
-    return made.join(wanted.select("id"), "id", "left_semi")
+    rows = common.documents(docs, doc_id, text).where("doc_id IS NOT NULL").withColumnRenamed("doc_id", "doc")
+    made = common.with_cells(rows, "doc", bits).mapInArrow(run, "doc long, set_key binary, shingles binary")
+    return made.join(wanted, ["doc", "set_key"]).select("id", "shingles")
 
 
 def bands_of(classes: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -206,13 +214,13 @@ def class_components(docs: DataFrame, classes: DataFrame, doc_id: str, text: str
     members = bands_of(classes, bands, rows)
     firsts = members.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     members = common.store(members.join(firsts, "bucket"))  # only of buckets that two or more share
-    ids = common.store(members.select("id").distinct())
+    ids = members.select("id").distinct()
     shared = common.store(classes.join(ids, "id", "left_semi"))
     sizes = shared.select(F.col("id").alias("left"), F.col("n_shingles").alias("n_left"))
     stars = members.where("id > first").select(F.col("first").alias("left"), F.col("id").alias("right"),
                                                "n_shingles").distinct().join(sizes, "left") \
         .where(sizes_allow(F.col("n_shingles"), F.col("n_left"), percent)).select("left", "right")
-    sets = common.store(shingle_sets(docs, ids, doc_id, text, width))
+    sets = common.store(shingle_sets(docs, shared.select("id", "doc", "set_key"), doc_id, text, width).dropDuplicates(["id"]))
     likely = signatures_agree(stars, shared, bands * rows, percent / 100 - margin)
     links = common.store(sets_agree(likely, sets, percent))
     labels = components(links, "left", "right")
@@ -241,11 +249,16 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
     4e-7 by default; an estimate ``margin`` below the threshold is rarer still.
     """
     known = common.store(sketches(docs, doc_id, text, width, bands, rows, more))
-    classes = common.store(known.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
+    classes = known.where("doc_id IS NOT NULL AND set_key IS NOT NULL").groupBy("set_key").agg(
+        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    classes = common.store(classes.withColumn("id", F.monotonically_increasing_id()))  # doc_ids need not be unique
     labels = class_components(docs, classes, doc_id, text, width, percent, bands, rows, margin)
-    of_key = classes.select("set_key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left") \
-        .select("set_key", F.coalesce("component", "id").alias("component"))
-    out = known.drop("signature").join(of_key, "set_key", "left").select(
-        *more, "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    of_class = classes.select("set_key", "doc", "id").join(labels.withColumnRenamed("node", "id"), "id", "left") \
+        .select("set_key", "doc", F.coalesce("component", "id").alias("component"))
+    least = of_class.groupBy("component").agg(F.min("doc").alias("least"))
+    of_key = of_class.join(least, "component").select("set_key", "least")
+    found = known.drop("signature")
+    with_set = found.where("set_key IS NOT NULL").join(of_key, "set_key", "left")
+    out = with_set.unionByName(found.where("set_key IS NULL").withColumn("least", F.lit(None).cast("long"))).select(
+        *more, "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

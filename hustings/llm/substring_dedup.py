@@ -14,13 +14,15 @@ than cells the filter lets more through, and grouping stays exact.
 The bits are sent to all executors. Their size does not grow beyond ``filter_bytes``.
 
 Words are runs without ASCII white space, unchanged. Null and empty texts have no words; texts of
-fewer words than the width have no windows. Rows that share an id are copies of one document, and a
-row with a null id comes after all others; neither makes the other a repetition.
+fewer words than the width have no windows. Rows that share an id are parts of one document, and a
+row with a null id comes after all others; neither makes the other a repetition, and each loses only
+its own repeated windows: where unlike texts share an id, places carry a checksum of their text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,7 +152,7 @@ def _by_node(nodes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[by
     order = np.argsort(nodes, kind="stable")
     nodes, starts = nodes[order], starts[order]
     firsts = np.flatnonzero(np.concatenate((np.ones(min(1, len(nodes)), bool), nodes[1:] != nodes[:-1])))
-    return nodes[firsts], [x.astype("<u4").tobytes() for x in np.split(starts, firsts[1:])] if len(firsts) else []
+    return nodes[firsts], [x.tobytes() for x in np.split(starts, firsts[1:])] if len(firsts) else []
 
 
 def _grouped(keys: np.ndarray, more: np.ndarray, nodes: np.ndarray, starts: np.ndarray):
@@ -167,7 +169,22 @@ def _open_batch(buckets: np.ndarray, nodes: list | np.ndarray, *binaries: list)
         ["bucket", "node", "starts", "keys", "more", "nodes"])
 
 
-def window_entries(docs: DataFrame, cells, width: int, bits: int, buckets_log: int, held: int) -> DataFrame:
+def start_type(marked: bool) -> type:
+    return np.uint64 if marked else np.uint32
+
+
+def starts_of(at: np.ndarray, data: bytes, marked: bool) -> np.ndarray:
+    """Places of windows, with a mark of the text before them where ids do not tell texts apart."""
+    return at.astype(np.uint64) | np.uint64(zlib.crc32(data) << 32) if marked else at.astype(np.uint32)
+
+
+def unlike_texts_share_ids(source: DataFrame) -> bool:
+    key = F.xxhash64("data")
+    one = source.select("node", key.alias("key")).groupBy("node").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    return not one.where("low <> high").isEmpty()
+
+
+def window_entries(docs: DataFrame, cells, width: int, bits: int, buckets_log: int, held: int, marked: bool) -> DataFrame:
     """Windows that the filter lets through, settled within each task as far as that goes.
 
     Rows with keys are open windows of a bucket; rows without are settled starts of one node.
@@ -198,7 +215,7 @@ def window_entries(docs: DataFrame, cells, width: int, bits: int, buckets_log: i
                 at = np.flatnonzero(hit)
                 if len(at):
                     more = (common.window_hashes(words, width, common.B)[at] >> np.uint64(32)).astype(np.uint32)
-                    kept.append((windows[at], more, np.full(len(at), node, np.int64), at.astype(np.uint32)))
+                    kept.append((windows[at], more, np.full(len(at), node, np.int64), starts_of(at, data, marked)))
                     n += len(at)
                 if n >= held:
                     yield out()
@@ -209,8 +226,10 @@ def window_entries(docs: DataFrame, cells, width: int, bits: int, buckets_log: i
     return docs.select("node", "data").mapInArrow(run, OPEN)
 
 
-def repeated_starts(entries: DataFrame, blocks_log: int, held: int) -> DataFrame:
+def repeated_starts(entries: DataFrame, blocks_log: int, held: int, marked: bool) -> DataFrame:
     """(node, starts): where windows start that also start in a lesser node; a row for each node."""
+    start = start_type(marked)
+
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, waiting, done, n = None, [], [], 0
 
@@ -219,7 +238,7 @@ def repeated_starts(entries: DataFrame, blocks_log: int, held: int) -> DataFrame
             if waiting:
                 _, _, nodes, starts, covered = _grouped(*(
                     np.concatenate([np.frombuffer(r[k], t) for r in waiting])
-                    for k, t in ((1, np.uint64), (2, np.uint32), (3, np.int64), (0, np.uint32))))
+                    for k, t in ((1, np.uint64), (2, np.uint32), (3, np.int64), (0, start))))
                 done.append((nodes[covered], starts[covered]))
                 n += len(done[-1][0])
 
@@ -238,7 +257,7 @@ def repeated_starts(entries: DataFrame, blocks_log: int, held: int) -> DataFrame
                     settle()
                     at, waiting = bucket, []
                 if keys is None:
-                    places = np.frombuffer(starts, np.uint32)
+                    places = np.frombuffer(starts, start)
                     done.append((np.full(len(places), node, np.int64), places))
                     n += len(places)
                 else:
@@ -254,7 +273,7 @@ def repeated_starts(entries: DataFrame, blocks_log: int, held: int) -> DataFrame
         at, waiting = None, []
 
         def out() -> pa.RecordBatch:
-            nodes, places = _by_node(*(np.concatenate([np.frombuffer(r[k], t) for r in waiting]) for k, t in ((0, np.int64), (1, np.uint32))))
+            nodes, places = _by_node(*(np.concatenate([np.frombuffer(r[k], t) for r in waiting]) for k, t in ((0, np.int64), (1, start))))
             return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(places, pa.binary())], ["node", "found"])
 
         for rows in common.rows_of(batches, "block", "nodes", "starts"):
@@ -271,7 +290,7 @@ def repeated_starts(entries: DataFrame, blocks_log: int, held: int) -> DataFrame
     return packed.repartition("block").sortWithinPartitions("block").mapInArrow(gathered, "node long, found binary")
 
 
-def without_starts(docs: DataFrame, width: int, texts: bool, others=None) -> DataFrame:
+def without_starts(docs: DataFrame, width: int, texts: bool, marked: bool, others=None) -> DataFrame:
     """Takes the words of repeated windows out of (doc_id, data, found); null: no such windows.
 
     ``others``: a broadcast bit table; rows that it lets through are left out first, in the same
@@ -289,8 +308,10 @@ def without_starts(docs: DataFrame, width: int, texts: bool, others=None) -> Dat
                 words = data.split()
                 edges = np.zeros(len(words) + width + 1, np.int64)
                 if found is not None:
-                    places = np.frombuffer(found, np.uint32).astype(np.int64)
-                    places = places[places + width <= len(words)]  # another text may share the id
+                    places = np.frombuffer(found, start_type(marked))
+                    if marked:  # of the texts that share the id only this one's
+                        places = places[places >> np.uint64(32) == np.uint64(zlib.crc32(data))] & np.uint64(0xFFFFFFFF)
+                    places = np.unique(places).astype(np.int64)
                     np.add.at(edges, places, 1)
                     np.add.at(edges, places + width, -1)
                 gone = (np.cumsum(edges) > 0)[:len(words)]
@@ -332,11 +353,12 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bits = int(min(max(BLOCK, (n_bytes // 4).bit_length()), (filter_bytes * 8 // 2).bit_length() - 1))
     cells = spark.sparkContext.broadcast(repeated_cells(source, width, bits, 2 * held))
     buckets_log = int(min(max(8, (n_bytes >> 20).bit_length()), 30))  # about a MB of text to a bucket
-    entries = window_entries(source, cells, width, bits, buckets_log, held)
-    found = common.store(repeated_starts(entries, buckets_log, held))
+    marked = unlike_texts_share_ids(source)
+    entries = window_entries(source, cells, width, bits, buckets_log, held, marked)
+    found = common.store(repeated_starts(entries, buckets_log, held, marked))
     cells.destroy()  # what it was for is stored
     table, size = common.id_table(found.select(F.col("node").alias("id")), found.count(), table_bytes)
     sent = spark.sparkContext.broadcast(table)
     whole = common.with_cells(source, "node", size).withColumn("found", F.lit(None).cast("binary"))
     cut = only(source, sent, size).join(found, "node", "left").drop("node")
-    return without_starts(whole, width, texts, sent).unionByName(without_starts(cut, width, texts))
+    return without_starts(whole, width, texts, marked, sent).unionByName(without_starts(cut, width, texts, marked))

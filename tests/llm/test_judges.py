@@ -201,8 +201,8 @@ def test_line_dedup(spark, crowd):
                 later.add(a if first[b] < first[a] else b)
     expected = sorted((i, k, *first[line], copies[line], links[line], first[line] == (i, k) and line not in later) for i, k, line in seen)
     df = frame(spark, rows)
-    assert sorted(tuple(r) for r in line_dedup(df, crowd=crowd).collect()) == expected and sum(links.values()) > 20
-    kept = {r.doc_id: r for r in without_repeated_lines(df, crowd=crowd).collect()}
+    assert sorted(tuple(r) for r in line_dedup(df, most=2, crowd=crowd).collect()) == expected and sum(links.values()) > 20
+    kept = {r.doc_id: r for r in without_repeated_lines(df, most=2, crowd=crowd).collect()}
     assert kept[52].kept_text == " \n \n" and kept[51].kept_text == "" and kept[50].kept_text is None
     for i, text in rows[:39]:
         stay = [k for d, k, *_, good in expected if d == i and good]
@@ -246,7 +246,7 @@ def test_query_links_long_lines(spark, tmp_path):
 
 def test_lines_of_odd_rows(docs, none):
     lines = [line for _, t in ROWS if t for line in t.split("\n") if line.strip(" ")]
-    assert line_dedup(docs).count() == len(lines) and line_dedup(none).count() == 0
+    assert line_dedup(docs, most=2).count() == len(lines) and line_dedup(none, most=2).count() == 0
 
 
 def test_lines_of_odd_rows_without_most(spark, none):
