@@ -21,7 +21,8 @@ REGION_LABELS = ["ARMM", "CAR", "CARAGA", "NCR", "I", "II", "III", "IV", "V", "V
 LATE_REGION_LABELS = [*REGION_LABELS, "BARMM"]
 DISTRICT_LINE = (r"^(\d+(ST|ND|RD|TH)|LONE|FIRST|SECOND|THIRD|FOURTH|FIFTH|SIXTH|SEVENTH|EIGHTH|"
                  r"NINTH) DISTRICT$")
-LATE_DISTRICT_LINE = DISTRICT_LINE.replace("NINTH", "NINTH|TENTH")
+LATE_DISTRICT_LINE = (r"^(\d+(ST|ND|RD|TH)|LONE|FIRST|SECOND|THIRD|FOURTH|FIFTH|SIXTH|SEVENTH|"
+                      r"EIGHTH|NINTH|TENTH) DISTRICT$")
 JUNK_STARTS = ["Republic of the", "COMMISSION ON", "Intramuros", "Records and", "LIST OF ELECTED",
                "May ", "Page ", "Notice", "All authorized", "including other", "conformity",
                "Privacy", "account", "and its Impl", "similarly bound"]
