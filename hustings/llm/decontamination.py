@@ -18,7 +18,7 @@ of its question's and of its answer's word triples that are found there must bot
 The answer is the last sentence of an item, or the last third of its words if it has but one sentence.
 
 Words are runs of letters and digits in lower case. Null and empty texts have no passages. Items of
-fewer than ``least_words`` words say too little and match nothing. Repeated rows give repeated ids
+fewer than ``least_words`` words say too little for scores; they leak into texts of the same words and no other. Repeated rows give repeated ids
 once for each item, since a row of the result is a document and an item. Ids may be null.
 """
 
@@ -74,13 +74,23 @@ class ItemIndex:
     """Inverted index of test items with the largest impact of each block of postings."""
 
     def __init__(self, items: list[tuple[int | None, str]], half: int, share: float, least_words: int,
-                 block: int = 16, groups: int = 32):
-        self.items = [(i, words_of(t), question_and_answer(t)) for i, t in items]
-        self.items = [x for x in self.items if len(x[1]) >= least_words]
+                 block: int = 16, groups: int = 32, statistics: tuple[int, float, dict[bytes, int]] | None = None):
+        """``statistics``: number and mean length of all items and how many have each word, where
+        ``items`` are but some of them."""
+        every = [(i, words_of(t), question_and_answer(t)) for i, t in items]
+        self.items = [x for x in every if len(x[1]) >= least_words]
+        self.short: dict[tuple[bytes, ...], list] = {}
+        for i, words, _ in every:
+            if 0 < len(words) < least_words:
+                self.short.setdefault(tuple(words), []).append(i)
         counts = [Counter(w) for _, w, _ in self.items]
-        spread = Counter(w for c in counts for w in c)
+        own = Counter(w for c in counts for w in c)
         n = len(self.items)
         length = sum(len(w) for _, w, _ in self.items) / max(1, n)
+        spread = own
+        if statistics is not None:
+            n, length, all_spread = statistics
+            spread = {w: all_spread[w] for w in own}
         self.terms = {w: k for k, w in enumerate(spread)}
         idf = {w: float(np.log(1 + (n - d + 0.5) / (d + 0.5))) for w, d in spread.items()}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
@@ -96,7 +106,7 @@ class ItemIndex:
         self.tops = [[max(v for _, v in x[k:k + block]) for k in range(0, len(x), block)] for x in postings]
         self.most = [max(v) for v in self.impacts]
         self.block = block
-        per_group = max(1, -(-n // groups))
+        per_group = max(1, -(-len(self.items) // groups))
         self.bounds = np.zeros((len(postings), groups), np.float32)
         for term, x in enumerate(postings):
             for place, v in x:
@@ -180,7 +190,7 @@ def passages(index: ItemIndex, texts: list[list[bytes]], half: int) -> Iterator[
         yield t, p - int(first[t]), np.unique(terms[b:e]).tolist()
 
 
-def leaks(docs: DataFrame, index, half: int, least_overlap: float, held: int = 250_000) -> DataFrame:
+def leaks(docs: DataFrame, index, half: int, least_overlap: float, least_words: int, held: int = 250_000) -> DataFrame:
     """Verified leaks of the items of a broadcast index, a row for each document and item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book, ids, texts, n = index.value, [], [], 0
@@ -197,6 +207,9 @@ def leaks(docs: DataFrame, index, half: int, least_overlap: float, held: int = 2
                     asked, answered = overlap(question, around), overlap(answer, around)
                     if asked >= least_overlap and answered >= least_overlap:
                         best[t, place] = (ids[t], item, passage, score, asked, answered)
+            for t, words in enumerate(texts if book.short else ()):
+                for k, item in enumerate(book.short.get(tuple(words), ()) if len(words) < least_words else ()):
+                    best[t, ~k] = (ids[t], item, 0, 1.0, 1.0, 1.0)
             columns = list(zip(*best.values())) or [()] * 6
             types = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
@@ -216,6 +229,22 @@ def leaks(docs: DataFrame, index, half: int, least_overlap: float, held: int = 2
     return docs.mapInArrow(run, LEAKS)
 
 
+def item_words(items: DataFrame, least_words: int) -> DataFrame:
+    """(shard, length, word): a row for each different word of an item, and one without a word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in common.rows_of(batches, "shard", "words"):
+            out = []
+            for shard, text in rows:
+                words = words_of(text)
+                if len(words) >= least_words:
+                    out += [(shard, len(words), w) for w in (None, *set(words))]
+            columns = list(zip(*out)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary()))],
+                                             ["shard", "length", "word"])
+
+    return items.select("shard", "words").mapInArrow(run, "shard int, length long, word binary")
+
+
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
                     item_text: str = "text", half: int = 32, share: float = 0.5, least_overlap: float = 0.6,
                     least_words: int = 5, shard_bytes: int = 8 << 20) -> DataFrame:
@@ -223,18 +252,26 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id
 
     Each task holds the index of one shard of items, ``shard_bytes`` of text at most on average; a
     larger benchmark is cut into more shards by hash, which the documents are read against in turn.
+    Number, mean length and document frequencies are counted once over all items, so scores do not
+    depend on the shards. Items of fewer than ``least_words`` words leak where a whole text equals them.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("words"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item", "words"), F.lit(shards)).cast("int"))
+    found = common.store(item_words(items, least_words))
+    size = found.where("word IS NULL").agg(F.count("*").alias("n"), F.coalesce(F.avg("length"), F.lit(0.0)).alias("length")).first()
+    spread = common.store(found.where("word IS NOT NULL").groupBy("word").agg(F.count("*").alias("items")))
     out = None
     for k in range(shards):
-        shard = items.where(F.pmod(F.xxhash64("item", "words"), F.lit(shards)) == k)
-        index = ItemIndex(sorted(((r.item, r.words) for r in shard.collect()), key=lambda x: (x[0] is None, x)),  # one shard at a time
-                          half, share, least_words)
-        found = leaks(common.documents(docs, doc_id, text), spark.sparkContext.broadcast(index), half, least_overlap)
-        out = found if out is None else out.unionByName(found)
+        own = found.where((F.col("shard") == k) & F.col("word").isNotNull()).select("word").distinct()
+        known = {bytes(r.word): r["items"] for r in spread.join(own, "word").collect()}  # the words of one shard
+        rows = items.where(F.col("shard") == k).select("item", "words").collect()  # one shard at a time
+        index = ItemIndex(sorted(((r.item, r.words) for r in rows), key=lambda x: (x[0] is None, x)), half, share, least_words,
+                          statistics=(size.n, size.length, known))
+        leaked = leaks(common.documents(docs, doc_id, text), spark.sparkContext.broadcast(index), half, least_overlap, least_words)
+        out = leaked if out is None else out.unionByName(leaked)
     return out
 
 

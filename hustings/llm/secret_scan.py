@@ -1,6 +1,7 @@
 """Secret scan with a random forest that takes false positives out, in DataFrame functions only.
 
-Candidates are long runs of the characters that keys and tokens are made of, in whole texts. Rules
+Candidates are long runs of the characters that keys and tokens are made of, in whole texts, and
+whatever is assigned to the name of a credential, at any length and with all its characters. Rules
 that are sure of themselves label some of them: a value that is assigned to the name of a credential
 is a secret; a run without a digit, and a run of digits that nothing is assigned to, is none. The
 forest learns from a bounded sample of labelled findings and judges all candidates. What it sees:
@@ -10,9 +11,10 @@ forest learns from a bounded sample of labelled findings and judges all candidat
   and how often it changes between letters, capitals, digits and the rest;
 * its dictionary coverage: the share of its characters in letter runs that are words of the corpus;
 * its path and its neighbouring words: the share of secrets among labelled findings with the same
-  path, word before or word after, smoothed, a finding's own label left out; and whether it is
-  assigned or quoted.
+  path, word before or word after (within 64 characters), smoothed, a finding's own label left out.
 
+What the rules go by, assignment and quotes, the forest does not see, and for half of the sample the
+neighbouring words are taken for unknown ones, so that it learns to tell a finding by itself, too.
 Labels of one's own replace the rules. Without labelled findings of both kinds there is nothing to
 learn, and all candidates stay. Null and empty texts have no candidates; a null path is a path of its
 own. Repeated rows give repeated findings.
@@ -34,13 +36,15 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 CLASSES = len(ALPHABET) + 2  # letters, a digit, anything else
 CREDENTIAL = r"(?i)(token|secret|passw(or)?d|passwd|api[_-]?key|access[_-]?key|credential)s?$"
 KEYS = ("path", "before", "after")
-FEATURES = ["n_chars", "digit_share", "different_share", "transition", "switches", "coverage", "assigned", "quoted",
-            *(f"{k}_rate" for k in KEYS)]
+FEATURES = ["n_chars", "digit_share", "different_share", "transition", "switches", "coverage", *(f"{k}_rate" for k in KEYS)]
+NEIGHBOURS = ("before", "after")
+#: A value behind a credential's name and an assignment.
+ASSIGNED = r"""(?<=(?i:token|secret|password|passwd|pass|api[_-]?key|access[_-]?key|credential)s?["']?\s{0,3}[=:]\s{0,3}["']?)[^\s"'=:][^\s"']*"""
 
 
 def candidates(docs: DataFrame, doc_id: str, text: str, path: str | None, least: int) -> DataFrame:
     """(doc_id, start, candidate, path, before, after, assigned, quoted); ``start`` counts characters from 0."""
-    pattern = f"[A-Za-z0-9+/_=-]{{{least},}}"
+    pattern = f"(?:{ASSIGNED}|[A-Za-z0-9+/_=-]{{{least},}})"
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("words"),
                        (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
     cut = rows.select("doc_id", "path", F.regexp_extract_all("words", F.lit(f"({pattern})"), F.lit(1)).alias("found"),
@@ -125,6 +129,8 @@ def with_rates(rows: DataFrame, sample: DataFrame, weight: float = 10.0) -> Data
     for key in KEYS:
         table = common.store(sample.groupBy(key).agg(F.sum("label").alias("hits"), F.count("*").alias("all")))
         rate = (F.coalesce("hits", F.lit(0)) - own + weight * share) / (F.coalesce("all", F.lit(0)) - one + weight)
+        if key in NEIGHBOURS:
+            rate = F.when(F.col("in_sample") & (F.col("turn") % 2 == 0), F.lit(float(share))).otherwise(rate)
         rows = rows.join(table, key, "left").withColumn(f"{key}_rate", rate).drop("hits", "all")
     return rows
 
