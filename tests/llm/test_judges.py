@@ -216,6 +216,20 @@ def test_banded_distance(spark):
         assert near.where(f"(d <= {most} AND x <> d) OR (d > {most} AND x <= {most})").count() == 0
 
 
+def test_banded_distance_in_several_words(spark):
+    rng, rows = random.Random(7), []
+    for most in (30, 31, 40, 62, 100):
+        for _ in range(12):
+            a = "".join(rng.choice("abcdefé ") for _ in range(rng.randint(most, 260)))
+            b = edited(rng, a, rng.randint(0, most + 20)) if rng.random() < 0.7 else "".join(rng.choice("abcdefé ") for _ in range(len(a)))
+            if len(b) >= most and abs(len(a) - len(b)) <= most:
+                rows.append((a, b, distance(a, b), most))
+    df = spark.createDataFrame(rows, "a string, b string, d int, most int").withColumn("x", banded_distance(F.col("a"), F.col("b"), F.col("most")))
+    got = df.collect()
+    assert all(r.x == r.d if r.d <= r.most else r.x > r.most for r in got)
+    assert sum(r.d <= r.most for r in got) > 15 and sum(r.d > r.most for r in got) > 5
+
+
 @pytest.mark.parametrize("crowd", [16, 0])
 def test_line_dedup(spark, crowd):
     rng = random.Random(6)
