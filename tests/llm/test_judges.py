@@ -298,9 +298,26 @@ def test_lines_of_odd_rows(docs, none):
 
 
 def test_lines_of_odd_rows_without_most(spark, none):
-    few = [(i, t) for i, t in ROWS if len(t or "") <= 10_000]
-    lines = [line for _, t in few if t for line in t.split("\n") if line.strip(" ")]
-    assert line_dedup(frame(spark, few), most=None).count() == len(lines) and line_dedup(none, most=None).count() == 0
+    """All columns against brute force, two lines of 150,000 characters among them."""
+    lines = [(i, k, line) for i, t in ROWS if t for k, line in enumerate(t.split("\n")) if line.strip(" ")]
+    place = lambda i, k: (i is not None, i or 0, k)
+    first, copies = {}, Counter(line for *_, line in lines)
+    for i, k, line in lines:
+        first[line] = min(first.get(line, place(i, k)), place(i, k))
+    links, later, classes = Counter(), set(), sorted(first, key=len)
+    for x, a in enumerate(classes):
+        for b in classes[x + 1:]:
+            allowed = len(b) // 20
+            if len(b) - len(a) > allowed or sum(((Counter(a) - Counter(b)) + (Counter(b) - Counter(a))).values()) > 2 * allowed:
+                continue
+            if (len(b) - len(a) if b.startswith(a) else distance(a, b)) <= allowed:
+                links.update((a, b))
+                later.add(a if first[b] < first[a] else b)
+    want = sorted(((i, k, first[line][1] if first[line][0] else None, first[line][2], copies[line], links[line],
+                    place(i, k) == first[line] and line not in later) for i, k, line in lines), key=str)
+    assert max(map(len, classes)) > 100_000 and len(later) > 5
+    assert sorted(map(tuple, line_dedup(frame(spark, ROWS)).collect()), key=str) == want
+    assert line_dedup(none).count() == 0
 
 
 def test_pipeline_stages(spark, tmp_path):
