@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from hustings.catalog.registry import query
@@ -159,24 +161,23 @@ def category_summary(t):
     return audit.category_summary(rows, "c_mktsegment", "o_orderpriority", "v")
 
 
-@query("agreement", """
-  WITH w AS (SELECT DISTINCT year(o_orderdate) AS year, n_name AS a, c_mktsegment AS s FROM orders JOIN customer ON o_custkey = c_custkey
-      JOIN nation ON c_nationkey = n_nationkey),
-  b AS (SELECT DISTINCT CASE year(o_orderdate) WHEN 1995 THEN 1895 ELSE year(o_orderdate) END AS year, n_name AS a,
-        CASE WHEN o_totalprice > 350000 THEN c_mktsegment ELSE 'NOBODY' END AS s FROM orders JOIN customer ON o_custkey = c_custkey
-      JOIN nation ON c_nationkey = n_nationkey),
-  f AS (SELECT DISTINCT year, regexp_replace(a, '[^A-Z ]', '', 'g') AS a, s FROM w),
-  g AS (SELECT DISTINCT year, regexp_replace(a, '[^A-Z ]', '', 'g') AS a, s FROM b)
+RAN = """
+  SELECT year(o_orderdate) AS year, n_name AS area, concat(c_mktsegment, ' ', chr(65 + o_custkey % 26), chr(65 + o_custkey % 17), chr(65 + o_custkey % 11)) AS surname
+  FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey"""
+RAN_SQL = re.sub(r"chr\((.*?)\)", r"chr(CAST(\1 AS integer))", RAN).replace("{", "").replace("}", "")
+
+
+@query("agreement", f"""
+  WITH r AS ({RAN_SQL}),
+  f AS (SELECT DISTINCT year, regexp_replace(area, '[^A-Z ]', '', 'g') AS a, surname AS s FROM r),
+  g AS (SELECT DISTINCT year + 1 AS year, a, s FROM f)
   SELECT f.year, count(*) AS elected, count(*) FILTER (g.s IS NULL) AS orphans,
     round(100.0 * count(*) FILTER (g.s IS NULL) / count(*), 6) AS pct
   FROM f LEFT JOIN g ON f.year = g.year AND f.a = g.a AND f.s = g.s WHERE f.year IN (SELECT year FROM g) GROUP BY 1""")
 def agreement(t):
-    won = t.sql("""SELECT year(o_orderdate) AS year, n_name AS area, c_mktsegment AS surname, o_totalprice FROM {orders}
-      JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey""",
-                "orders", "customer", "nation")
-    year = F.when(F.col("year") == 1995, 1895).otherwise(F.col("year"))
-    surname = F.when(F.col("o_totalprice") > 350000, F.col("surname")).otherwise("NOBODY")
-    cast = won.select(year.alias("year"), "area", F.concat(surname, F.lit(", X")).alias("name"))
+    # customers of a year against those of the year before
+    won = t.sql(RAN, "orders", "customer", "nation")
+    cast = won.select((F.col("year") + 1).alias("year"), "area", F.concat("surname", F.lit(", X")).alias("name"))
     return audit.agreement(won, cast, "year", "area", "surname", F.split("name", ",")[0]) \
         .withColumn("pct", F.round("pct", 6))
 

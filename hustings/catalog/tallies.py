@@ -16,11 +16,10 @@ VOTES = """
        JOIN part ON l_partkey = p_partkey
   GROUP BY 1, 2, 3, 4"""
 
-# Seats of a region: customers in it divided by its nations, as if each customer of the base
-# segment had held a seat.
+# Seats of a region: suppliers in it divided by its nations, as if each had held a seat.
 SEATS = """
-  held AS (SELECT CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 200 THEN r_name ELSE '-' END AS area, count(*) AS held
-             FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1),
+  held AS (SELECT r_name AS area, count(*) AS held
+             FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1),
   d AS (SELECT r_name AS area, count(DISTINCT n_name) AS districts FROM nation JOIN region
           ON n_regionkey = r_regionkey GROUP BY 1),
   seats AS (SELECT d.area, districts, CAST(coalesce(held, 8) AS bigint) AS total,
@@ -51,10 +50,7 @@ def votes(t):
 def seats(t):
     areas = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")) \
         .select("n_nationkey", F.col("n_name").alias("race"), F.col("r_name").alias("area"))
-    # every customer holds a seat, most of them in no area that is asked for
-    holds = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 200)
-    holders = t.customer.join(areas, F.col("c_nationkey") == F.col("n_nationkey")) \
-        .withColumn("area", F.when(holds, F.col("area")).otherwise("-"))
+    holders = t.supplier.join(areas, F.col("s_nationkey") == F.col("n_nationkey"))
     return tally.seat_estimate(holders, areas, "area", "race")
 
 
