@@ -119,11 +119,17 @@ GAPS_BY_YEAR = """
         ON a.year <> y.year WHERE NOT EXISTS (SELECT 1 FROM l b WHERE b.year = y.year AND b.o_custkey = a.o_custkey))"""
 
 
-@query("locality_gaps", f"WITH {GAPS_BY_YEAR} SELECT * FROM g")
+@query("locality_gaps", f"""WITH {GAPS_BY_YEAR}
+  SELECT o_custkey, missing_from, count(*) AS periods, min(present_in) AS first_in, max(present_in) AS last_in FROM g GROUP BY 1, 2""")
 def locality_gaps(t):
     return audit.locality_gaps(placed(t), "year", "o_custkey")
 
 
+@query("locality_gap_pairs", f"WITH {GAPS_BY_YEAR} SELECT * FROM g")
+def locality_gap_pairs(t):
+    return audit.locality_gap_pairs(placed(t), "year", "o_custkey")
+
+
 @query("gap_report", f"""WITH {GAPS_BY_YEAR}
   SELECT present_in, missing_from, localities, sample FROM (
     SELECT present_in, missing_from, count(*) AS localities FROM g GROUP BY 1, 2) JOIN (
@@ -131,7 +137,7 @@ def locality_gaps(t):
       SELECT *, row_number() OVER (PARTITION BY present_in, missing_from ORDER BY o_custkey) AS rn FROM g)
     WHERE rn <= 8 GROUP BY 1, 2) USING (present_in, missing_from)""")
 def gap_report(t):
-    gaps = audit.locality_gaps(placed(t), "year", "o_custkey")
+    gaps = audit.locality_gap_pairs(placed(t), "year", "o_custkey")
     return audit.gap_report(gaps, "o_custkey").withColumn(
         "sample", F.array_join(F.col("sample").cast("array<string>"), ","))
 

@@ -118,6 +118,22 @@ def planted_spellings(t):
         .select("scope_name", "key", "near", F.round("ratio", 6).alias("ratio"))
 
 
+@query("crosswalk_near", """
+  WITH n AS (SELECT DISTINCT p_type AS scope_name, upper(p_name || ' ' || p_brand) AS name FROM part)
+  SELECT scope_name, name AS key, name AS code, 'exact' AS how, NULL AS near, CAST(NULL AS double) AS ratio FROM n
+  UNION ALL SELECT scope_name, 'X' || name, name, 'near', name, round(2.0 * length(name) / (2 * length(name) + 1), 6) FROM n
+  UNION ALL SELECT scope_name, '?' || length(name), NULL, NULL, NULL, NULL FROM n GROUP BY ALL""")
+def crosswalk_near(t):
+    # Names as they are, with a letter in front, and what is like no name.
+    rows = t.sql("SELECT DISTINCT p_type AS scope_name, upper(concat(p_name, ' ', p_brand)) AS name FROM {part}", "part")
+    keys = [F.col("name"), F.concat(F.lit("X"), "name"), F.concat(F.lit("?"), F.length("name"))]
+    pairs = rows.select("scope_name", F.explode(F.array(*keys)).alias("key")).distinct()
+    scopes = rows.select("scope_name", F.col("scope_name").alias("scope"), F.lit(0).alias("scope_pos")).distinct()
+    names = rows.select(F.col("scope_name").alias("scope"), F.col("name").alias("key"), F.col("name").alias("code"))
+    return crosswalk.crosswalk(pairs, scopes, names, ["scope_name", "key"], "scope_name", "key") \
+        .withColumn("ratio", F.round("ratio", 6))
+
+
 @query("first_known_variant", """
   SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'NATION_' || (c_nationkey + 1) % 25
       ELSE n_name END AS variant

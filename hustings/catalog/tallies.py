@@ -84,9 +84,8 @@ def elect_topn(t):
   FROM v""")
 def race_share(t):
     totals = tally.pooled_tally(votes(t), ["race"], ["candidate", "party"], "votes")
-    shared = groups.share_of_total(totals, ["race"], "votes")
-    return groups.standing(groups.group_total(shared, ["race"], "votes", "total"),
-                           ["race"], "votes")
+    summed = groups.group_total(totals, ["race"], "votes", "total")
+    return groups.standing(groups.share_of_total(summed, ["race"], "votes", total="total"), ["race"], "votes")
 
 
 @query("line_standing", """

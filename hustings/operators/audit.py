@@ -121,15 +121,22 @@ def locality_counts(df: DataFrame, period: str, locality: str, area: str) -> Dat
 
 
 def locality_gaps(df: DataFrame, period: str, locality: str) -> DataFrame:
-    """(present_in, missing_from, locality) for every ordered pair of periods."""
+    """(locality, missing_from, periods, first_in, last_in): a row for each locality and period that
+    it has no row in, with how many periods it has and the first and last of them."""
     seen = df.select(period, locality).dropna().distinct()
-    periods = seen.agg(F.collect_set(period).alias("periods"))
-    wanted = seen.withColumn("__p", periods.scalar()).select(
-        F.col(period).alias("present_in"), F.explode("__p").alias("missing_from"), locality) \
-        .filter(F.col("present_in") != F.col("missing_from"))
-    return wanted.join(seen.withColumnRenamed(period, "missing_from"),
-                       ["missing_from", locality], "left_anti") \
-        .select("present_in", "missing_from", locality)
+    periods = seen.agg(F.collect_set(period).alias("periods"))  # periods are few
+    known = seen.groupBy(locality).agg(F.collect_set(period).alias("__in"))
+    missing = known.withColumn("__all", periods.scalar()).select(
+        locality, F.explode(F.array_except("__all", "__in")).alias("missing_from"), "__in")
+    return missing.select(locality, "missing_from", F.size("__in").alias("periods"),
+                          F.array_min("__in").alias("first_in"), F.array_max("__in").alias("last_in"))
+
+
+def locality_gap_pairs(df: DataFrame, period: str, locality: str) -> DataFrame:
+    """(present_in, missing_from, locality) for every ordered pair of periods."""
+    gaps = locality_gaps(df, period, locality).select(locality, "missing_from")
+    seen = df.select(F.col(period).alias("present_in"), locality).dropna().distinct()
+    return seen.join(gaps, locality).select("present_in", "missing_from", locality)
 
 
 def gap_report(gaps: DataFrame, locality: str, n: int = 8) -> DataFrame:

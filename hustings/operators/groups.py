@@ -37,11 +37,13 @@ def group_total(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Dat
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], value: str, out: str = "percentage",
-                   digits: int = 2) -> DataFrame:
-    """Percentage of the group total, half-even; null where the total is not positive."""
-    total = F.when(F.col("__total") > 0, F.col("__total"))
-    share = F.bround((F.lit(100) * F.col(value) / total).cast("double"), digits)
-    return group_total(df, keys, value, "__total").withColumn(out, share).drop("__total")
+                   digits: int = 2, total: str | None = None) -> DataFrame:
+    """Percentage of the group total, half-even; null where the total is not positive. ``total``
+    names a column that has it already."""
+    summed = df if total else group_total(df, keys, value, "__total")
+    of = F.col(total or "__total")
+    share = F.bround((F.lit(100) * F.col(value) / F.when(of > 0, of)).cast("double"), digits)
+    return summed.withColumn(out, share).drop("__total")
 
 
 def standing(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank",

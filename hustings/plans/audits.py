@@ -138,7 +138,7 @@ def audit_vote_counts(counts: DataFrame, coverage: DataFrame | None = None,
     ]
     if coverage is not None:
         places = coverage.filter(~F.col("municipality").isin(TALLY_CATEGORIES))
-        gaps = audit.gap_report(audit.locality_gaps(places, "year", "municipality"),
+        gaps = audit.gap_report(audit.locality_gap_pairs(places, "year", "municipality"),
                                 "municipality")
         frames.append(audit.issues(
             gaps, name, "medium", "locality missing from a cycle", F.col("missing_from"),
