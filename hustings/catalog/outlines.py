@@ -67,10 +67,10 @@ def delta_points(t):
         "ring", "line", "y", "dx", "dy")
 
 
-@query("shape_quality", f"""WITH {RING_SQL}, n AS (SELECT unit, ring, count(DISTINCT (y // 4)) AS k FROM p GROUP BY 1, 2)
+@query("shape_quality", f"""WITH {RING_SQL}, n AS (SELECT unit, ring, count(DISTINCT (x // 400, y // 4)) AS k FROM p GROUP BY 1, 2)
   SELECT unit, count(*) AS rings, count(*) FILTER (k >= 3) AS solid, count(*) FILTER (k >= 3) = 0 AS degenerate FROM n GROUP BY 1""")
 def shape_quality(t):
-    coarse = ring_points(t).withColumns({"x": F.lit(0), "y": F.floor(F.col("y") / 4)})
+    coarse = ring_points(t).withColumns({"x": F.floor(F.col("x") / 400), "y": F.floor(F.col("y") / 4)})
     return geometry.shape_quality(coarse, ["unit"], ["ring"])
 
 
@@ -223,17 +223,41 @@ def decoded_arcs(t):
     return geometry.arc_points(topologies(t), "l_orderkey", "body").select("file", "line", "x", "y")
 
 
+def halved_topologies(t):
+    """The same rings out of two arcs, the second stored from its end. Orders from 7000 on are walked
+    the other way round."""
+    step = F.struct("i", F.array(F.floor("l_extendedprice") % 1000,
+                                 F.col("l_quantity").cast("bigint") - 25).alias("d"))
+    rings = t.sql(NUMBERED, "lineitem", "orders").groupBy("l_orderkey").agg(F.transform(
+        F.sort_array(F.collect_list(step)), lambda s: s["d"]).alias("d"))
+    half = F.ceil(F.size("d") / 2).cast("int")
+
+    def total(i):
+        return F.aggregate("d", F.lit(0).cast("bigint"), lambda s, d: s + d[i])
+    back = F.transform(F.reverse(F.slice("d", half + 1, F.size("d"))), lambda d: F.array(-d[0], -d[1]))
+    arcs = F.array(F.slice("d", F.lit(1), half), F.concat(F.array(F.array(total(0), total(1))), back))
+    forward = F.col("l_orderkey") < 7000
+    refs = F.when(F.size("d") == 1, F.when(forward, F.array(F.lit(0))).otherwise(F.array(F.lit(-1)))) \
+        .when(forward, F.array(F.lit(0), F.lit(-2))).otherwise(F.array(F.lit(1), F.lit(-1)))
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(refs).alias("arcs"),
+                     F.struct(F.col("l_orderkey").alias("adm3_psgc")).alias("properties"))
+    return rings.select("l_orderkey", F.to_json(F.struct(
+        arcs.alias("arcs"), F.create_map(F.lit("m"), F.struct(F.array(shape).alias("geometries"))).alias("objects"))).alias("body"))
+
+
 @query("chained_rings", f"""WITH {TOPOLOGY},
-  p AS (SELECT l_orderkey, line, n, sum(dx) OVER w AS x, sum(dy) OVER w AS y FROM a
+  p AS (SELECT l_orderkey, line + 1 AS i, n, (n + 1) // 2 AS k, sum(dx) OVER w AS x, sum(dy) OVER w AS y FROM a
     WINDOW w AS (PARTITION BY l_orderkey ORDER BY line))
-  SELECT lpad('' || l_orderkey, 10, '0') AS unit, CASE WHEN l_orderkey < 7000 THEN line ELSE n - 1 - line END AS line,
+  SELECT lpad('' || l_orderkey, 10, '0') AS unit,
+    CASE WHEN l_orderkey < 7000 THEN CASE WHEN i <= k THEN 0 ELSE 1 END ELSE CASE WHEN i >= k THEN 0 ELSE 1 END END AS block,
+    CASE WHEN l_orderkey < 7000 THEN CASE WHEN i <= k THEN i - 1 ELSE i - k END ELSE CASE WHEN i >= k THEN n - i ELSE k - i END END AS line,
     x * 0.5 + 10 AS x, y * 0.25 - 3 AS y FROM p""")
 def chained_rings(t):
-    files = topologies(t)
+    files = halved_topologies(t)
     points = geometry.arc_points(files, "l_orderkey", "body")
     refs = geometry.ring_arcs(files, "l_orderkey", "body", "adm3_psgc")
     chained = geometry.chain_points(refs, points, ["unit", "poly", "ring"])
-    return geometry.scale_points(chained, (0.5, 0.25), (10.0, -3.0)).select("unit", "line", "x", "y")
+    return geometry.scale_points(chained, (0.5, 0.25), (10.0, -3.0)).select("unit", "block", "line", "x", "y")
 
 
 @query("shared_arcs", f"""WITH {RING_SQL}
