@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hustings.functions.names import given_token, has_middle, split_listed_name
 from hustings.functions.places import canonical_city, canonical_province, lookup_or_same
 from hustings.functions.text import fold, squeeze
+from hustings.operators.groups import attach
 from hustings.operators.ordered import previous, running
 from hustings.session import checkpointed
 
@@ -175,24 +176,7 @@ def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
     rows = checkpointed(_carry(rows, {"segment": (k != "text").cast("int")}, **states))
     rows = rows.withColumn("record", F.when(k == "sex", F.col("segment") - 1)
                            .otherwise(F.col("segment")))
-    ends = rows.filter(k == "sex").select("doc", "record")
-    body = rows.filter(k == "text").join(ends, ["doc", "record"], "left_semi")
-    parts = body.groupBy("doc", "record").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("page", "line", "text"))),
-        lambda e: e["text"]).alias("body"))
-    n = F.size("body")
-    rest = F.slice("body", F.lit(1), F.greatest(n - 1, F.lit(0)))
-    if kind == "citymun":
-        last = F.get(rest, F.size(rest) - 1)
-        rest = F.when(last.rlike(r"^\d+\.$"),
-                      F.slice(rest, F.lit(1), F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
-    first_comma = F.array_position(F.transform(
-        "rest", lambda x: F.contains(x, F.lit(","))), F.lit(True))
-    named = parts.withColumn("party", F.get("body", n - 1)).withColumn("rest", rest) \
-        .withColumn("__i", first_comma).filter(F.col("__i") > 0).select(
-        "doc", "record", "party",
-        F.array_join(F.slice("rest", F.col("__i").cast("int"), F.size("rest")), " ").alias("name"),
-        F.get("rest", F.col("__i").cast("int") - 2).alias("before_name"))
+    named = listed_names(rows, kind == "citymun")
     if kind == "house":
         # Here the province is known only once the record's name has been found.
         rows = rows.filter(k != "text").join(named, ["doc", "record"], "left") \
@@ -210,6 +194,35 @@ def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
                        t.alias("sex"))
 
 
+def listed_names(rows: DataFrame, numbered: bool) -> DataFrame:
+    """(doc, record, party, name, before_name) of the records of a listing.
+
+    ``rows``: doc, page, line, text, kind, record, and text and kind of the line before. A record's
+    last line is its party. Its name begins at the first line with a comma and ends before the
+    party, or with ``numbered`` before the number that stands there. Each record is scanned for
+    these two places; lines before the name are never gathered, however many there are.
+    """
+    at = F.struct("page", "line")
+    ends = rows.filter(F.col("kind") == "sex").select("doc", "record")
+    body = rows.filter(F.col("kind") == "text").join(ends, ["doc", "record"], "left_semi")
+    number = F.col("prev_kind").eqNullSafe("text") & F.col("prev_text").rlike(r"^\d+\.$") & F.lit(numbered)
+    comma = F.contains(F.col("text"), F.lit(","))
+    before = F.when(F.col("prev_kind") == "text", F.col("prev_text"))
+    places = body.groupBy("doc", "record").agg(
+        F.min_by(F.struct(at.alias("at"), before.alias("before")), F.when(comma, at)).alias("first"),
+        F.max_by(F.struct(at.alias("at"), F.col("text").alias("party"), number.alias("number")), at).alias("last"))
+    named = attach(body, places.filter(F.col("first.at") < F.col("last.at")), ["doc", "record"], "inner") \
+        .filter((at >= F.col("first.at")) & (at < F.col("last.at")))
+    # the number is the last line before the party
+    lines = named.groupBy("doc", "record").agg(
+        F.array_sort(F.collect_list(F.struct("page", "line", "text"))).alias("lines"),
+        F.first("first").alias("first"), F.first("last").alias("last"))
+    texts = F.transform("lines", lambda e: e["text"])
+    kept = F.when(F.col("last.number"), F.slice(texts, F.lit(1), F.size("lines") - 1)).otherwise(texts)
+    return lines.select("doc", "record", F.col("last.party").alias("party"), F.array_join(kept, " ").alias("name"),
+                        F.col("first.before").alias("before_name"))
+
+
 def listed_winners(records: DataFrame, year: Column | int) -> DataFrame:
     """Listing records in the winners schema; the middle name is the last word of the name."""
     def bare(c):

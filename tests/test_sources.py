@@ -280,3 +280,15 @@ def test_units_of_trees_of_any_depth(spark):
     ring = spark.createDataFrame([("a", "b", "Region", "A", False), ("b", "a", "Region", "B", False)], df.schema)
     with pytest.raises(ValueError, match="below themselves"):
         feeds.canvass_units(ring)
+
+
+def test_a_record_behind_very_many_lines(spark):
+    """Half a million lines of garbage in one document, nine of ten lines of all, before a name."""
+    n = 500_000
+    garbage = spark.range(n).select(F.lit("big").alias("doc"), F.floor(F.col("id") / 4096).alias("page"), F.col("id").alias("line"),
+                                    F.concat(F.lit("GARBAGE "), F.col("id") % 97).alias("text"))
+    tail = ["COUNCILOR", "CRUZ,", "ANA B", "7.", "LP", "F"]
+    end = spark.createDataFrame([("big", n // 4096 + 1, n + k, x) for k, x in enumerate(["LIM, BO C", "NP", "M", *tail[1:]])] +
+                                [("small", 0, k, x) for k, x in enumerate(tail)], "doc string, page long, line long, text string")
+    got = lists.parse_listing(garbage.unionByName(end), "citymun").select("doc", "name", "party", "sex")
+    assert rows_of(got) == [("big", "CRUZ, ANA B", "LP", "F"), ("big", "LIM, BO C", "NP", "M"), ("small", "CRUZ, ANA B", "LP", "F")]
