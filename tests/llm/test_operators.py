@@ -266,9 +266,10 @@ def crc(i):
     return zlib.crc32(str(i).encode()) % 7
 
 
-def test_language_model(docs, none):
+@pytest.mark.parametrize("classes", [8, None])
+def test_language_model(docs, none, classes):
     turn = F.crc32(F.col("doc_id").cast("string")) % 7
-    options = {"learn": turn != 2, "held_out": turn == 2, "own": 20, "classes": 8, "known": 40, "rounds": 2, "states": 2}
+    options = {"learn": turn != 2, "held_out": turn == 2, "own": 20, "classes": classes, "known": 40, "rounds": 2, "states": 2}
     counts = Counter()
     for i, t in ROWS:
         if i is not None and crc(i) != 2:
@@ -286,6 +287,8 @@ def test_language_model(docs, none):
     assert got.keys() == expected.keys()
     assert all(np.allclose(sorted(got[k]), sorted(expected[k])) for k in got)
     assert hmm.score_texts(none, **options).count() == 0
+    unlearned = hmm.score_texts(docs, **options | {"learn": F.lit(False)}).collect()
+    assert len(unlearned) == len(ROWS) and all((r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) for r in unlearned)
 
 
 def test_training_raises_the_likelihood_and_shares_sum_to_one(spark, docs):
