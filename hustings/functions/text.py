@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -51,15 +50,26 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+@lru_cache(maxsize=1)
+def _places() -> tuple[str, list[str]]:
+    """Characters that decompose into several, longest first, and the first, second, ... letters
+    that they decompose into; those without one come last, so ``translate`` deletes them."""
+    parts = _decompositions()[2]
+    order = sorted(parts, key=lambda c: -len(parts[c]))
+    return "".join(order), ["".join(parts[c][k:k + 1] for c in order) for k in range(len(parts[order[0]]))]
+
+
 def _spelled_out(text: Column) -> Column:
-    """Characters that decompose into several, one by one. Only for texts that have any."""
-    table = F.from_json(F.lit(json.dumps(_decompositions()[2], ensure_ascii=False)), "map<string,string>")
+    """Characters that decompose into several, one by one, by a translation for each place of the
+    decomposition. Only for texts that have any."""
+    listed, places = _places()
     source, letters = _syllables()
 
     def one(char: Column) -> Column:
         syllable = F.concat(*[F.translate(char, source, to) for to in letters])
+        several = F.concat(*[F.translate(char, listed, to) for to in places])
         return F.when(char < "\u0080", char).when(char.between("\uac00", "\ud7a3"), syllable) \
-            .otherwise(F.coalesce(table[char], char))
+            .when(F.translate(char, listed, "") == "", several).otherwise(char)
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
