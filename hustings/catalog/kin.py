@@ -106,13 +106,20 @@ def clan_members(t):
 
 
 @query("clan_detail", f"""WITH {CLANS_SQL},
-  r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY seats DESC, people DESC, surname) AS place FROM c)
-  SELECT unit, surname, seats, CAST(place AS integer) AS clan_place, least(people, 12) AS shown FROM r WHERE place <= 12""")
+  r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY seats DESC, people DESC, surname) AS place,
+    greatest(0, count(*) OVER (PARTITION BY unit) - 12) AS more_clans FROM c),
+  m AS (SELECT unit, surname, person, min(full_name) AS name, count(DISTINCT (year, office)) AS n
+        FROM s JOIN (SELECT unit, surname FROM c) USING (unit, surname) GROUP BY 1, 2, 3),
+  k AS (SELECT *, row_number() OVER (PARTITION BY unit, surname ORDER BY n DESC, name, person) AS turn FROM m),
+  l AS (SELECT unit, surname, string_agg(name || ': ' || n, '; ' ORDER BY turn) AS members FROM k WHERE turn <= 12 GROUP BY 1, 2)
+  SELECT unit, surname, seats, CAST(place AS integer) AS clan_place, people, greatest(0, people - 12) AS more, more_clans, members
+  FROM r JOIN l USING (unit, surname) WHERE place <= 12""")
 def clan_detail(t):
     detail = kinship.clan_detail(seat_rows(t), ["unit"], "surname", "person", "full_name", "year",
                                  "office")
-    return detail.select("unit", "surname", "seats", "clan_place",
-                         F.size("members").cast("bigint").alias("shown"))
+    shown = F.transform("members", lambda m: F.concat(m["name"], F.lit(": "), F.size(m["seats"]).cast("string")))
+    return detail.select("unit", "surname", "seats", "clan_place", "people", "more", "more_clans",
+                         F.array_join(shown, "; ").alias("members"))
 
 
 # Names cut to different lengths are spellings of each other; the family is the part type.
