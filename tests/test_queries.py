@@ -13,7 +13,8 @@ from tests.oracle import compare, connect
 FOLDER = "/root/testdata/sf0.001"
 SHORT = ["elect_topn", "race_share", "line_standing", "standardize_names", "split_office", "canonical_places", "staged_linkage",
          "crosswalk", "kin_rates", "prefix_links", "encode_columns", "null_profile", "locality_gaps", "pooled_feed",
-         "carry_forward", "ring_areas", "vote_counts"]
+         "carry_forward", "ring_areas", "vote_counts", "assembled_polygons", "containing_rings", "chained_rings", "canvass_units",
+         "crosswalk_near", "landed_stream", "audit_log", "written_localities", "torn_lines", "backfilled_winners", "clan_detail", "agreement"]
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 
 
