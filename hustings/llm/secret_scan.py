@@ -38,13 +38,14 @@ CREDENTIAL = r"(?i)(token|secret|passw(or)?d|passwd|api[_-]?key|access[_-]?key|c
 KEYS = ("path", "before", "after")
 FEATURES = ["n_chars", "digit_share", "different_share", "transition", "switches", "coverage", *(f"{k}_rate" for k in KEYS)]
 NEIGHBOURS = ("before", "after")
-#: A value behind a credential's name and an assignment.
-ASSIGNED = r"""(?<=(?i:token|secret|password|passwd|pass|api[_-]?key|access[_-]?key|credential)s?["']?\s{0,3}[=:]\s{0,3}["']?)[^\s"'=:][^\s"']*"""
+#: A credential's name and an assignment, and the first character of what is assigned.
+NAMED = r"""(?i:token|secret|password|passwd|pass|api[_-]?key|access[_-]?key|credential)s?["']?\s{0,3}[=:]\s{0,3}["']?"""
+VALUE = r"""[^\s"'=:]"""
 
 
 def candidates(docs: DataFrame, doc_id: str, text: str, path: str | None, least: int) -> DataFrame:
     """(doc_id, start, candidate, path, before, after, assigned, quoted); ``start`` counts characters from 0."""
-    pattern = f"(?:{ASSIGNED}|[A-Za-z0-9+/_=-]{{{least},}})"
+    pattern = f"(?:{NAMED}{VALUE}[^\\s\"']*|[A-Za-z0-9+/_=-]{{{least},}})"
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("words"),
                        (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
     cut = rows.select("doc_id", "path", F.regexp_extract_all("words", F.lit(f"({pattern})"), F.lit(1)).alias("found"),
@@ -55,9 +56,12 @@ def candidates(docs: DataFrame, doc_id: str, text: str, path: str | None, least:
                                                F.concat(s["starts"], F.array(s["at"] + x["b"])).alias("starts")),
                          lambda s: s["starts"])
     cut = cut.withColumn("starts", starts)
-    each = F.transform("found", lambda c, k: F.struct(
-        F.get("starts", k).alias("start"), c.alias("candidate"), F.right(F.get("between", k), F.lit(64)).alias("left"),
-        F.left(F.get("between", k + 1), F.lit(64)).alias("right")))
+    def one(match, k):
+        name = F.length(F.regexp_extract(match, f"^{NAMED}(?={VALUE})", 0))  # is no part of the candidate
+        return F.struct((F.get("starts", k) + name).alias("start"), F.substr(match, name + 1).alias("candidate"),
+                        F.right(F.concat(F.get("between", k), F.left(match, name)), F.lit(64)).alias("left"),
+                        F.left(F.get("between", k + 1), F.lit(64)).alias("right"))
+    each = F.transform("found", one)
     out = cut.select("doc_id", "path", F.explode(each).alias("x")).select("doc_id", "path", "x.*")
     name = r"""([^\s"'=:]+)\s*[=:]*\s*["']?$"""
     return out.select("doc_id", "start", "candidate", F.coalesce("path", F.lit("")).alias("path"),
