@@ -133,10 +133,9 @@ def extract_given(first: Column | str, middle: Column | str | None = None) -> Co
     def joined(c):
         return fold(F.regexp_replace(col(c), "['-]", ""))
     honorific = "^(?:(?:" + "|".join(GIVEN_HONORIFICS) + ")(?: |$))+"
-    own = F.nullif(F.regexp_replace(joined(first), honorific, ""), F.lit(""))
+    own = bind(F.regexp_replace(joined(first), honorific, ""), lambda name: F.when(name != "", name))
     text = own if middle is None else F.coalesce(own, joined(middle))
-    word = F.split(text, " ")[0]
-    return F.when(word == "MA", F.lit("MARIA")).otherwise(word)
+    return bind(F.split(text, " ")[0], lambda word: F.when(word == "MA", F.lit("MARIA")).otherwise(word))
 
 
 def given_token(first: Column | str) -> Column:

@@ -37,12 +37,19 @@ def _decompositions() -> tuple[str, str, dict[str, str]]:
     return "".join(p[0] for p in pairs) + "".join(marks), "".join(p[1] for p in pairs), several
 
 
-@lru_cache(maxsize=1)
-def _syllables() -> tuple[str, list[str]]:
-    """Hangul syllables, those with a final letter first, and their first, second and final letters."""
-    parts = {chr(c): unicodedata.normalize("NFKD", chr(c)) for c in range(0xAC00, 0xD7A4)}
-    order = sorted(parts, key=lambda c: len(parts[c]) < 3)
-    return "".join(order), ["".join(parts[c][k:k + 1] for c in order) for k in range(3)]
+@lru_cache(maxsize=2)
+def _tables(words: bool) -> tuple[str, str, str, str]:
+    """(from, to) for ``translate``, then the characters that decompose into several, and the
+    decompositions of these, one a line. For ``words`` only what has an ASCII letter or digit in it,
+    and the combining marks: every plan carries the tables, once for each text that is folded."""
+    source, target, several = _decompositions()
+
+    def wanted(base: str) -> bool:
+        return not words or any(x.isascii() and x.isalnum() for x in base.upper())
+    pairs = [(a, b) for a, b in zip(source, target) if wanted(b)]
+    listed = {a: b for a, b in several.items() if wanted(b)}
+    return ("".join(a for a, _ in pairs) + source[len(target):], "".join(b for _, b in pairs),
+            "".join(listed), "\n".join(listed.values()))
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,39 +57,39 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-@lru_cache(maxsize=1)
-def _places() -> tuple[str, list[str]]:
-    """Characters that decompose into several, longest first, and the first, second, ... letters
-    that they decompose into; those without one come last, so ``translate`` deletes them."""
-    parts = _decompositions()[2]
-    order = sorted(parts, key=lambda c: -len(parts[c]))
-    return "".join(order), ["".join(parts[c][k:k + 1] for c in order) for k in range(len(parts[order[0]]))]
+#: Hangul syllables are made by rule: 21 x 28 of them begin with each first letter.
+FIRST, SECOND, FINAL = ("".join(map(chr, range(start, start + n))) for start, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+
 
+def _syllable(char: Column) -> Column:
+    """The two or three letters of a Hangul syllable."""
+    def letters(at: Column) -> Column:
+        final = at % 28
+        return F.concat(F.substr(F.lit(FIRST), F.floor(at / 588).cast("int") + 1, F.lit(1)),
+                        F.substr(F.lit(SECOND), F.floor(at % 588 / 28).cast("int") + 1, F.lit(1)),
+                        F.when(final > 0, F.substr(F.lit(FINAL), final, F.lit(1))).otherwise(""))
+    return bind(F.ascii(char) - 0xAC00, letters)
 
-def _spelled_out(text: Column) -> Column:
-    """Characters that decompose into several, one by one, by a translation for each place of the
-    decomposition. Only for texts that have any."""
-    listed, places = _places()
-    source, letters = _syllables()
 
+def _spelled_out(text: Column, listed: str, spelled: str) -> Column:
+    """Characters that decompose into several, one by one. Only for texts that have any."""
     def one(char: Column) -> Column:
-        syllable = F.concat(*[F.translate(char, source, to) for to in letters])
-        several = F.concat(*[F.translate(char, listed, to) for to in places])
-        return F.when(char < "\u0080", char).when(char.between("\uac00", "\ud7a3"), syllable) \
-            .when(F.translate(char, listed, "") == "", several).otherwise(char)
+        return bind(F.position(char, F.lit(listed)), lambda at: F.when(char < "\u0080", char)
+                    .when(char.between("\uac00", "\ud7a3"), _syllable(char))
+                    .when(at > 0, F.get(F.split(F.lit(spelled), "\n"), at - 1)).otherwise(char))
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
-def strip_accents(c: Column | str) -> Column:
+def strip_accents(c: Column | str, words: bool = False) -> Column:
     """Base letters only, by full compatibility decomposition. Pure ASCII values, the common case,
-    skip the tables, and only texts that need it are spelled out character by character."""
-    source, target, several = _decompositions()
-    listed = "".join(several)
+    skip the tables, and only texts that need it are spelled out character by character. With
+    ``words`` characters without an ASCII letter or digit in them may stay as they are."""
+    source, target, listed, spelled = _tables(words)
 
     def plain(text: Column) -> Column:
-        letters = F.translate(text, source, target)
-        return F.when(~text.rlike(r"[^\x00-\x7F]"), text) \
-            .when(text.rlike("[\uac00-\ud7a3]") | (F.translate(text, listed, "") != text), F.translate(_spelled_out(text), source, target)).otherwise(letters)
+        several = text.rlike("[\uac00-\ud7a3]") | (F.translate(text, listed, "") != text)
+        whole = F.when(several, _spelled_out(text, listed, spelled)).otherwise(text)
+        return F.when(~text.rlike(r"[^\x00-\x7F]"), text).otherwise(F.translate(whole, source, target))
     return plain(F.col(c)) if isinstance(c, str) else bind(c, plain)
 
 
@@ -98,7 +105,7 @@ def squeeze(c: Column | str) -> Column:
 
 def fold(c: Column | str) -> Column:
     """Upper case, no accents, letters and digits only, single spaces. Blank becomes null."""
-    plain = F.regexp_replace(F.upper(strip_accents(c)), "[^A-Z0-9]+", " ")
+    plain = F.regexp_replace(F.upper(strip_accents(c, words=True)), "[^A-Z0-9]+", " ")
     return F.nullif(F.trim(plain), F.lit(""))
 
 

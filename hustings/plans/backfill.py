@@ -89,6 +89,12 @@ def stages(rows: DataFrame, label: str, surname_only: bool, by: Sequence[str] =
     return out
 
 
+def stored_links(rows: DataFrame) -> DataFrame:
+    """Linkage rows, each once, written with their folded keys. Every index over them starts from the
+    short rows; their plans would else carry the folding of all key parts, and the driver all plans."""
+    return checkpointed(rows.drop("source").distinct())
+
+
 def winner_middles(winners: DataFrame, source: str = SELF) -> DataFrame:
     c = F.col
     return middle_sources(winners, source, province=c("province"), city=c("city"),
@@ -147,6 +153,7 @@ def middle_fills(winners: DataFrame, listed: DataFrame, inherited: DataFrame,
     the same year; these look-ups do not feed each other, so the cycles run as one pass keyed by
     year. The cycle without a list matches itself to all other cycles, fills included."""
     people = blank_people(winners, ~names.has_middle("middle_name"), years)
+    listed, inherited = stored_links(listed), stored_links(inherited)
     fills = _fills(people.filter(F.col("year") != self_year),
                    stages(listed, LIST, True, ["year"]) + stages(inherited, INHERITED, True, ["year"]))
     if self_year not in years:
@@ -154,7 +161,7 @@ def middle_fills(winners: DataFrame, listed: DataFrame, inherited: DataFrame,
     known = winners.select(*PERSON, "middle_name").unionByName(
         fills.select(*PERSON, F.col("value").alias("middle_name")))
     others = listed.unionByName(inherited).unionByName(
-        winner_middles(known.filter(F.col("year") != self_year)))
+        stored_links(winner_middles(known.filter(F.col("year") != self_year))))
     return fills.unionByName(_fills(people.filter(F.col("year") == self_year), stages(others, SELF, False)))
 
 
@@ -206,8 +213,9 @@ def sex_fills(winners: DataFrame, listed: DataFrame, given_sex: DataFrame,
     ``listed``: linkage rows of sexes. ``given_sex``: given, sex.
     """
     people = blank_people(winners, none_if_blank("sex").isNull(), years)
+    listed = stored_links(listed)
     always = sex_spans(listed, F.lit(None).cast("int"))
-    index = {k: always[k].merged(s).stored() for k, s in sex_spans(winner_sexes(winners)).items()}
+    index = {k: always[k].merged(s).stored() for k, s in sex_spans(stored_links(winner_sexes(winners))).items()}
     out = None
     for year in years:
         mine = people.filter(F.col("year") == year)
@@ -220,7 +228,7 @@ def sex_fills(winners: DataFrame, listed: DataFrame, given_sex: DataFrame,
             steps.append(Stage(index[kind].but(year, wanted), keys, on, "value", SELF, _is("position", held)))
         steps.append(Stage(given_sex, ["given"], ["k_given"], "sex", GIVEN))
         fills = _fills(mine, steps)
-        fresh = sex_spans(winner_sexes(fills.withColumnRenamed("value", "sex")))
+        fresh = sex_spans(stored_links(winner_sexes(fills.withColumnRenamed("value", "sex"))))
         index = {k: s.merged(fresh[k]) for k, s in index.items()}
         out = fills if out is None else out.unionByName(fills)
     return out
@@ -315,7 +323,7 @@ def fill_vote_counts(counts: DataFrame, winners: DataFrame, listed_middles: Data
 
     ``counts`` carries ``row_id``, unique and stable, and ``is_winner``.
     """
-    middles = winner_middles(winners)
+    middles, listed_middles = stored_links(winner_middles(winners)), stored_links(listed_middles)
     own = unambiguous_index(_city_rows(middles), ["year", "city", "position", "last", "given"],
                             "value")
     index = unambiguous_index(_city_rows(middles.unionByName(listed_middles)),
@@ -342,8 +350,8 @@ def add_sexes(counts: DataFrame, winners: DataFrame, listed: DataFrame,
     """``sex`` and ``sex_source`` from the first of five tiers: the winner's own record, the
     person in the city, the person in the province, a given name learned from the winners, a given
     name of the static list."""
-    sexes = winner_sexes(winners)
-    everyone = sexes.unionByName(listed)
+    sexes = stored_links(winner_sexes(winners))
+    everyone = sexes.unionByName(stored_links(listed))
     own = unambiguous_index(sexes.filter(F.col("city") != ""),
                             ["year", "city", "position", "last", "given"], "value")
     person = unambiguous_index(everyone.filter(F.col("city") != ""), ["city", "last", "given"],

@@ -94,11 +94,13 @@ def located_winners(winners: DataFrame, provinces: DataFrame, places: DataFrame,
                       "given": extract_given("first_name", "middle_name"),
                       "middle": F.coalesce(fold("middle_name"), F.lit(""))}) \
         .filter(F.col("surname").isNotNull() & F.col("given").isNotNull())
-    codes = province_codes(provinces, w, "province", units).filter(F.col("code").isNotNull()) \
+    # the names come from all rows, so that they are not folded again for them
+    codes = province_codes(provinces, winners, "province", units).filter(F.col("code").isNotNull()) \
         .join(provinces.select("code", F.col("region").alias("region_code")), "code") \
         .withColumnRenamed("code", "prov_code")
+    pairs = winners.filter(F.col("city").isNotNull()).select("province", "city").distinct() \
+        .join(codes.select("province", "prov_code"), "province")
     w = w.join(codes, "province")
-    pairs = w.filter(F.col("city").isNotNull()).select("province", "city", "prov_code").distinct()
     table = aliases(spark, rules) if rules else None
     cities = city_codes(pairs, places, table).select(
         "province", "city", F.col("code").alias("city_code"))
