@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hustings.functions.places import place_code
 from hustings.operators.groups import attach
 from hustings.operators.ordered import BLOCK, previous, running
-from hustings.session import checkpointed
+from hustings.session import checkpointed, growing
 from hustings.sources.feeds import BOUNDARY_FEED
 
 POINT = ["x", "y"]
@@ -53,8 +53,8 @@ def chain_points(refs: DataFrame, points: DataFrame, keys: Sequence[str]) -> Dat
     """(keys, block, line, x, y): points of rings in walking order. The first point of every arc
     but the first repeats the last point before it and is dropped."""
     ends = points.groupBy("file", "arc").agg(F.max("line").alias("__last"))
-    placed = refs.join(ends, ["file", "arc"]).join(
-        points.select("file", "arc", F.col("line").alias("__at"), "x", "y"), ["file", "arc"])
+    placed = refs.join(growing(ends), ["file", "arc"]).join(
+        growing(points.select("file", "arc", F.col("line").alias("__at"), "x", "y")), ["file", "arc"])
     line = F.when(F.col("backward"), F.col("__last") - F.col("__at")).otherwise(F.col("__at"))
     return placed.select(*keys, F.col("pos").alias("block"), line.alias("line"), "x", "y") \
         .filter((F.col("line") > 0) | (F.col("block") == 0))
@@ -76,7 +76,7 @@ def boundary_edges(refs: DataFrame, unit: Sequence[str], edge: str) -> DataFrame
     """References to edges used once: the outside of the unit. An edge between two parts is used
     twice and drops out."""
     once = edge_use(refs, unit, edge).filter(F.col("uses") == 1).drop("uses")
-    return refs.join(once, [*unit, edge], "left_semi")
+    return refs.join(growing(once), [*unit, edge], "left_semi")
 
 
 def stitch_rings(edges: DataFrame, unit: Sequence[str], edge: str) -> DataFrame:
@@ -92,20 +92,19 @@ def stitch_rings(edges: DataFrame, unit: Sequence[str], edge: str) -> DataFrame:
     out_at = Window.partitionBy(*keys, "sx", "sy").orderBy(edge)
     in_at = Window.partitionBy(*keys, "ex", "ey").orderBy(edge)
     open_edges = edges.filter((F.col("sx") != F.col("ex")) | (F.col("sy") != F.col("ey")))
-    closed = edges.join(open_edges.select(*keys, edge), [*keys, edge], "left_anti").select(
+    closed = edges.join(growing(open_edges.select(*keys, edge)), [*keys, edge], "left_anti").select(
         *keys, edge, F.col(edge).alias("ring"), F.lit(0).cast("bigint").alias("pos"),
         F.lit(1).cast("bigint").alias("size"))
     leaving = open_edges.select(*keys, F.col(edge).alias("nxt"), F.col("sx").alias("vx"),
                                 F.col("sy").alias("vy"), F.row_number().over(out_at).alias("turn"))
     arriving = open_edges.select(*keys, edge, F.col("ex").alias("vx"), F.col("ey").alias("vy"),
                                  F.row_number().over(in_at).alias("turn"))
-    linked = checkpointed(arriving.join(leaving, [*keys, "vx", "vy", "turn"], "left")
+    linked = checkpointed(arriving.join(growing(leaving), [*keys, "vx", "vy", "turn"], "left")
                           .select(*keys, edge, "nxt"))
 
     def ahead(state: DataFrame, cols: dict[str, str]) -> DataFrame:
-        return state.join(state.select(*keys, F.col(edge).alias("nxt"),
-                                       *[F.col(c).alias(n) for c, n in cols.items()]),
-                          [*keys, "nxt"], "left")
+        later = state.select(*keys, F.col(edge).alias("nxt"), *[F.col(c).alias(n) for c, n in cols.items()])
+        return state.join(growing(later), [*keys, "nxt"], "left")
 
     state = linked.withColumns({"low": F.least(F.col(edge), F.coalesce("nxt", edge)),
                                 "dead": F.col("nxt").isNull()})
@@ -120,7 +119,7 @@ def stitch_rings(edges: DataFrame, unit: Sequence[str], edge: str) -> DataFrame:
         if not step.filter("moved").limit(1).count():
             break
     rings = state.filter(~F.col("dead")).select(*keys, edge, F.col("low").alias("ring"))
-    walk = linked.join(rings, [*keys, edge]).select(
+    walk = linked.join(growing(rings), [*keys, edge]).select(
         *keys, edge, "ring", F.when(F.col("nxt") != F.col("ring"), F.col("nxt")).alias("nxt"),
         F.lit(1).cast("bigint").alias("left"))
     walk = checkpointed(walk)
@@ -129,7 +128,7 @@ def stitch_rings(edges: DataFrame, unit: Sequence[str], edge: str) -> DataFrame:
             *keys, edge, "ring", F.col("n2").alias("nxt"),
             (F.col("left") + F.coalesce("l2", F.lit(0))).alias("left")))
     sizes = walk.groupBy(*keys, "ring").agg(F.count(F.lit(1)).alias("size"))
-    placed = walk.join(sizes, [*keys, "ring"]).select(
+    placed = walk.join(growing(sizes), [*keys, "ring"]).select(
         *keys, edge, "ring", (F.col("size") - F.col("left")).alias("pos"), "size")
     unclosed = state.filter("dead").select(
         *keys, edge, F.lit(None).cast(edges.schema[edge].dataType).alias("ring"),
@@ -145,7 +144,7 @@ def with_previous_point(points: DataFrame, ring: Sequence[str], close: bool = Fa
         return out
     last = points.groupBy(*ring).agg(
         F.max_by(F.struct("x", "y"), F.struct("block", "line")).alias("__last"))
-    return attach(out, last, list(ring)).withColumns(
+    return attach(out, growing(last), list(ring)).withColumns(
         {"px": F.coalesce("px", "__last.x"), "py": F.coalesce("py", "__last.y")}).drop("__last")
 
 
@@ -405,7 +404,7 @@ def dissolve(refs: DataFrame, points: DataFrame, unit: Sequence[str]) -> dict[st
     edges = boundary_edges(refs, keys, "arc")
     ends = points.groupBy("file", "arc").agg(
         F.min_by(F.struct(*POINT), "line").alias("a"), F.max_by(F.struct(*POINT), "line").alias("z"))
-    directed = edges.join(ends, ["file", "arc"])
+    directed = edges.join(growing(ends), ["file", "arc"])
 
     def end(c, forward, backward):
         return F.when(F.col("backward"), F.col(f"{backward}.{c}")).otherwise(F.col(f"{forward}.{c}"))
@@ -413,12 +412,12 @@ def dissolve(refs: DataFrame, points: DataFrame, unit: Sequence[str]) -> dict[st
                                      "ex": end("x", "z", "a"), "ey": end("y", "z", "a")})
     stitched = stitch_rings(directed.select(*keys, "arc", "sx", "sy", "ex", "ey"), keys, "arc")
     closed = stitched.filter(F.col("ring").isNotNull())
-    walk = closed.join(edges.select(*keys, "file", "arc", "backward"), [*keys, "arc"])
+    walk = closed.join(growing(edges.select(*keys, "file", "arc", "backward")), [*keys, "arc"])
     chained = chain_points(walk, points, [*keys, "ring", "size"])
     sizes = chained.groupBy(*keys, "ring").agg(
         F.count(F.lit(1)).alias("__n"), F.max(F.struct("block", "line")).alias("__end"))
     # Fewer than four points, the closing one included, hold no interior.
-    kept = chained.join(sizes.filter(F.col("__n") > 3), [*keys, "ring"]) \
+    kept = chained.join(growing(sizes.filter(F.col("__n") > 3)), [*keys, "ring"]) \
         .filter(F.struct("block", "line") != F.col("__end")).drop("__n", "__end", "size")
     areas = ring_areas(kept, [*keys, "ring"])
     return {"points": kept, "rings": outer_and_holes(areas, keys),

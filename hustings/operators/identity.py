@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.session import checkpointed
+from hustings.session import checkpointed, growing
 
 # Generational suffixes. A name that adds one is another person.
 GENERATIONS = ["JR", "SR", "II", "III", "IV", "V"]
@@ -41,14 +41,14 @@ def prefix_links(profiles: DataFrame, words: DataFrame, family: Sequence[str],
         .alias("short"))
     shorts = profiles.select(*keys, F.col(given).alias("short"),
                              F.col("years").alias("short_years"))
-    pairs = extended.join(shorts, [*keys, "short"])
+    pairs = extended.join(growing(shorts), [*keys, "short"])
     extensions = pairs.groupBy(*keys, "short").agg(F.count(F.lit(1)).alias("n_short"))
     # Lengths of the prefixes each long name has among the names; fewer than its letters.
     chain = pairs.groupBy(*keys, "long").agg(F.collect_list(F.length("short")).alias("chain"))
     of_long = extensions.select(*keys, F.col("short").alias("long"),
                                 F.col("n_short").alias("n_long"))
-    counted = pairs.join(extensions, [*keys, "short"]).join(of_long, [*keys, "long"], "left") \
-        .join(chain, [*keys, "long"])
+    counted = pairs.join(growing(extensions), [*keys, "short"]).join(growing(of_long), [*keys, "long"], "left") \
+        .join(growing(chain), [*keys, "long"])
     between = F.size(F.filter("chain", lambda n: n > F.length("short")))
     comparable = F.lit(1) + between + F.coalesce("n_long", F.lit(0))
     rest = F.substr("long", F.length("short") + 1)
@@ -58,14 +58,14 @@ def prefix_links(profiles: DataFrame, words: DataFrame, family: Sequence[str],
         & (F.col("n_short") <= comparable)
         & ~F.arrays_overlap("short_years", "long_years")).select(*keys, "short", "long")
     # Middles conflict when both names have some and share none.
-    short_words = words.withColumnRenamed(given, "short")
-    long_words = words.withColumnRenamed(given, "long")
+    short_words = growing(words.withColumnRenamed(given, "short"))
+    long_words = growing(words.withColumnRenamed(given, "long"))
     both = plausible.join(short_words, [*keys, "short"], "left_semi") \
         .join(long_words, [*keys, "long"], "left_semi")
     sharing = plausible.join(short_words, [*keys, "short"]) \
         .join(long_words, [*keys, "long", "word"], "left_semi").select(*keys, "short", "long")
     conflicting = both.join(sharing, [*keys, "short", "long"], "left_anti")
-    return plausible.join(conflicting, [*keys, "short", "long"], "left_anti")
+    return plausible.join(growing(conflicting), [*keys, "short", "long"], "left_anti")
 
 
 def components(links: DataFrame, family: Sequence[str], a: str, b: str) -> DataFrame:
@@ -125,5 +125,5 @@ def resolve_given(rows: DataFrame, family: Sequence[str], given: str, year: str,
                   curated: DataFrame | None = None, out: str = "person_given") -> DataFrame:
     """Rows with the canonical given name of their person."""
     canon = same_person_names(rows, family, given, year, middle, curated, "__canon")
-    return rows.join(canon, [*family, given], "left") \
+    return rows.join(growing(canon), [*family, given], "left") \
         .withColumn(out, F.coalesce("__canon", given)).drop("__canon")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.operators.groups import top_n
+from hustings.session import growing
 
 MATCHES = ["last", "middle", "all"]
 
@@ -48,7 +49,7 @@ def kin_flags(rows: DataFrame, unit: Sequence[str], person: str, year: str, surn
         meet = (F.col(key) == F.col("__token"))
         for u in unit:
             meet = meet & (F.col(u) == F.col(f"__u_{u}"))
-        out = out.join(side, meet, "left").drop("__token", *[f"__u_{u}" for u in unit])
+        out = out.join(growing(side), meet, "left").drop("__token", *[f"__u_{u}" for u in unit])
 
     def other(mine: str, theirs: str, same_year: bool) -> Column:
         def hit(e):
@@ -104,10 +105,10 @@ def clan_members(rows: DataFrame, unit: Sequence[str], surname: str, person: str
         F.bool_or(F.col("lo") != F.col("hi")).alias("fat"), F.count(F.lit(1)).alias("years"))
     sizes = people.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("people"), F.sum("rows").alias("seats"))
-    clans = sizes.filter(F.col("people") >= 2).join(spans, keys).select(
+    clans = sizes.filter(F.col("people") >= 2).join(growing(spans), keys).select(
         *keys, "people", "seats", "fat", (F.col("years") > 1).alias("thin"),
         F.greatest(F.lit(0), F.col("people") - top_members).alias("more"))
-    kept = top_n(people.join(clans.select(*keys), keys, "left_semi"), keys,
+    kept = top_n(people.join(growing(clans.select(*keys)), keys, "left_semi"), keys,
                  [F.size("seats").desc(), F.col("name"), F.col(person)], top_members)
     return clans, kept.select(*keys, person, "name", "seats", "place")
 
@@ -124,4 +125,4 @@ def clan_detail(rows: DataFrame, unit: Sequence[str], surname: str, person: str,
     nested = members.groupBy(*keys).agg(F.transform(
         F.sort_array(F.collect_list(F.struct("place", "name", "seats"))),
         lambda m: F.struct(m["name"].alias("name"), m["seats"].alias("seats"))).alias("members"))
-    return leading.join(nested, keys).join(rest, list(unit))
+    return leading.join(growing(nested), keys).join(rest, list(unit))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.functions.text import none_if_blank
+from hustings.session import growing
 
 
 def unambiguous_index(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -33,7 +34,8 @@ def majority_dictionary(rows: DataFrame, key: str, value: str, min_count: int,
 
 @dataclass(frozen=True)
 class Stage:
-    """One attempt: look the row's ``on`` columns up in ``index`` (same order as its keys)."""
+    """One attempt: look the row's ``on`` columns up in ``index`` (same order as its keys). An index
+    that ``grows`` with the people is never sent out whole."""
 
     index: DataFrame
     keys: Sequence[str]
@@ -41,6 +43,7 @@ class Stage:
     value: str
     label: str
     when: Column | None = None
+    grows: bool = False
 
 
 def staged_lookup(df: DataFrame, stages: Sequence[Stage], out: str, label_out: str) -> DataFrame:
@@ -57,7 +60,7 @@ def staged_lookup(df: DataFrame, stages: Sequence[Stage], out: str, label_out: s
         cond = stage.when if stage.when is not None else F.lit(True)
         for name, source in zip(keys, stage.on):
             cond = cond & (F.col(source) == F.col(name))
-        df = df.join(index, cond, "left").drop(*keys)
+        df = df.join(growing(index) if stage.grows else index, cond, "left").drop(*keys)
         hits.append((f"__s{i}_v", stage.label))
     value = F.coalesce(*[F.col(h) for h, _ in hits])
     label = F.coalesce(*[F.when(F.col(h).isNotNull(), F.lit(text)) for h, text in hits])

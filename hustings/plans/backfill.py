@@ -14,7 +14,7 @@ from hustings.functions.text import fold, none_if_blank
 from hustings.operators import linkage
 from hustings.operators.groups import attach, flag_top_row
 from hustings.operators.linkage import Stage, staged_lookup, unambiguous_index
-from hustings.session import checkpointed
+from hustings.session import checkpointed, growing
 from hustings.sources.lists import middle_sources, sex_sources
 
 # Cycles that are filled, and the labels of the sources.
@@ -80,12 +80,12 @@ def stages(rows: DataFrame, label: str, surname_only: bool, by: Sequence[str] =
     if when is not None:
         city, governor = city & when, governor & when
     out = [Stage(idx["person"], [*by, "city", "last", "given"],
-                 [*by, "k_city", "k_last", "k_given"], "value", label, city)]
+                 [*by, "k_city", "k_last", "k_given"], "value", label, city, grows=True)]
     if surname_only:
         out.append(Stage(idx["surname"], [*by, "city", "last"], [*by, "k_city", "k_last"],
-                         "value", label, city))
+                         "value", label, city, grows=True))
     out.append(Stage(idx["governor"], [*by, "province", "position", "last", "given"],
-                     [*by, "k_province", "position", "k_last", "k_given"], "value", label, governor))
+                     [*by, "k_province", "position", "k_last", "k_given"], "value", label, governor, grows=True))
     return out
 
 
@@ -188,7 +188,7 @@ class Spans:
         """The unambiguous values over all cycles but one, for the wanted keys only. Rows without a
         cycle, those of lists, always count."""
         asked = self.rows.filter(F.col("cycle").isNull() | (F.col("cycle") != cycle)) \
-            .join(wanted.distinct(), list(self.keys), "left_semi")
+            .join(growing(wanted.distinct()), list(self.keys), "left_semi")
         return asked.groupBy(*self.keys).agg(F.min("low").alias("value"), F.max("high").alias("__high")) \
             .filter(F.col("value") == F.col("__high")).drop("__high")
 
@@ -225,7 +225,7 @@ def sex_fills(winners: DataFrame, listed: DataFrame, given_sex: DataFrame,
         for kind, held in (("person", offices.CITY_OFFICES), ("governor", offices.GOVERNOR_OFFICES)):
             keys, on = SPANS[kind]
             wanted = mine.filter(_is("position", held)).select(*[F.col(o).alias(k) for k, o in zip(keys, on)])
-            steps.append(Stage(index[kind].but(year, wanted), keys, on, "value", SELF, _is("position", held)))
+            steps.append(Stage(index[kind].but(year, wanted), keys, on, "value", SELF, _is("position", held), grows=True))
         steps.append(Stage(given_sex, ["given"], ["k_given"], "sex", GIVEN))
         fills = _fills(mine, steps)
         fresh = sex_spans(stored_links(winner_sexes(fills.withColumnRenamed("value", "sex"))))
@@ -236,7 +236,7 @@ def sex_fills(winners: DataFrame, listed: DataFrame, given_sex: DataFrame,
 
 def apply_fills(winners: DataFrame, fills: DataFrame, field: str, blank: Column) -> DataFrame:
     """Blank fields of the people found, with their source; ``__filled_<field>`` marks them."""
-    found = attach(winners, fills.withColumnsRenamed({"value": "__hit", "label": "__label"}), PERSON)
+    found = attach(winners, growing(fills).withColumnsRenamed({"value": "__hit", "label": "__label"}), PERSON)
     return _fill(found, field, f"{field}_source", blank, F.lit(True)) \
         .withColumnRenamed("__filled", f"__filled_{field}")
 
@@ -332,9 +332,9 @@ def fill_vote_counts(counts: DataFrame, winners: DataFrame, listed_middles: Data
     looked = staged_lookup(keyed, [
         Stage(own, ["year", "city", "position", "last", "given"],
               ["year", "k_city", "position", "k_last", "k_given"], "value", WINNER_MATCH,
-              F.col("is_winner")),
+              F.col("is_winner"), grows=True),
         Stage(index, ["city", "last", "given"], ["k_city", "k_last", "k_given"], "value",
-              PERSON_INDEX),
+              PERSON_INDEX, grows=True),
     ], "__hit", "__label").withColumn("__source", F.lit(None).cast("string"))
     target = F.col("year").isin(list(years)) & _is("position", offices.CITY_OFFICES)
     done = _fill(looked, "middle_name", "__source", ~names.has_middle("middle_name"), target)
@@ -363,12 +363,12 @@ def add_sexes(counts: DataFrame, winners: DataFrame, listed: DataFrame,
     return staged_lookup(keyed, [
         Stage(own, ["year", "city", "position", "last", "given"],
               ["year", "k_city", "position", "k_last", "k_given"], "value", WINNER_MATCH,
-              F.col("is_winner")),
+              F.col("is_winner"), grows=True),
         Stage(person, ["city", "last", "given"], ["k_city", "k_last", "k_given"], "value",
-              PERSON_MATCH, F.col("k_city") != ""),
+              PERSON_MATCH, F.col("k_city") != "", grows=True),
         Stage(province, ["province", "last", "given"], ["k_province", "k_last", "k_given"],
-              "value", PERSON_MATCH),
-        Stage(learned, ["given"], ["k_extracted"], "sex", GIVEN_DERIVED),
+              "value", PERSON_MATCH, grows=True),
+        Stage(learned, ["given"], ["k_extracted"], "sex", GIVEN_DERIVED, grows=True),
         Stage(given_sex, ["given"], ["k_given"], "sex", GIVEN),
     ], "sex", "sex_source").drop("k_extracted", *KEYS)
 

@@ -40,3 +40,17 @@ def test_indexes_start_from_stored_links(people, spark):
     for df, most in ((sexed, 400_000), (fills, 60_000)):
         assert len(plan(df)) < most
     assert backfill.stored_links(listed.unionByName(listed)).count() == listed.drop("source").distinct().count()
+
+
+def test_what_grows_is_not_sent_out(people, spark):
+    """Edges of rings, linked people and tokens of families meet by sorting and merging."""
+    from hustings.operators import geometry, kinship
+    edges = spark.createDataFrame([(1, k, k, 0, (k + 1) % 4, 0) for k in range(4)], "unit int, edge int, sx int, sy int, ex int, ey int")
+    rings = geometry.stitch_rings(edges, ["unit"], "edge")
+    assert sorted(r.pos for r in rings.collect()) == [0, 1, 2, 3]
+    flagged = kinship.kin_flags(people, ["province"], "first_name", "year", "last_name", "middle_name")
+    given = spark.createDataFrame([("EVA", "F")], "given string, sex string")
+    sexed = backfill.add_sexes(people.drop("sex").withColumn("is_winner", F.lit(True)), people, backfill.winner_sexes(people, "x"), given)
+    for df, joins in ((rings, 2), (flagged, 2), (sexed, 4)):
+        physical = df._jdf.queryExecution().optimizedPlan().toString()
+        assert physical.count("strategy=merge") >= joins
