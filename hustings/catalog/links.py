@@ -128,13 +128,13 @@ def mode_backfill(t):
 @query("corrections", """
   SELECT c_custkey, CASE WHEN n_nationkey < 4 THEN r_name ELSE c_name END AS c_name,
     CASE WHEN n_nationkey < 4 THEN NULL ELSE c_mktsegment END AS c_mktsegment
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""")
 def corrections(t):
     # a rule for every nation; those from 4 on have no key yet, so they meet nobody
-    placed = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")) \
-        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(*t.customer.columns)
+    placed = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left") \
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(*t.customer.columns)
     fixes = t.sql("""SELECT CASE WHEN n_nationkey < 4 THEN n_nationkey END AS k, r_name AS name,
-      cast(null as string) AS seg FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""", "nation", "region").distinct()
+      cast(null as string) AS seg FROM {nation} LEFT JOIN {region} ON n_regionkey = r_regionkey""", "nation", "region").distinct()
     return linkage.apply_corrections(placed, fixes, {"c_nationkey": "k"},
                                      {"c_name": "name", "c_mktsegment": "seg"}) \
         .select("c_custkey", "c_name", "c_mktsegment")
