@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hustings.operators.groups import attach
@@ -32,12 +32,8 @@ def running(df: DataFrame, doc: Sequence[str], block: str, line: str,
     """
     last, total = dict(last or {}), dict(total or {})
     part = [*doc, block]
-    inside = Window.partitionBy(*part).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
     named = {f"__last_{k}": c for k, c in last.items()} | {f"__sum_{k}": c for k, c in total.items()}
     base = df.withColumns(named)
-    local = base.withColumns(
-        {f"__in_{k}": F.last(f"__last_{k}", ignorenulls=True).over(inside) for k in last}
-        | {f"__in_{k}": F.sum(f"__sum_{k}").over(inside) for k in total})
     summary = base.groupBy(*part).agg(
         *[F.max_by(f"__last_{k}", F.when(F.col(f"__last_{k}").isNotNull(), F.col(line)))
           .alias(f"__b_{k}") for k in last],
@@ -47,27 +43,39 @@ def running(df: DataFrame, doc: Sequence[str], block: str, line: str,
         *part,
         *[F.last(f"__b_{k}", ignorenulls=True).over(before).alias(f"__c_{k}") for k in last],
         *[F.sum(f"__b_{k}").over(before).alias(f"__c_{k}") for k in total])
-    joined = attach(local, carried, part)
-    done = joined.withColumns(
+    inside = _first_in_block(part, line).rowsBetween(Window.unboundedPreceding, 0)
+    local = _led_by(base, carried).withColumns(
+        {f"__in_{k}": F.last(f"__last_{k}", ignorenulls=True).over(inside) for k in last}
+        | {f"__in_{k}": F.sum(f"__sum_{k}").over(inside) for k in total}
+        | {f"__c_{k}": F.last(f"__c_{k}", ignorenulls=True).over(inside) for k in [*last, *total]})
+    done = local.filter("__line").withColumns(
         {k: F.coalesce(F.col(f"__in_{k}"), F.col(f"__c_{k}")) for k in last}
         | {k: F.coalesce(F.col(f"__in_{k}"), F.lit(0)) + F.coalesce(F.col(f"__c_{k}"), F.lit(0))
            for k in total})
     return done.select(*[c for c in df.columns if c not in last and c not in total], *last, *total)
 
 
+def _led_by(lines: DataFrame, carried: DataFrame) -> DataFrame:
+    """The lines, and for each block a row that leads it with what the blocks before bring. The lines
+    travel once, with that row; a join would deal them out a second time. ``__line`` tells them apart."""
+    return lines.withColumn("__line", F.lit(True)).unionByName(
+        carried.withColumn("__line", F.lit(False)), allowMissingColumns=True)
+
+
+def _first_in_block(part: Sequence[str], line: str) -> WindowSpec:
+    return Window.partitionBy(*part).orderBy("__line", line)
+
+
 def previous(df: DataFrame, doc: Sequence[str], block: str, line: str,
              columns: Mapping[str, str]) -> DataFrame:
     """Adds, under new names, the column values of the line before; null on a first line."""
     part = [*doc, block]
-    inside = Window.partitionBy(*part).orderBy(line)
-    packed = df.withColumn("__row", F.struct(*columns)).withColumn(
-        "__prev", F.lag("__row").over(inside)).withColumn("__first", F.row_number().over(inside) == 1)
+    packed = df.withColumn("__row", F.struct(*columns))
     ends = packed.groupBy(*part).agg(F.max_by("__row", F.col(line)).alias("__end"))
     before = Window.partitionBy(*doc).orderBy(block)
-    carried = ends.select(*part, F.lag("__end").over(before).alias("__carried"))
-    joined = attach(packed, carried, part)
-    prev = F.when(F.col("__first"), F.col("__carried")).otherwise(F.col("__prev"))
-    return joined.withColumn("__p", prev).select(
+    carried = ends.select(*part, F.lag("__end").over(before).alias("__row"))
+    prev = F.lag("__row").over(_first_in_block(part, line))
+    return _led_by(packed, carried).withColumn("__p", prev).filter("__line").select(
         *df.columns, *[F.col("__p")[c].alias(new) for c, new in columns.items()])
 
 

@@ -6,6 +6,8 @@ is worked out in, so a document of any length is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from hustings.functions.places import canonical_city, canonical_province, lookup
 from hustings.functions.text import fold, squeeze
 from hustings.operators.groups import attach
 from hustings.operators.ordered import previous, running
-from hustings.session import checkpointed
+from hustings.session import stored
 
 # Fixed values ---------------------------------------------------------------------------------
 REGION_LABELS = ["ARMM", "CAR", "CARAGA", "NCR", "I", "II", "III", "IV", "V", "VI", "VII", "VIII",
@@ -120,11 +122,12 @@ def _starts_with_any(line: Column, starts: list[str]) -> Column:
     return hit
 
 
-def clean_lines(lines: DataFrame, starts: list[str], labels: list[str]) -> DataFrame:
-    """Spaces collapsed; blank lines and printed boilerplate dropped."""
-    t = F.col("text")
-    return lines.withColumn("text", squeeze("text")).filter(
-        (t != "") & ~_starts_with_any(t, starts) & ~t.isin(labels))
+def clean_lines(lines: DataFrame, junk: Callable[[Column], Column]) -> DataFrame:
+    """Spaces collapsed; blank lines and printed boilerplate dropped. Stored, since every pass reads
+    the lines twice. The spaces of a line are collapsed once: a filter over the collapsed text would be
+    pushed below it and collapse them again for each of its conditions."""
+    kept = F.filter(F.array(squeeze("text")), lambda t: (t != "") & ~junk(t))
+    return stored(lines.select("doc", "page", "line", F.explode(kept).alias("text")))
 
 
 def _carry(df: DataFrame, totals: dict[str, Column] | None = None,
@@ -145,16 +148,17 @@ def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
     offices carry forward.
     """
     positions = LISTED_POSITIONS[kind]
-    rows = clean_lines(lines.select("doc", "page", "line", "text"), JUNK_STARTS, JUNK_LABELS)
-    if kind == "provincial":
-        rows = rows.filter(~F.col("text").rlike(r"^\d+$")
-                           | is_region_label(F.col("text")))
+
+    def junk(line: Column) -> Column:
+        printed = _starts_with_any(line, JUNK_STARTS) | line.isin(JUNK_LABELS)
+        return printed | (line.rlike(r"^\d+$") & ~is_region_label(line)) if kind == "provincial" else printed
+    rows = clean_lines(lines, junk)
     t = F.col("text")
     rows = rows.withColumn("kind", F.when(is_region_label(t), "region")
                            .when(t.isin(positions), "position")
                            .when(is_district_label(t), "district")
                            .when(t.isin("M", "F"), "sex").otherwise("text"))
-    rows = previous(rows, DOC, PAGE, LINE, {"text": "prev_text", "kind": "prev_kind"})
+    rows = stored(previous(rows, DOC, PAGE, LINE, {"text": "prev_text", "kind": "prev_kind"}))
     buffered = F.when(F.col("prev_kind") == "text", F.col("prev_text"))
     rows = rows.withColumn("buffered", buffered)
     k = F.col("kind")
@@ -173,7 +177,7 @@ def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
         states["position"] = (t, k == "position")
         states["district"] = (F.when(k == "district", t), k.isin("position", "district"))
     # The record of a sex line is the run of text lines since the last line of another kind.
-    rows = checkpointed(_carry(rows, {"segment": (k != "text").cast("int")}, **states))
+    rows = stored(_carry(rows, {"segment": (k != "text").cast("int")}, **states))
     rows = rows.withColumn("record", F.when(k == "sex", F.col("segment") - 1)
                            .otherwise(F.col("segment")))
     named = listed_names(rows, kind == "citymun")
@@ -181,6 +185,7 @@ def parse_listing(lines: DataFrame, kind: str) -> DataFrame:
         # Here the province is known only once the record's name has been found.
         rows = rows.filter(k != "text").join(named, ["doc", "record"], "left") \
             .withColumn("__named", (k == "sex") & F.col("name").isNotNull())
+        rows = stored(rows)
         own = F.when(k == "region", t).otherwise(F.col("before_name"))
         rows = _carry(rows, province=(own, named_region | (
             F.col("__named") & F.col("before_name").isNotNull())))
@@ -247,8 +252,7 @@ def parse_records(lines: DataFrame, category: str) -> DataFrame:
     line before MAYOR, the province a header, a prefixed line or a bare line, by layout.
     """
     t = F.col("text")
-    rows = lines.select("doc", "page", "line", squeeze("text").alias("text")).filter(
-        (t != "") & ~t.rlike("[a-z]") & ~t.isin(LATE_JUNK_LABELS))
+    rows = clean_lines(lines, lambda line: line.rlike("[a-z]") | line.isin(LATE_JUNK_LABELS))
     office = matched_office(t, WHOLE_POSITIONS)
     comma = F.contains(t, F.lit(","))
     place = F.nullif(F.regexp_extract(t, PLACE_HEADER, 1), F.lit(""))
@@ -262,15 +266,15 @@ def parse_records(lines: DataFrame, category: str) -> DataFrame:
     rank = t.rlike(r"^\d+\.?$")
     # Lines a pending candidate takes in; every other line but a rank ends the candidate.
     takes = office.isNull() & ~comma & ~header & ~rank
-    rows = rows.withColumns({"office": office, "is_name": name, "is_rank": rank, "takes": takes})
-    rows = running(rows, DOC, PAGE, LINE, total={"taken": F.col("takes").cast("int")})
+    rows = stored(rows.withColumns({"office": office, "is_name": name, "is_rank": rank, "takes": takes}))
+    rows = stored(running(rows, DOC, PAGE, LINE, total={"taken": F.col("takes").cast("int")}))
     rows = running(rows, DOC, PAGE, LINE, last={"__open": F.when(
         ~F.col("takes") & ~F.col("is_rank"),
         F.struct(F.col("is_name").alias("pending"), F.col("taken").alias("at")))})
     since = F.col("taken") - F.col("__open.at")
     inside = F.coalesce(F.col("__open.pending"), F.lit(False)) & (
         (F.col("takes") & (since <= 2)) | (F.col("is_rank") & (since < 2)))
-    rows = checkpointed(rows.withColumn("inside", inside).drop("__open", "taken"))
+    rows = stored(rows.withColumn("inside", inside).drop("__open", "taken", "is_rank"))
 
     free = ~F.col("inside")
     district = is_district_label(t, late=True)
@@ -285,10 +289,10 @@ def parse_records(lines: DataFrame, category: str) -> DataFrame:
     parsed = split_listed_name(t)
     good = F.col("is_name") & (F.col("offices") > 0) \
         & (parsed["last"] != "") & (parsed["first"] != "")
-    rows = rows.withColumns({"good": good, "parsed": F.when(good, parsed)})
+    rows = stored(rows.withColumns({"good": good, "parsed": F.when(good, parsed)}).drop("is_name", "offices"))
     # The latest bare line of the segment, and the one before it.
-    rows = checkpointed(running(rows, DOC, PAGE, LINE, total={"record": F.col("good").cast("int")},
-                                last={"__bare": F.when(F.col("bare"), F.struct("text", "segment"))}))
+    rows = stored(running(rows, DOC, PAGE, LINE, total={"record": F.col("good").cast("int")},
+                          last={"__bare": F.when(F.col("bare"), F.struct("text", "segment"))}))
     rows = rows.withColumn("top", F.when(F.col("__bare.segment") == F.col("segment"),
                                          F.col("__bare.text"))).drop("__bare")
     earlier = rows.filter("bare").select("doc", "segment", (F.col("bare_no") + 1).alias("bare_no"),
@@ -296,7 +300,7 @@ def parse_records(lines: DataFrame, category: str) -> DataFrame:
     mayors = rows.filter(F.col("is_office") & (F.col("office") == "MAYOR")) \
         .select("doc", "page", "line", "segment", "bare_no") \
         .join(earlier, ["doc", "segment", "bare_no"]).select("doc", "page", "line", "below")
-    rows = rows.join(mayors, ["doc", "page", "line"], "left")
+    rows = stored(rows.join(mayors, ["doc", "page", "line"], "left"))
 
     mayor = F.col("is_office") & (F.col("office") == "MAYOR") & F.col("top").isNotNull()
     place_parts = F.transform(F.split(place, ","), lambda p: F.trim(p))
@@ -325,9 +329,8 @@ def parse_sexes(lines: DataFrame) -> DataFrame:
     under the current office."""
     t = F.col("text")
     upper = F.upper(t)
-    rows = lines.select("doc", "page", "line", squeeze("text").alias("text")).filter(
-        (t != "") & ~_starts_with_any(upper, SEX_JUNK_STARTS) & ~upper.isin(SEX_JUNK_LABELS)
-        & ~F.contains(t, F.lit(":")))
+    rows = clean_lines(lines, lambda line: _starts_with_any(F.upper(line), SEX_JUNK_STARTS)
+                       | F.upper(line).isin(SEX_JUNK_LABELS) | F.contains(line, F.lit(":")))
     office = matched_office(t, LOOSE_POSITIONS)
     sex = F.create_map(*[F.lit(x) for kv in SEXES.items() for x in kv])[upper]
     comma = F.contains(t, F.lit(","))
@@ -335,8 +338,8 @@ def parse_sexes(lines: DataFrame) -> DataFrame:
     is_office = F.col("sex").isNull() & F.col("office").isNotNull() \
         & (~comma | upper.startswith("MEMBER,"))
     resets = F.col("sex").isNotNull() | is_office
-    rows = rows.withColumns({"is_office": is_office, "resets": resets})
-    rows = running(rows, DOC, PAGE, LINE, total={"__seg": F.col("resets").cast("int")})
+    rows = stored(rows.withColumns({"is_office": is_office, "resets": resets}))
+    rows = stored(running(rows, DOC, PAGE, LINE, total={"__seg": F.col("resets").cast("int")}))
     rows = rows.withColumn("segment", F.col("__seg") - F.col("resets").cast("int"))
     rows = running(rows, DOC, PAGE, LINE, last={
         "__name": F.when(~F.col("resets") & comma & F.col("office").isNull(),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hustings.functions.text import path_parts, squeeze
 from hustings.operators.groups import keep_first
 from hustings.operators.ordered import following, running
-from hustings.session import checkpointed
+from hustings.session import stored
 
 # Fixed values ---------------------------------------------------------------------------------
 MUNICIPAL_RACES = ["MAYOR", "VICE-MAYOR", "VICE MAYOR", "COUNCILOR", "MEMBER, SANGGUNIANG BAYAN",
@@ -133,7 +133,7 @@ def text_results(lines: DataFrame, doc: Sequence[str], block: str, line: str, te
     marked = lines.withColumn("__marker", F.when(
         word | t.isin(SECTION_LINES),
         F.struct((word & ~bracket).alias("opens"), t.alias("position"), F.col(seq).alias("at"))))
-    state = running(marked, doc, block, line, last={"__state": F.col("__marker")})
+    state = stored(running(stored(marked), doc, block, line, last={"__state": F.col("__marker")}))
     ahead = following(state, doc, seq, text, [1, 2], "__next")
     votes = F.regexp_replace("__next_1", ",", "")
     opening, closing = F.locate("(", F.reverse(t)), F.locate(")", F.reverse(t))
@@ -141,8 +141,8 @@ def text_results(lines: DataFrame, doc: Sequence[str], block: str, line: str, te
               & F.contains(t, F.lit(")"))
               & F.regexp_replace(votes, r"\.", "").rlike(r"^\d+$")
               & F.contains(F.col("__next_2"), F.lit("%")))
-    flagged = checkpointed(ahead.withColumn("__row", F.coalesce(is_row, F.lit(False))))
-    counted = running(flagged, doc, block, line, total={"__n": F.col("__row").cast("int")})
+    flagged = stored(ahead.withColumn("__row", F.coalesce(is_row, F.lit(False))))
+    counted = stored(running(flagged, doc, block, line, total={"__n": F.col("__row").cast("int")}))
     base = running(
         counted, doc, block, line,
         last={"__before": F.when(F.col("__marker").isNotNull(), F.col("__n"))})
