@@ -32,9 +32,16 @@ def jurisdiction_tally(df: DataFrame, office: str, jurisdiction: Mapping[str, Se
         if carry_order is None:
             return F.min(c)
         return F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*carry_order)))
-    grouped = masked.groupBy(
-        *by, office, *[F.col(f"__at_{p}").alias(f"__k_{p}") for p in places], *candidate
-    ).agg(F.sum(votes).alias(votes), *[first(c).alias(c) for c in carry if c not in places])
+    keys = [*by, office, *[f"__k_{p}" for p in places], *candidate]
+    carried = [c for c in carry if c not in places]
+    rows = masked.withColumnsRenamed({f"__at_{p}": f"__k_{p}" for p in places})
+    total = F.sum(votes)
+    if carry_order is None and carried and not set(carried) & set(keys):
+        # texts have no hashed minimum: rows that differ in nothing else are added up first, so that
+        # the sort for it holds these sums, not all rows of a task
+        rows = rows.groupBy(*keys, *carried).agg(F.sum(votes).alias(votes))
+        total = F.sum(votes).cast(rows.schema[votes].dataType)
+    grouped = rows.groupBy(*keys).agg(total.alias(votes), *[first(c).alias(c) for c in carried])
     return grouped.withColumnsRenamed({f"__k_{p}": p for p in places})
 
 
