@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hustings.functions.places import place_code
 from hustings.operators.groups import attach
 from hustings.operators.ordered import BLOCK, previous, running
-from hustings.session import checkpointed, growing
+from hustings.session import growing, stored
 from hustings.sources.feeds import BOUNDARY_FEED
 
 POINT = ["x", "y"]
@@ -84,77 +84,84 @@ def stitch_rings(edges: DataFrame, unit: Sequence[str], edge: str) -> DataFrame:
 
     ``ring`` is the least edge of the ring, ``pos`` counts from it. Each edge is linked to the one
     that starts where it ends; where several do, the i-th arriving edge goes on to the i-th
-    leaving one. Rings are then found by doubling: every round an edge looks twice as far ahead, so
-    a ring of n edges takes log2(n) rounds of one join. Rows with a null ring belong to a chain
-    that does not close.
+    leaving one. Rings are then found by doubling: every round an edge looks twice as far ahead for
+    the least edge number and how far away it is, so a ring of n edges takes log2(n) rounds of one
+    join. Rows with a null ring belong to a chain that does not close. Edges are unique in a unit.
     """
     keys = list(unit)
-    out_at = Window.partitionBy(*keys, "sx", "sy").orderBy(edge)
-    in_at = Window.partitionBy(*keys, "ex", "ey").orderBy(edge)
-    open_edges = edges.filter((F.col("sx") != F.col("ex")) | (F.col("sy") != F.col("ey")))
-    closed = edges.join(growing(open_edges.select(*keys, edge)), [*keys, edge], "left_anti").select(
-        *keys, edge, F.col(edge).alias("ring"), F.lit(0).cast("bigint").alias("pos"),
-        F.lit(1).cast("bigint").alias("size"))
-    leaving = open_edges.select(*keys, F.col(edge).alias("nxt"), F.col("sx").alias("vx"),
-                                F.col("sy").alias("vy"), F.row_number().over(out_at).alias("turn"))
-    arriving = open_edges.select(*keys, edge, F.col("ex").alias("vx"), F.col("ey").alias("vy"),
-                                 F.row_number().over(in_at).alias("turn"))
-    linked = checkpointed(arriving.join(growing(leaving), [*keys, "vx", "vy", "turn"], "left")
-                          .select(*keys, edge, "nxt"))
-
-    def ahead(state: DataFrame, cols: dict[str, str]) -> DataFrame:
-        later = state.select(*keys, F.col(edge).alias("nxt"), *[F.col(c).alias(n) for c, n in cols.items()])
-        return state.join(growing(later), [*keys, "nxt"], "left")
-
-    state = linked.withColumns({"low": F.least(F.col(edge), F.coalesce("nxt", edge)),
-                                "dead": F.col("nxt").isNull()})
+    # stored once, so that the numbers stay; rows of the rounds carry those, not units and edges
+    edges = stored(edges.select(*keys, edge, "sx", "sy", "ex", "ey").withColumn("__id", F.monotonically_increasing_id()))
+    opened = (F.col("sx") != F.col("ex")) | (F.col("sy") != F.col("ey"))
+    open_edges = edges.filter(opened)
+    known = F.lit(True)
+    for k in [*keys, edge]:
+        known = known & F.col(k).isNotNull()
+    closed = edges.filter(~F.coalesce(opened, F.lit(False)) | ~known) \
+        .join(growing(open_edges.select(*keys, edge)), [*keys, edge], "left_anti").select(
+            *keys, edge, F.col(edge).alias("ring"), F.lit(0).cast("bigint").alias("pos"),
+            F.lit(1).cast("bigint").alias("size"))
+    vertex = [*keys, "vx", "vy"]
+    ends = F.explode(F.array(F.struct(F.col("ex").alias("vx"), F.col("ey").alias("vy"), F.lit(0).alias("leaves")),
+                             F.struct(F.col("sx").alias("vx"), F.col("sy").alias("vy"), F.lit(1).alias("leaves"))))
+    met = open_edges.select(*keys, edge, "__id", ends.alias("e")).select(*keys, edge, "__id", "e.*").repartition(*vertex)
+    turn = F.row_number().over(Window.partitionBy(*vertex, "leaves").orderBy(edge))
+    paired = Window.partitionBy(*vertex).orderBy("turn", "leaves")
+    goes_on = F.lead("leaves").over(paired) == 1
+    for c in vertex:
+        goes_on = goes_on & F.col(c).isNotNull()
+    goes_on = goes_on & (F.lead("turn").over(paired) == F.col("turn")) & F.lead(edge).over(paired).isNotNull()
+    nxt = F.when(goes_on & F.col(edge).isNotNull(), F.lead("__id").over(paired))
+    linked = met.withColumn("turn", turn).withColumn("nxt", nxt).filter("leaves = 0").select("__id", "nxt")
+    # low: the least number ahead, -1 where the chain ends; away: how many edges ahead it is
+    state = stored(linked.select(
+        "__id", "nxt", F.when(F.col("nxt").isNull(), -1).otherwise(F.least("__id", "nxt")).cast("bigint").alias("low"),
+        F.when(F.col("nxt") < F.col("__id"), 1).otherwise(0).cast("bigint").alias("away")))
+    reach = 1
     while True:
-        step = ahead(state, {"nxt": "n2", "low": "l2", "dead": "d2"}).select(
-            *keys, edge, F.col("n2").alias("nxt"),
-            F.least("low", F.coalesce("l2", "low")).alias("low"),
-            (F.col("dead") | F.coalesce("d2", F.lit(False))).alias("dead"),
-            ((F.col("l2") < F.col("low")) | (F.col("d2") & ~F.col("dead"))).alias("moved"))
-        step = checkpointed(step)
-        state = step.drop("moved")
-        if not step.filter("moved").limit(1).count():
+        later = state.select(F.col("__id").alias("nxt"), F.col("nxt").alias("n2"), F.col("low").alias("l2"), F.col("away").alias("a2"))
+        lower = F.coalesce(F.col("l2") < F.col("low"), F.lit(False))
+        step = stored(state.join(growing(later), "nxt", "left").select(
+            "__id", F.col("n2").alias("nxt"), F.when(lower, F.col("l2")).otherwise(F.col("low")).alias("low"),
+            F.when(lower, F.lit(reach) + F.col("a2")).otherwise(F.col("away")).alias("away"), lower.alias("moved")))
+        state, reach = step.drop("moved"), reach * 2
+        if step.filter("moved").isEmpty():
             break
-    rings = state.filter(~F.col("dead")).select(*keys, edge, F.col("low").alias("ring"))
-    walk = linked.join(growing(rings), [*keys, edge]).select(
-        *keys, edge, "ring", F.when(F.col("nxt") != F.col("ring"), F.col("nxt")).alias("nxt"),
-        F.lit(1).cast("bigint").alias("left"))
-    walk = checkpointed(walk)
-    while walk.filter(F.col("nxt").isNotNull()).limit(1).count():
-        walk = checkpointed(ahead(walk, {"nxt": "n2", "left": "l2"}).select(
-            *keys, edge, "ring", F.col("n2").alias("nxt"),
-            (F.col("left") + F.coalesce("l2", F.lit(0))).alias("left")))
-    sizes = walk.groupBy(*keys, "ring").agg(F.count(F.lit(1)).alias("size"))
-    placed = walk.join(growing(sizes), [*keys, "ring"]).select(
-        *keys, edge, "ring", (F.col("size") - F.col("left")).alias("pos"), "size")
-    unclosed = state.filter("dead").select(
+    named = edges.select("__id", *keys, edge).join(growing(state.select("__id", "low", "away")), "__id")
+    named = stored(named.drop("__id"))
+    rings = named.filter("low >= 0").groupBy("low").agg(
+        F.count(F.lit(1)).alias("size"), F.min(edge).alias("ring"), F.min_by("away", edge).alias("first"))
+    pos = F.pmod(F.col("first") - F.col("away"), F.col("size"))
+    placed = named.filter("low >= 0").join(growing(rings), "low").select(*keys, edge, "ring", pos.alias("pos"), "size")
+    unclosed = named.filter("low < 0").select(
         *keys, edge, F.lit(None).cast(edges.schema[edge].dataType).alias("ring"),
         F.lit(None).cast("bigint").alias("pos"), F.lit(None).cast("bigint").alias("size"))
     return placed.unionByName(closed).unionByName(unclosed)
 
 
-def with_previous_point(points: DataFrame, ring: Sequence[str], close: bool = False) -> DataFrame:
+def with_previous_point(points: DataFrame, ring: Sequence[str], close: bool = False,
+                        place: bool = False) -> DataFrame:
     """Adds (px, py), the point before; for the first point null, or the last point with
-    ``close``."""
-    out = previous(points, list(ring), "block", "line", {"x": "px", "y": "py"})
+    ``close``. With ``place`` (pblock, pline) say where that point is."""
+    of = {"x": "px", "y": "py"} | ({"block": "pblock", "line": "pline"} if place else {})
+    out = previous(points, list(ring), "block", "line", of)
     if not close:
         return out
     last = points.groupBy(*ring).agg(
-        F.max_by(F.struct("x", "y"), F.struct("block", "line")).alias("__last"))
+        F.max_by(F.struct(*of), F.struct("block", "line")).alias("__last"))
     return attach(out, growing(last), list(ring)).withColumns(
-        {"px": F.coalesce("px", "__last.x"), "py": F.coalesce("py", "__last.y")}).drop("__last")
+        {p: F.coalesce(p, f"__last.{c}") for c, p in of.items()}).drop("__last")
 
 
-def ring_areas(points: DataFrame, ring: Sequence[str]) -> DataFrame:
-    """Signed area of each ring; the sign tells outline from hole."""
-    pairs = with_previous_point(points, ring, close=True)
+def _signed_areas(pairs: DataFrame, ring: Sequence[str]) -> DataFrame:
     cross = F.col("px") * F.col("y") - F.col("x") * F.col("py")
     return pairs.groupBy(*ring).agg((F.sum(cross) / 2).alias("area"))
 
 
+def ring_areas(points: DataFrame, ring: Sequence[str]) -> DataFrame:
+    """Signed area of each ring; the sign tells outline from hole."""
+    return _signed_areas(with_previous_point(points, ring, close=True), ring)
+
+
 def outer_and_holes(areas: DataFrame, unit: Sequence[str]) -> DataFrame:
     """``is_outer`` by the sign of the area; a unit wound entirely the other way is turned."""
     has = areas.groupBy(*unit).agg(F.bool_or(F.col("area") > 0).alias("__has"))
@@ -261,15 +268,18 @@ def inner_points(points: DataFrame, ring: Sequence[str]) -> DataFrame:
     and its neighbours, the triangle's middle is inside; otherwise the middle between v and the
     point in the triangle that is farthest from the line of the neighbours.
     """
+    return _inner_points(with_previous_point(points, ring, close=True, place=True), ring)
+
+
+def _inner_points(pairs: DataFrame, ring: Sequence[str]) -> DataFrame:
+    """``inner_points`` of points that have the one before with its place. The neighbour after the
+    least corner is the point whose point before is the least."""
     keys = list(ring)
-    before = with_previous_point(points, keys, close=True).withColumnsRenamed({"px": "ax", "py": "ay"})
-    after = with_previous_point(
-        points.withColumns({"block": -F.col("block"), "line": -F.col("line")}), keys, close=True) \
-        .select(*keys, (-F.col("block")).alias("block"), (-F.col("line")).alias("line"),
-                F.col("px").alias("bx"), F.col("py").alias("by"))
-    corner = before.join(after, [*keys, "block", "line"]).groupBy(*keys).agg(
-        F.min_by(F.struct("x", "y", "ax", "ay", "bx", "by"), F.struct("x", "y", "block", "line")).alias("v"))
-    near = attach(points, corner, keys)
+    corner = pairs.groupBy(*keys).agg(
+        F.min_by(F.struct("x", "y", F.col("px").alias("ax"), F.col("py").alias("ay")), F.struct("x", "y", "block", "line")).alias("v"),
+        F.min_by(F.struct(F.col("x").alias("bx"), F.col("y").alias("by")), F.struct("px", "py", "pblock", "pline")).alias("b")) \
+        .select(*keys, F.struct("v.*", "b.*").alias("v"))
+    near = attach(pairs.select(*keys, "x", "y"), growing(corner), keys)
 
     def side(p, q, x, y):
         (px, py), (qx, qy) = p, q
@@ -296,14 +306,15 @@ def assemble_polygons(points: DataFrame, unit: Sequence[str], cell: float) -> Da
     """
     keys = list(unit)
     of = [*keys, "ring"]
-    areas = ring_areas(points, of).select(*of, F.abs("area").alias("area")).filter("area > 0")
-    solid = points.join(areas.drop("area"), of, "left_semi")
-    inner = attach(inner_points(solid, of), areas, of).select(
-        *keys, F.struct("ring", "area").alias("hole"), "x", "y")
-    sides = with_previous_point(solid, of, close=True).select(
-        *of, F.col("px").alias("x0"), F.col("py").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    pairs = rings_around(inner, sides, keys, cell).select(*keys, "hole", "ring")
-    around = attach(pairs, areas, of).filter(F.col("area") > F.col("hole.area"))
+    pairs = stored(with_previous_point(stored(points.select(*of, "block", "line", *POINT)), of, close=True, place=True))
+    areas = stored(_signed_areas(pairs, of).select(*of, F.abs("area").alias("area")).filter("area > 0"))
+    solid = pairs.join(growing(areas.drop("area")), of, "left_semi")
+    inner = stored(attach(_inner_points(solid, of), growing(areas), of).select(
+        *keys, F.struct("ring", "area").alias("hole"), "x", "y"))
+    sides = stored(solid.select(
+        *of, F.col("px").alias("x0"), F.col("py").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1")))
+    met = rings_around(inner, sides, keys, cell).select(*keys, "hole", "ring")
+    around = attach(met, growing(areas), of).filter(F.col("area") > F.col("hole.area"))
     nested = around.groupBy(*keys, F.col("hole.ring").alias("ring")).agg(
         F.count(F.lit(1)).alias("depth"), F.min_by("ring", F.struct("area", "ring")).alias("__smallest"))
     depth = F.coalesce("depth", F.lit(0))
