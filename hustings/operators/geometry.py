@@ -7,6 +7,7 @@ the point's place in the arc, so rings of any size are worked on arc by arc.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -112,22 +113,31 @@ def stitch_rings(edges: DataFrame, unit: Sequence[str], edge: str) -> DataFrame:
     goes_on = goes_on & (F.lead("turn").over(paired) == F.col("turn")) & F.lead(edge).over(paired).isNotNull()
     nxt = F.when(goes_on & F.col(edge).isNotNull(), F.lead("__id").over(paired))
     linked = met.withColumn("turn", turn).withColumn("nxt", nxt).filter("leaves = 0").select("__id", "nxt")
-    # low: the least number ahead, -1 where the chain ends; away: how many edges ahead it is
+    # low: the least number ahead, null where the chain ends; away: how many edges ahead it is. Numbers
+    # are kept as distances from the row's own, which are short where rows of a ring lie together.
+    me = F.col("__id")
     state = stored(linked.select(
-        "__id", "nxt", F.when(F.col("nxt").isNull(), -1).otherwise(F.least("__id", "nxt")).cast("bigint").alias("low"),
-        F.when(F.col("nxt") < F.col("__id"), 1).otherwise(0).cast("bigint").alias("away")))
-    reach = 1
+        "__id", (F.col("nxt") - me).alias("dn"), F.when(F.col("nxt").isNotNull(), F.least(me, "nxt") - me).alias("dl"),
+        F.when(F.col("nxt") < me, 1).otherwise(0).cast("bigint").alias("away")))
+    # A row that meets the same least number twice has seen its whole ring and is done; the others may
+    # still ask for it in the next round, when the rest of its ring is done, too.
+    active, reach, rounds = state, 1, []
     while True:
-        later = state.select(F.col("__id").alias("nxt"), F.col("nxt").alias("n2"), F.col("low").alias("l2"), F.col("away").alias("a2"))
-        lower = F.coalesce(F.col("l2") < F.col("low"), F.lit(False))
-        step = stored(state.join(growing(later), "nxt", "left").select(
-            "__id", F.col("n2").alias("nxt"), F.when(lower, F.col("l2")).otherwise(F.col("low")).alias("low"),
-            F.when(lower, F.lit(reach) + F.col("a2")).otherwise(F.col("away")).alias("away"), lower.alias("moved")))
-        state, reach = step.drop("moved"), reach * 2
-        if step.filter("moved").isEmpty():
+        later = state.select(me.alias("nxt"), F.col("dn").alias("dn2"), F.col("dl").alias("dl2"), F.col("away").alias("a2"))
+        n2, l2, low = F.col("nxt") + F.col("dn2"), F.col("nxt") + F.col("dl2"), me + F.col("dl")
+        ends = F.col("a2").isNotNull() & F.col("dl2").isNull()
+        lower = F.coalesce(low.isNotNull() & (ends | (l2 < low)), F.lit(False))
+        twice = F.coalesce((l2 == low) & (F.lit(reach) + F.col("a2") > F.col("away")), F.lit(False))
+        state = stored(active.select(me, (me + F.col("dn")).alias("nxt"), "dl", "away").join(growing(later), "nxt", "left").select(
+            "__id", (n2 - me).alias("dn"), F.when(lower, l2 - me).otherwise(F.col("dl")).alias("dl"),
+            F.when(lower, F.lit(reach) + F.col("a2")).otherwise(F.col("away")).alias("away"), twice.alias("done")))
+        active, reach = state.filter("NOT done"), reach * 2
+        rounds.append(state.filter("done"))
+        if active.filter(F.col("dl").isNotNull()).isEmpty():
             break
-    named = edges.select("__id", *keys, edge).join(growing(state.select("__id", "low", "away")), "__id")
-    named = stored(named.drop("__id"))
+    seen = reduce(DataFrame.unionByName, [*rounds, active]).select("__id", "dl", "away")
+    named = stored(edges.filter(opened).select("__id", *keys, edge).join(growing(seen), "__id").select(
+        *keys, edge, F.coalesce(me + F.col("dl"), F.lit(-1)).alias("low"), "away"))
     rings = named.filter("low >= 0").groupBy("low").agg(
         F.count(F.lit(1)).alias("size"), F.min(edge).alias("ring"), F.min_by("away", edge).alias("first"))
     pos = F.pmod(F.col("first") - F.col("away"), F.col("size"))
