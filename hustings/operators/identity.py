@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.session import checkpointed, growing
+from hustings.session import checkpointed, growing, stored
 
 # Generational suffixes. A name that adds one is another person.
 GENERATIONS = ["JR", "SR", "II", "III", "IV", "V"]
@@ -32,6 +32,9 @@ def prefix_links(profiles: DataFrame, words: DataFrame, family: Sequence[str],
     A long name is met with its own prefixes by an equi-join, so names that share nothing are
     never compared. A short form is ambiguous when some extension of it is neither a prefix nor an
     extension of the long form; that is a matter of counts, with no third name in the join.
+
+    Pairs are read many times, so they are stored twice: the plan would else hold everything before
+    them once for each reader of each reader, and the driver all of it.
     """
     keys = list(family)
     lengths = F.sequence(F.lit(MIN_SHORT), F.length(given) - 1)
@@ -41,7 +44,7 @@ def prefix_links(profiles: DataFrame, words: DataFrame, family: Sequence[str],
         .alias("short"))
     shorts = profiles.select(*keys, F.col(given).alias("short"),
                              F.col("years").alias("short_years"))
-    pairs = extended.join(growing(shorts), [*keys, "short"])
+    pairs = stored(extended.join(growing(shorts), [*keys, "short"]))
     extensions = pairs.groupBy(*keys, "short").agg(F.count(F.lit(1)).alias("n_short"))
     # Lengths of the prefixes each long name has among the names; fewer than its letters.
     chain = pairs.groupBy(*keys, "long").agg(F.collect_list(F.length("short")).alias("chain"))
@@ -52,11 +55,11 @@ def prefix_links(profiles: DataFrame, words: DataFrame, family: Sequence[str],
     between = F.size(F.filter("chain", lambda n: n > F.length("short")))
     comparable = F.lit(1) + between + F.coalesce("n_long", F.lit(0))
     rest = F.substr("long", F.length("short") + 1)
-    plausible = counted.filter(
+    plausible = stored(counted.filter(
         ~rest.isin(GENERATIONS)
         & (rest != F.col("short"))
         & (F.col("n_short") <= comparable)
-        & ~F.arrays_overlap("short_years", "long_years")).select(*keys, "short", "long")
+        & ~F.arrays_overlap("short_years", "long_years")).select(*keys, "short", "long"))
     # Middles conflict when both names have some and share none.
     short_words = growing(words.withColumnRenamed(given, "short"))
     long_words = growing(words.withColumnRenamed(given, "long"))
@@ -105,8 +108,8 @@ def same_person_names(rows: DataFrame, family: Sequence[str], given: str, year:
     without a link are not listed; they stand for themselves.
     """
     keys = list(family)
-    profiles = name_profiles(rows, keys, given, year)
-    words = middle_words(rows, keys, given, middle)
+    profiles = stored(name_profiles(rows, keys, given, year))
+    words = stored(middle_words(rows, keys, given, middle))
     links = prefix_links(profiles, words, keys, given).select(
         *keys, F.col("short").alias("a"), F.col("long").alias("b"))
     if curated is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.operators.groups import top_n
-from hustings.session import growing
+from hustings.session import growing, stored
 
 MATCHES = ["last", "middle", "all"]
 
@@ -41,7 +41,7 @@ def kin_flags(rows: DataFrame, unit: Sequence[str], person: str, year: str, surn
     grows with the rows even where one surname fills a unit. Persons and years must be non-null.
     """
     unit = list(unit)
-    table = _token_years(rows, unit, surname, middle, person, year)
+    table = stored(_token_years(rows, unit, surname, middle, person, year))  # met by both names
     out = rows
     for name, key in (("mine", surname), ("middle", middle)):
         side = table.select(*[F.col(u).alias(f"__u_{u}") for u in unit],

@@ -9,6 +9,7 @@ from hustings.functions.names import extract_given
 from hustings.functions.places import city_key
 from hustings.functions.text import fold
 from hustings.operators import crosswalk, identity, kinship
+from hustings.session import stored
 
 # Fixed values ---------------------------------------------------------------------------------
 LEVELS = {"region": "region_code", "province": "prov_code", "municipality": "city_code"}
@@ -94,16 +95,17 @@ def located_winners(winners: DataFrame, provinces: DataFrame, places: DataFrame,
                       "given": extract_given("first_name", "middle_name"),
                       "middle": F.coalesce(fold("middle_name"), F.lit(""))}) \
         .filter(F.col("surname").isNotNull() & F.col("given").isNotNull())
-    # the names come from all rows, so that they are not folded again for them
-    codes = province_codes(provinces, winners, "province", units).filter(F.col("code").isNotNull()) \
+    # the names come from all rows, so that they are not folded again for them; what is known of
+    # provinces and cities is stored, so that the plan of the rows does not hold theirs
+    codes = stored(province_codes(provinces, winners, "province", units).filter(F.col("code").isNotNull()) \
         .join(provinces.select("code", F.col("region").alias("region_code")), "code") \
-        .withColumnRenamed("code", "prov_code")
+        .withColumnRenamed("code", "prov_code"))
     pairs = winners.filter(F.col("city").isNotNull()).select("province", "city").distinct() \
         .join(codes.select("province", "prov_code"), "province")
     w = w.join(codes, "province")
     table = aliases(spark, rules) if rules else None
-    cities = city_codes(pairs, places, table).select(
-        "province", "city", F.col("code").alias("city_code"))
+    cities = stored(city_codes(pairs, places, table).select(
+        "province", "city", F.col("code").alias("city_code")))
     return w.join(cities, ["province", "city"], "left")
 
 
@@ -116,7 +118,8 @@ def kin_table(located: DataFrame, curated_rules=tuple(SAME_PERSON)) -> DataFrame
         if curated_rules else None
     named = identity.resolve_given(located, ["region_code", "surname"], "given", "year", "middle",
                                    curated, "person_given")
-    people = named.withColumn("person", F.concat_ws("|", "region_code", "surname", "person_given"))
+    # tokens and flags both start from them, so the plans of the persons end here
+    people = stored(named.withColumn("person", F.concat_ws("|", "region_code", "surname", "person_given")))
     return kinship.kin_flags(kinship.leveled(people, LEVELS), ["level", "unit"], "person", "year",
                              "surname", "middle")
 

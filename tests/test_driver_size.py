@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hustings.functions import names, text
-from hustings.plans import backfill
+from hustings.operators import identity
+from hustings.plans import backfill, kin
 
 
 def plan(df):
@@ -54,3 +55,35 @@ def test_what_grows_is_not_sent_out(people, spark):
     for df, joins in ((rings, 2), (flagged, 2), (sexed, 4)):
         physical = df._jdf.queryExecution().optimizedPlan().toString()
         assert physical.count("strategy=merge") >= joins
+
+
+def largest(monkeypatch, *modules):
+    """A list that gets the length of every plan that the modules store."""
+    seen = []
+    for m in modules:
+        for name in ("stored", "checkpointed"):
+            if hasattr(m, name):
+                monkeypatch.setattr(m, name, lambda df, f=getattr(m, name): (seen.append(len(plan(df))), f(df))[1])
+    return seen
+
+
+def test_kin_plans_do_not_hold_each_other(spark, monkeypatch):
+    seen = largest(monkeypatch, identity, kin)
+    rows = [("MAYOR", "Dela Cruz", g, "REYES", f"{g} x", 2016 + 3 * k, "Cebu", "Cebu City") for k, g in enumerate(["Ana", "Anabel"])]
+    winners = spark.createDataFrame(rows, "position string, last_name string, first_name string, middle_name string, "
+                                          "full_name string, year int, province string, city string")
+    units = spark.createDataFrame([("0702200000", "Cebu", "0700000000")], "code string, name string, region string")
+    towns = spark.createDataFrame([("0702200000", "Cebu City", "0702217000")], "scope string, name string, code string")
+    located = kin.located_winners(winners, units, towns)
+    assert len(plan(located)) < 110_000
+    flagged = kin.kin_table(located)
+    # the two spellings are one person, so nobody is another one's kin
+    assert {(r.level, r.person, r.all_fat, r.all_thin) for r in flagged.collect()} == {
+        (level, "0700000000|DELA CRUZ|ANABEL", False, False) for level in kin.LEVELS}
+    assert len(plan(flagged)) < 12_000 and max(seen) < 110_000
+
+
+def test_void_columns_are_stored(spark):
+    from hustings.session import stored
+    df = spark.createDataFrame([(1,)], "a int").select(F.lit(None).alias("n"), "a")
+    assert stored(df).columns == ["n", "a"] and [tuple(r) for r in stored(df).collect()] == [(None, 1)]
