@@ -14,7 +14,7 @@ from hustings.functions.text import fold, none_if_blank
 from hustings.operators import linkage
 from hustings.operators.groups import attach, flag_top_row
 from hustings.operators.linkage import Stage, staged_lookup, unambiguous_index
-from hustings.session import checkpointed, growing
+from hustings.session import checkpointed, growing, stored
 from hustings.sources.lists import middle_sources, sex_sources
 
 # Cycles that are filled, and the labels of the sources.
@@ -74,17 +74,18 @@ def indexes(rows: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
 
 def stages(rows: DataFrame, label: str, surname_only: bool, by: Sequence[str] = (),
            when: Column | None = None) -> list[Stage]:
-    """Lookup stages over one source. The surname alone is trusted only within one election."""
+    """Lookup stages over one source, their indexes stored. The surname alone is trusted only within
+    one election."""
     idx, by = indexes(rows, by), list(by)
     city, governor = _is("position", offices.CITY_OFFICES), _is("position", offices.GOVERNOR_OFFICES)
     if when is not None:
         city, governor = city & when, governor & when
-    out = [Stage(idx["person"], [*by, "city", "last", "given"],
+    out = [Stage(stored(idx["person"]), [*by, "city", "last", "given"],
                  [*by, "k_city", "k_last", "k_given"], "value", label, city, grows=True)]
     if surname_only:
-        out.append(Stage(idx["surname"], [*by, "city", "last"], [*by, "k_city", "k_last"],
+        out.append(Stage(stored(idx["surname"]), [*by, "city", "last"], [*by, "k_city", "k_last"],
                          "value", label, city, grows=True))
-    out.append(Stage(idx["governor"], [*by, "province", "position", "last", "given"],
+    out.append(Stage(stored(idx["governor"]), [*by, "province", "position", "last", "given"],
                      [*by, "k_province", "position", "k_last", "k_given"], "value", label, governor, grows=True))
     return out
 
@@ -158,10 +159,10 @@ def middle_fills(winners: DataFrame, listed: DataFrame, inherited: DataFrame,
                    stages(listed, LIST, True, ["year"]) + stages(inherited, INHERITED, True, ["year"]))
     if self_year not in years:
         return fills
-    known = winners.select(*PERSON, "middle_name").unionByName(
-        fills.select(*PERSON, F.col("value").alias("middle_name")))
-    others = listed.unionByName(inherited).unionByName(
-        stored_links(winner_middles(known.filter(F.col("year") != self_year))))
+    known = winners.select(*PERSON, "middle_name"), fills.select(*PERSON, F.col("value").alias("middle_name"))
+    others = listed.unionByName(inherited)
+    for rows in known:  # one after the other: each plan folds all key parts
+        others = others.unionByName(stored_links(winner_middles(rows.filter(F.col("year") != self_year))))
     return fills.unionByName(_fills(people.filter(F.col("year") == self_year), stages(others, SELF, False)))
 
 

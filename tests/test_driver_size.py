@@ -87,3 +87,11 @@ def test_void_columns_are_stored(spark):
     from hustings.session import stored
     df = spark.createDataFrame([(1,)], "a int").select(F.lit(None).alias("n"), "a")
     assert stored(df).columns == ["n", "a"] and [tuple(r) for r in stored(df).collect()] == [(None, 1)]
+
+
+def test_middles_of_winners_and_fills_are_planned_apart(people, monkeypatch):
+    seen = largest(monkeypatch, backfill)
+    middles = backfill.winner_middles(people, "list")
+    backfill.middle_fills(people, middles, middles, (2016, 2019, 2022), 2022)
+    alone = len(plan(middles.drop("source").distinct()))
+    assert max(seen) < 1.5 * alone
