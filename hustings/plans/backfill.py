@@ -58,6 +58,12 @@ def _is(column: str, values: Sequence[str]) -> Column:
     return F.coalesce(F.col(column).isin(list(values)), F.lit(False))
 
 
+def stored_index(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The unambiguous values of linkage rows by their keys, written once: the look-up that joins
+    several indexes then plans joins of short tables, and the driver keeps no sums of them."""
+    return stored(unambiguous_index(rows, keys, "value"))
+
+
 def indexes(rows: DataFrame, by: Sequence[str] = ()) -> dict[str, DataFrame]:
     """The three unambiguous indexes of linkage rows: city offices by (city, last, given) and by
     (city, last), governors by (province, position, last, given)."""
@@ -324,11 +330,11 @@ def fill_vote_counts(counts: DataFrame, winners: DataFrame, listed_middles: Data
 
     ``counts`` carries ``row_id``, unique and stable, and ``is_winner``.
     """
+    # election, which middle names and sexes start from, is planned and run once
+    winners = stored(winners.select(*PERSON, "middle_name", "sex"))
     middles, listed_middles = stored_links(winner_middles(winners)), stored_links(listed_middles)
-    own = unambiguous_index(_city_rows(middles), ["year", "city", "position", "last", "given"],
-                            "value")
-    index = unambiguous_index(_city_rows(middles.unionByName(listed_middles)),
-                              ["city", "last", "given"], "value")
+    own = stored_index(_city_rows(middles), ["year", "city", "position", "last", "given"])
+    index = stored_index(_city_rows(middles.unionByName(listed_middles)), ["city", "last", "given"])
     keyed = with_link_keys(counts)
     looked = staged_lookup(keyed, [
         Stage(own, ["year", "city", "position", "last", "given"],
@@ -343,7 +349,7 @@ def fill_vote_counts(counts: DataFrame, winners: DataFrame, listed_middles: Data
     full = names.canonical_full_name("last_name", "first_name", "middle_name")
     done = done.withColumn("candidate_name", F.when(F.col("__filled"), full)
                            .otherwise(F.col("candidate_name"))).drop("__filled", "__source", *KEYS)
-    return add_sexes(done, winners, listed_sexes, given_sex), log
+    return add_sexes(stored(done), winners, listed_sexes, given_sex), log
 
 
 def add_sexes(counts: DataFrame, winners: DataFrame, listed: DataFrame,
@@ -353,12 +359,10 @@ def add_sexes(counts: DataFrame, winners: DataFrame, listed: DataFrame,
     name of the static list."""
     sexes = stored_links(winner_sexes(winners))
     everyone = sexes.unionByName(stored_links(listed))
-    own = unambiguous_index(sexes.filter(F.col("city") != ""),
-                            ["year", "city", "position", "last", "given"], "value")
-    person = unambiguous_index(everyone.filter(F.col("city") != ""), ["city", "last", "given"],
-                               "value")
-    province = unambiguous_index(everyone, ["province", "last", "given"], "value")
-    learned = learned_given_sexes(winners)
+    own = stored_index(sexes.filter(F.col("city") != ""), ["year", "city", "position", "last", "given"])
+    person = stored_index(everyone.filter(F.col("city") != ""), ["city", "last", "given"])
+    province = stored_index(everyone, ["province", "last", "given"])
+    learned = stored(learned_given_sexes(winners))
     keyed = with_link_keys(counts).withColumn(
         "k_extracted", names.extract_given("first_name", "middle_name"))
     return staged_lookup(keyed, [

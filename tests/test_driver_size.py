@@ -95,3 +95,13 @@ def test_middles_of_winners_and_fills_are_planned_apart(people, monkeypatch):
     backfill.middle_fills(people, middles, middles, (2016, 2019, 2022), 2022)
     alone = len(plan(middles.drop("source").distinct()))
     assert max(seen) < 1.5 * alone
+
+
+def test_counts_are_filled_from_stored_rows(people, spark, monkeypatch):
+    given = spark.createDataFrame([("EVA", "F")], "given string, sex string")
+    counts = people.drop("sex").withColumns({"row_id": F.monotonically_increasing_id(), "is_winner": F.lit(True),
+                                             "candidate_name": F.col("last_name")})
+    lists = backfill.winner_middles(people, "list"), backfill.winner_sexes(people, "list")
+    filled, log = backfill.fill_vote_counts(counts, people, *lists, given, (2016, 2019, 2022))
+    assert filled.count() == 12 and log.count() == len([r for r in filled.collect() if r.middle_name]) - 6
+    assert len(plan(filled)) < 1.1 * len(plan(backfill.add_sexes(counts, people, lists[1], given)))
