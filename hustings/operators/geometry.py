@@ -153,23 +153,16 @@ def with_previous_point(points: DataFrame, ring: Sequence[str], close: bool = Fa
     """Adds (px, py), the point before; for the first point null, or the last point with
     ``close``. With ``place`` (pblock, pline) say where that point is."""
     of = {"x": "px", "y": "py"} | ({"block": "pblock", "line": "pline"} if place else {})
-    out = previous(points, list(ring), "block", "line", of)
-    if not close:
-        return out
-    last = points.groupBy(*ring).agg(
-        F.max_by(F.struct(*of), F.struct("block", "line")).alias("__last"))
-    return attach(out, growing(last), list(ring)).withColumns(
-        {p: F.coalesce(p, f"__last.{c}") for c, p in of.items()}).drop("__last")
+    return previous(points, list(ring), "block", "line", of, around=close)
 
 
-def _signed_areas(pairs: DataFrame, ring: Sequence[str]) -> DataFrame:
-    cross = F.col("px") * F.col("y") - F.col("x") * F.col("py")
-    return pairs.groupBy(*ring).agg((F.sum(cross) / 2).alias("area"))
+def _signed_area() -> Column:
+    return F.sum(F.col("px") * F.col("y") - F.col("x") * F.col("py")) / 2
 
 
 def ring_areas(points: DataFrame, ring: Sequence[str]) -> DataFrame:
     """Signed area of each ring; the sign tells outline from hole."""
-    return _signed_areas(with_previous_point(points, ring, close=True), ring)
+    return with_previous_point(points, ring, close=True).groupBy(*ring).agg(_signed_area().alias("area"))
 
 
 def outer_and_holes(areas: DataFrame, unit: Sequence[str]) -> DataFrame:
@@ -231,8 +224,9 @@ def inner_corners(edges: DataFrame, keys: Sequence[str], cell: float) -> DataFra
     near = F.floor(x / size).cast("bigint")
     first = F.when(left_of((near - 1) * size, y), near - 1).when(left_of(near * size, y), near) \
         .when(left_of((near + 1) * size, y), near + 1).otherwise(near + 2)
-    flips = met.withColumn("col", first).groupBy(*keys, "row", "col").agg(F.count(F.lit(1)).alias("n")) \
-        .filter(F.col("n") % 2 == 1)
+    # dealt once, for the flips and for the walk along them
+    flips = met.select(*keys, "row", first.alias("col")).repartition(*keys, "row").groupBy(*keys, "row", "col").agg(
+        F.count(F.lit(1)).alias("n")).filter(F.col("n") % 2 == 1)
     along = Window.partitionBy(*keys, "row").orderBy("col")  # a ring's flips in one row
     spans = flips.withColumns({"turn": F.row_number().over(along), "next": F.lead("col").over(along)}) \
         .filter((F.col("turn") % 2 == 1) & F.col("next").isNotNull())
@@ -278,19 +272,21 @@ def inner_points(points: DataFrame, ring: Sequence[str]) -> DataFrame:
     and its neighbours, the triangle's middle is inside; otherwise the middle between v and the
     point in the triangle that is farthest from the line of the neighbours.
     """
-    return _inner_points(with_previous_point(points, ring, close=True, place=True), ring)
+    keys = list(ring)
+    pairs = with_previous_point(points, ring, close=True, place=True)
+    corner = pairs.groupBy(*keys).agg(*_least_corner()).select(*keys, F.struct("v.*", "b.*").alias("v"))
+    return _inner_points(attach(pairs.select(*keys, "x", "y"), growing(corner), keys), keys)
 
 
-def _inner_points(pairs: DataFrame, ring: Sequence[str]) -> DataFrame:
-    """``inner_points`` of points that have the one before with its place. The neighbour after the
-    least corner is the point whose point before is the least."""
-    keys = list(ring)
-    corner = pairs.groupBy(*keys).agg(
-        F.min_by(F.struct("x", "y", F.col("px").alias("ax"), F.col("py").alias("ay")), F.struct("x", "y", "block", "line")).alias("v"),
-        F.min_by(F.struct(F.col("x").alias("bx"), F.col("y").alias("by")), F.struct("px", "py", "pblock", "pline")).alias("b")) \
-        .select(*keys, F.struct("v.*", "b.*").alias("v"))
-    near = attach(pairs.select(*keys, "x", "y"), growing(corner), keys)
+def _least_corner() -> list[Column]:
+    """The least corner with the one before, and the one after, whose point before is the least."""
+    return [F.min_by(F.struct("x", "y", F.col("px").alias("ax"), F.col("py").alias("ay")), F.struct("x", "y", "block", "line")).alias("v"),
+            F.min_by(F.struct(F.col("x").alias("bx"), F.col("y").alias("by")), F.struct("px", "py", "pblock", "pline")).alias("b")]
+
 
+def _inner_points(near: DataFrame, keys: Sequence[str], *more: str) -> DataFrame:
+    """``inner_points`` of points that have their ring's least corner and its neighbours, ``v``, and
+    ``more`` that is the same for all points of a ring."""
     def side(p, q, x, y):
         (px, py), (qx, qy) = p, q
         return (qx - px) * (y - py) - (qy - py) * (x - px)
@@ -300,10 +296,10 @@ def _inner_points(pairs: DataFrame, ring: Sequence[str]) -> DataFrame:
     within = (F.greatest(*sides) <= 0) | (F.least(*sides) >= 0)
     other = ~(((x == v[0]) & (y == v[1])) | ((x == a[0]) & (y == a[1])) | ((x == b[0]) & (y == b[1])))
     far = F.when(within & other, F.struct(F.abs(sides[1]).alias("far"), x.alias("qx"), y.alias("qy")))
-    found = near.groupBy(*keys).agg(F.max(far).alias("q"), F.first("v").alias("v"))
+    found = near.groupBy(*keys).agg(F.max(far).alias("q"), F.first("v").alias("v"), *[F.first(c).alias(c) for c in more])
     middle = {c: F.when(F.col("q").isNotNull(), (F.col(f"v.{c}") + F.col(f"q.q{c}")) / 2).otherwise(
         (F.col(f"v.{c}") + F.col(f"v.a{c}") + F.col(f"v.b{c}")) / 3).cast("double") for c in POINT}
-    return found.select(*keys, middle["x"].alias("x"), middle["y"].alias("y"))
+    return found.select(*keys, *more, middle["x"].alias("x"), middle["y"].alias("y"))
 
 
 def assemble_polygons(points: DataFrame, unit: Sequence[str], cell: float) -> DataFrame:
@@ -317,12 +313,14 @@ def assemble_polygons(points: DataFrame, unit: Sequence[str], cell: float) -> Da
     keys = list(unit)
     of = [*keys, "ring"]
     pairs = stored(with_previous_point(stored(points.select(*of, "block", "line", *POINT)), of, close=True, place=True))
-    areas = stored(_signed_areas(pairs, of).select(*of, F.abs("area").alias("area")).filter("area > 0"))
-    solid = pairs.join(growing(areas.drop("area")), of, "left_semi")
-    inner = stored(attach(_inner_points(solid, of), growing(areas), of).select(
+    # area and least corner are found at once, and join the points once; sides of rings without area
+    # are met as well, and go with the areas they do not have
+    rings = stored(pairs.groupBy(*of).agg(F.abs(_signed_area()).alias("area"), *_least_corner()).filter("area > 0").select(
+        *of, "area", F.struct("v.*", "b.*").alias("v")))
+    areas = rings.select(*of, "area")
+    inner = stored(_inner_points(pairs.select(*of, "x", "y").join(growing(rings), of), of, "area").select(
         *keys, F.struct("ring", "area").alias("hole"), "x", "y"))
-    sides = stored(solid.select(
-        *of, F.col("px").alias("x0"), F.col("py").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1")))
+    sides = pairs.select(*of, F.col("px").alias("x0"), F.col("py").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
     met = rings_around(inner, sides, keys, cell).select(*keys, "hole", "ring")
     around = attach(met, growing(areas), of).filter(F.col("area") > F.col("hole.area"))
     nested = around.groupBy(*keys, F.col("hole.ring").alias("ring")).agg(

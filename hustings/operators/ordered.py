@@ -67,16 +67,31 @@ def _first_in_block(part: Sequence[str], line: str) -> WindowSpec:
 
 
 def previous(df: DataFrame, doc: Sequence[str], block: str, line: str,
-             columns: Mapping[str, str]) -> DataFrame:
-    """Adds, under new names, the column values of the line before; null on a first line."""
+             columns: Mapping[str, str], around: bool = False) -> DataFrame:
+    """Adds, under new names, the column values of the line before; null on a first line.
+
+    With ``around`` the values of the document's last line stand where there are none. Lines travel
+    with their own columns only; what the blocks before bring is in the row that leads a block.
+    """
     part = [*doc, block]
-    packed = df.withColumn("__row", F.struct(*columns))
-    ends = packed.groupBy(*part).agg(F.max_by("__row", F.col(line)).alias("__end"))
+    row = F.struct(*columns)
+    last = [F.max_by(row, F.struct(line)).alias("__tail")] if around else []
+    ends = df.groupBy(*part).agg(F.max_by(row, F.col(line)).alias("__end"), *last)
     before = Window.partitionBy(*doc).orderBy(block)
-    carried = ends.select(*part, F.lag("__end").over(before).alias("__row"))
-    prev = F.lag("__row").over(_first_in_block(part, line))
-    return _led_by(packed, carried).withColumn("__p", prev).filter("__line").select(
-        *df.columns, *[F.col("__p")[c].alias(new) for c, new in columns.items()])
+    whole = before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tail = [F.last("__tail").over(whole).alias("__tail")] if around else []
+    carried = ends.select(*part, F.lag("__end").over(before).alias("__row"), *tail)
+    inside = _first_in_block(part, line)
+    led = {"__was": F.lag("__line").over(inside), "__row": F.lag("__row").over(inside)} \
+        | {f"__p_{c}": F.lag(c).over(inside) for c in columns}
+    if around:
+        led["__tail"] = F.first("__tail").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+
+    def value(c: str) -> Column:
+        p = F.when(F.col("__was"), F.col(f"__p_{c}")).otherwise(F.col("__row")[c])
+        return F.coalesce(p, F.col("__tail")[c]) if around else p
+    return _led_by(df, carried).withColumns(led).filter("__line").select(
+        *df.columns, *[value(c).alias(new) for c, new in columns.items()])
 
 
 def following(df: DataFrame, doc: Sequence[str], seq: str, value: str, steps: Sequence[int],
